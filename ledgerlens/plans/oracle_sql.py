@@ -60,10 +60,12 @@ ADAPTERS = {
 def sql(name: str, body: str, adapters=(), rnd=(), ctes: str = "") -> str:
     """Register ``body`` with the listed adapter CTEs; round ``rnd`` columns to 6 places."""
     body = body.strip()
-    if body[:4].upper() == "WITH" and adapters:
-        ctes = body[4:].split("\nSELECT", 1)[0]
-        body = "SELECT" + body[4:].split("\nSELECT", 1)[1]
-    parts = [ADAPTERS[a] for a in adapters] + ([ctes.strip()] if ctes else [])
+    extra = [ctes.strip()] if ctes else []
+    if body[:4].upper() == "WITH" and (adapters or extra):
+        head, tail = body[4:].split("\nSELECT", 1)
+        extra.append(head.strip())
+        body = "SELECT" + tail
+    parts = [ADAPTERS[a] for a in adapters] + extra
     q = (("WITH " + ",\n".join(parts) + "\n") if parts else "") + body
     if rnd:
         rep = ", ".join(f"round({c}, 6) AS {c}" for c in rnd)
