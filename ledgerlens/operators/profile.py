@@ -50,28 +50,42 @@ def exact_percentiles(df: DataFrame, value, probs: Sequence[float], by: Sequence
     # the side is measured by AQE at run time before it is broadcast
     j = base.join(F.broadcast(stats) if not by else stats, keys)
     m = len(probs)
-    below = j.groupBy(*keys).agg(F.array(*[
-        count_if(F.col("_v") < F.get(F.col("_lo"), i)) for i in range(m)]).alias("_below"))
+    lo_i = [F.get(F.col("_lo"), i) for i in range(m)]
+    hi_i = [F.get(F.col("_hi"), i) for i in range(m)]
+    # per group and percentile: rows below the bracket, rows up to its top,
+    # and the nearest values just outside it (covers off-by-one ranks)
+    edges = j.groupBy(*keys).agg(
+        F.first("_n").alias("_n"),
+        F.array(*[count_if(F.col("_v") < lo_i[i]) for i in range(m)]).alias("_below"),
+        F.array(*[count_if(F.col("_v") <= hi_i[i]) for i in range(m)]).alias("_upto"),
+        F.array(*[F.max(F.when(F.col("_v") < lo_i[i], F.col("_v"))) for i in range(m)]).alias("_prev"),
+        F.array(*[F.min(F.when(F.col("_v") > hi_i[i], F.col("_v"))) for i in range(m)]).alias("_next"))
+    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
+    targets = edges.select(*keys, "_n", F.posexplode(F.arrays_zip("_below", "_upto", "_prev", "_next")).alias("p_idx", "_e"))
+    pos = F.get(probs_arr, F.col("p_idx")) * (F.col("_n") - F.lit(1))
+    targets = targets.select(*keys, "p_idx", F.col("_e._below").alias("_nb"), F.col("_e._upto").alias("_nu"),
+                             F.col("_e._prev").alias("_prev"), F.col("_e._next").alias("_next"),
+                             pos.alias("_pos"), F.floor(pos).alias("_k0"), F.ceil(pos).alias("_k1"))
     in_bracket = F.filter(F.sequence(F.lit(0), F.lit(m - 1)),
                           lambda i: (F.get(F.col("_lo"), i) <= F.col("_v")) & (F.col("_v") <= F.get(F.col("_hi"), i)))
-    cand = j.select(*keys, "_v", "_n", F.explode(in_bracket).alias("p_idx"))
-    targets = below.select(*keys, F.posexplode("_below").alias("p_idx", "_nb"))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    cand = cand.join(targets, keys + ["p_idx"])
+    cand = j.select(*keys, "_v", F.explode(in_bracket).alias("p_idx"))
+    cand = cand.join(targets.select(*keys, "p_idx", "_nb", "_k0", "_k1"), keys + ["p_idx"])
     rn = F.row_number().over(Window.partitionBy(*keys, "p_idx").orderBy("_v"))
-    pos = F.get(probs_arr, F.col("p_idx")) * (F.col("_n") - F.lit(1))
     cand = (cand.withColumn("_rank0", F.col("_nb") + rn - F.lit(1))
-                .withColumn("_pos", pos)
-                .withColumn("_k0", F.floor("_pos")).withColumn("_k1", F.ceil("_pos"))
                 .filter((F.col("_rank0") == F.col("_k0")) | (F.col("_rank0") == F.col("_k1"))))
     res = cand.groupBy(*keys, "p_idx").agg(
         F.max(F.when(F.col("_rank0") == F.col("_k0"), F.col("_v"))).alias("_v0"),
-        F.max(F.when(F.col("_rank0") == F.col("_k1"), F.col("_v"))).alias("_v1"),
-        F.first("_pos").alias("_pos"), F.first("_k0").alias("_k0"))
-    val = F.col("_v0") + (F.col("_pos") - F.col("_k0")) * (F.col("_v1") - F.col("_v0"))
-    out = res.select(*by, F.col("p_idx").cast("int").alias("p_idx"),
-                     F.get(probs_arr, F.col("p_idx")).alias("p"), val.alias("value"))
-    return out
+        F.max(F.when(F.col("_rank0") == F.col("_k1"), F.col("_v"))).alias("_v1"))
+    t = targets.join(res, keys + ["p_idx"], "left")
+
+    def pick(v, k):
+        return F.coalesce(F.col(v), F.when(F.col(k) == F.col("_nb") - 1, F.col("_prev")),
+                          F.when(F.col(k) == F.col("_nu"), F.col("_next")))
+
+    v0, v1 = pick("_v0", "_k0"), pick("_v1", "_k1")
+    val = v0 + (F.col("_pos") - F.col("_k0")) * (v1 - v0)
+    return t.select(*by, F.col("p_idx").cast("int").alias("p_idx"),
+                    F.get(probs_arr, F.col("p_idx")).alias("p"), val.alias("value"))
 
 
 def percentiles_wide(df: DataFrame, value, probs: Sequence[float], names: Sequence[str],

@@ -68,7 +68,8 @@ def sql(name: str, body: str, adapters=(), rnd=(), ctes: str = "") -> str:
     parts = [ADAPTERS[a] for a in adapters] + extra
     q = (("WITH " + ",\n".join(parts) + "\n") if parts else "") + body
     if rnd:
-        rep = ", ".join(f"round({c}, 6) AS {c}" for c in rnd)
+        rep = ", ".join(f"CASE WHEN abs({c}) < 1e12 THEN floor({c} * 1e6 + 0.5) / 1e6 ELSE {c} END AS {c}"
+                        for c in rnd)
         q = f"SELECT * REPLACE ({rep}) FROM (\n{q}\n) AS _r"
     ORACLE[name] = q
     return q
