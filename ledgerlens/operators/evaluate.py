@@ -70,13 +70,32 @@ def _with_neg_pos_before(t: DataFrame, by: Sequence[str], n_buckets: int) -> Dat
 
 
 def roc_auc(df: DataFrame, label: str, score, by: Sequence[str] = (), out: str = "auc",
-            n_buckets: int = 256) -> DataFrame:
-    """Exact ROC-AUC per group (one row per group; one row overall when ``by`` is empty)."""
+            n_buckets: int = 256, split_df: DataFrame | None = None, split_from: Column | None = None) -> DataFrame:
+    """Exact ROC-AUC per group (one row per group; one row overall when ``by`` is empty).
+
+    With scores cut into quantile buckets the numerator splits into
+      * within-bucket pairs: a window partitioned by (group, bucket), and
+      * cross-bucket pairs: Σ_b pos(b) · neg(buckets below b), from the tiny
+        (group, bucket) totals table,
+    so no row-level join back of bucket offsets is needed.
+    """
     by = list(by)
-    t = _with_neg_pos_before(_score_table(df, label, score, by), by, n_buckets)
-    num = F.sum(F.col("_pos").cast("double") * (F.col("_neg_before") + F.col("_neg") / F.lit(2.0)))
-    den = F.sum("_pos").cast("double") * F.sum("_neg").cast("double")
-    return t.groupBy(*by).agg(safe_div(num, den).alias(out))
+    keys = by or ["_g"]
+    t = _score_table(df, label, score, by)
+    if not by:
+        t = t.withColumn("_g", F.lit(0))
+    t = quantile_bucketed(t, "_s", n_buckets, out="_qb", split_df=split_df, split_from=split_from)
+    w_in = Window.partitionBy(*keys, "_qb").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    within = (t.withColumn("_nb", F.coalesce(F.sum("_neg").over(w_in), F.lit(0)))
+               .groupBy(*keys).agg(
+                   F.sum(F.col("_pos").cast("double") * (F.col("_nb") + F.col("_neg") / F.lit(2.0))).alias("_num_in"),
+                   F.sum("_pos").cast("double").alias("_P"), F.sum("_neg").cast("double").alias("_N")))
+    tot = t.groupBy(*keys, "_qb").agg(F.sum("_pos").alias("_bp"), F.sum("_neg").alias("_bn"))
+    w_b = Window.partitionBy(*keys).orderBy("_qb").rowsBetween(Window.unboundedPreceding, -1)
+    cross = (tot.withColumn("_nbb", F.coalesce(F.sum("_bn").over(w_b), F.lit(0)))
+                .groupBy(*keys).agg(F.sum(F.col("_bp").cast("double") * F.col("_nbb")).alias("_num_x")))
+    res = within.join(cross, keys)
+    return res.select(*by, safe_div(F.col("_num_in") + F.col("_num_x"), F.col("_P") * F.col("_N")).alias(out))
 
 
 def roc_points(df: DataFrame, label: str, score, by: Sequence[str] = (), n_buckets: int = 256) -> DataFrame:

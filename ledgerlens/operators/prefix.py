@@ -23,10 +23,18 @@ INF = float("inf")
 
 
 def quantile_bucketed(df: DataFrame, order_col: str, n_buckets: int = 256, out: str = "_bk",
-                      rel_err: float | None = None) -> DataFrame:
-    """Adds a bucket id that is monotone in ``order_col`` (equal values share a bucket)."""
+                      rel_err: float | None = None, split_from: Column | None = None,
+                      split_df: DataFrame | None = None) -> DataFrame:
+    """Adds a bucket id that is monotone in ``order_col`` (equal values share a bucket).
+
+    Split points come from approximate quantiles of ``order_col`` or, when
+    given, of ``split_from`` over ``split_df`` (any split points keep the
+    result exact; they only steer how evenly the buckets fill).
+    """
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.select(F.col(order_col).cast("double").alias("_q")).filter(
+    src = split_df if split_df is not None else df
+    src_col = split_from if split_from is not None else F.col(order_col)
+    qs = src.select(src_col.cast("double").alias("_q")).filter(
         F.col("_q").isNotNull() & ~F.isnan("_q")).approxQuantile("_q", probs, rel_err or 1.0 / (4 * n_buckets))
     splits = sorted({q for q in qs if q == q and abs(q) != INF})
     splits = [-INF] + splits + [INF]
