@@ -31,6 +31,8 @@ def quantile_bucketed(df: DataFrame, order_col: str, n_buckets: int = 256, out:
     given, of ``split_from`` over ``split_df`` (any split points keep the
     result exact; they only steer how evenly the buckets fill).
     """
+    if n_buckets <= 1:
+        return df.withColumn(out, F.lit(0.0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     src = split_df if split_df is not None else df
     src_col = split_from if split_from is not None else F.col(order_col)
