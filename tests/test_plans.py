@@ -29,14 +29,23 @@ def test_no_python_in_plan(spark, name):
     assert not any(n in p for n in PY_NODES), name
 
 
+def single_partition_violations(p: str) -> list[str]:
+    """Exchanges into one partition whose child is not a partial aggregate
+    (i.e. a global sort or an un-partitioned window over full rows)."""
+    lines = p.split("\n")
+    bad = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1] if i + 1 < len(lines) else ""
+            if not ("HashAggregate" in child and "partial_" in child):
+                bad.append(line.strip() + " -> " + child.strip()[:80])
+    return bad
+
+
 @pytest.mark.parametrize("name", FACT_ORDERED)
 def test_no_single_partition_over_fact_rows(spark, name):
     df = catalog.QUERIES[name](spark, SF001)
-    df.write.format("noop").mode("overwrite").save()
-    p = df._jdf.queryExecution().executedPlan().toString()
-    # SinglePartition exchanges are allowed only for tiny metadata tables, which
-    # never appear in these plans except through broadcast / limit nodes
-    assert "Exchange SinglePartition" not in p or "TakeOrderedAndProject" in p, name
+    assert single_partition_violations(plan(df)) == [], name
 
 
 def test_rollup_single_exchange_and_pruned_scan(spark):
