@@ -1,4 +1,4 @@
 """The full query catalogue (importing the parts registers their queries)."""
 
-from ledgerlens.plans import q_eval, q_features, q_model, q_ordered, q_rollup  # noqa: F401
+from ledgerlens.plans import q_eval, q_features, q_model, q_ordered, q_pack, q_rollup  # noqa: F401
 from ledgerlens.plans.registry import ORACLE, QUERIES  # noqa: F401
