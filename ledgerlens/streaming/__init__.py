@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference only reads complete files and writes one overwrite per run:
+there are no watermarks, event-time windows, state or late data to
+reproduce, so this package holds no operator. The rollup and trend
+aggregates of ``ledgerlens.operators`` are ordinary aggregate expressions;
+a streaming source could feed them through Structured Streaming's own
+aggregation without new code.
+"""
