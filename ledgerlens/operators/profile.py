@@ -193,3 +193,18 @@ def dtype_counts(df: DataFrame) -> list[tuple[str, int]]:
     """Schema metadata: (type name, number of columns)."""
     from collections import Counter
     return sorted(Counter(f.dataType.simpleString() for f in df.schema.fields).items())
+
+
+def column_split(df: DataFrame) -> tuple[list[str], list[str]]:
+    """(numeric columns, categorical columns) from the schema."""
+    from pyspark.sql import types as T
+    num = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    cat = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return num, cat
+
+
+def width_report(before: DataFrame, after: DataFrame, keys=("SK_ID_CURR", "TARGET")) -> dict:
+    """Original / final / new feature counts (schema metadata only)."""
+    b = [c for c in before.columns if c not in keys]
+    a = [c for c in after.columns if c not in keys]
+    return {"original": len(b), "final": len(a), "new": len(set(a) - set(b))}

@@ -388,3 +388,26 @@ def blend_best(spark, d):
 
 sql("blend_best", "SELECT w_s1, w_s2, w_s3, auc FROM a ORDER BY auc DESC, w_s1 DESC, w_s2 DESC, w_s3 DESC LIMIT 1",
     ["scored"], ctes=_SQL_GRID, rnd=["w_s1", "w_s2", "w_s3", "auc"])
+
+
+# ------------------------------------------------------------------ B5 (gain of the blend over the best single model)
+@query("blend_gain")
+def blend_gain(spark, d):
+    s = B.blend(T.scored(spark, d), MODELS, _W)
+    long = s.select("y", *MODELS, "blend").unpivot(["y"], MODELS + ["blend"], "model", "score")
+    a = E.roc_auc(long, "y", "score", by=["model"])
+    one = a.agg(F.max(F.when(F.col("model") == "blend", F.col("auc"))).alias("blend_auc"),
+                F.max(F.when(F.col("model") != "blend", F.col("auc"))).alias("best_single_auc"),
+                F.max_by(F.when(F.col("model") != "blend", F.col("model")),
+                         F.when(F.col("model") != "blend", F.col("auc"))).alias("best_single_model"))
+    return finish(one.withColumn("gain", F.col("blend_auc") - F.col("best_single_auc")))
+
+
+sql("blend_gain", """
+SELECT max(auc) FILTER (WHERE model = 'blend') AS blend_auc,
+       max(auc) FILTER (WHERE model <> 'blend') AS best_single_auc,
+       arg_max(model, auc) FILTER (WHERE model <> 'blend') AS best_single_model,
+       max(auc) FILTER (WHERE model = 'blend') - max(auc) FILTER (WHERE model <> 'blend') AS gain
+FROM a""", ["scored"], rnd=["blend_auc", "best_single_auc", "gain"],
+    ctes="long AS (" + " UNION ALL ".join(f"SELECT '{m}' AS model, y, {m} AS s FROM scored" for m in MODELS)
+    + " UNION ALL SELECT 'blend' AS model, y, 0.75 * s1 + 0.15 * s2 + 0.1 * s3 AS s FROM scored),\n" + _sql_auc("model"))

@@ -447,3 +447,22 @@ SELECT id, CAST(LOAN_COUNT + APP_COUNT AS BIGINT) AS TOTAL_CREDIT_EXPERIENCE,
        credit / nullif(LOAN_COUNT + APP_COUNT + 1.0, 0) AS DEBT_PER_EXPERIENCE
 FROM j""", ["spine", "hist", "monthly", "inst"], rnd=["LOAN_TO_APP_RATIO", "LATE_PAYMENT_RATIO", "CREDIT_PER_INCOME",
                                                      "DEBT_PER_EXPERIENCE"])
+
+
+# ------------------------------------------------------------------ P11 / F12
+@query("late_under_flags")
+def late_under_flags(spark, d):
+    i = T.inst(spark, d)
+    diff = F.col("paid") - F.col("due")
+    delay = F.col("entry_day") - F.col("due_day")
+    return finish(i.select("u0", "u1", "u2", "u3", "u4", diff.alias("PAYMENT_DIFF"), delay.alias("PAYMENT_DELAY"),
+                           flag(delay > 0).alias("LATE_PAYMENT"), flag(diff < 0).alias("UNDERPAYMENT"),
+                           F.abs(diff).alias("ABS_PAYMENT_DIFF")))
+
+
+sql("late_under_flags", """
+SELECT u0, CAST(u1 AS BIGINT) AS u1, u2, u3, u4, paid - due AS PAYMENT_DIFF, entry_day - due_day AS PAYMENT_DELAY,
+       CAST(CASE WHEN entry_day - due_day > 0 THEN 1 ELSE 0 END AS BIGINT) AS LATE_PAYMENT,
+       CAST(CASE WHEN paid - due < 0 THEN 1 ELSE 0 END AS BIGINT) AS UNDERPAYMENT,
+       abs(paid - due) AS ABS_PAYMENT_DIFF
+FROM inst""", ["inst"], rnd=["u4", "PAYMENT_DIFF", "ABS_PAYMENT_DIFF"])

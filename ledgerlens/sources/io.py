@@ -63,3 +63,20 @@ def table_shape(df: DataFrame, name: str) -> DataFrame:
 def summary_frame(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFrame:
     """Run-summary report (section, key, value) — metadata sized."""
     return spark.createDataFrame(rows, "section string, key string, value string")
+
+
+def name_list(spark: SparkSession, names, col: str = "feature") -> DataFrame:
+    """Feature-name / selected-feature list as a table (metadata sized)."""
+    return spark.createDataFrame([(n,) for n in names], f"{col} string")
+
+
+def write_params(spark: SparkSession, params: dict, path: str) -> None:
+    """Parameter document sink: one JSON row."""
+    import json
+    spark.createDataFrame([(json.dumps(params, sort_keys=True),)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(path)
+
+
+def read_params(spark: SparkSession, path: str) -> dict:
+    import json
+    return json.loads(spark.read.text(path).first()["value"])

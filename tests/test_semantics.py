@@ -150,3 +150,18 @@ def test_csv_inf_roundtrip(spark, tmp_path):
     io.write_csv(df, str(tmp_path / "c"))
     back = io.read_csv(spark, str(tmp_path / "c"), schema="k long, v double")
     assert rows(back, ["k"]) == [(1, math.inf), (2, -math.inf), (3, 1.5)]
+
+
+def test_params_and_names_roundtrip(spark, tmp_path):
+    from ledgerlens.sources import io
+    p = {"maxDepth": 5, "stepSize": 0.1}
+    io.write_params(spark, p, str(tmp_path / "p"))
+    assert io.read_params(spark, str(tmp_path / "p")) == p
+    assert [r[0] for r in io.name_list(spark, ["a", "b"]).collect()] == ["a", "b"]
+
+
+def test_column_split_and_width(spark):
+    from ledgerlens.operators.profile import column_split, width_report
+    df = spark.createDataFrame([(1, "x", 2.0)], "SK_ID_CURR long, c string, v double")
+    assert column_split(df) == (["SK_ID_CURR", "v"], ["c"])
+    assert width_report(df, df.withColumn("w", F.lit(1))) == {"original": 2, "final": 3, "new": 1}
