@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import exprs as X
 from ledgerlens.operators import ordered as O, prep as P, rollup as R
 from ledgerlens.operators.joins import attach_key, spine_join
+from ledgerlens.session import cut_lineage
 
 KEY = "SK_ID_CURR"
 
@@ -367,25 +368,26 @@ def score_features(df: DataFrame) -> DataFrame:
 
 
 def final_clean(df: DataFrame, keep: Sequence[str] = (KEY, "TARGET")) -> DataFrame:
-    """±inf -> NULL -> 0 on every numeric feature (reference's last step)."""
+    """±inf -> NULL -> 0 on every numeric feature (reference's last step).
+    One ``selectExpr`` over the wide table (one JVM call, not one per column)."""
     from pyspark.sql import types as T
-    out = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if f.name in keep:
-            out.append(c)
+        q = "`" + f.name.replace("`", "``") + "`"
+        if f.name in keep or not isinstance(f.dataType, T.NumericType):
+            exprs.append(q)
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.coalesce(X.inf_to_null(c), F.lit(0.0)).alias(f.name))
-        elif isinstance(f.dataType, T.NumericType):
-            out.append(F.coalesce(c, F.lit(0)).alias(f.name))
+            exprs.append(f"coalesce(CASE WHEN isnan({q}) OR abs({q}) = double('Infinity') THEN NULL "
+                         f"ELSE {q} END, 0.0D) AS {q}")
         else:
-            out.append(c)
-    return df.select(*out)
+            exprs.append(f"coalesce({q}, 0) AS {q}")
+    return df.selectExpr(*exprs)
 
 
 def build(app: DataFrame, bureau: DataFrame, bureau_balance: DataFrame, prev: DataFrame, pos: DataFrame,
           cc: DataFrame, inst: DataFrame, clean: bool = True,
-          inst_tiebreak: Sequence[str] = ("SK_ID_PREV", "NUM_INSTALMENT_NUMBER")) -> DataFrame:
+          inst_tiebreak: Sequence[str] = ("SK_ID_PREV", "NUM_INSTALMENT_NUMBER"),
+          checkpoint_stage_a: bool = False) -> DataFrame:
     """The full pack on one spine (train and test can be one spine with a split column)."""
     b = bureau_features(bureau, bureau_balance)
     p = prev_features(prev)
@@ -411,6 +413,10 @@ def build(app: DataFrame, bureau: DataFrame, bureau_balance: DataFrame, prev: Da
                            "CC_SPENDING_TREND", "CC_UTILIZATION_TREND", "CC_PAYMENT_DRAWING_TREND", "CC_DPD_TREND",
                            "CC_UTILIZATION_IMPROVEMENT", "CC_SPENDING_ACCELERATION")])], KEY)
     a = missing_handling(advanced_features(a))
+    if checkpoint_stage_a:
+        # reliable cut in the shared checkpoint folder: a lost executor in
+        # stage B recomputes from here, not from the five fact-table scans
+        a = cut_lineage(a)
     # stage B families
     hist_i = [x for x in i.columns if x.startswith(("RECENT_PAY_", "OLD_PAY_"))] + [
         "PAYMENT_DELAY_TREND", "PAYMENT_DELAY_STD", "LAST_3_PAYMENTS_LATE_RATE", "PAYMENT_IMPROVEMENT"]

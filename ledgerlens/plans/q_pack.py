@@ -11,11 +11,11 @@ from ledgerlens.sources import credit_tables as CT
 INST_TIEBREAK = ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER", "_tb_part", "_tb_supp", "_tb_price"]
 
 
-def pack(spark, d, clean=True):
+def pack(spark, d, clean=True, checkpoint=False):
     t = CT.all_tables(spark, d)
-    return CP.build(**t, clean=clean, inst_tiebreak=INST_TIEBREAK)
+    return CP.build(**t, clean=clean, inst_tiebreak=INST_TIEBREAK, checkpoint_stage_a=checkpoint)
 
 
 @query("credit_pack")
 def credit_pack(spark, d):
-    return finish(pack(spark, d))
+    return finish(pack(spark, d, checkpoint=True))

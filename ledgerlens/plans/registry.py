@@ -30,13 +30,19 @@ def round6(c):
 
 def finish(df: DataFrame) -> DataFrame:
     """Normalise result types for comparison: integers -> bigint, floating
-    values rounded to 6 decimals (summation order differs between engines)."""
-    cols = []
+    values rounded to 6 decimals (summation order differs between engines).
+
+    Built as one ``selectExpr`` (same arithmetic as ``round6``) so that a wide
+    result costs one call into the JVM, not several per column."""
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        q = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = round6(c.cast("double"))
+            c = f"CAST({q} AS DOUBLE)"
+            e = f"CASE WHEN abs({c}) < 1.0E12D THEN floor({c} * 1000000.0D + 0.5D) / 1000000.0D ELSE {c} END"
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
-            c = c.cast("long")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"CAST({q} AS BIGINT)"
+        else:
+            e = q
+        exprs.append(f"{e} AS {q}")
+    return df.selectExpr(*exprs)

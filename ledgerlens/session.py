@@ -33,6 +33,24 @@ def get_spark(cores: int | str | None = None, shuffle_partitions: int | None = N
     return spark
 
 
+# Settings meant for a large cluster (applied by the launcher, not by this
+# library): AQE sizes shuffle partitions from run-time statistics, splits
+# skewed join partitions, and converts joins to broadcasts only after
+# measuring the small side.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
