@@ -43,23 +43,27 @@ def _keys(key) -> list[str]:
 def with_order_ranks(df: DataFrame, key, time: str, tiebreak: Sequence[str]) -> DataFrame:
     """Adds ``_n``, ``_rn_a``, ``_rn_d`` (see module doc). NULL keys are dropped.
 
-    ``time`` must be non-NULL (time offsets in the feature tables always are).
+    ``time`` is a numeric offset; rows with a NULL time are kept and rank after
+    all timed rows in ascending order (pandas ``na_position='last'``).
     """
     keys = _keys(key)
     base = df
     for k in keys:
         base = base.filter(F.col(k).isNotNull())
-    hist = base.groupBy(*keys, time).agg(F.count(F.lit(1)).alias("_tn"))
-    w_ent = Window.partitionBy(*keys)
-    w_run = w_ent.orderBy(time).rowsBetween(Window.unboundedPreceding, -1)
-    hist = (hist.withColumn(N, F.sum("_tn").over(w_ent))
+    base = base.withColumn("_tk", F.coalesce(F.col(time).cast("double"), F.lit(float("inf"))))
+    hist = base.groupBy(*keys, "_tk").agg(F.count(F.lit(1)).alias("_tn"))
+    # one ordered spec for both sums, so the histogram is sorted once
+    w_all = Window.partitionBy(*keys).orderBy("_tk").rowsBetween(Window.unboundedPreceding,
+                                                                 Window.unboundedFollowing)
+    w_run = Window.partitionBy(*keys).orderBy("_tk").rowsBetween(Window.unboundedPreceding, -1)
+    hist = (hist.withColumn(N, F.sum("_tn").over(w_all))
                 .withColumn("_before", F.coalesce(F.sum("_tn").over(w_run), F.lit(0))))
-    rows = base.join(hist, keys + [time], "inner")
-    rn = F.row_number().over(Window.partitionBy(*keys, time).orderBy(*[F.col(c).asc() for c in tiebreak]))
+    rows = base.join(hist, keys + ["_tk"], "inner")
+    rn = F.row_number().over(Window.partitionBy(*keys, "_tk").orderBy(*[F.col(c).asc() for c in tiebreak]))
     return (rows.withColumn("_rnw", rn)
                 .withColumn(RN_A, F.col("_before") + F.col("_rnw"))
                 .withColumn(RN_D, F.col(N) - F.col("_before") - F.col("_tn") + F.col("_rnw"))
-                .drop("_tn", "_before", "_rnw"))
+                .drop("_tn", "_before", "_rnw", "_tk"))
 
 
 def pct_rank(df: DataFrame, key, time: str, out: str = "pct_rank") -> DataFrame:

@@ -98,7 +98,8 @@ def basic_features(app: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- bureau (+balance)
-def bureau_features(bureau: DataFrame, bureau_balance: DataFrame) -> DataFrame:
+def bureau_features(bureau: DataFrame, bureau_balance: DataFrame,
+                    bb_tiebreak: Sequence[str] = ("SK_ID_BUREAU",)) -> DataFrame:
     """37 rollup + 22 history features, one row per customer in bureau."""
     recent = F.col("DAYS_CREDIT") >= RECENT_CREDIT_DAYS
     old = F.col("DAYS_CREDIT") < RECENT_CREDIT_DAYS
@@ -124,7 +125,7 @@ def bureau_features(bureau: DataFrame, bureau_balance: DataFrame) -> DataFrame:
     bb = attach_key(bureau_balance, bureau.select("SK_ID_BUREAU", KEY), "SK_ID_BUREAU", KEY)
     bb = bb.withColumns({"STATUS_NUMERIC": X.map_values("STATUS", STATUS_SEVERITY),
                          "STATUS_NUM": F.coalesce(X.map_values("STATUS", STATUS_SEVERITY), F.lit(0))})
-    bb = O.with_order_ranks(bb, KEY, "MONTHS_BALANCE", ["SK_ID_BUREAU"])
+    bb = O.with_order_ranks(bb, KEY, "MONTHS_BALANCE", [c for c in bb_tiebreak if c in bb.columns])
     rec_m = F.col("MONTHS_BALANCE") >= RECENT_MONTHS
     old_m = F.col("MONTHS_BALANCE") < OLD_STATUS_MONTHS
     bal = R.rollup(bb, KEY, [
@@ -387,9 +388,9 @@ def final_clean(df: DataFrame, keep: Sequence[str] = (KEY, "TARGET")) -> DataFra
 def build(app: DataFrame, bureau: DataFrame, bureau_balance: DataFrame, prev: DataFrame, pos: DataFrame,
           cc: DataFrame, inst: DataFrame, clean: bool = True,
           inst_tiebreak: Sequence[str] = ("SK_ID_PREV", "NUM_INSTALMENT_NUMBER"),
-          checkpoint_stage_a: bool = False) -> DataFrame:
+          checkpoint_stage_a: bool = False, bb_tiebreak: Sequence[str] = ("SK_ID_BUREAU",)) -> DataFrame:
     """The full pack on one spine (train and test can be one spine with a split column)."""
-    b = bureau_features(bureau, bureau_balance)
+    b = bureau_features(bureau, bureau_balance, bb_tiebreak)
     p = prev_features(prev)
     i = inst_features(inst, inst_tiebreak)
     po = pos_features(pos)

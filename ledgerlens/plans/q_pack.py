@@ -9,11 +9,13 @@ from ledgerlens.plans.registry import finish, query
 from ledgerlens.sources import credit_tables as CT
 
 INST_TIEBREAK = ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER", "_tb_part", "_tb_supp", "_tb_price"]
+BB_TIEBREAK = ["SK_ID_BUREAU", "_tb_line", "_tb_part", "_tb_supp", "_tb_price"]
 
 
 def pack(spark, d, clean=True, checkpoint=False):
     t = CT.all_tables(spark, d)
-    return CP.build(**t, clean=clean, inst_tiebreak=INST_TIEBREAK, checkpoint_stage_a=checkpoint)
+    return CP.build(**t, clean=clean, inst_tiebreak=INST_TIEBREAK, checkpoint_stage_a=checkpoint,
+                    bb_tiebreak=BB_TIEBREAK)
 
 
 @query("credit_pack")

@@ -69,8 +69,11 @@ def bureau(spark: SparkSession, d: str) -> DataFrame:
 
 def bureau_balance(spark: SparkSession, d: str) -> DataFrame:
     b = T.bal(spark, d)
+    # (SK_ID_BUREAU, MONTHS_BALANCE) is not unique here (several line items of
+    # one order share a month), so the line-item key travels along as tiebreak
     return b.select(F.col("parent").alias("SK_ID_BUREAU"), F.col("month").alias("MONTHS_BALANCE"),
-                    F.col("code").alias("STATUS"))
+                    F.col("code").alias("STATUS"), F.col("u1").alias("_tb_line"), F.col("u2").alias("_tb_part"),
+                    F.col("u3").alias("_tb_supp"), F.col("u4").alias("_tb_price"))
 
 
 def previous_application(spark: SparkSession, d: str) -> DataFrame:

@@ -44,9 +44,10 @@ def _bureau_expect(raw):
     bb = bb.assign(SEV=sev)
     exp = {}
     for k, g in bb.groupby("SK_ID_CURR"):
-        g = g.sort_values(["MONTHS_BALANCE", "SK_ID_BUREAU"], kind="mergesort")
+        order = ["MONTHS_BALANCE"] + q_pack.BB_TIEBREAK
+        g = g.sort_values(order, kind="mergesort")
         trend = g.tail(6)["SEV"].mean() - g.head(6)["SEV"].mean() if len(g) >= 6 else 0.0
-        newest = g.sort_values(["MONTHS_BALANCE", "SK_ID_BUREAU"], ascending=[False, True], kind="mergesort")
+        newest = g.sort_values(order, ascending=[False] + [True] * len(q_pack.BB_TIEBREAK), kind="mergesort")
         streak = 0
         for s in newest["STATUS"]:
             if s in CP.GOOD_STATUS:

@@ -67,7 +67,13 @@ def test_tie_topk_keep_first(spark):
     assert newest == [0, 1, 2] and oldest == [0, 4]
 
 
-@pytest.mark.parametrize("n,expected", [(1, 0.0), (2, 0.0), (3, None), (5, None), (6, None), (7, None)])
+def test_null_time_rows_kept_and_last(spark):
+    df = spark.createDataFrame([(1, None, 0), (1, 5, 1), (1, 3, 2)], "k long, t long, u long")
+    got = {r["u"]: (r["_rn_a"], r["_n"]) for r in O.with_order_ranks(df, "k", "t", ["u"]).collect()}
+    assert got == {2: (1, 3), 1: (2, 3), 0: (3, 3)}
+
+
+@pytest.mark.parametrize("n,expected",[(1, 0.0), (2, 0.0), (3, None), (5, None), (6, None), (7, None)])
 def test_thresholds(spark, n, expected):
     df = spark.createDataFrame([(1, i, i, float(i)) for i in range(n)], "k long, t long, u long, v double")
     r = R.rollup(O.with_order_ranks(df, "k", "t", ["u"]), "k", [
