@@ -1,10 +1,13 @@
-"""Catalogue part 6: the full credit pack on reference-shaped views of the
-test tables (rows-only check: a 296-column result has no hand-written SQL
-twin; its operators are oracle-checked one by one in the other parts)."""
+"""Catalogue part 6: the credit pack on reference-shaped views of the test
+tables. The full 294-column pack is rows-only (no hand-written SQL twin; its
+sampled features are recomputed in pandas by the tests); its bureau family —
+two-hop key, gated slices, fills, trends and streaks — has its own query with
+an independent SQL oracle."""
 
 from __future__ import annotations
 
 from ledgerlens.plans import credit_pack as CP
+from ledgerlens.plans.oracle_sql import sql
 from ledgerlens.plans.registry import finish, query
 from ledgerlens.sources import credit_tables as CT
 
@@ -21,3 +24,105 @@ def pack(spark, d, clean=True, checkpoint=False):
 @query("credit_pack")
 def credit_pack(spark, d):
     return finish(pack(spark, d, checkpoint=True))
+
+
+@query("credit_bureau_family")
+def credit_bureau_family(spark, d):
+    return finish(CP.bureau_features(CT.bureau(spark, d), CT.bureau_balance(spark, d), BB_TIEBREAK))
+
+
+# ------------------------------------------------------------------ oracle for the bureau family
+_REC, _OLD = "DAYS_CREDIT >= -730", "DAYS_CREDIT < -730"
+_RM, _OM = "MONTHS_BALANCE >= -6", "MONTHS_BALANCE < -12"
+_SEV = ("CASE STATUS WHEN 'C' THEN 0 WHEN 'X' THEN 0 WHEN '0' THEN 0 WHEN '1' THEN 1 WHEN '2' THEN 2 "
+        "WHEN '3' THEN 3 WHEN '4' THEN 4 WHEN '5' THEN 5 END")
+
+
+def _g(where: str, agg: str) -> str:
+    """aggregate over a slice, missing when the slice is empty"""
+    return f"CASE WHEN count(*) FILTER (WHERE {where}) > 0 THEN {agg} END"
+
+
+_B_COLS = []
+_b_sel = ["count(SK_ID_BUREAU) AS BUREAU_LOAN_COUNT",
+          "min(DAYS_CREDIT) AS DAYS_CREDIT_min", "max(DAYS_CREDIT) AS DAYS_CREDIT_max",
+          "avg(DAYS_CREDIT) AS DAYS_CREDIT_mean",
+          "max(CREDIT_DAY_OVERDUE) AS CREDIT_DAY_OVERDUE_max", "avg(CREDIT_DAY_OVERDUE) AS CREDIT_DAY_OVERDUE_mean"]
+for m in ["AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM_OVERDUE", "CNT_CREDIT_PROLONG"]:
+    _b_sel += [f"coalesce(sum({m}), 0) AS {m}_sum", f"avg({m}) AS {m}_mean", f"max({m}) AS {m}_max"]
+_b_sel += [
+    "nullif(count(*) FILTER (WHERE CREDIT_ACTIVE = 'Active'), 0) AS BUREAU_ACTIVE_LOANS",
+    "nullif(count(*) FILTER (WHERE CREDIT_ACTIVE = 'Closed'), 0) AS BUREAU_CLOSED_LOANS",
+    "count(DISTINCT CREDIT_TYPE) AS BUREAU_CREDIT_TYPE_COUNT",
+    _g(_REC, f"coalesce(sum(AMT_CREDIT_SUM) FILTER (WHERE {_REC}), 0)") + " AS RECENT_AMT_CREDIT_SUM_sum",
+    _g(_REC, f"avg(AMT_CREDIT_SUM) FILTER (WHERE {_REC})") + " AS RECENT_AMT_CREDIT_SUM_mean",
+    _g(_REC, f"max(AMT_CREDIT_SUM) FILTER (WHERE {_REC})") + " AS RECENT_AMT_CREDIT_SUM_max",
+    _g(_REC, f"max(CREDIT_DAY_OVERDUE) FILTER (WHERE {_REC})") + " AS RECENT_CREDIT_DAY_OVERDUE_max",
+    _g(_REC, f"avg(CREDIT_DAY_OVERDUE) FILTER (WHERE {_REC})") + " AS RECENT_CREDIT_DAY_OVERDUE_mean",
+    f"nullif(count(SK_ID_BUREAU) FILTER (WHERE {_REC}), 0) AS RECENT_CREDIT_COUNT",
+    _g(_OLD, f"coalesce(sum(AMT_CREDIT_SUM) FILTER (WHERE {_OLD}), 0)") + " AS OLD_AMT_CREDIT_SUM_sum",
+    _g(_OLD, f"avg(AMT_CREDIT_SUM) FILTER (WHERE {_OLD})") + " AS OLD_AMT_CREDIT_SUM_mean",
+    f"nullif(count(SK_ID_BUREAU) FILTER (WHERE {_OLD}), 0) AS OLD_CREDIT_COUNT",
+    "CASE WHEN count(*) >= 2 THEN max(AMT_CREDIT_SUM) FILTER (WHERE rn_z = 1) - max(AMT_CREDIT_SUM) FILTER (WHERE rn_a = 1)"
+    " ELSE 0 END AS CREDIT_AMOUNT_TREND",
+    "CASE WHEN count(*) >= 2 THEN max(CREDIT_DAY_OVERDUE) FILTER (WHERE rn_z = 1)"
+    " - max(CREDIT_DAY_OVERDUE) FILTER (WHERE rn_a = 1) ELSE 0 END AS OVERDUE_TREND",
+]
+_codes = ["0", "1", "2", "3", "4", "5", "C", "X"]
+_bb_sel = ["min(MONTHS_BALANCE) AS BUREAU_MONTHS_BALANCE_min", "max(MONTHS_BALANCE) AS BUREAU_MONTHS_BALANCE_max",
+           "count(*) AS BUREAU_BALANCE_MONTHS", "avg(sev_raw) AS STATUS_NUMERIC_mean",
+           "max(sev_raw) AS STATUS_NUMERIC_max", "coalesce(sum(sev_raw), 0) AS STATUS_NUMERIC_sum"]
+_bb_sel += [f"count(*) FILTER (WHERE STATUS = '{c}') / count(STATUS) AS BUREAU_STATUS_{c}_RATIO" for c in _codes]
+_bb_sel += [
+    _g(_RM, f"avg(sev) FILTER (WHERE {_RM})") + " AS RECENT_STATUS_STATUS_NUM_mean",
+    _g(_RM, f"max(sev) FILTER (WHERE {_RM})") + " AS RECENT_STATUS_STATUS_NUM_max",
+    _g(_RM, f"coalesce(sum(sev) FILTER (WHERE {_RM}), 0)") + " AS RECENT_STATUS_STATUS_NUM_sum",
+    f"nullif(count(MONTHS_BALANCE) FILTER (WHERE {_RM}), 0) AS RECENT_MONTHS_COUNT",
+    _g(_OM, f"avg(sev) FILTER (WHERE {_OM})") + " AS OLD_STATUS_STATUS_NUM_mean",
+    _g(_OM, f"max(sev) FILTER (WHERE {_OM})") + " AS OLD_STATUS_STATUS_NUM_max",
+    f"nullif(count(MONTHS_BALANCE) FILTER (WHERE {_OM}), 0) AS OLD_MONTHS_COUNT",
+    "CASE WHEN count(*) >= 6 THEN avg(sev) FILTER (WHERE rn_a > n - 6) - avg(sev) FILTER (WHERE rn_a <= 6)"
+    " ELSE 0 END AS PAYMENT_STATUS_TREND",
+    "coalesce(min(rn_d) FILTER (WHERE STATUS NOT IN ('C', 'X', '0')) - 1, count(*)) AS CONSECUTIVE_GOOD_MONTHS",
+]
+_alias = lambda e: e.rsplit(" AS ", 1)[1]
+_OUT = [_alias(e) for e in _b_sel] + ["BUREAU_DEBT_CREDIT_RATIO", "BUREAU_ACTIVE_RATIO"] + \
+    [_alias(e) for e in _bb_sel] + ["RECENT_TO_OLD_CREDIT_RATIO", "STATUS_IMPROVEMENT"]
+_INTS = {"BUREAU_LOAN_COUNT", "DAYS_CREDIT_min", "DAYS_CREDIT_max", "CREDIT_DAY_OVERDUE_max", "CNT_CREDIT_PROLONG_sum",
+         "CNT_CREDIT_PROLONG_max", "BUREAU_ACTIVE_LOANS", "BUREAU_CLOSED_LOANS", "BUREAU_CREDIT_TYPE_COUNT",
+         "RECENT_CREDIT_DAY_OVERDUE_max", "RECENT_CREDIT_COUNT", "OLD_CREDIT_COUNT",
+         "BUREAU_MONTHS_BALANCE_min", "BUREAU_MONTHS_BALANCE_max", "BUREAU_BALANCE_MONTHS", "STATUS_NUMERIC_max",
+         "STATUS_NUMERIC_sum", "RECENT_STATUS_STATUS_NUM_max", "RECENT_STATUS_STATUS_NUM_sum", "RECENT_MONTHS_COUNT",
+         "OLD_STATUS_STATUS_NUM_max", "OLD_MONTHS_COUNT", "CONSECUTIVE_GOOD_MONTHS"}
+_final = ", ".join(
+    f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" if c in _INTS
+    else f"coalesce(CASE WHEN isnan({c}) THEN NULL ELSE {c} END, 0.0) AS {c}" for c in _OUT)
+
+sql("credit_bureau_family", f"""
+WITH bureau AS (
+  SELECT u AS SK_ID_BUREAU, id AS SK_ID_CURR, day AS DAYS_CREDIT, u % 30 AS CREDIT_DAY_OVERDUE, amt AS AMT_CREDIT_SUM,
+         CASE WHEN status = 'O' THEN amt / 3.0::DOUBLE WHEN status = 'F' THEN 0.0::DOUBLE END AS AMT_CREDIT_SUM_DEBT,
+         CASE WHEN status = 'P' THEN amt / 7.0::DOUBLE ELSE 0.0::DOUBLE END AS AMT_CREDIT_SUM_OVERDUE,
+         u % 3 AS CNT_CREDIT_PROLONG,
+         CASE status WHEN 'O' THEN 'Active' WHEN 'F' THEN 'Closed' ELSE 'Sold' END AS CREDIT_ACTIVE, kind AS CREDIT_TYPE
+  FROM hist),
+     br AS (SELECT *, row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_CREDIT, SK_ID_BUREAU) AS rn_a,
+                   row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_CREDIT DESC, SK_ID_BUREAU DESC) AS rn_z
+            FROM bureau),
+     b AS (SELECT SK_ID_CURR, {", ".join(_b_sel)} FROM br GROUP BY SK_ID_CURR),
+     bb AS (SELECT b2.SK_ID_CURR, l.month AS MONTHS_BALANCE, l.code AS STATUS, {_SEV.replace("STATUS", "l.code")} AS sev_raw,
+                   coalesce({_SEV.replace("STATUS", "l.code")}, 0) AS sev,
+                   row_number() OVER (PARTITION BY b2.SK_ID_CURR ORDER BY l.month, l.parent, l.u1, l.u2, l.u3, l.u4) AS rn_a,
+                   row_number() OVER (PARTITION BY b2.SK_ID_CURR ORDER BY l.month DESC, l.parent, l.u1, l.u2, l.u3, l.u4)
+                     AS rn_d,
+                   count(*) OVER (PARTITION BY b2.SK_ID_CURR) AS n
+            FROM bal l JOIN bureau b2 ON l.parent = b2.SK_ID_BUREAU),
+     a AS (SELECT SK_ID_CURR, {", ".join(_bb_sel)} FROM bb GROUP BY SK_ID_CURR),
+     j AS (SELECT b.*, AMT_CREDIT_SUM_DEBT_sum / AMT_CREDIT_SUM_sum AS BUREAU_DEBT_CREDIT_RATIO,
+                  BUREAU_ACTIVE_LOANS / BUREAU_LOAN_COUNT AS BUREAU_ACTIVE_RATIO,
+                  a.* EXCLUDE (SK_ID_CURR),
+                  RECENT_CREDIT_COUNT / (OLD_CREDIT_COUNT + 1.0) AS RECENT_TO_OLD_CREDIT_RATIO,
+                  OLD_STATUS_STATUS_NUM_mean - RECENT_STATUS_STATUS_NUM_mean AS STATUS_IMPROVEMENT
+           FROM b LEFT JOIN a ON b.SK_ID_CURR = a.SK_ID_CURR)
+SELECT SK_ID_CURR, {_final} FROM j""", ["hist", "bal"],
+    rnd=[c for c in _OUT if c not in _INTS])

@@ -59,8 +59,8 @@ def bureau(spark: SparkSession, d: str) -> DataFrame:
     return h.select(
         F.col("u").alias("SK_ID_BUREAU"), F.col("id").alias("SK_ID_CURR"), F.col("day").alias("DAYS_CREDIT"),
         (F.col("u") % 30).alias("CREDIT_DAY_OVERDUE"), F.col("amt").alias("AMT_CREDIT_SUM"),
-        F.when(st == "O", F.col("amt") * F.lit(0.5)).when(st == "F", F.lit(0.0)).alias("AMT_CREDIT_SUM_DEBT"),
-        F.when(st == "P", F.col("amt") * F.lit(0.1)).otherwise(F.lit(0.0)).alias("AMT_CREDIT_SUM_OVERDUE"),
+        F.when(st == "O", F.col("amt") / F.lit(3.0)).when(st == "F", F.lit(0.0)).alias("AMT_CREDIT_SUM_DEBT"),
+        F.when(st == "P", F.col("amt") / F.lit(7.0)).otherwise(F.lit(0.0)).alias("AMT_CREDIT_SUM_OVERDUE"),
         (F.col("u") % 3).alias("CNT_CREDIT_PROLONG"),
         F.when(st == "O", F.lit("Active")).when(st == "F", F.lit("Closed")).otherwise(F.lit("Sold")).alias("CREDIT_ACTIVE"),
         F.col("kind").alias("CREDIT_TYPE"),
