@@ -7,7 +7,7 @@ The adapter CTEs restate the role mapping of ``sources/tables.py``.
 
 from __future__ import annotations
 
-from ledgerlens.plans.registry import ORACLE
+from ledgerlens.plans.registry import ORACLE, ROUND_OFFSET
 
 # Fixed values (must equal sources/tables.py): anchors 2001-08-02 (orders),
 # 2001-12-01 (lineitem months), 2024-01-31 (events), due offset 60 days.
@@ -68,7 +68,7 @@ def sql(name: str, body: str, adapters=(), rnd=(), ctes: str = "") -> str:
     parts = [ADAPTERS[a] for a in adapters] + extra
     q = (("WITH " + ",\n".join(parts) + "\n") if parts else "") + body
     if rnd:
-        rep = ", ".join(f"CASE WHEN abs({c}) < 1e12 THEN floor({c} * 1e6 + 0.5) / 1e6 ELSE {c} END AS {c}"
+        rep = ", ".join(f"CASE WHEN abs({c}) < 1e12 THEN floor({c} * 1e6 + {ROUND_OFFSET}::DOUBLE) / 1e6 ELSE {c} END AS {c}"
                         for c in rnd)
         q = f"SELECT * REPLACE ({rep}) FROM (\n{q}\n) AS _r"
     ORACLE[name] = q

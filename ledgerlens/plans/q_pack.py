@@ -126,3 +126,79 @@ WITH bureau AS (
            FROM b LEFT JOIN a ON b.SK_ID_CURR = a.SK_ID_CURR)
 SELECT SK_ID_CURR, {_final} FROM j""", ["hist", "bal"],
     rnd=[c for c in _OUT if c not in _INTS])
+
+
+# ------------------------------------------------------------------ instalment family + oracle
+@query("credit_instalment_family")
+def credit_instalment_family(spark, d):
+    return finish(CP.inst_features(CT.installments(spark, d), INST_TIEBREAK))
+
+
+_RP, _OP = "DAYS_INSTALMENT >= -365", "DAYS_INSTALMENT < -365"
+_ia = ["count(NUM_INSTALMENT_NUMBER) AS INST_COUNT", "max(NUM_INSTALMENT_NUMBER) AS NUM_INSTALMENT_NUMBER_max"]
+for _f in ["mean", "max", "min", "sum", "std"]:
+    _fn = {"mean": "avg", "std": "stddev_samp"}.get(_f, _f)
+    _ia.append(f"{'coalesce(sum(PAYMENT_DIFF), 0)' if _f == 'sum' else f'{_fn}(PAYMENT_DIFF)'} AS PAYMENT_DIFF_{_f}")
+_ia += ["avg(PAYMENT_DELAY) AS PAYMENT_DELAY_mean", "max(PAYMENT_DELAY) AS PAYMENT_DELAY_max",
+        "min(PAYMENT_DELAY) AS PAYMENT_DELAY_min", "stddev_samp(PAYMENT_DELAY) AS INST_PAYMENT_DELAY_std",
+        "sum(LATE_PAYMENT) AS LATE_PAYMENT_sum", "avg(LATE_PAYMENT) AS LATE_PAYMENT_mean",
+        "sum(UNDERPAYMENT) AS UNDERPAYMENT_sum", "avg(UNDERPAYMENT) AS UNDERPAYMENT_mean",
+        "coalesce(sum(AMT_PAYMENT), 0) AS AMT_PAYMENT_sum", "avg(AMT_PAYMENT) AS AMT_PAYMENT_mean",
+        "max(AMT_PAYMENT) AS AMT_PAYMENT_max", "min(AMT_PAYMENT) AS AMT_PAYMENT_min",
+        "coalesce(sum(AMT_INSTALMENT), 0) AS AMT_INSTALMENT_sum", "avg(AMT_INSTALMENT) AS AMT_INSTALMENT_mean",
+        "max(AMT_INSTALMENT) AS AMT_INSTALMENT_max",
+        f"count(*) FILTER (WHERE {_RP}) AS n_recent"]
+_ib = [  # gated family, raw values
+    _g(_RP, f"avg(PAYMENT_DIFF) FILTER (WHERE {_RP})") + " AS RECENT_PAY_PAYMENT_DIFF_mean",
+    _g(_RP, f"stddev_samp(PAYMENT_DIFF) FILTER (WHERE {_RP})") + " AS RECENT_PAY_PAYMENT_DIFF_std",
+    _g(_RP, f"min(PAYMENT_DIFF) FILTER (WHERE {_RP})") + " AS RECENT_PAY_PAYMENT_DIFF_min",
+    _g(_RP, f"max(PAYMENT_DIFF) FILTER (WHERE {_RP})") + " AS RECENT_PAY_PAYMENT_DIFF_max",
+    _g(_RP, f"avg(PAYMENT_DELAY) FILTER (WHERE {_RP})") + " AS RECENT_PAY_PAYMENT_DELAY_mean",
+    _g(_RP, f"max(PAYMENT_DELAY) FILTER (WHERE {_RP})") + " AS RECENT_PAY_PAYMENT_DELAY_max",
+    _g(_RP, f"coalesce(sum(PAYMENT_DELAY) FILTER (WHERE {_RP}), 0)") + " AS RECENT_PAY_PAYMENT_DELAY_sum",
+    _g(_RP, f"sum(LATE_PAYMENT) FILTER (WHERE {_RP})") + " AS RECENT_PAY_LATE_PAYMENT_sum",
+    _g(_RP, f"avg(LATE_PAYMENT) FILTER (WHERE {_RP})") + " AS RECENT_PAY_LATE_PAYMENT_mean",
+    _g(_RP, f"sum(UNDERPAYMENT) FILTER (WHERE {_RP})") + " AS RECENT_PAY_UNDERPAYMENT_sum",
+    _g(_RP, f"avg(UNDERPAYMENT) FILTER (WHERE {_RP})") + " AS RECENT_PAY_UNDERPAYMENT_mean",
+    _g(_RP, f"count(NUM_INSTALMENT_NUMBER) FILTER (WHERE {_RP})") + " AS RECENT_PAY_NUM_INSTALMENT_NUMBER_count",
+    _g(_OP, f"avg(PAYMENT_DELAY) FILTER (WHERE {_OP})") + " AS OLD_PAY_PAYMENT_DELAY_mean",
+    _g(_OP, f"max(PAYMENT_DELAY) FILTER (WHERE {_OP})") + " AS OLD_PAY_PAYMENT_DELAY_max",
+    _g(_OP, f"avg(LATE_PAYMENT) FILTER (WHERE {_OP})") + " AS OLD_PAY_LATE_PAYMENT_mean",
+    _g(_OP, f"count(NUM_INSTALMENT_NUMBER) FILTER (WHERE {_OP})") + " AS OLD_PAY_NUM_INSTALMENT_NUMBER_count",
+    "CASE WHEN count(*) >= 6 THEN avg(PAYMENT_DELAY) FILTER (WHERE rn_a > n // 2)"
+    " - avg(PAYMENT_DELAY) FILTER (WHERE rn_a <= n // 2) ELSE 0 END AS PAYMENT_DELAY_TREND",
+    "stddev_samp(PAYMENT_DELAY) AS PAYMENT_DELAY_STD",
+    "CASE WHEN count(*) >= 3 THEN avg(LATE_PAYMENT) FILTER (WHERE rn_d <= 3) ELSE 0 END AS LAST_3_PAYMENTS_LATE_RATE",
+]
+_I_INTS = {"INST_COUNT", "NUM_INSTALMENT_NUMBER_max", "LATE_PAYMENT_sum", "UNDERPAYMENT_sum",
+           "RECENT_PAY_LATE_PAYMENT_sum", "RECENT_PAY_UNDERPAYMENT_sum", "RECENT_PAY_NUM_INSTALMENT_NUMBER_count",
+           "OLD_PAY_NUM_INSTALMENT_NUMBER_count"}
+_I_A = [_alias(e) for e in _ia if not e.endswith("n_recent")] + ["INST_PAYMENT_RATIO"]
+_I_B = [_alias(e) for e in _ib] + ["PAYMENT_IMPROVEMENT"]
+
+
+def _cast(c):
+    return f"CAST({c} AS BIGINT)" if c in _I_INTS else c
+
+
+sql("credit_instalment_family", f"""
+WITH ip AS (
+  SELECT id AS SK_ID_CURR, u0 AS SK_ID_PREV, num AS NUM_INSTALMENT_NUMBER, due_day AS DAYS_INSTALMENT,
+         CAST(entry_day AS DOUBLE) AS DAYS_ENTRY_PAYMENT, due AS AMT_INSTALMENT,
+         CASE WHEN entry_day IS NOT NULL THEN paid END AS AMT_PAYMENT, u2, u3, u4
+  FROM inst),
+     x AS (SELECT *, AMT_PAYMENT - AMT_INSTALMENT AS PAYMENT_DIFF, DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT AS PAYMENT_DELAY,
+                  CASE WHEN DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT > 0 THEN 1 ELSE 0 END AS LATE_PAYMENT,
+                  CASE WHEN AMT_PAYMENT - AMT_INSTALMENT < 0 THEN 1 ELSE 0 END AS UNDERPAYMENT,
+                  row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_INSTALMENT, SK_ID_PREV, NUM_INSTALMENT_NUMBER,
+                                     u2, u3, u4) AS rn_a,
+                  row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_INSTALMENT DESC, SK_ID_PREV,
+                                     NUM_INSTALMENT_NUMBER, u2, u3, u4) AS rn_d,
+                  count(*) OVER (PARTITION BY SK_ID_CURR) AS n
+           FROM ip),
+     g AS (SELECT SK_ID_CURR, {", ".join(_ia + _ib)} FROM x GROUP BY SK_ID_CURR),
+     h AS (SELECT *, AMT_PAYMENT_sum / AMT_INSTALMENT_sum AS INST_PAYMENT_RATIO,
+                  OLD_PAY_PAYMENT_DELAY_mean - RECENT_PAY_PAYMENT_DELAY_mean AS PAYMENT_IMPROVEMENT FROM g)
+SELECT SK_ID_CURR, {", ".join(f"{_cast(c)} AS {c}" for c in _I_A)},
+       {", ".join(f"CASE WHEN n_recent > 0 THEN {_cast(f'coalesce({c}, 0)')} END AS {c}" for c in _I_B)}
+FROM h""", ["inst"], rnd=[c for c in _I_A + _I_B if c not in _I_INTS])
