@@ -202,3 +202,86 @@ WITH ip AS (
 SELECT SK_ID_CURR, {", ".join(f"{_cast(c)} AS {c}" for c in _I_A)},
        {", ".join(f"CASE WHEN n_recent > 0 THEN {_cast(f'coalesce({c}, 0)')} END AS {c}" for c in _I_B)}
 FROM h""", ["inst"], rnd=[c for c in _I_A + _I_B if c not in _I_INTS])
+
+
+# ------------------------------------------------------------------ card-velocity family + oracle
+@query("credit_card_family")
+def credit_card_family(spark, d):
+    return finish(CP.cc_features(CT.credit_card(spark, d)))
+
+
+_RC, _BC = "MONTHS_BALANCE >= -6", "MONTHS_BALANCE >= -12 AND MONTHS_BALANCE < -6"
+_ca = ["min(MONTHS_BALANCE) AS CC_MONTHS_BALANCE_min", "max(MONTHS_BALANCE) AS CC_MONTHS_BALANCE_max",
+       "count(*) AS CC_MONTHS_COUNT", "avg(AMT_BALANCE) AS AMT_BALANCE_mean", "max(AMT_BALANCE) AS AMT_BALANCE_max",
+       "min(AMT_BALANCE) AS AMT_BALANCE_min", "coalesce(sum(AMT_BALANCE), 0) AS AMT_BALANCE_sum",
+       "avg(AMT_CREDIT_LIMIT_ACTUAL) AS AMT_CREDIT_LIMIT_ACTUAL_mean",
+       "max(AMT_CREDIT_LIMIT_ACTUAL) AS AMT_CREDIT_LIMIT_ACTUAL_max",
+       "min(AMT_CREDIT_LIMIT_ACTUAL) AS AMT_CREDIT_LIMIT_ACTUAL_min"]
+for _m, _p in [(m, "") for m in CP.CC_SUMS] + [("SK_DPD", "CC_"), ("SK_DPD_DEF", "CC_")]:
+    _ca += [f"avg({_m}) AS {_p}{_m}_mean", f"max({_m}) AS {_p}{_m}_max", f"coalesce(sum({_m}), 0) AS {_p}{_m}_sum"]
+_ca.append(f"count(*) FILTER (WHERE {_RC}) AS n_recent")
+_cb = []
+for _m, _fs in [("AMT_DRAWINGS_CURRENT", ["sum", "mean", "max"]), ("AMT_PAYMENT_CURRENT", ["sum", "mean", "max"]),
+                ("AMT_BALANCE", ["mean", "max"]), ("UTILIZATION", ["mean", "max"]), ("SK_DPD", ["max", "sum", "mean"]),
+                ("SK_DPD_DEF", ["max", "sum"]), ("MONTHS_BALANCE", ["count"])]:
+    for _f in _fs:
+        _e = {"sum": f"coalesce(sum({_m}) FILTER (WHERE {_RC}), 0)", "mean": f"avg({_m}) FILTER (WHERE {_RC})",
+              "max": f"max({_m}) FILTER (WHERE {_RC})", "count": f"count({_m}) FILTER (WHERE {_RC})"}[_f]
+        _cb.append(_g(_RC, _e) + f" AS CC_RECENT_{_m}_{_f}")
+for _m, _f in [("AMT_DRAWINGS_CURRENT", "mean"), ("AMT_DRAWINGS_CURRENT", "max"), ("AMT_PAYMENT_CURRENT", "mean"),
+               ("UTILIZATION", "mean"), ("SK_DPD", "mean")]:
+    _fn = "avg" if _f == "mean" else _f
+    _cb.append(_g(_BC, f"{_fn}({_m}) FILTER (WHERE {_BC})") + f" AS CC_OLD_{_m}_{_f}")
+_cb += [
+    "CASE WHEN count(*) >= 3 THEN (avg(AMT_DRAWINGS_CURRENT) FILTER (WHERE rn_d <= 3)"
+    " - avg(AMT_DRAWINGS_CURRENT) FILTER (WHERE rn_a <= 3)) / (avg(AMT_DRAWINGS_CURRENT) FILTER (WHERE rn_a <= 3) + 1)"
+    " ELSE 0 END AS CC_SPENDING_TREND",
+    "CASE WHEN count(*) >= 3 THEN avg(UTILIZATION) FILTER (WHERE rn_a > n - 3)"
+    " - avg(UTILIZATION) FILTER (WHERE rn_a <= 3) ELSE 0 END AS CC_UTILIZATION_TREND",
+    "CASE WHEN count(*) < 3 THEN 1.0 ELSE"
+    " coalesce(sum(AMT_PAYMENT_CURRENT) FILTER (WHERE rn_a > n - 3), 0)"
+    " / (coalesce(sum(AMT_DRAWINGS_CURRENT) FILTER (WHERE rn_a > n - 3), 0) + 1)"
+    " - coalesce(sum(AMT_PAYMENT_CURRENT) FILTER (WHERE rn_a <= 3), 0)"
+    " / (coalesce(sum(AMT_DRAWINGS_CURRENT) FILTER (WHERE rn_a <= 3), 0) + 1) END AS CC_PAYMENT_DRAWING_TREND",
+    "CASE WHEN count(*) >= 3 THEN avg(SK_DPD) FILTER (WHERE rn_a > n - 3)"
+    " - avg(SK_DPD) FILTER (WHERE rn_a <= 3) ELSE 0 END AS CC_DPD_TREND",
+]
+_C_INTS = {"CC_MONTHS_BALANCE_min", "CC_MONTHS_BALANCE_max", "CC_MONTHS_COUNT", "CNT_DRAWINGS_CURRENT_max",
+           "CNT_DRAWINGS_CURRENT_sum", "CC_SK_DPD_max", "CC_SK_DPD_sum", "CC_SK_DPD_DEF_max", "CC_SK_DPD_DEF_sum",
+           "CC_RECENT_SK_DPD_max", "CC_RECENT_SK_DPD_sum", "CC_RECENT_SK_DPD_DEF_max", "CC_RECENT_SK_DPD_DEF_sum",
+           "CC_RECENT_MONTHS_BALANCE_count"}
+_C_A = [_alias(e) for e in _ca if not e.endswith("n_recent")] + ["CC_UTILIZATION_MEAN", "CC_UTILIZATION_MAX",
+                                                                 "CC_PAYMENT_DRAWING_RATIO"]
+_C_B = [_alias(e) for e in _cb] + ["CC_UTILIZATION_IMPROVEMENT", "CC_SPENDING_ACCELERATION"]
+
+
+def _ccast(c):
+    return f"CAST({c} AS BIGINT)" if c in _C_INTS else c
+
+
+def _nan_null(e):
+    return f"CASE WHEN isnan({e}) THEN NULL ELSE {e} END"
+
+
+sql("credit_card_family", f"""
+WITH cc AS (
+  SELECT id AS SK_ID_CURR, u AS SK_ID_PREV, period AS MONTHS_BALANCE, bal AS AMT_BALANCE,
+         lim AS AMT_CREDIT_LIMIT_ACTUAL, draw AS AMT_DRAWINGS_CURRENT, draw * 0.3 AS AMT_DRAWINGS_ATM_CURRENT,
+         draw * 0.7 AS AMT_DRAWINGS_POS_CURRENT, pay AS AMT_PAYMENT_CURRENT,
+         CAST(draw > 0 AS BIGINT) AS CNT_DRAWINGS_CURRENT, dpd AS SK_DPD, CAST(0 AS BIGINT) AS SK_DPD_DEF
+  FROM monthly),
+     x AS (SELECT *, AMT_BALANCE / (AMT_CREDIT_LIMIT_ACTUAL + 1) AS UTILIZATION,
+                  row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY MONTHS_BALANCE, SK_ID_PREV) AS rn_a,
+                  row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY MONTHS_BALANCE DESC, SK_ID_PREV) AS rn_d,
+                  count(*) OVER (PARTITION BY SK_ID_CURR) AS n
+           FROM cc),
+     g AS (SELECT SK_ID_CURR, {", ".join(_ca + _cb)} FROM x GROUP BY SK_ID_CURR),
+     h AS (SELECT *, {_nan_null("AMT_BALANCE_mean / AMT_CREDIT_LIMIT_ACTUAL_mean")} AS CC_UTILIZATION_MEAN,
+                  {_nan_null("AMT_BALANCE_max / AMT_CREDIT_LIMIT_ACTUAL_max")} AS CC_UTILIZATION_MAX,
+                  {_nan_null("AMT_PAYMENT_CURRENT_sum / AMT_DRAWINGS_CURRENT_sum")} AS CC_PAYMENT_DRAWING_RATIO,
+                  CC_OLD_UTILIZATION_mean - CC_RECENT_UTILIZATION_mean AS CC_UTILIZATION_IMPROVEMENT,
+                  CC_RECENT_AMT_DRAWINGS_CURRENT_mean - CC_OLD_AMT_DRAWINGS_CURRENT_mean AS CC_SPENDING_ACCELERATION
+           FROM g)
+SELECT SK_ID_CURR, {", ".join(f"{_ccast(c)} AS {c}" for c in _C_A)},
+       {", ".join(f"CASE WHEN n_recent > 0 THEN {_ccast(f'coalesce({c}, 0)')} END AS {c}" for c in _C_B)}
+FROM h""", ["monthly"], rnd=[c for c in _C_A + _C_B if c not in _C_INTS])
