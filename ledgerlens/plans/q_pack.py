@@ -285,3 +285,59 @@ WITH cc AS (
 SELECT SK_ID_CURR, {", ".join(f"{_ccast(c)} AS {c}" for c in _C_A)},
        {", ".join(f"CASE WHEN n_recent > 0 THEN {_ccast(f'coalesce({c}, 0)')} END AS {c}" for c in _C_B)}
 FROM h""", ["monthly"], rnd=[c for c in _C_A + _C_B if c not in _C_INTS])
+
+
+# ------------------------------------------------------------------ previous-application family + oracle
+@query("credit_prev_family")
+def credit_prev_family(spark, d):
+    return finish(CP.prev_features(CT.previous_application(spark, d)))
+
+
+_pa = ["count(SK_ID_PREV) AS PREV_APP_COUNT"]
+for _m, _fs in [("AMT_CREDIT", ["mean", "max", "sum", "min"]), ("AMT_APPLICATION", ["mean", "max", "min"]),
+                ("AMT_DOWN_PAYMENT", ["mean", "max"]), ("DAYS_DECISION", ["min", "max", "mean"]),
+                ("CNT_PAYMENT", ["mean", "max", "sum"]), ("RATE_DOWN_PAYMENT", ["mean", "max"])]:
+    for _f in _fs:
+        _pa.append({"mean": f"avg({_m})", "sum": f"coalesce(sum({_m}), 0)"}.get(_f, f"{_f}({_m})") + f" AS {_m}_{_f}")
+_pa += [f"nullif(count(*) FILTER (WHERE NAME_CONTRACT_STATUS = '{v}'), 0) AS PREV_{n}_COUNT"
+        for n, v in [("APPROVED", "Approved"), ("REFUSED", "Refused"), ("CANCELED", "Canceled")]]
+_pa += ["nullif(count(*) FILTER (WHERE NAME_CONTRACT_TYPE = 'Cash loans'), 0) AS PREV_CASH_LOAN_COUNT",
+        "coalesce(CASE WHEN count(*) >= 2 THEN avg(gap) ELSE 0 END, 0) AS AVG_TIME_BETWEEN_APPS",
+        "coalesce(CASE WHEN count(*) >= 2 THEN (max(AMT_CREDIT) FILTER (WHERE rn_z = 1) - max(AMT_CREDIT) FILTER"
+        " (WHERE rn_a = 1)) / nullif(max(AMT_CREDIT) FILTER (WHERE rn_a = 1) + 1, 0) ELSE 0 END, 0)"
+        " AS PREV_LOAN_AMOUNT_TREND",
+        "count(*) FILTER (WHERE rn_d <= 3 AND NAME_CONTRACT_STATUS = 'Approved') / least(3, count(*))"
+        " AS RECENT_APPROVAL_RATE",
+        "coalesce(CASE WHEN count(*) <= 3 THEN 0.0 ELSE avg(CASE WHEN NAME_CONTRACT_STATUS = 'Approved' THEN 1 ELSE 0"
+        " END) FILTER (WHERE rn_a <= n - 3) END, 0) AS OLD_APPROVAL_RATE",
+        "coalesce(CASE WHEN count(*) < 2 THEN 0.0 ELSE stddev_samp(AMT_APPLICATION)"
+        " / nullif(avg(AMT_APPLICATION) + 1, 0) END, 0) AS PREV_AMOUNT_VOLATILITY",
+        "coalesce(CASE WHEN count(*) < 2 THEN 0.0 ELSE (avg(AMT_DOWN_PAYMENT) FILTER (WHERE rn_d <= 3)"
+        " - avg(AMT_DOWN_PAYMENT) FILTER (WHERE rn_a <= 3)) / nullif(avg(AMT_DOWN_PAYMENT) FILTER (WHERE rn_a <= 3) + 1, 0)"
+        " END, 0) AS DOWN_PAYMENT_TREND"]
+_P_INTS = {"PREV_APP_COUNT", "DAYS_DECISION_min", "DAYS_DECISION_max", "PREV_APPROVED_COUNT", "PREV_REFUSED_COUNT",
+           "PREV_CANCELED_COUNT", "PREV_CASH_LOAN_COUNT"}
+_P_OUT = [_alias(e) for e in _pa] + ["PREV_APPROVAL_RATE", "PREV_REFUSAL_RATE", "APPROVAL_RATE_IMPROVEMENT"]
+
+sql("credit_prev_family", f"""
+WITH pa AS (
+  SELECT u AS SK_ID_PREV, id AS SK_ID_CURR, amt AS AMT_CREDIT, amt * 1.1 AS AMT_APPLICATION,
+         CASE WHEN status <> 'P' THEN amt * 0.1 END AS AMT_DOWN_PAYMENT,
+         CASE WHEN status <> 'P' THEN 0.1 END AS RATE_DOWN_PAYMENT, day AS DAYS_DECISION,
+         CAST(u % 24 + 6 AS DOUBLE) AS CNT_PAYMENT,
+         CASE status WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' ELSE 'Canceled' END AS NAME_CONTRACT_STATUS,
+         CASE WHEN kind LIKE '1%' THEN 'Cash loans' ELSE 'Consumer loans' END AS NAME_CONTRACT_TYPE
+  FROM hist),
+     x AS (SELECT *, abs(DAYS_DECISION - lag(DAYS_DECISION) OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_DECISION,
+                                                                   SK_ID_PREV)) AS gap,
+                  row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_DECISION, SK_ID_PREV) AS rn_a,
+                  row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_DECISION DESC, SK_ID_PREV) AS rn_d,
+                  row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_DECISION DESC, SK_ID_PREV DESC) AS rn_z,
+                  count(*) OVER (PARTITION BY SK_ID_CURR) AS n
+           FROM pa),
+     g AS (SELECT SK_ID_CURR, {", ".join(_pa)} FROM x GROUP BY SK_ID_CURR),
+     h AS (SELECT *, PREV_APPROVED_COUNT / PREV_APP_COUNT AS PREV_APPROVAL_RATE,
+                  PREV_REFUSED_COUNT / PREV_APP_COUNT AS PREV_REFUSAL_RATE,
+                  coalesce(RECENT_APPROVAL_RATE - OLD_APPROVAL_RATE, 0.0) AS APPROVAL_RATE_IMPROVEMENT FROM g)
+SELECT SK_ID_CURR, {", ".join((f"CAST({c} AS BIGINT) AS {c}" if c in _P_INTS else c) for c in _P_OUT)} FROM h
+""", ["hist"], rnd=[c for c in _P_OUT if c not in _P_INTS])
