@@ -341,3 +341,58 @@ WITH pa AS (
                   coalesce(RECENT_APPROVAL_RATE - OLD_APPROVAL_RATE, 0.0) AS APPROVAL_RATE_IMPROVEMENT FROM g)
 SELECT SK_ID_CURR, {", ".join((f"CAST({c} AS BIGINT) AS {c}" if c in _P_INTS else c) for c in _P_OUT)} FROM h
 """, ["hist"], rnd=[c for c in _P_OUT if c not in _P_INTS])
+
+
+# ------------------------------------------------------------------ POS family + oracle
+@query("credit_pos_family")
+def credit_pos_family(spark, d):
+    return finish(CP.pos_features(CT.pos_cash(spark, d)))
+
+
+_RPO, _OPO = "MONTHS_BALANCE >= -6", "MONTHS_BALANCE < -6"
+_qa = ["min(MONTHS_BALANCE) AS POS_MONTHS_BALANCE_min", "max(MONTHS_BALANCE) AS POS_MONTHS_BALANCE_max",
+       "count(*) AS POS_MONTHS_COUNT"]
+for _m in ["SK_DPD", "SK_DPD_DEF"]:
+    _qa += [f"avg({_m}) AS POS_{_m}_mean", f"max({_m}) AS POS_{_m}_max", f"coalesce(sum({_m}), 0) AS POS_{_m}_sum"]
+_qa += ["avg(CNT_INSTALMENT) AS CNT_INSTALMENT_mean", "max(CNT_INSTALMENT) AS CNT_INSTALMENT_max",
+        "avg(CNT_INSTALMENT_FUTURE) AS CNT_INSTALMENT_FUTURE_mean", "max(CNT_INSTALMENT_FUTURE) AS CNT_INSTALMENT_FUTURE_max",
+        "coalesce(sum(CNT_INSTALMENT_FUTURE), 0) AS CNT_INSTALMENT_FUTURE_sum",
+        "nullif(count(*) FILTER (WHERE NAME_CONTRACT_STATUS = 'Active'), 0) AS POS_ACTIVE_COUNT",
+        "nullif(count(*) FILTER (WHERE NAME_CONTRACT_STATUS = 'Completed'), 0) AS POS_COMPLETED_COUNT",
+        f"count(*) FILTER (WHERE {_RPO}) AS n_recent"]
+_qb = [_g(_RPO, f"avg(SK_DPD) FILTER (WHERE {_RPO})") + " AS POS_RECENT_SK_DPD_mean",
+       _g(_RPO, f"max(SK_DPD) FILTER (WHERE {_RPO})") + " AS POS_RECENT_SK_DPD_max",
+       _g(_RPO, f"coalesce(sum(SK_DPD) FILTER (WHERE {_RPO}), 0)") + " AS POS_RECENT_SK_DPD_sum",
+       _g(_RPO, f"avg(SK_DPD_DEF) FILTER (WHERE {_RPO})") + " AS POS_RECENT_SK_DPD_DEF_mean",
+       _g(_RPO, f"max(SK_DPD_DEF) FILTER (WHERE {_RPO})") + " AS POS_RECENT_SK_DPD_DEF_max",
+       _g(_RPO, f"avg(CNT_INSTALMENT_FUTURE) FILTER (WHERE {_RPO})") + " AS POS_RECENT_CNT_INSTALMENT_FUTURE_mean",
+       _g(_OPO, f"avg(SK_DPD) FILTER (WHERE {_OPO})") + " AS POS_OLD_SK_DPD_mean",
+       _g(_OPO, f"max(SK_DPD) FILTER (WHERE {_OPO})") + " AS POS_OLD_SK_DPD_max",
+       _g(_OPO, f"avg(SK_DPD_DEF) FILTER (WHERE {_OPO})") + " AS POS_OLD_SK_DPD_DEF_mean",
+       "CASE WHEN count(*) >= 3 THEN avg(SK_DPD) FILTER (WHERE rn_a > n - 3) - avg(SK_DPD) FILTER (WHERE rn_a <= 3)"
+       " ELSE 0 END AS POS_DPD_TREND"]
+_Q_INTS = {"POS_MONTHS_BALANCE_min", "POS_MONTHS_BALANCE_max", "POS_MONTHS_COUNT", "POS_SK_DPD_max", "POS_SK_DPD_sum",
+           "POS_SK_DPD_DEF_max", "POS_SK_DPD_DEF_sum", "POS_ACTIVE_COUNT", "POS_COMPLETED_COUNT",
+           "POS_RECENT_SK_DPD_max", "POS_RECENT_SK_DPD_sum", "POS_RECENT_SK_DPD_DEF_max", "POS_OLD_SK_DPD_max"}
+_Q_A = [_alias(e) for e in _qa if not e.endswith("n_recent")] + ["POS_COMPLETION_RATE"]
+_Q_B = [_alias(e) for e in _qb] + ["POS_DPD_IMPROVEMENT"]
+
+
+def _qcast(c):
+    return f"CAST({c} AS BIGINT)" if c in _Q_INTS else c
+
+
+sql("credit_pos_family", f"""
+WITH pc AS (
+  SELECT m.id AS SK_ID_CURR, m.u AS SK_ID_PREV, m.period AS MONTHS_BALANCE, m.dpd * 5 AS SK_DPD, m.dpd AS SK_DPD_DEF,
+         m.bal AS CNT_INSTALMENT, m.bal / 2.0 AS CNT_INSTALMENT_FUTURE,
+         CASE WHEN e.event_type = 'view' THEN 'Completed' ELSE 'Active' END AS NAME_CONTRACT_STATUS
+  FROM monthly m JOIN events e ON m.u = e.event_id),
+     x AS (SELECT *, row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY MONTHS_BALANCE, SK_ID_PREV) AS rn_a,
+                  count(*) OVER (PARTITION BY SK_ID_CURR) AS n FROM pc),
+     g AS (SELECT SK_ID_CURR, {", ".join(_qa + _qb)} FROM x GROUP BY SK_ID_CURR),
+     h AS (SELECT *, POS_COMPLETED_COUNT / POS_MONTHS_COUNT AS POS_COMPLETION_RATE,
+                  POS_OLD_SK_DPD_mean - POS_RECENT_SK_DPD_mean AS POS_DPD_IMPROVEMENT FROM g)
+SELECT SK_ID_CURR, {", ".join(f"{_qcast(c)} AS {c}" for c in _Q_A)},
+       {", ".join(f"CASE WHEN n_recent > 0 THEN {_qcast(f'coalesce({c}, 0)')} END AS {c}" for c in _Q_B)}
+FROM h""", ["monthly"], rnd=[c for c in _Q_A + _Q_B if c not in _Q_INTS])
