@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import flag
@@ -58,14 +58,19 @@ def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 def fit_labels(frames: Sequence[DataFrame], col: str, missing: str = "missing") -> DataFrame:
     """Vocabulary ``(value, code)`` over the union of frames; NULL -> ``missing``;
-    codes follow sorted (binary) order. The vocabulary is category-sized: the
-    numbering window runs over distinct values only."""
+    codes follow sorted (binary) order.
+
+    The numbering is a two-level prefix over the distinct values, bucketed by
+    their first two characters (monotone in binary string order), so even a
+    high-cardinality column is not numbered by a single task."""
+    from ledgerlens.operators.prefix import prefix_before
     vals = None
     for f in frames:
         v = f.select(F.coalesce(F.col(col).cast("string"), F.lit(missing)).alias("value"))
         vals = v if vals is None else vals.unionByName(v)
     vocab = vals.distinct()
-    return vocab.withColumn("code", (F.row_number().over(Window.orderBy("value")) - 1).cast("long"))
+    coded = prefix_before(vocab, [], [F.col("value")], F.substring("value", 1, 2), {"code": F.lit(1)})
+    return coded.select("value", F.col("code").cast("long").alias("code"))
 
 
 def apply_labels(df: DataFrame, vocab: DataFrame, col: str, out: str | None = None,

@@ -71,10 +71,6 @@ def _aggs(spec, prefix="", where=None, rename=None):
     return R.measure_aggs(spec, prefix=prefix, where=where, rename=rename)
 
 
-def _pass_through(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c in set(cols)]
-
-
 def _gated(cols: Sequence[str], gate: Column) -> list[Column]:
     """A family that exists only for entities passing ``gate`` and is filled
     with 0 inside it (reference: family frame built on the gated base, then

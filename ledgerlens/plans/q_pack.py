@@ -43,8 +43,7 @@ def _g(where: str, agg: str) -> str:
     return f"CASE WHEN count(*) FILTER (WHERE {where}) > 0 THEN {agg} END"
 
 
-_B_COLS = []
-_b_sel = ["count(SK_ID_BUREAU) AS BUREAU_LOAN_COUNT",
+_b_sel =["count(SK_ID_BUREAU) AS BUREAU_LOAN_COUNT",
           "min(DAYS_CREDIT) AS DAYS_CREDIT_min", "max(DAYS_CREDIT) AS DAYS_CREDIT_max",
           "avg(DAYS_CREDIT) AS DAYS_CREDIT_mean",
           "max(CREDIT_DAY_OVERDUE) AS CREDIT_DAY_OVERDUE_max", "avg(CREDIT_DAY_OVERDUE) AS CREDIT_DAY_OVERDUE_mean"]
