@@ -311,14 +311,20 @@ def advanced_features(df: DataFrame) -> DataFrame:
     return df.withColumns(new)
 
 
-def missing_handling(df: DataFrame) -> DataFrame:
+def missing_handling(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
+    """Indicators, car-age fill and per-region building medians.
+
+    The medians are statistics of raw application columns; ``fit_on`` (the
+    application spine) gives the same rows and values as the joined frame
+    without making the median job depend on every fact-table aggregation."""
     flags = [c for c in MISSING_FLAG_COLS if c in df.columns]
     out = P.missing_indicators(df, flags)
     if "OWN_CAR_AGE" in out.columns:
         out = out.fillna({"OWN_CAR_AGE": 0})
     building = [c for c in df.columns if any(p in c for p in BUILDING_PATTERNS)]
     if building and "REGION_RATING_CLIENT" in df.columns:
-        stats = P.fit_medians(out, building, by=["REGION_RATING_CLIENT"])
+        src = fit_on if fit_on is not None and set(building) <= set(fit_on.columns) else out
+        stats = P.fit_medians(src, building, by=["REGION_RATING_CLIENT"])
         out = P.apply_medians(out, stats, building, by=["REGION_RATING_CLIENT"])
     return out
 
@@ -386,48 +392,18 @@ def build(app: DataFrame, bureau: DataFrame, bureau_balance: DataFrame, prev: Da
           inst_tiebreak: Sequence[str] = ("SK_ID_PREV", "NUM_INSTALMENT_NUMBER"),
           checkpoint_stage_a: bool = False, bb_tiebreak: Sequence[str] = ("SK_ID_BUREAU",)) -> DataFrame:
     """The full pack on one spine (train and test can be one spine with a split column)."""
-    b = bureau_features(bureau, bureau_balance, bb_tiebreak)
-    p = prev_features(prev)
-    i = inst_features(inst, inst_tiebreak)
-    po = pos_features(pos)
-    c = cc_features(cc)
-
-    stage_a_b = [x for x in b.columns if not x.startswith(("RECENT_", "OLD_")) and x not in (
-        "CREDIT_AMOUNT_TREND", "OVERDUE_TREND", "PAYMENT_STATUS_TREND", "CONSECUTIVE_GOOD_MONTHS",
-        "RECENT_TO_OLD_CREDIT_RATIO", "STATUS_IMPROVEMENT")]
-    hist_b = [x for x in b.columns if x not in stage_a_b]
-    hist_p = ["AVG_TIME_BETWEEN_APPS", "PREV_LOAN_AMOUNT_TREND", "RECENT_APPROVAL_RATE", "OLD_APPROVAL_RATE",
-              "PREV_AMOUNT_VOLATILITY", "DOWN_PAYMENT_TREND", "APPROVAL_RATE_IMPROVEMENT"]
-
-    a = basic_features(app)
-    a = spine_join(a, [b.select(*stage_a_b), p.drop(*hist_p),
-                       i.select(*[x for x in i.columns if not x.startswith(("RECENT_PAY_", "OLD_PAY_")) and x not in (
-                           "PAYMENT_DELAY_TREND", "PAYMENT_DELAY_STD", "LAST_3_PAYMENTS_LATE_RATE",
-                           "PAYMENT_IMPROVEMENT")]),
-                       po.select(*[x for x in po.columns if not x.startswith(("POS_RECENT_", "POS_OLD_")) and x not in (
-                           "POS_DPD_TREND", "POS_DPD_IMPROVEMENT")]),
-                       c.select(*[x for x in c.columns if not x.startswith(("CC_RECENT_", "CC_OLD_")) and x not in (
-                           "CC_SPENDING_TREND", "CC_UTILIZATION_TREND", "CC_PAYMENT_DRAWING_TREND", "CC_DPD_TREND",
-                           "CC_UTILIZATION_IMPROVEMENT", "CC_SPENDING_ACCELERATION")])], KEY)
-    a = missing_handling(advanced_features(a))
+    # each fact table: one aggregation holding both its rollup and its
+    # history family, joined to the spine once (a second join of a pruned
+    # copy would make Spark aggregate the fact table twice)
+    families = [bureau_features(bureau, bureau_balance, bb_tiebreak), prev_features(prev),
+                inst_features(inst, inst_tiebreak), pos_features(pos), cc_features(cc)]
+    a = spine_join(basic_features(app), families, KEY)
+    a = missing_handling(advanced_features(a), fit_on=app)
     if checkpoint_stage_a:
-        # reliable cut in the shared checkpoint folder: a lost executor in
-        # stage B recomputes from here, not from the five fact-table scans
+        # reliable cut in the shared checkpoint folder: a lost executor in the
+        # remaining steps recomputes from here, not from the fact-table scans
         a = cut_lineage(a)
-    # stage B families
-    hist_i = [x for x in i.columns if x.startswith(("RECENT_PAY_", "OLD_PAY_"))] + [
-        "PAYMENT_DELAY_TREND", "PAYMENT_DELAY_STD", "LAST_3_PAYMENTS_LATE_RATE", "PAYMENT_IMPROVEMENT"]
-    hist_po = [x for x in po.columns if x.startswith(("POS_RECENT_", "POS_OLD_"))] + ["POS_DPD_TREND",
-                                                                                    "POS_DPD_IMPROVEMENT"]
-    hist_c = [x for x in c.columns if x.startswith(("CC_RECENT_", "CC_OLD_"))] + [
-        "CC_SPENDING_TREND", "CC_UTILIZATION_TREND", "CC_PAYMENT_DRAWING_TREND", "CC_DPD_TREND",
-        "CC_UTILIZATION_IMPROVEMENT", "CC_SPENDING_ACCELERATION"]
-    # the stage-B family frames only hold entities of their (gated) base
-    fam = [b.select(KEY, *hist_b), i.select(KEY, *hist_i).filter(F.col(hist_i[0]).isNotNull()),
-           c.select(KEY, *hist_c).filter(F.col(hist_c[0]).isNotNull()), p.select(KEY, *hist_p),
-           po.select(KEY, *hist_po).filter(F.col(hist_po[0]).isNotNull())]
-    out = spine_join(a, fam, KEY)
-    out = score_features(cross_table_features(out))
+    out = score_features(cross_table_features(a))
     return final_clean(out) if clean else out
 
 

@@ -29,8 +29,8 @@ def application(spark: SparkSession, d: str) -> DataFrame:
     c = T.load(spark, d, "customer")
     k, bal, nat = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_nationkey")
     credit = (nat + F.lit(1)).cast("double") * F.lit(10000.0) + F.abs(bal)
-    s = T.spine(spark, d).select(F.col("id").alias("_id"), "ext1", "ext2", "ext3")
-    c = c.join(s, c.c_custkey == s._id)
+    e1, e2, e3 = T.ext_scores()
+    c = c.select("*", e1.alias("ext1"), e2.alias("ext2"), e3.alias("ext3"))
     return c.select(
         k.alias("SK_ID_CURR"),
         (k % 10 == 0).cast("int").alias("TARGET"),
@@ -106,13 +106,11 @@ def installments(spark: SparkSession, d: str) -> DataFrame:
 
 def pos_cash(spark: SparkSession, d: str) -> DataFrame:
     m = T.monthly(spark, d)
-    e = T.load(spark, d, "events").select(F.col("event_id").alias("u"), "event_type")
-    m = m.join(e, "u")
     return m.select(
         F.col("id").alias("SK_ID_CURR"), F.col("u").alias("SK_ID_PREV"), F.col("period").alias("MONTHS_BALANCE"),
         (F.col("dpd") * F.lit(5)).alias("SK_DPD"), F.col("dpd").alias("SK_DPD_DEF"),
         F.col("bal").alias("CNT_INSTALMENT"), (F.col("bal") / F.lit(2.0)).alias("CNT_INSTALMENT_FUTURE"),
-        F.when(F.col("event_type") == "view", F.lit("Completed")).otherwise(F.lit("Active")).alias("NAME_CONTRACT_STATUS"),
+        F.when(F.col("etype") == "view", F.lit("Completed")).otherwise(F.lit("Active")).alias("NAME_CONTRACT_STATUS"),
     )
 
 

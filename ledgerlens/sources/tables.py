@@ -45,17 +45,24 @@ def _days(ts_col: str, anchor: str):
     return F.datediff(F.col(ts_col), F.lit(anchor).cast("date"))
 
 
+def ext_scores():
+    """The three external-score columns of the spine, from customer columns."""
+    k, bal, nat = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_nationkey")
+    return [F.when(k % 3 != 0, F.abs(bal) / F.lit(10000.0)),
+            F.when(k % 5 != 0, (k % 100).cast("double") / F.lit(100.0)),
+            F.when(k % 7 != 0, nat.cast("double") / F.lit(25.0))]
+
+
 def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")
+    e1, e2, e3 = ext_scores()
     return c.select(
         F.col("c_custkey").alias("id"),
         F.col("c_mktsegment").alias("seg"),
         F.col("c_nationkey").cast("long").alias("region"),
         F.col("c_acctbal").alias("acctbal"),
         F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("income"),
-        F.when(F.col("c_custkey") % 3 != 0, F.abs(F.col("c_acctbal")) / F.lit(10000.0)).alias("ext1"),
-        F.when(F.col("c_custkey") % 5 != 0, (F.col("c_custkey") % 100).cast("double") / F.lit(100.0)).alias("ext2"),
-        F.when(F.col("c_custkey") % 7 != 0, F.col("c_nationkey").cast("double") / F.lit(25.0)).alias("ext3"),
+        e1.alias("ext1"), e2.alias("ext2"), e3.alias("ext3"),
     )
 
 
@@ -115,6 +122,7 @@ def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(et == "purchase", F.col("value")).otherwise(F.lit(0.0)).alias("draw"),
         F.when(et == "click", F.col("value")).alias("pay"),
         F.when(et == "error", F.lit(1)).otherwise(F.lit(0)).cast("long").alias("dpd"),
+        et.alias("etype"),
     )
 
 
