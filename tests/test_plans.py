@@ -58,3 +58,15 @@ def test_rollup_single_exchange_and_pruned_scan(spark):
 def test_slice_filter_pushed_down(spark):
     df = catalog.QUERIES["band_window_agg"](spark, SF001)
     assert "IsNotNull(user_id)" in plan(df)
+
+
+def test_pack_reads_each_fact_table_a_bounded_number_of_times(spark):
+    """Each fact family is one aggregation joined once: a fact table is read by
+    its rollup, its two-hop lookup and the two levels of the rank operator,
+    never again for a second copy of the family."""
+    import collections
+    import re
+    from ledgerlens.plans import q_pack
+    p = plan(q_pack.pack(spark, SF001))
+    scans = collections.Counter(re.findall(r"sf0\.01/(\w+)\.parquet", p))
+    assert scans["orders"] <= 7 and scans["lineitem"] <= 4 and scans["events"] <= 4, scans
