@@ -175,12 +175,18 @@ def corr_expr(a: str, b: str) -> Column:
     return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x)))
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str], upper_only: bool = True) -> DataFrame:
+def corr_pairs(df: DataFrame, cols: Sequence[str], upper_only: bool = True, wide_from: int = 60) -> DataFrame:
     """Long correlation table (a, b, r) from ONE aggregate pass.
 
     Each pair is an algebraic aggregate (co-moments), so the pass is a
-    partial aggregation on every executor and one tiny merge.
+    partial aggregation on every executor and one tiny merge. From
+    ``wide_from`` columns on, p(p-1)/2 pair aggregates no longer fit one
+    aggregate, so the distributed Gram matrix of MLlib ``Correlation`` is used
+    instead (complete rows only: a row with any NULL is left out, unlike the
+    pairwise-complete form; constant columns give NULL).
     """
+    if len(cols) >= wide_from:
+        return _corr_pairs_wide(df, list(cols), upper_only)
     pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(len(cols))
              if (i < j if upper_only else i != j)]
     row = df.agg(*[corr_expr(a, b).alias(f"{a}__{b}") for a, b in pairs])
@@ -189,6 +195,21 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], upper_only: bool = True) -> D
     return row.select(stack.alias("_p")).select("_p.a", "_p.b", "_p.r")
 
 
+def _corr_pairs_wide(df: DataFrame, cols: list[str], upper_only: bool) -> DataFrame:
+    """Pearson matrix via a distributed Gram matrix; only the p x p result
+    (metadata sized) reaches the driver."""
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(d).select("_v")
+    m = Correlation.corr(vec, "_v").first()[0].toArray()
+    rows = [(cols[i], cols[j], None if math.isnan(m[i][j]) else float(m[i][j]))
+            for i in range(len(cols)) for j in range(len(cols)) if (i < j if upper_only else i != j)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
 def dtype_counts(df: DataFrame) -> list[tuple[str, int]]:
     """Schema metadata: (type name, number of columns)."""
     from collections import Counter

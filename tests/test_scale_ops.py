@@ -120,3 +120,16 @@ def test_running_max(spark):
 def test_weight_grid_simplex():
     pts = B.grid_points(3, 20)
     assert len(pts) == 231 and all(sum(p) == 20 for p in pts) and len(set(pts)) == 231
+
+
+def test_wide_correlation_path_matches_pairwise(spark):
+    from conftest import SF0001
+    from ledgerlens.operators.profile import corr_pairs
+    from ledgerlens.sources import tables as T
+    li = T.load(spark, SF0001, "lineitem")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+    narrow = {(r["a"], r["b"]): r["r"] for r in corr_pairs(li, cols).collect()}
+    wide = {(r["a"], r["b"]): r["r"] for r in corr_pairs(li, cols, wide_from=2).collect()}
+    assert narrow.keys() == wide.keys()
+    for k in narrow:
+        assert wide[k] == pytest.approx(narrow[k], abs=1e-9)
