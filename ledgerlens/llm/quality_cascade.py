@@ -101,14 +101,14 @@ class Rule:
 
 #: the rules of the base contract, then the cascade's own
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
-MAX_SYMBOL_PCT, MAX_DUP_LINE_PCT, MIN_MEAN_WORD, MAX_MEAN_WORD = 20, 50, 2, 20
+MAX_SYMBOL_PCT, MAX_DUP_LINE_PCT, MIN_MEAN_WORD, MAX_MEAN_WORD = 10, 50, 2, 20
 
 
 def default_rules() -> list[Rule]:
     return [
         Rule("too_short", lambda w, t: n_words(w) < MIN_WORDS),
         Rule("repeated_windows", lambda w, t: 100 * n_repeat_words(w) > MAX_REPEAT_PCT * n_words(w)),
-        Rule("symbols", lambda w, t: 100 * n_symbols(t) > MAX_SYMBOL_PCT * word_chars(w)),
+        Rule("symbols", lambda w, t: 100 * n_symbols(t) > MAX_SYMBOL_PCT * n_words(w)),
         Rule("repeated_lines", lambda w, t: 100 * n_dup_lines(t) > MAX_DUP_LINE_PCT * F.size(worded_lines(t))),
         Rule("word_length", lambda w, t: (word_chars(w) < MIN_MEAN_WORD * n_words(w))
              | (word_chars(w) > MAX_MEAN_WORD * n_words(w))),
@@ -175,7 +175,7 @@ def statistics(df: DataFrame, key: str = "doc_id", text: str = "text", rules: li
     ready = {
         "too_short": F.col("n_words") < MIN_WORDS,
         "repeated_windows": 100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"),
-        "symbols": 100 * F.col("n_symbols") > MAX_SYMBOL_PCT * F.col("word_chars"),
+        "symbols": 100 * F.col("n_symbols") > MAX_SYMBOL_PCT * F.col("n_words"),
         "repeated_lines": (F.col("n_dup_lines") > 0)
         & (100 * F.col("n_dup_lines") > MAX_DUP_LINE_PCT * F.size(worded_lines(t))),
         "word_length": (F.col("word_chars") < MIN_MEAN_WORD * F.col("n_words"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import mixture, quality_cascade
-from ledgerlens.llm.common import read
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import causal_lm, decontaminate, langid, lsh_forest, mixture, quality_cascade, token_store, toxicity, warc_store
+from ledgerlens.llm.common import fold_of, read
 from ledgerlens.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
 OP1_SQL = r"""
@@ -23,7 +25,7 @@ s AS (
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-       NOT base_failed AND 100 * n_symbols <= 20 * word_chars AND 100 * n_dup_lines <= 50 * n_lines
+       NOT base_failed AND 100 * n_symbols <= 10 * n_words AND 100 * n_dup_lines <= 50 * n_lines
          AND word_chars BETWEEN 2 * n_words AND 20 * n_words AS kept
 FROM b
 """
@@ -68,3 +70,108 @@ FROM p
 @query("op10_source_mix", OP10_SQL)
 def op10_source_mix(spark, sf_dir):
     return mixture.mix(read(spark, sf_dir, "documents")).drop("__mx_source")
+
+
+@query("op9_token_store")
+def op9_token_store(spark, sf_dir):
+    return token_store.encode_documents(read(spark, sf_dir, "documents"))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+  FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS u(i) WHERE len(w) > 0),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM d, ks, unnest(range(1, len(w) - k + 2)) AS u(i)),
+hit AS (SELECT doc_id, dw.k, i, item FROM dw JOIN bw USING (k, g)),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(range(i, i + k)) AS u(p) GROUP BY doc_id),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item COLLATE C) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+@query("op4_decontaminate", OP4_SQL)
+def op4_decontaminate(spark, sf_dir):
+    return decontaminate.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def _base32_sql(digest: str) -> str:
+    return " || ".join(f"substr('{warc_store.BASE32}', ((('0x' || substr({digest}, {5 * g + 1}, 5))::BIGINT >> {s}) & 31)::INT + 1, 1)"
+                       for g in range(8) for s in (15, 10, 5, 0))
+
+
+OP8_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+q AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS r FROM p)
+SELECT page_id, payload_bytes, {_base32_sql("h")} AS payload_digest,
+       CASE WHEN page_id = r THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = r THEN NULL ELSE r END AS refers_to
+FROM q
+"""
+
+
+@query("op8_warc_store", OP8_SQL)
+def op8_warc_store(spark, sf_dir):
+    return warc_store.archive(read(spark, sf_dir, "pages"))
+
+
+@query("op5_language_id")
+def op5_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(fold_of(F.col("doc_id"), 3) != 1))
+    out = langid.predict(docs, model)
+    return out.select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(fold_of(F.col("doc_id"), 5) != 0))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted",
+                      F.size("passages").alias("n_passages"))
+
+
+@query("op3_causal_lm")
+def op3_causal_lm(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model, counts = causal_lm.fit(docs.filter(fold_of(F.col("doc_id"), 7) != 2))
+    out = causal_lm.score(docs, model, counts)
+    return out.select("doc_id", (fold_of(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+e AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(na.n) + any_value(nb.n) - count(*))),
+r AS (SELECT doc_id AS x, doc_id AS c FROM d UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.x),
+c AS (SELECT x, min(c) AS component_id FROM r GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN c ON c.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
+@query("op7_lsh_forest", OP7_SQL)
+def op7_lsh_forest(spark, sf_dir):
+    return lsh_forest.link(read(spark, sf_dir, "documents"), shingle=3, percent=85)
