@@ -2,7 +2,7 @@
 
 1. Token scores: log-odds of the share of toxic against clean training
    documents that contain a token, with a Dirichlet prior proportional to the
-   token's overall share, less one standard error.  Documents, not
+   token's overall share, less two standard errors.  Documents, not
    occurrences, are counted, so one long repetitive text has no extra weight.
    Tokens whose score is not above zero by that margin get a small negative
    score; so random text has a negative expectation.
@@ -99,7 +99,7 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-        max_labelled: int = 20_000, max_terms: int = 50_000, prior: float = 20.0, max_expected: float = 0.05,
+        max_labelled: int = 20_000, max_terms: int = 50_000, prior: float = 20.0, max_expected: float = 0.05, least_z: float = 3.0, least_score: float = 1.0,
         seed: int = 11) -> Model:
     """Fit on at most about ``max_labelled`` seeded labelled documents."""
     lab = (labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
@@ -134,8 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     delta = log_odds(F.col("y1"), n1) - log_odds(F.col("y0"), n0)
     err = F.sqrt(1 / (F.col("y1") + a) + 1 / (F.col("y0") + a))
     top = (counts.filter(F.col("w") != F.lit(b"\0docs")).withColumn("d", delta).withColumn("e", err)
-           .filter((F.col("d") - 1.96 * F.col("e") > 0) & (F.col("y1") >= 3))
-           .select("w", (F.col("d") - F.col("e")).alias("s"), "y0", (F.col("d") / F.col("e")).alias("z"))
+           .filter((F.col("d") > least_z * F.col("e")) & (F.col("d") - 2 * F.col("e") > least_score) & (F.col("y1") >= 3))
+           .select("w", (F.col("d") - 2 * F.col("e")).alias("s"), "y0", (F.col("d") / F.col("e")).alias("z"))
            .orderBy(F.desc("z"), "w").limit(max_terms).collect())
     terms = {bytes(r["w"]): float(r["s"]) for r in top}
     if not terms:
