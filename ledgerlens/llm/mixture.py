@@ -66,15 +66,22 @@ def targets(sources: DataFrame, share_pct: int = 150, max_epochs: int = 2, weigh
     return s.withColumn("target", F.when(level, (max_epochs * F.col("source_size")).cast("double")).otherwise(free))
 
 
-def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: Column | None = None, seed: str = "mix",
-        share_pct: int = 150, max_epochs: int = 2, weights=WEIGHTS, rows_per_bucket: int = 20_000) -> DataFrame:
-    """key, __mx_source, size, source_size, target, taken for every row."""
-    size = F.size(words_of(F.col("text"))).cast("long") if size is None else size
-    d = written(df.select(F.col(key).alias("__mx_key"), F.col(source).cast("string").alias("__mx_source"),
-                          size.alias("size"),
-                          F.md5(F.concat(F.lit(seed), F.lit(":"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-                          .alias("__mx_h")), "mix-docs")
-    n = d.count()
+def _rows(df: DataFrame, key: str, source: str, size: Column | None, text: str, seed: str, carry: bool) -> DataFrame:
+    size = F.size(words_of(F.col(text))).cast("long") if size is None else size
+    row = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__mx_row")] if carry else []
+    return df.select(F.col(key).alias("__mx_key"), F.col(source).cast("string").alias("__mx_source"), size.alias("size"),
+                     F.md5(F.concat(F.lit(seed), F.lit(":"), F.coalesce(F.col(key).cast("string"), F.lit("")))).alias("__mx_h"), *row)
+
+
+def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: Column | None = None, text: str = "text",
+        seed: str = "mix", share_pct: int = 150, max_epochs: int = 2, weights=WEIGHTS, rows_per_bucket: int = 20_000,
+        carry: bool = False) -> DataFrame:
+    """key, __mx_source, size, source_size, target, taken for every row; with
+    ``carry`` also the row itself as the struct ``__mx_row``."""
+    d = _rows(df, key, source, size, text, seed, carry)
+    if not carry:
+        d = written(d, "mix-docs")      # narrow: texts are split into words once
+    n = df.count()
     digits = 1
     while 16 ** digits * rows_per_bucket < n:
         digits += 1
@@ -93,10 +100,12 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: Column
             .withColumn("rest", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")
                         - F.col("before")))
     line = written(line.withColumn("crossed", (F.col("rest") > 0) & (F.col("rest") < F.col("b_size"))), "mix-line")
+    row = ["__mx_row"] if carry else []
+    # source and bucket together are the key of the join: a large source is spread over its buckets
     j = (d.alias("d").join(line.alias("l"), F.col("d.__mx_source").eqNullSafe(F.col("l.__mx_source"))
                            & (F.col("d.__mx_b") == F.col("l.__mx_b")))
          .select("d.__mx_key", "d.__mx_source", "size", "__mx_h", "d.__mx_b", "source_size", "target", "epochs", "rest",
-                 "crossed"))
+                 "crossed", *row))
     plain = j.filter(~F.col("crossed")).withColumn("part", F.when(F.col("rest") > 0, F.col("size")).otherwise(0))
     inner = (Window.partitionBy("__mx_source", "__mx_b").orderBy("__mx_h", "__mx_key", "size")
              .rowsBetween(Window.unboundedPreceding, -1))
@@ -104,19 +113,18 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: Column
            .withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left")))).drop("left"))
     both = plain.unionByName(cut)
     return both.select(F.col("__mx_key").alias(key), "__mx_source", "size", "source_size", "target",
-                       (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
+                       (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"), *row)
 
 
 def apply_mix(df: DataFrame, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:
-    """The mixed table itself: whole copies of a row as repeated rows, a part
-    as the text's first words joined by single spaces; columns of ``df``.
-    ``key`` must be unique."""
-    m = mix(df, key=key, **kw).select(F.col(key).alias("__mx_key"), "size", "taken")
-    j = df.join(m, df[key].eqNullSafe(m["__mx_key"]), "inner")
-    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    part = (F.col("taken") - whole * F.col("size")).cast("int")
+    """The mixed table itself, with the columns of ``df``: whole copies of a row
+    as repeated rows, a part as the text's first words joined by single spaces.
+    Rows of no word are kept once."""
+    m = mix(df, key=key, text=text, carry=True, **kw).select("__mx_row", "size", "taken")
+    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(1).cast("int")
+    part = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0).cast("int")
     copies = F.concat(F.array_repeat(F.lit(-1), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    j = j.withColumn("__mx_copy", F.explode(copies))
-    cut = F.array_join(F.slice(words_of(F.col(text)), 1, F.greatest(F.col("__mx_copy"), F.lit(0))), " ")
-    return (j.withColumn(text, F.when(F.col("__mx_copy") < 0, F.col(text)).otherwise(cut))
-            .select(*df.columns))
+    m = m.withColumn("__mx_copy", F.explode(copies))
+    own = F.col("__mx_row").getField(text)
+    cut = F.when(F.col("__mx_copy") < 0, own).otherwise(F.array_join(F.slice(words_of(own), 1, F.greatest(F.col("__mx_copy"), F.lit(0))), " "))
+    return m.select(*[cut.alias(c) if c == text else F.col("__mx_row").getField(c).alias(c) for c in df.columns])

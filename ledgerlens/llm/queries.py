@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import causal_lm, decontaminate, langid, lsh_forest, mixture, quality_cascade, token_store, toxicity, warc_store
+from ledgerlens.llm import causal_lm, decontaminate, langid, lsh_forest, mixture, quality_cascade, suffix_dedup, token_store, toxicity, warc_store
 from ledgerlens.llm.common import fold_of, read
 from ledgerlens.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -175,3 +175,8 @@ FROM d JOIN c ON c.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 @query("op7_lsh_forest", OP7_SQL)
 def op7_lsh_forest(spark, sf_dir):
     return lsh_forest.link(read(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.removed_spans(read(spark, sf_dir, "documents"))

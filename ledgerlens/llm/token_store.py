@@ -14,9 +14,9 @@ A key is found in constant time: hash to a segment, read one displacement,
 look at one slot, compare the fingerprint.  Segments hold a bounded number of
 keys, so building and probing never gather more than that in one task.
 
-Texts are encoded word by word with a bounded cache per task: the tokenizer's
-pattern never joins characters across white space, so the ids of a text are
-the ids of its space- and line-separated pieces in order.
+Texts are encoded piece by piece with a bounded cache per worker: the
+tokenizer's pattern never joins characters across white space, so the ids of a
+text are the ids of its space- and line-separated pieces in order.
 
 Defined results: NULL and empty texts are the end id alone; a NULL key is a
 key of its own and comes first; rows that share a key are all stored, next to
@@ -39,31 +39,90 @@ from ledgerlens.llm.common import shared_path
 FINGERPRINT_BITS = 32
 
 
+def encode_pieces(tok, pieces: list[str], chunk: int = 256) -> list[np.ndarray]:
+    """Ids of each piece (no white space inside).  Pieces are encoded many at a
+    time, joined by spaces; the character offsets of the ids tell them apart."""
+    joined = [" ".join(pieces[i:i + chunk]) for i in range(0, len(pieces), chunk)]
+    out = []
+    for i, e in enumerate(tok.encode_batch(joined, add_special_tokens=False)):
+        ids = np.array(e.ids, np.uint32)
+        at = np.array([o[0] for o in e.offsets], np.int64)
+        ends = np.cumsum([len(p) + 1 for p in pieces[i * chunk:(i + 1) * chunk]])
+        out.extend(np.split(ids, np.searchsorted(at, ends)[:-1]))
+    return out
+
+
+def load_tokenizer(name: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(_tokenizer_file(name))
+
+
 class WordEncoder:
-    """Ids of a text as raw bytes; pieces are cached up to a bound."""
+    """Ids of a text as raw bytes.  Pieces are cached up to a bound, as is the
+    stem before sentence marks: marks after a letter or digit are tokens of
+    their own."""
+
+    MARKS = ".,;:!?"
 
-    def __init__(self, tokenizer_file: str, max_pieces: int = 300_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(tokenizer_file)
+    def __init__(self, tokenizer: str, max_pieces: int = 400_000):
+        self.tok = load_tokenizer(tokenizer)
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.max_pieces = max_pieces
         self.cache: dict[str, bytes] = {}
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        pieces = text.replace("\n", " ").split(" ")
-        cache = self.cache
-        new = list(set(pieces).difference(cache))
-        if new:
-            if len(cache) > self.max_pieces:
-                cache.clear()
-                new = list(set(pieces))
-            for p, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-                cache[p] = np.array(e.ids, self.kind).tobytes()
-        return b"".join(map(cache.__getitem__, pieces))
+        self.stems: dict[str, bytes] = {}
+
+    @classmethod
+    def of_worker(cls, tokenizer: str) -> "WordEncoder":
+        """One per worker process, whose tasks share its cache."""
+        if tokenizer not in _ENCODERS:
+            _ENCODERS[tokenizer] = cls(tokenizer)
+        return _ENCODERS[tokenizer]
+
+    @classmethod
+    def _split(cls, piece: str) -> tuple[str, str]:
+        stem = piece.rstrip(cls.MARKS)
+        if len(stem) == len(piece) or not stem:
+            return _folded(piece), ""
+        low = stem[-1].lower()
+        if len(low) == 1 and low.isalnum() and stem[-1].isalnum():
+            return _folded(stem), piece[len(stem):]
+        return piece, ""
+
+    def _learn(self, pieces: list[str]):
+        parts = [self._split(p) for p in pieces]
+        if len(self.stems) > self.max_pieces:
+            self.stems.clear()
+        new = [x for x in dict.fromkeys(y for z in parts for y in z) if x and x not in self.stems]
+        for x, ids in zip(new, encode_pieces(self.tok, new)):
+            self.stems[x] = ids.astype(self.kind).tobytes()
+        self.stems[""] = b""
+        for p, (x, y) in zip(pieces, parts):
+            self.cache[p] = self.stems[x] + self.stems[y]
+
+    def encode_all(self, texts) -> list[bytes]:
+        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+        out = []
+        for i in range(0, len(split), 200):
+            group = split[i:i + 200]
+            new = set().union(*group).difference(self.cache)
+            if new:
+                if len(self.cache) > self.max_pieces:
+                    self.cache.clear()
+                    new = set().union(*group)
+                self._learn(sorted(new))
+            out.extend(b"".join(map(self.cache.__getitem__, g)) for g in group)
+        return out
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def _folded(piece: str) -> str:
+    """The tokenizer lowers; plain words may be lowered before (a special
+    token's name in capitals must stay as it is)."""
+    return piece.lower() if piece.isascii() and piece.isalnum() else piece
 
 
 def _tokenizer_file(name: str) -> str:
@@ -78,7 +137,7 @@ PAYLOAD = ("shard int, block int, width int, lens array<int>, n_tokens long, key
 
 def _blocks(tokenizer: str, end_id: int, block_ids: int):
     def run(batches):
-        enc = WordEncoder(_tokenizer_file(tokenizer))
+        enc = WordEncoder.of_worker(tokenizer)
         end = np.array([end_id], enc.kind).tobytes()
         shard, block, keys, parts, size = -1, 0, [], [], 0
 
@@ -87,9 +146,8 @@ def _blocks(tokenizer: str, end_id: int, block_ids: int):
             return pd.DataFrame({"shard": [shard], "block": [block], "width": [enc.width], "lens": [lens],
                                  "n_tokens": [sum(lens)], "keys": [keys], "payload": [b"".join(parts)]})
         for b in batches:
-            for s, k, t in zip(b["shard"], b["key"], b["text"]):
-                shard = int(s)
-                raw = enc.encode(t) + end
+            for s, k, raw in zip(b["shard"], b["key"], enc.encode_all(b["text"])):
+                shard, raw = int(s), raw + end
                 if parts and size + len(raw) > block_ids * enc.width:
                     yield row()
                     block, keys, parts, size = block + 1, [], [], 0
