@@ -198,10 +198,13 @@ def test_causal_lm_is_causal_and_windows_cover_once():
 
 
 def test_causal_lm_scores(spark, corpus):
-    rows = corpus + [(100 + i, prose(100, 500 + i), "en", "a") for i in range(40)]
+    # two vocabularies: what stands before tells which words may follow
+    lexicon = [prose(40, 1, ("ka", "lo", "mi")).split(" "), prose(40, 2, ("schu", "ber", "en")).split(" ")]
+    r = random.Random(6)
+    rows = corpus + [(100 + i, " ".join(r.choice(lexicon[i % 2]) for _ in range(100)), "en", "a") for i in range(40)]
     docs = frame(spark, rows)
     train = docs.filter("doc_id % 5 <> 0")
-    model, counts = causal_lm.fit(train, head_words=40, own_words=8, clusters=6, steps=60)
+    model, counts = causal_lm.fit(train, head_words=40, own_words=8, clusters=6, steps=120)
     out = {r["doc_id"]: r for r in causal_lm.score(docs, model, counts).collect()}
     low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
     c = Counter()
