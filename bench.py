@@ -23,7 +23,8 @@ HEADLINE = [
     "good_streak", "half_split_trend", "last_k_rate", "spending_trend", "ratio_trend", "recent_success_rate",
     "top_k_per_entity", "clip_score", "median_impute", "group_median_impute", "describe_features", "box_stats",
     "corr_matrix", "score_percentiles", "stratified_folds", "roc_auc", "auc_by_fold", "roc_points",
-    "late_under_flags", "blend_gain", "credit_pack",
+    "late_under_flags", "blend_gain", "blend_grid", "blend_best", "wide_correlation", "credit_bureau_family",
+    "credit_prev_family", "credit_instalment_family", "credit_pos_family", "credit_card_family", "credit_pack",
 ]
 
 

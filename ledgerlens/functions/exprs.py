@@ -13,7 +13,7 @@ JVM-side expressions (no UDF):
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -93,10 +93,6 @@ def inf_to_null(c) -> Column:
     return F.when(c.isin(INF, -INF) | F.isnan(c), F.lit(None).cast("double")).otherwise(c)
 
 
-def nan_to_null(c) -> Column:
-    c = col(c)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
 
 def map_values(c, mapping: Mapping, default=None) -> Column:
     """Dictionary lookup as a CASE chain; unmapped values get ``default``."""
@@ -142,18 +138,5 @@ def product(*cols) -> Column:
     return out
 
 
-def round6(c) -> Column:
-    return F.round(col(c), 6)
-
-
 def count_if(pred) -> Column:
     return F.count_if(F.coalesce(col(pred), F.lit(False)))
-
-
-def count_if_or_null(pred) -> Column:
-    """Conditional count that is NULL (absent) when nothing matches."""
-    return F.nullif(count_if(pred), F.lit(0))
-
-
-def prefixed(names: Iterable[str], prefix: str) -> dict[str, str]:
-    return {n: f"{prefix}{n}" for n in names}

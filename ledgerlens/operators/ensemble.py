@@ -39,15 +39,20 @@ def blend(df: DataFrame, scores: Sequence[str], weights: Sequence[float], out: s
 def blend_grid_auc(df: DataFrame, label: str, scores: Sequence[str], weight_names: Sequence[str],
                    steps: int = 20) -> DataFrame:
     """(weights..., auc) for every grid point."""
-    d = df.select(label, *scores, F.explode(weight_grid_column(weight_names, steps)).alias("_w"))
-    d = d.select(label, *[F.col(f"_w.{n}").alias(n) for n in weight_names],
+    # rows collapse to distinct score tuples with class counts before the grid multiplies them
+    y = F.col(label).cast("long")
+    d = (df.filter(y.isNotNull()).groupBy(*scores).agg(F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg")))
+    d = d.select("_pos", "_neg", *scores, F.explode(weight_grid_column(weight_names, steps)).alias("_w"))
+    d = d.select("_pos", "_neg", *[F.col(f"_w.{n}").alias(n) for n in weight_names],
                  *[F.col(s) for s in scores])
     expr = None
     for s, n in zip(scores, weight_names):
         term = F.col(n) * F.col(s)
         expr = term if expr is None else expr + term
     d = d.withColumn("_blend", expr)
-    return roc_auc(d, label, "_blend", by=list(weight_names))
+    # a convex blend lies between its scores: their own quantiles cut the buckets, without running the grid
+    cut = df.select(F.explode(F.array(*[F.col(s).cast("double") for s in scores])).alias("_q"))
+    return roc_auc(d, None, "_blend", by=list(weight_names), counts=("_pos", "_neg"), split_df=cut, split_from=F.col("_q"))
 
 
 def best_row(df: DataFrame, metric: str, tiebreak: Sequence[str]) -> DataFrame:

@@ -53,8 +53,12 @@ def stratified_holdout(df: DataFrame, id_col: str, label: str, test_share: float
         .drop("_pos", "_ncls")
 
 
-def _score_table(df: DataFrame, label: str, score, by: Sequence[str]) -> DataFrame:
+def _score_table(df: DataFrame, label: str | None, score, by: Sequence[str], counts: tuple[str, str] | None = None) -> DataFrame:
     s = F.col(score) if isinstance(score, str) else score
+    if counts:      # rows that stand for several: (positives, negatives)
+        pos, neg = counts
+        return (df.select(*by, s.cast("double").alias("_s"), F.col(pos).alias("_p"), F.col(neg).alias("_n"))
+                  .filter(F.col("_s").isNotNull()).groupBy(*by, "_s").agg(F.sum("_p").alias("_pos"), F.sum("_n").alias("_neg")))
     y = F.col(label).cast("long")
     return (df.select(*by, s.cast("double").alias("_s"), y.alias("_y"))
               .filter(F.col("_s").isNotNull() & F.col("_y").isNotNull())
@@ -69,8 +73,9 @@ def _with_neg_pos_before(t: DataFrame, by: Sequence[str], n_buckets: int) -> Dat
                          broadcast_totals=False).drop("_qb")
 
 
-def roc_auc(df: DataFrame, label: str, score, by: Sequence[str] = (), out: str = "auc",
-            n_buckets: int = 256, split_df: DataFrame | None = None, split_from: Column | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, label: str | None, score, by: Sequence[str] = (), out: str = "auc",
+            n_buckets: int = 256, split_df: DataFrame | None = None, split_from: Column | None = None,
+            counts: tuple[str, str] | None = None) -> DataFrame:
     """Exact ROC-AUC per group (one row per group; one row overall when ``by`` is empty).
 
     With scores cut into quantile buckets the numerator splits into
@@ -81,7 +86,7 @@ def roc_auc(df: DataFrame, label: str, score, by: Sequence[str] = (), out: str =
     """
     by = list(by)
     keys = by or ["_g"]
-    t = _score_table(df, label, score, by)
+    t = _score_table(df, label, score, by, counts)
     if not by:
         t = t.withColumn("_g", F.lit(0))
     t = quantile_bucketed(t, "_s", n_buckets, out="_qb", split_df=split_df, split_from=split_from)

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.evaluate import roc_auc, with_class_weight
+from ledgerlens.operators.selection import correlated_columns, percentile_filter
+from ledgerlens.session import cut_lineage
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -26,17 +29,20 @@ def positive_score(pred: DataFrame, out: str = "score") -> DataFrame:
     return pred.withColumn(out, vector_to_array(F.col("probability")).getItem(1))
 
 
+#: settings of a full run; a caller may pass others (fixed values of SURVEY 2.16)
+DEFAULTS = {
+    "logistic": {"maxIter": 1000},
+    "forest": {"numTrees": 100, "maxDepth": 10, "seed": 42},
+    "gbt": {"maxIter": 1000, "maxDepth": 7, "stepSize": 0.02, "seed": 42},
+}
+
+
 def make_estimator(kind: str, label: str, weight: str | None = None, **params):
     common = dict(featuresCol="features", labelCol=label)
     if weight:
         common["weightCol"] = weight
-    if kind == "logistic":
-        return LogisticRegression(**common, **{"maxIter": 100, **params})
-    if kind == "forest":
-        return RandomForestClassifier(**common, **{"numTrees": 100, "maxDepth": 10, "seed": 42, **params})
-    if kind == "gbt":
-        return GBTClassifier(**common, **{"maxIter": 10, "maxDepth": 5, "stepSize": 0.1, "seed": 42, **params})
-    raise ValueError(kind)
+    cls = {"logistic": LogisticRegression, "forest": RandomForestClassifier, "gbt": GBTClassifier}[kind]
+    return cls(**common, **{**DEFAULTS[kind], **params})
 
 
 def fit_predict(df: DataFrame, features: Sequence[str], label: str, kind: str, keep: Sequence[str],
@@ -47,28 +53,94 @@ def fit_predict(df: DataFrame, features: Sequence[str], label: str, kind: str, k
     return positive_score(model.transform(d)).select(*keep, label, "score")
 
 
+@dataclass
+class FoldModels:
+    """One model per fold, fitted on the other folds, and the frame they saw."""
+
+    models: list
+    frame: DataFrame
+    features: list[str]
+    label: str
+    fold_col: str
+
+    def oof(self, keep: Sequence[str]) -> DataFrame:
+        """Every row scored once, by the model that was not fitted on it."""
+        out = None
+        for i, m in enumerate(self.models):
+            part = positive_score(m.transform(self.frame.filter(F.col(self.fold_col) == i)))
+            part = part.select(*keep, self.fold_col, self.label, "score")
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    def test_average(self, test: DataFrame, keep: Sequence[str]) -> DataFrame:
+        """Mean of the fold models' scores on another frame, in one pass."""
+        d = assemble(test, self.features)
+        for i, m in enumerate(self.models):
+            m = m.copy()
+            m.setProbabilityCol(f"_p{i}")
+            m.setRawPredictionCol(f"_r{i}")
+            m.setPredictionCol(f"_c{i}")
+            d = m.transform(d)
+        total = sum((vector_to_array(F.col(f"_p{i}")).getItem(1) for i in range(len(self.models))), F.lit(0.0))
+        return d.select(*keep, (total / F.lit(float(len(self.models)))).alias("score"))
+
+    def importances(self) -> list[tuple[int, str, float]]:
+        """(fold, feature, importance) of models that have importances."""
+        return [(i, f, float(v)) for i, m in enumerate(self.models) if hasattr(m, "featureImportances")
+                for f, v in zip(self.features, m.featureImportances.toArray())]
+
+
+def fit_folds(df: DataFrame, features: Sequence[str], label: str, fold_col: str, k: int, kind: str,
+              balanced: bool = True, early_stopping: bool = False, **params) -> FoldModels:
+    """Fit one model per fold.  The assembled frame is written to the shared
+    folder once, so no fit recomputes weights, folds or features.  With
+    ``early_stopping`` (gbt) the left-out fold is the validation set that ends
+    the boosting."""
+    d = with_class_weight(df, label, "_w") if balanced else df
+    d = cut_lineage(assemble(d, features))
+    models = []
+    for i in range(k):
+        if early_stopping and kind == "gbt":
+            est = make_estimator(kind, label, "_w" if balanced else None, validationIndicatorCol="_held", **params)
+            models.append(est.fit(d.withColumn("_held", F.col(fold_col) == i)))
+        else:
+            est = make_estimator(kind, label, "_w" if balanced else None, **params)
+            models.append(est.fit(d.filter(F.col(fold_col) != i)))
+    return FoldModels(models, d, list(features), label, fold_col)
+
+
 def oof_predict(df: DataFrame, features: Sequence[str], label: str, fold_col: str, k: int, kind: str,
                 keep: Sequence[str], balanced: bool = True, importances: list | None = None,
                 **params) -> DataFrame:
     """Out-of-fold scores: model i is fitted on folds != i and scores fold i."""
-    d = with_class_weight(df, label, "_w") if balanced else df
-    d = assemble(d, features)
-    parts = []
-    for i in range(k):
-        est = make_estimator(kind, label, "_w" if balanced else None, **params)
-        m = est.fit(d.filter(F.col(fold_col) != i))
-        if importances is not None and hasattr(m, "featureImportances"):
-            imp = m.featureImportances.toArray()
-            importances.extend((i, f, float(v)) for f, v in zip(features, imp))
-        parts.append(positive_score(m.transform(d.filter(F.col(fold_col) == i))).select(*keep, fold_col, label, "score"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    f = fit_folds(df, features, label, fold_col, k, kind, balanced, **params)
+    if importances is not None:
+        importances.extend(f.importances())
+    return f.oof(keep)
+
+
+def select_and_retrain(df: DataFrame, features: Sequence[str], label: str, fold_col: str, k: int, kind: str,
+                       q: float = 0.25, threshold: float = 0.95, **params) -> tuple[FoldModels, list[str]]:
+    """Fold importances, the percentile filter, the correlation filter in
+    importance order, then new fold models on what is left.  Only lists of
+    feature names and their importances pass through the driver."""
+    spark = df.sparkSession
+    first = fit_folds(df, features, label, fold_col, k, kind, **params)
+    t = spark.createDataFrame(first.importances(), "fold int, feature string, importance double")
+    mean = t.groupBy("feature").agg(F.avg("importance").alias("importance"))
+    kept = [r["feature"] for r in percentile_filter(mean, "importance", q).orderBy(F.desc("importance"), "feature").collect()]
+    dropped = {r["feature"] for r in correlated_columns(df, kept, threshold).collect()} if len(kept) > 1 else set()
+    chosen = [f for f in kept if f not in dropped]
+    return fit_folds(df, chosen, label, fold_col, k, kind, **params), chosen
+
+
+#: search space of a full run (fixed values of SURVEY 2.16)
+SEARCH_SPACE = {"maxDepth": ("int", 6, 15), "stepSize": ("log", 0.01, 0.05), "subsamplingRate": ("float", 0.6, 0.95),
+                "featureSubsetStrategy": ("share", 0.6, 0.95), "minInstancesPerNode": ("int", 30, 150)}
 
 
 def sample_params(space: dict, n: int, seed: int = 42) -> list[dict]:
-    """Seeded random draws; ('log', lo, hi) is log-uniform, ('int', lo, hi) integer, ('float', lo, hi) uniform."""
+    """Seeded random draws; ('log', lo, hi) is log-uniform, ('int', lo, hi) integer, ('float', lo, hi) uniform, ('share', lo, hi) uniform as text."""
     rng = random.Random(seed)
     out = []
     for _ in range(n):
@@ -78,6 +150,8 @@ def sample_params(space: dict, n: int, seed: int = 42) -> list[dict]:
                 p[name] = rng.randint(lo, hi)
             elif kind == "log":
                 p[name] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
+            elif kind == "share":       # a share of the columns, as MLlib takes it: text
+                p[name] = f"{rng.uniform(lo, hi):.6f}"
             else:
                 p[name] = rng.uniform(lo, hi)
         out.append(p)
@@ -85,13 +159,13 @@ def sample_params(space: dict, n: int, seed: int = 42) -> list[dict]:
 
 
 def random_search(df: DataFrame, features: Sequence[str], label: str, fold_col: str, k: int, keep: Sequence[str],
-                  space: dict, n_trials: int, seed: int = 42, kind: str = "gbt") -> list[tuple]:
+                  space: dict | None = None, n_trials: int = 100, seed: int = 42, kind: str = "gbt", **params) -> list[tuple]:
     """Trials (trial, params, mean fold AUC). Each trial's AUCs come from the
     distributed exact AUC over its out-of-fold scores; only the per-trial
     numbers reach the driver."""
     rows = []
-    for t, p in enumerate(sample_params(space, n_trials, seed)):
-        oof = oof_predict(df, features, label, fold_col, k, kind, keep, **p)
+    for t, p in enumerate(sample_params(space or SEARCH_SPACE, n_trials, seed)):
+        oof = oof_predict(df, features, label, fold_col, k, kind, keep, **{**params, **p})
         auc = roc_auc(oof, label, "score", by=[fold_col]).agg(F.avg("auc").alias("m")).first()["m"]
         rows.append((t, p, float(auc)))
     return rows

@@ -44,7 +44,8 @@ def with_order_ranks(df: DataFrame, key, time: str, tiebreak: Sequence[str]) ->
     """Adds ``_n``, ``_rn_a``, ``_rn_d`` (see module doc). NULL keys are dropped.
 
     ``time`` is a numeric offset; rows with a NULL time are kept and rank after
-    all timed rows in ascending order (pandas ``na_position='last'``).
+    all timed rows in both directions (pandas ``na_position='last'``, and
+    ``nlargest``, which takes them only when timed rows run out).
     """
     keys = _keys(key)
     base = df
@@ -56,14 +57,17 @@ def with_order_ranks(df: DataFrame, key, time: str, tiebreak: Sequence[str]) ->
     w_all = Window.partitionBy(*keys).orderBy("_tk").rowsBetween(Window.unboundedPreceding,
                                                                  Window.unboundedFollowing)
     w_run = Window.partitionBy(*keys).orderBy("_tk").rowsBetween(Window.unboundedPreceding, -1)
+    untimed = F.col("_tk") == F.lit(float("inf"))
     hist = (hist.withColumn(N, F.sum("_tn").over(w_all))
+                .withColumn("_timed", F.coalesce(F.sum(F.when(~untimed, F.col("_tn"))).over(w_all), F.lit(0)))
                 .withColumn("_before", F.coalesce(F.sum("_tn").over(w_run), F.lit(0))))
     rows = base.join(hist, keys + ["_tk"], "inner")
     rn = F.row_number().over(Window.partitionBy(*keys, "_tk").orderBy(*[F.col(c).asc() for c in tiebreak]))
     return (rows.withColumn("_rnw", rn)
                 .withColumn(RN_A, F.col("_before") + F.col("_rnw"))
-                .withColumn(RN_D, F.col(N) - F.col("_before") - F.col("_tn") + F.col("_rnw"))
-                .drop("_tn", "_before", "_rnw", "_tk"))
+                .withColumn(RN_D, F.col("_rnw") + F.when(untimed, F.col("_timed"))
+                            .otherwise(F.col("_timed") - F.col("_before") - F.col("_tn")))
+                .drop("_tn", "_before", "_rnw", "_tk", "_timed"))
 
 
 def pct_rank(df: DataFrame, key, time: str, out: str = "pct_rank") -> DataFrame:
@@ -91,7 +95,8 @@ def n_rows() -> Column:
 
 
 def _order(time: str, tiebreak: Sequence[str]) -> Column:
-    return F.struct(F.col(time), *[F.col(c) for c in tiebreak])
+    # rows without a time come last, as in the ranks
+    return F.struct(F.col(time).isNull(), F.col(time), *[F.col(c) for c in tiebreak])
 
 
 def first_value(v, time, tiebreak) -> Column:

@@ -17,6 +17,10 @@ from ledgerlens.functions.exprs import flag
 from ledgerlens.operators.profile import exact_percentiles, unpivot
 
 
+#: ranges that number a vocabulary
+VOCABULARY_SPLITS = 200
+
+
 def hash_split(id_col: str, test_below: str = "4", out: str = "is_test") -> Column:
     """Deterministic split on the first md5 hex digit of the id (no row is dropped)."""
     return (F.substring(F.md5(F.col(id_col).cast("string")), 1, 1) < F.lit(test_below)).cast("int").alias(out)
@@ -47,6 +51,18 @@ def apply_medians(df: DataFrame, stats: DataFrame, cols: Sequence[str], by: Sequ
     return d.drop(*[f"_med_{c}" for c in cols], *(["_g"] if not by else []))
 
 
+def impute_finite(df: DataFrame, fit_on: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Two passes: NULLs take the median of ``fit_on``; then infinities become
+    NULL and take the median of ``fit_on`` after its own first pass."""
+    from ledgerlens.functions.exprs import inf_to_null
+
+    def cleaned(d, stats):
+        return apply_medians(d, stats, cols).withColumns({c: inf_to_null(c) for c in cols})
+    first = fit_medians(fit_on, cols)
+    second = fit_medians(cleaned(fit_on, first), cols)
+    return apply_medians(cleaned(df, first), second, cols)
+
+
 def missing_indicators(df: DataFrame, cols: Sequence[str], suffix: str = "_MISSING") -> DataFrame:
     """Always emitted (schema independent of the data)."""
     return df.withColumns({f"{c}{suffix}": flag(F.col(c).isNull()) for c in cols})
@@ -60,16 +76,20 @@ def fit_labels(frames: Sequence[DataFrame], col: str, missing: str = "missing")
     """Vocabulary ``(value, code)`` over the union of frames; NULL -> ``missing``;
     codes follow sorted (binary) order.
 
-    The numbering is a two-level prefix over the distinct values, bucketed by
-    their first two characters (monotone in binary string order), so even a
-    high-cardinality column is not numbered by a single task."""
+    The numbering is a two-level prefix over the distinct values. Its buckets
+    are ranges between values of a bounded sample, so values with a long common
+    prefix spread like any others; the sample only steers the balance."""
     from ledgerlens.operators.prefix import prefix_before
     vals = None
     for f in frames:
         v = f.select(F.coalesce(F.col(col).cast("string"), F.lit(missing)).alias("value"))
         vals = v if vals is None else vals.unionByName(v)
     vocab = vals.distinct()
-    coded = prefix_before(vocab, [], [F.col("value")], F.substring("value", 1, 2), {"code": F.lit(1)})
+    some = vocab.orderBy(F.xxhash64("value"), "value").limit(VOCABULARY_SPLITS)
+    splits = some.agg(F.sort_array(F.collect_list("value")).alias("_splits"))          # one row, bounded
+    d = vocab.crossJoin(F.broadcast(splits))
+    d = d.withColumn("_range", F.size(F.filter("_splits", lambda x: x <= F.col("value")))).drop("_splits")
+    coded = prefix_before(d, [], [F.col("value")], F.col("_range"), {"code": F.lit(1)})
     return coded.select("value", F.col("code").cast("long").alias("code"))
 
 

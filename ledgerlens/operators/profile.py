@@ -11,9 +11,12 @@ billion rows. Instead:
    brackets every requested rank: lo = q(p - m/acc), hi = q(p + m/acc);
 2. one pass counts the rows below lo and keeps only the rows inside
    [lo, hi] (about 2m·n/accuracy of them);
-3. a window over those candidates picks the exact order statistics at
-   floor(p(n-1)) and ceil(p(n-1)) and interpolates linearly (numpy's and
-   DuckDB's ``quantile_cont`` rule).
+3. the candidates collapse to distinct values with counts, and a window over
+   those picks the exact order statistics at floor(p(n-1)) and ceil(p(n-1))
+   and interpolates linearly (numpy's and DuckDB's ``quantile_cont`` rule).
+
+Brackets are joined to the rows by a salted key, so a large group is spread
+over the salts whether or not the small side can be broadcast.
 """
 
 from __future__ import annotations
@@ -26,6 +29,10 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.exprs import count_if, safe_div
 
 
+#: pieces of a group in a join of rows with the table of groups
+SALTS = 32
+
+
 def _nonnull_double(df: DataFrame, by: Sequence[str], value) -> DataFrame:
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     return df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
@@ -46,9 +53,13 @@ def exact_percentiles(df: DataFrame, value, probs: Sequence[float], by: Sequence
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", lo_p, accuracy).alias("_lo"),
         F.percentile_approx("_v", hi_p, accuracy).alias("_hi"))
-    # one row per group: a single row without ``by`` (bounded); with ``by``
-    # the side is measured by AQE at run time before it is broadcast
-    j = base.join(F.broadcast(stats) if not by else stats, keys)
+    # a single row without ``by`` (bounded)
+    if by:
+        salt = F.pmod(F.hash("_v"), F.lit(SALTS))
+        salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        j = base.withColumn("_salt", salt).join(salted, keys + ["_salt"]).drop("_salt")
+    else:
+        j = base.join(F.broadcast(stats), keys)
     m = len(probs)
     lo_i = [F.get(F.col("_lo"), i) for i in range(m)]
     hi_i = [F.get(F.col("_hi"), i) for i in range(m)]
@@ -68,19 +79,22 @@ def exact_percentiles(df: DataFrame, value, probs: Sequence[float], by: Sequence
                              pos.alias("_pos"), F.floor(pos).alias("_k0"), F.ceil(pos).alias("_k1"))
     in_bracket = F.filter(F.sequence(F.lit(0), F.lit(m - 1)),
                           lambda i: (F.get(F.col("_lo"), i) <= F.col("_v")) & (F.col("_v") <= F.get(F.col("_hi"), i)))
-    cand = j.select(*keys, "_v", F.explode(in_bracket).alias("p_idx"))
+    # equal values are one candidate with a count (map-side combine): a value held by a third of all rows is one row
+    cand = j.select(*keys, "_v", F.explode(in_bracket).alias("p_idx")).groupBy(*keys, "p_idx", "_v").agg(F.count(F.lit(1)).alias("_c"))
     cand = cand.join(targets.select(*keys, "p_idx", "_nb", "_k0", "_k1"), keys + ["p_idx"])
-    rn = F.row_number().over(Window.partitionBy(*keys, "p_idx").orderBy("_v"))
-    cand = (cand.withColumn("_rank0", F.col("_nb") + rn - F.lit(1))
-                .filter((F.col("_rank0") == F.col("_k0")) | (F.col("_rank0") == F.col("_k1"))))
-    res = cand.groupBy(*keys, "p_idx").agg(
-        F.max(F.when(F.col("_rank0") == F.col("_k0"), F.col("_v"))).alias("_v0"),
-        F.max(F.when(F.col("_rank0") == F.col("_k1"), F.col("_v"))).alias("_v1"))
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "p_idx").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    cand = cand.withColumn("_last", F.col("_nb") + upto - F.lit(1)).withColumn("_first", F.col("_last") - F.col("_c") + F.lit(1))
+
+    def holds(k):
+        return (F.col("_first") <= F.col(k)) & (F.col(k) <= F.col("_last"))
+    res = cand.filter(holds("_k0") | holds("_k1")).groupBy(*keys, "p_idx").agg(
+        F.max(F.when(holds("_k0"), F.col("_v"))).alias("_v0"), F.max(F.when(holds("_k1"), F.col("_v"))).alias("_v1"))
     t = targets.join(res, keys + ["p_idx"], "left")
 
     def pick(v, k):
         return F.coalesce(F.col(v), F.when(F.col(k) == F.col("_nb") - 1, F.col("_prev")),
-                          F.when(F.col(k) == F.col("_nu"), F.col("_next")))
+                          F.when(F.col(k) == F.col("_nu"), F.col("_next")),
+                          F.raise_error(F.lit("percentile bracket missed its rank")).cast("double"))
 
     v0, v1 = pick("_v0", "_k0"), pick("_v1", "_k1")
     val = v0 + (F.col("_pos") - F.col("_k0")) * (v1 - v0)
@@ -136,13 +150,18 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str], whisker: float = 1.5,
-              accuracy: int = 100_000) -> DataFrame:
-    """Quartiles and whiskers (furthest data point within whisker·IQR)."""
+              accuracy: int = 100_000, below: float | None = None) -> DataFrame:
+    """Quartiles and whiskers (furthest data point within whisker·IQR);
+    ``below`` keeps values under a cap only, as a plot of the bulk does."""
     by = list(by)
+    if below is not None:
+        df = df.filter(F.col(value) < F.lit(float(below)))
     q = percentiles_wide(df, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], by, accuracy)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     v = F.col(value).cast("double")
-    j = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull()).join(q, by)
+    salted = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    j = (df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull())
+         .withColumn("_salt", F.pmod(F.hash("_v"), F.lit(SALTS))).join(salted, by + ["_salt"]).drop("_salt"))
     lo_fence = F.col("q1") - F.lit(whisker) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(whisker) * F.col("iqr")
     w = j.groupBy(*by).agg(
@@ -175,39 +194,62 @@ def corr_expr(a: str, b: str) -> Column:
     return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x)))
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str], upper_only: bool = True, wide_from: int = 60) -> DataFrame:
-    """Long correlation table (a, b, r) from ONE aggregate pass.
+#: pair aggregates in one aggregation; wider inputs take the matrix form below
+MAX_PAIR_AGGREGATES = 1_000
 
-    Each pair is an algebraic aggregate (co-moments), so the pass is a
-    partial aggregation on every executor and one tiny merge. From
-    ``wide_from`` columns on, p(p-1)/2 pair aggregates no longer fit one
-    aggregate, so the distributed Gram matrix of MLlib ``Correlation`` is used
-    instead (complete rows only: a row with any NULL is left out, unlike the
-    pairwise-complete form; constant columns give NULL).
+
+def corr_pairs(df: DataFrame, cols: Sequence[str], upper_only: bool = True,
+               max_aggregates: int = MAX_PAIR_AGGREGATES) -> DataFrame:
+    """Long correlation table (a, b, r) from one pass, pairwise complete at
+    every width: a pair uses the rows where both are present, whatever the
+    other columns hold; a constant column gives NULL.
+
+    Few pairs: each is an algebraic aggregate (co-moments). Many pairs: the
+    same sums of all pairs at once as matrix products inside each task.
     """
-    if len(cols) >= wide_from:
-        return _corr_pairs_wide(df, list(cols), upper_only)
     pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(len(cols))
              if (i < j if upper_only else i != j)]
-    row = df.agg(*[corr_expr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    stack = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}__{b}").alias("r"))
-                                for a, b in pairs]))
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    if len(pairs) > max_aggregates:
+        return _corr_pairs_wide(df, list(cols), upper_only)
+    row = df.agg(*[corr_expr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    stack = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
+                                for i, (a, b) in enumerate(pairs)]))
     return row.select(stack.alias("_p")).select("_p.a", "_p.b", "_p.r")
 
 
 def _corr_pairs_wide(df: DataFrame, cols: list[str], upper_only: bool) -> DataFrame:
-    """Pearson matrix via a distributed Gram matrix; only the p x p result
-    (metadata sized) reaches the driver."""
-    import math
-
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(d).select("_v")
-    m = Correlation.corr(vec, "_v").first()[0].toArray()
-    rows = [(cols[i], cols[j], None if math.isnan(m[i][j]) else float(m[i][j]))
-            for i in range(len(cols)) for j in range(len(cols)) if (i < j if upper_only else i != j)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    """Each task adds up, for all pairs at once, the products of the matrices
+    of values (NULL as 0, centred by the column's mean), their squares and the
+    masks of present values; the sums of the tasks meet by pair."""
+    import numpy as np
+    import pandas as pd
+    d = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    means = d.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in range(len(cols))])      # one row
+    d = d.crossJoin(F.broadcast(means)).select(*[(F.col(f"v{i}") - F.col(f"m{i}")).alias(f"v{i}") for i in range(len(cols))])
+    p = len(cols)
+
+    def gram(batches):
+        sums = np.zeros((4, p, p))
+        for b in batches:
+            x = b.to_numpy(dtype=float)
+            m = ~np.isnan(x)
+            x = np.where(m, x, 0.0)
+            m = m.astype(float)
+            sums += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        i, j = np.triu_indices(p, 1)
+        yield pd.DataFrame({"i": i, "j": j, "n": sums[0, i, j], "sx": sums[1, i, j], "sy": sums[1, j, i],
+                            "sxx": sums[2, i, j], "syy": sums[2, j, i], "sxy": sums[3, i, j]})
+    names = ("n", "sx", "sy", "sxx", "syy", "sxy")
+    t = (d.mapInPandas(gram, "i int, j int, " + ", ".join(f"{c} double" for c in names))
+         .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names]))
+    vx, vy = (F.col(f"s{k}{k}") - F.try_divide(F.col(f"s{k}") * F.col(f"s{k}"), F.col("n")) for k in "xy")
+    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    r = F.when((vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy")), cov / F.sqrt(vx * vy))
+    named = F.array(*[F.lit(c) for c in cols])
+    t = t.select(F.get(named, F.col("i")).alias("a"), F.get(named, F.col("j")).alias("b"), r.alias("r"))
+    return t if upper_only else t.unionByName(t.select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
 
 
 def dtype_counts(df: DataFrame) -> list[tuple[str, int]]:

@@ -7,7 +7,7 @@ The adapter CTEs restate the role mapping of ``sources/tables.py``.
 
 from __future__ import annotations
 
-from ledgerlens.plans.registry import ORACLE, ROUND_OFFSET
+from ledgerlens.plans.registry import ORACLE, ROUNDED
 
 # Fixed values (must equal sources/tables.py): anchors 2001-08-02 (orders),
 # 2001-12-01 (lineitem months), 2024-01-31 (events), due offset 60 days.
@@ -58,7 +58,7 @@ ADAPTERS = {
 
 
 def sql(name: str, body: str, adapters=(), rnd=(), ctes: str = "") -> str:
-    """Register ``body`` with the listed adapter CTEs; round ``rnd`` columns to 6 places."""
+    """Register ``body`` with the listed adapter CTEs; ``rnd`` names its floating columns."""
     body = body.strip()
     extra = [ctes.strip()] if ctes else []
     if body[:4].upper() == "WITH" and (adapters or extra):
@@ -67,9 +67,6 @@ def sql(name: str, body: str, adapters=(), rnd=(), ctes: str = "") -> str:
         body = "SELECT" + tail
     parts = [ADAPTERS[a] for a in adapters] + extra
     q = (("WITH " + ",\n".join(parts) + "\n") if parts else "") + body
-    if rnd:
-        rep = ", ".join(f"CASE WHEN abs({c}) < 1e12 THEN floor({c} * 1e6 + {ROUND_OFFSET}::DOUBLE) / 1e6 ELSE {c} END AS {c}"
-                        for c in rnd)
-        q = f"SELECT * REPLACE ({rep}) FROM (\n{q}\n) AS _r"
     ORACLE[name] = q
+    ROUNDED[name] = tuple(rnd)
     return q

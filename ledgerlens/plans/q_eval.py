@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import ensemble as B, evaluate as E, profile as D, selection as S
 from ledgerlens.plans.oracle_sql import sql
-from ledgerlens.plans.registry import finish, query
+from ledgerlens.plans.registry import ORACLE, finish, query
 from ledgerlens.sources import tables as T
 
 MODELS = ["s1", "s2", "s3"]
@@ -411,3 +411,47 @@ SELECT max(auc) FILTER (WHERE model = 'blend') AS blend_auc,
 FROM a""", ["scored"], rnd=["blend_auc", "best_single_auc", "gain"],
     ctes="long AS (" + " UNION ALL ".join(f"SELECT '{m}' AS model, y, {m} AS s FROM scored" for m in MODELS)
     + " UNION ALL SELECT 'blend' AS model, y, 0.75 * s1 + 0.15 * s2 + 0.1 * s3 AS s FROM scored),\n" + _sql_auc("model"))
+
+
+# ------------------------------------------------------------------ D6 capped / M14 / D7 wide
+@query("box_stats_capped")
+def box_stats_capped(spark, d):
+    return finish(D.box_stats(T.hist(spark, d), "amt", ["status"], below=200000.0))
+
+
+ORACLE_CAP = ORACLE["box_stats"].replace("FROM orders)", "FROM orders WHERE o_totalprice < 200000.0)")
+sql("box_stats_capped", ORACLE_CAP, rnd=["q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi"])
+
+
+@query("top_importance")
+def top_importance(spark, d):
+    """The two features of largest mean importance, ties by name."""
+    return finish(fold_importance_summary(spark, d).orderBy(F.desc("importance_mean"), "feature").limit(2)
+                  .select("feature", "importance_mean"))
+
+
+sql("top_importance", "SELECT feature, importance_mean FROM (" + ORACLE["fold_importance_summary"]
+    + ") t ORDER BY importance_mean DESC, feature LIMIT 2", rnd=["importance_mean"])
+
+
+N_WIDE = 80
+
+
+@query("wide_correlation")
+def wide_correlation(spark, d):
+    """All pairs of 80 derived columns in which every row has NULLs, pairwise
+    complete; the result lists those one and forty columns apart."""
+    li = T.load(spark, d, "lineitem")
+    cols = [F.when((F.col("l_orderkey") + i) % 5 != 0, F.col("l_quantity") * (i % 7) + F.col("l_discount") * (10 * (i % 11))
+                   + F.col("l_linenumber") * (i % 3)).alias(f"v{i}") for i in range(1, N_WIDE + 1)]
+    r = D.corr_pairs(li.select(*cols), [f"v{i}" for i in range(1, N_WIDE + 1)])
+    apart = F.substring("b", 2, 9).cast("int") - F.substring("a", 2, 9).cast("int")
+    return finish(r.filter(apart.isin(1, 40)))
+
+
+sql("wide_correlation", "WITH w AS (SELECT " + ", ".join(
+    f"CASE WHEN (l_orderkey + {i}) % 5 <> 0 THEN l_quantity * {i % 7} + l_discount * {10 * (i % 11)} + l_linenumber * {i % 3} END AS v{i}"
+    for i in range(1, N_WIDE + 1)) + " FROM lineitem),\nc AS (SELECT unnest([" + ", ".join(
+    f"{{'a': 'v{i}', 'b': 'v{j}', 'r': CASE WHEN var_pop(v{i}) FILTER (WHERE v{j} IS NOT NULL) > 0 AND var_pop(v{j}) FILTER (WHERE v{i} IS NOT NULL) > 0 THEN corr(v{i}, v{j}) END}}"
+    for i in range(1, N_WIDE + 1) for j in (i + 1, i + 40) if j <= N_WIDE)
+    + "]) AS p FROM w)\nSELECT p.a AS a, p.b AS b, p.r AS r FROM c", rnd=["r"])

@@ -298,3 +298,39 @@ def category_vocabulary(spark, d):
 sql("category_vocabulary", """
 SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS code
 FROM (SELECT DISTINCT coalesce(CASE WHEN ext1 IS NOT NULL THEN seg END, 'missing') AS value FROM spine) v""", ["spine"])
+
+
+@query("label_encode_train_only")
+def label_encode_train_only(spark, d):
+    """Vocabulary of the train rows only: a value that they lack has no code."""
+    s = T.spine(spark, d).select("id", F.concat_ws("-", "seg", F.col("region").cast("string")).alias("seg")) \
+        .withColumn("is_test", P.hash_split("id"))
+    train = s.filter((F.col("is_test") == 0) & (F.substring("seg", -1, 1) != "7"))
+    return finish(P.apply_labels(s, P.fit_labels([train], "seg"), "seg", "seg_code").select("id", "seg", "seg_code"))
+
+
+sql("label_encode_train_only", """
+WITH s AS (SELECT id, concat_ws('-', seg, CAST(region AS VARCHAR)) AS seg,
+                  CAST(substr(md5(CAST(id AS VARCHAR)), 1, 1) < '4' AS BIGINT) AS is_test FROM spine),
+     v AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS code
+           FROM (SELECT DISTINCT coalesce(seg, 'missing') AS value FROM s WHERE is_test = 0 AND right(seg, 1) <> '7') u)
+SELECT id, seg, code AS seg_code FROM s LEFT JOIN v ON coalesce(s.seg, 'missing') = v.value""", ["spine"])
+
+
+@query("finite_impute")
+def finite_impute(spark, d):
+    """Median imputation, infinities to NULL, median imputation again, with train statistics."""
+    s = T.spine(spark, d).withColumn("is_test", P.hash_split("id"))
+    s = s.select("id", "is_test", F.when(F.col("id") % 7 == 0, F.lit(X.INF)).when(F.col("id") % 11 == 0, F.lit(-X.INF))
+                 .otherwise(F.col("income")).alias("x"))
+    return finish(P.impute_finite(s, s.filter("is_test = 0"), ["x"]))
+
+
+sql("finite_impute", """
+WITH s AS (SELECT id, CAST(substr(md5(CAST(id AS VARCHAR)), 1, 1) < '4' AS BIGINT) AS is_test,
+                  CASE WHEN id % 7 = 0 THEN 'Infinity'::DOUBLE WHEN id % 11 = 0 THEN '-Infinity'::DOUBLE ELSE income END AS x
+           FROM spine),
+     m AS (SELECT quantile_cont(x, 0.5) AS v FROM s WHERE is_test = 0),
+     p AS (SELECT id, is_test, CASE WHEN isinf(coalesce(x, v)) THEN NULL ELSE coalesce(x, v) END AS x FROM s, m),
+     m2 AS (SELECT quantile_cont(x, 0.5) AS v FROM p WHERE is_test = 0)
+SELECT id, is_test, coalesce(x, v) AS x FROM p, m2""", ["spine"], rnd=["x"])

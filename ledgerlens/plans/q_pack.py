@@ -1,29 +1,28 @@
 """Catalogue part 6: the credit pack on reference-shaped views of the test
-tables. The full 294-column pack is rows-only (no hand-written SQL twin; its
-sampled features are recomputed in pandas by the tests); its bureau family —
-two-hop key, gated slices, fills, trends and streaks — has its own query with
-an independent SQL oracle."""
+tables. Each of its five families has a query with an independent SQL oracle,
+and the whole pack's oracle joins them to its own basic, missing, cross-table
+and score features."""
 
 from __future__ import annotations
 
 from ledgerlens.plans import credit_pack as CP
 from ledgerlens.plans.oracle_sql import sql
-from ledgerlens.plans.registry import finish, query
+from ledgerlens.plans.registry import ORACLE, ROUNDED, finish, query
 from ledgerlens.sources import credit_tables as CT
 
 INST_TIEBREAK = ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER", "_tb_part", "_tb_supp", "_tb_price"]
 BB_TIEBREAK = ["SK_ID_BUREAU", "_tb_line", "_tb_part", "_tb_supp", "_tb_price"]
 
 
-def pack(spark, d, clean=True, checkpoint=False):
+def pack(spark, d, clean=True):
     t = CT.all_tables(spark, d)
-    return CP.build(**t, clean=clean, inst_tiebreak=INST_TIEBREAK, checkpoint_stage_a=checkpoint,
+    return CP.build(**t, clean=clean, inst_tiebreak=INST_TIEBREAK,
                     bb_tiebreak=BB_TIEBREAK)
 
 
 @query("credit_pack")
 def credit_pack(spark, d):
-    return finish(pack(spark, d, checkpoint=True))
+    return finish(pack(spark, d))
 
 
 @query("credit_bureau_family")
@@ -395,3 +394,100 @@ WITH pc AS (
 SELECT SK_ID_CURR, {", ".join(f"{_qcast(c)} AS {c}" for c in _Q_A)},
        {", ".join(f"CASE WHEN n_recent > 0 THEN {_qcast(f'coalesce({c}, 0)')} END AS {c}" for c in _Q_B)}
 FROM h""", ["monthly"], rnd=[c for c in _Q_A + _Q_B if c not in _Q_INTS])
+
+
+# ------------------------------------------------------------------ the whole pack
+_APP_INTS = ["TARGET", "DAYS_BIRTH", "DAYS_EMPLOYED", "FLAG_DOCUMENT_2", "FLAG_DOCUMENT_3", "FLAG_MOBIL", "FLAG_EMAIL", "FLAG_PHONE",
+             "REGION_RATING_CLIENT", "REGION_RATING_CLIENT_W_CITY", "DAYS_EMPLOYED_ANOMALY", "DOCUMENT_COUNT", "CONTACT_INFO_COUNT",
+             "REGION_RISK_SCORE", "TOTAL_CREDIT_EXPERIENCE", "CREDIT_ACTIVITY_SCORE"] + [f"{c}_MISSING" for c in CP.MISSING_FLAG_COLS]
+_APP_FLOATS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", *CP.EXT, "CNT_FAM_MEMBERS", "OWN_CAR_AGE",
+               "APARTMENTS_AVG", "YEARS_BUILD_AVG", "AGE_YEARS", "EMPLOYMENT_YEARS", "INCOME_CREDIT_RATIO", "ANNUITY_INCOME_RATIO",
+               "CREDIT_GOODS_RATIO", "EXT_SOURCE_MEAN", "EXT_SOURCE_MAX", "EXT_SOURCE_MIN", "EXT_SOURCE_PROD", "EXT_SOURCE_WEIGHTED",
+               "INCOME_PER_FAMILY_MEMBER", "CREDIT_INCOME_PERCENT", "ANNUITY_CREDIT_PERCENT", "WORKING_AGE_RATIO", "INCOME_PER_AGE",
+               "AVG_CREDIT_PER_BUREAU_LOAN", "APPROVAL_SUCCESS_RATE", "BUREAU_TO_PREV_RATIO", "LATE_PAYMENT_RATIO", "CREDIT_PER_INCOME",
+               "DEBT_PER_EXPERIENCE", "RISK_SCORE_1", "RISK_SCORE_2", "EXT_SOURCE_INCOME_INTERACTION", "EXT_SOURCE_CREDIT_INTERACTION"]
+_APP_FLOATS += [f"{c}_{k}" for c in CP.EXT for k in ("SQUARED", "CUBED", "SQRT", "LOG")]
+_FAMILY = [(_OUT, _INTS), (_P_OUT, _P_INTS), (_I_A + _I_B, _I_INTS), (_Q_A + _Q_B, _Q_INTS), (_C_A + _C_B, _C_INTS)]
+_PACK_INTS = _APP_INTS + [c for cols, ints in _FAMILY for c in cols if c in ints]
+_PACK_FLOATS = _APP_FLOATS + [c for cols, ints in _FAMILY for c in cols if c not in ints]
+
+
+def _log1p(e):
+    return f"CASE WHEN {e} > -1 THEN ln(1 + {e}) END"
+
+
+_ext0 = "coalesce(EXT_SOURCE_MEAN, 0.5)"
+_scores = ", ".join(f"power(coalesce({c}, 0.0), 2) AS {c}_SQUARED, power(coalesce({c}, 0.0), 3) AS {c}_CUBED, "
+                    f"CASE WHEN coalesce({c}, 0.0) >= 0 THEN sqrt(coalesce({c}, 0.0)) END AS {c}_SQRT, "
+                    f"{_log1p(f'coalesce({c}, 0.0)')} AS {c}_LOG" for c in CP.EXT)
+
+
+def _zero_one(c, default):
+    return f"coalesce(CASE WHEN {c} IS NULL THEN NULL ELSE least(greatest({c}, 0.0), 1.0) END, {default})"
+
+
+_pack_families = {"fb": "credit_bureau_family", "fp": "credit_prev_family", "fi": "credit_instalment_family", "fo": "credit_pos_family",
+                  "fc": "credit_card_family"}
+ROUNDED["credit_pack"] = tuple(_PACK_FLOATS)
+ORACLE["credit_pack"] = f"""
+WITH raw AS (
+  SELECT c_custkey AS k, c_acctbal AS bal, CAST(c_nationkey AS BIGINT) AS nat, c_mktsegment AS seg,
+         CAST(c_nationkey + 1 AS DOUBLE) * 10000.0::DOUBLE + abs(c_acctbal) AS credit FROM customer),
+app AS (
+  SELECT k AS SK_ID_CURR, CAST(k % 10 = 0 AS BIGINT) AS TARGET, abs(bal) * 10.0::DOUBLE + 1000.0::DOUBLE AS AMT_INCOME_TOTAL,
+         credit AS AMT_CREDIT, CASE WHEN k % 11 <> 0 THEN credit / 20.0::DOUBLE END AS AMT_ANNUITY,
+         CASE WHEN k % 17 <> 0 THEN credit * 0.9::DOUBLE END AS AMT_GOODS_PRICE, -(7000 + k % 15000) AS DAYS_BIRTH,
+         CASE WHEN k % 13 = 0 THEN 365243 ELSE -(k % 5000) END AS DAYS_EMPLOYED,
+         CASE WHEN k % 3 <> 0 THEN abs(bal) / 10000.0::DOUBLE END AS EXT_SOURCE_1,
+         CASE WHEN k % 5 <> 0 THEN CAST(k % 100 AS DOUBLE) / 100.0::DOUBLE END AS EXT_SOURCE_2,
+         CASE WHEN k % 7 <> 0 THEN CAST(nat AS DOUBLE) / 25.0::DOUBLE END AS EXT_SOURCE_3,
+         CASE WHEN k % 19 <> 0 THEN CAST(nat % 5 + 1 AS DOUBLE) END AS CNT_FAM_MEMBERS,
+         k % 2 AS FLAG_DOCUMENT_2, CAST(k % 3 = 0 AS BIGINT) AS FLAG_DOCUMENT_3, 1 AS FLAG_MOBIL,
+         CAST(k % 4 = 0 AS BIGINT) AS FLAG_EMAIL, CAST(k % 5 = 0 AS BIGINT) AS FLAG_PHONE,
+         nat % 3 + 1 AS REGION_RATING_CLIENT, (nat + k) % 3 + 1 AS REGION_RATING_CLIENT_W_CITY,
+         CASE WHEN k % 4 = 0 THEN CAST(k % 20 AS DOUBLE) END AS OWN_CAR_AGE, CASE WHEN k % 6 <> 0 THEN seg END AS OCCUPATION_TYPE,
+         CASE WHEN k % 8 <> 0 THEN abs(bal) / 10000.0::DOUBLE END AS APARTMENTS_AVG,
+         CASE WHEN k % 9 <> 0 THEN CAST(k % 40 AS DOUBLE) / 40.0::DOUBLE END AS YEARS_BUILD_AVG
+  FROM raw),
+bas AS (
+  SELECT *, -DAYS_BIRTH / 365.0::DOUBLE AS AGE_YEARS, -DAYS_EMPLOYED / 365.0::DOUBLE AS EMPLOYMENT_YEARS,
+         AMT_INCOME_TOTAL / AMT_CREDIT AS INCOME_CREDIT_RATIO, AMT_ANNUITY / AMT_INCOME_TOTAL AS ANNUITY_INCOME_RATIO,
+         AMT_CREDIT / AMT_GOODS_PRICE AS CREDIT_GOODS_RATIO,
+         list_avg([EXT_SOURCE_1, EXT_SOURCE_2, EXT_SOURCE_3]) AS EXT_SOURCE_MEAN,
+         greatest(EXT_SOURCE_1, EXT_SOURCE_2, EXT_SOURCE_3) AS EXT_SOURCE_MAX,
+         least(EXT_SOURCE_1, EXT_SOURCE_2, EXT_SOURCE_3) AS EXT_SOURCE_MIN,
+         CAST(DAYS_EMPLOYED = 365243 AS BIGINT) AS DAYS_EMPLOYED_ANOMALY
+  FROM app),
+{", ".join(f"{a} AS ({ORACLE[n]})" for a, n in _pack_families.items())},
+med AS (SELECT REGION_RATING_CLIENT AS r, median(APARTMENTS_AVG) AS ma, median(YEARS_BUILD_AVG) AS my FROM app GROUP BY 1),
+j AS (
+  SELECT bas.* REPLACE (coalesce(OWN_CAR_AGE, 0.0) AS OWN_CAR_AGE, coalesce(APARTMENTS_AVG, ma) AS APARTMENTS_AVG,
+                        coalesce(YEARS_BUILD_AVG, my) AS YEARS_BUILD_AVG),
+         {", ".join(f"CAST({c} IS NULL AS BIGINT) AS {c}_MISSING" for c in CP.MISSING_FLAG_COLS)},
+         {", ".join(f"{a}.* EXCLUDE (SK_ID_CURR)" for a in _pack_families)}
+  FROM bas LEFT JOIN med ON med.r = bas.REGION_RATING_CLIENT
+  {" ".join(f"LEFT JOIN {a} ON {a}.SK_ID_CURR = bas.SK_ID_CURR" for a in _pack_families)}),
+x AS (
+  SELECT *, EXT_SOURCE_1 * EXT_SOURCE_2 * EXT_SOURCE_3 AS EXT_SOURCE_PROD,
+         0.4 * coalesce(EXT_SOURCE_1, 0) + 0.4 * coalesce(EXT_SOURCE_2, 0) + 0.2 * coalesce(EXT_SOURCE_3, 0) AS EXT_SOURCE_WEIGHTED,
+         AMT_INCOME_TOTAL / (CNT_FAM_MEMBERS + 1) AS INCOME_PER_FAMILY_MEMBER, AMT_CREDIT / AMT_INCOME_TOTAL AS CREDIT_INCOME_PERCENT,
+         AMT_ANNUITY / AMT_CREDIT AS ANNUITY_CREDIT_PERCENT, EMPLOYMENT_YEARS / AGE_YEARS AS WORKING_AGE_RATIO,
+         AMT_INCOME_TOTAL / AGE_YEARS AS INCOME_PER_AGE, FLAG_DOCUMENT_2 + FLAG_DOCUMENT_3 AS DOCUMENT_COUNT,
+         FLAG_MOBIL + FLAG_PHONE + FLAG_EMAIL AS CONTACT_INFO_COUNT,
+         REGION_RATING_CLIENT * REGION_RATING_CLIENT_W_CITY AS REGION_RISK_SCORE,
+         AMT_CREDIT / (BUREAU_LOAN_COUNT + 1) AS AVG_CREDIT_PER_BUREAU_LOAN, PREV_APPROVAL_RATE AS APPROVAL_SUCCESS_RATE,
+         coalesce(BUREAU_LOAN_COUNT, 0) + coalesce(PREV_APP_COUNT, 0) AS TOTAL_CREDIT_EXPERIENCE,
+         coalesce(BUREAU_LOAN_COUNT, 0) / (coalesce(PREV_APP_COUNT, 0) + 1) AS BUREAU_TO_PREV_RATIO,
+         coalesce(LATE_PAYMENT_sum, 0) / (coalesce(INST_COUNT, 0) + 1) AS LATE_PAYMENT_RATIO,
+         coalesce(PREV_APPROVED_COUNT, 0) + coalesce(BUREAU_ACTIVE_LOANS, 0) AS CREDIT_ACTIVITY_SCORE,
+         AMT_CREDIT / AMT_INCOME_TOTAL AS CREDIT_PER_INCOME,
+         AMT_CREDIT / (coalesce(BUREAU_LOAN_COUNT, 0) + coalesce(PREV_APP_COUNT, 0) + 1) AS DEBT_PER_EXPERIENCE,
+         0.5 * {_ext0} + 0.3 * (AGE_YEARS / 100.0) + 0.2 * (1.0 - {_zero_one("ANNUITY_INCOME_RATIO", 0.2)}) AS RISK_SCORE_1,
+         0.4 * {_ext0} + 0.3 * (1.0 - {_zero_one("BUREAU_DEBT_CREDIT_RATIO", 0.3)})
+           + 0.3 * (1.0 - {_zero_one("LATE_PAYMENT_mean", 0.0)}) AS RISK_SCORE_2,
+         {_scores}, {_ext0} * {_log1p("AMT_INCOME_TOTAL")} AS EXT_SOURCE_INCOME_INTERACTION,
+         {_ext0} * {_log1p("AMT_CREDIT")} AS EXT_SOURCE_CREDIT_INTERACTION
+  FROM j)
+SELECT SK_ID_CURR, OCCUPATION_TYPE, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in _PACK_INTS)},
+       {", ".join(f"CAST(coalesce(CASE WHEN isnan({c}::DOUBLE) OR isinf({c}::DOUBLE) THEN NULL ELSE {c} END, 0.0) AS DOUBLE) AS {c}" for c in _PACK_FLOATS)}
+FROM x"""

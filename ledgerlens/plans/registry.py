@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+ROUNDED: dict[str, tuple] = {}     # floating columns of an oracle's result
 
 
 def query(name: str):
@@ -21,36 +21,53 @@ def query(name: str):
     return deco
 
 
-# Rounding threshold for result normalisation. Aggregates of decimal data
-# (cents averaged over 8, 16, 32 rows) often sit exactly half-way at the 7th
-# decimal, and two engines summing in different orders land one ulp either
-# side of it. Rounding at k + 0.5463 instead of k + 0.5 keeps every value with
-# up to 7 decimals far from the threshold, so both engines round alike.
-ROUND_OFFSET = 0.4537
-
-
-def round6(c):
-    """Round to 6 decimals with plain IEEE arithmetic (threshold above), so that
-    Spark and the SQL oracle produce bit-identical doubles. Magnitudes >= 1e12
-    are left as they are."""
-    return F.when(F.abs(c) < F.lit(1e12), F.floor(c * F.lit(1e6) + F.lit(ROUND_OFFSET)) / F.lit(1e6)).otherwise(c)
-
-
 def finish(df: DataFrame) -> DataFrame:
-    """Normalise result types for comparison: integers -> bigint, floating
-    values rounded to 6 decimals (summation order differs between engines).
+    """Result types: integers and booleans -> bigint, decimals and floats ->
+    double. Values keep their full precision.
 
-    Built as one ``selectExpr`` (same arithmetic as ``round6``) so that a wide
-    result costs one call into the JVM, not several per column."""
+    Built as one ``selectExpr`` so that a wide result costs one call into the
+    JVM, not several per column."""
     exprs = []
     for f in df.schema.fields:
         q = "`" + f.name.replace("`", "``") + "`"
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = f"CAST({q} AS DOUBLE)"
-            e = f"CASE WHEN abs({c}) < 1.0E12D THEN floor({c} * 1000000.0D + {ROUND_OFFSET}D) / 1000000.0D ELSE {c} END"
+        if isinstance(f.dataType, (T.FloatType, T.DecimalType)):
+            e = f"CAST({q} AS DOUBLE)"
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
             e = f"CAST({q} AS BIGINT)"
         else:
             e = q
         exprs.append(f"{e} AS {q}")
     return df.selectExpr(*exprs)
+
+
+# ---- the driver's boundary --------------------------------------------------------------------------------------
+# Two engines add floating numbers in different orders, so results are compared
+# after both sides pass through the same rounding: to single precision (relative
+# to the magnitude), and below that to a grid that hides what is left of a
+# cancellation. Averages of cents often lie half-way on a decimal grid; the
+# shift keeps them off the threshold. Only the entry module and the verifier
+# apply this; catalogue queries return full precision.
+GRID, SHIFT = 1e8, 0.0463
+
+
+def boundary(df: DataFrame, name: str) -> DataFrame:
+    """The result of a query with the floating columns that its oracle names
+    rounded for comparison."""
+    out = []
+    for f in df.schema.fields:
+        q = "`" + f.name.replace("`", "``") + "`"
+        if f.name in ROUNDED.get(name, ()) and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            out.append(f"CAST(CAST(rint({q} * {GRID:.1f}D - {SHIFT}D) / {GRID:.1f}D AS FLOAT) AS DOUBLE) AS {q}")
+        else:
+            out.append(q)
+    return df.selectExpr(*out)
+
+
+def boundary_sql(name: str) -> str:
+    """The oracle of a query with the same rounding."""
+    cols = ROUNDED.get(name)
+    if not cols:
+        return ORACLE[name]
+    rep = ", ".join(f"CAST(CAST(floor({c} * {GRID:.1f}::DOUBLE - {SHIFT}::DOUBLE + 0.5::DOUBLE) / {GRID:.1f}::DOUBLE AS FLOAT) AS DOUBLE) AS {c}"
+                    for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM (\n{ORACLE[name]}\n) AS _r"

@@ -10,6 +10,7 @@ import time
 import duckdb
 import pandas as pd
 
+from ledgerlens.plans.registry import boundary, boundary_sql
 from ledgerlens.sources.tables import TABLES
 
 
@@ -30,7 +31,7 @@ def _norm(v):
     if isinstance(v, bool):
         return int(v)
     if isinstance(v, (int, float)):
-        return round(float(v), 6)
+        return float(v)
     return v
 
 
@@ -43,11 +44,11 @@ def _rows(pdf: pd.DataFrame) -> list[tuple]:
 def compare(spark, name: str, sf_dir: str, tol: float = 1e-6) -> dict:
     from ledgerlens.plans import catalog
     t0 = time.time()
-    sdf = catalog.QUERIES[name](spark, sf_dir)
+    sdf = boundary(catalog.QUERIES[name](spark, sf_dir), name)
     left = sdf.toPandas()
     t1 = time.time()
     out = {"query": name, "spark_sec": round(t1 - t0, 2), "rows": len(left)}
-    sql = catalog.ORACLE.get(name)
+    sql = boundary_sql(name) if name in catalog.ORACLE else None
     if sql is None:
         out["status"] = "rows-only"
         return out

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,7 +27,7 @@ def get_spark(cores: int | str | None = None, shuffle_partitions: int | None = N
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEMORY", "8g")))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -65,7 +67,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
+    d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("LEDGERLENS_SCRATCH"))
+    atexit.register(shutil.rmtree, d, ignore_errors=True)      # our own folder, and a local session's only
     sc.setCheckpointDir(d)
     try:   # informational only; some versions reject setting core confs at run time
         spark.conf.set("spark.checkpoint.dir", d)

@@ -128,8 +128,73 @@ def test_wide_correlation_path_matches_pairwise(spark):
     from ledgerlens.sources import tables as T
     li = T.load(spark, SF0001, "lineitem")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+    li = li.select(*[F.when((F.col("l_orderkey") + i) % len(cols) != 0, F.col(c)).alias(c) for i, c in enumerate(cols)])
+    assert li.dropna().isEmpty()          # every row has a NULL
     narrow = {(r["a"], r["b"]): r["r"] for r in corr_pairs(li, cols).collect()}
-    wide = {(r["a"], r["b"]): r["r"] for r in corr_pairs(li, cols, wide_from=2).collect()}
+    wide = {(r["a"], r["b"]): r["r"] for r in corr_pairs(li, cols, max_aggregates=1).collect()}
+    want = li.toPandas().astype(float).corr()
     assert narrow.keys() == wide.keys()
     for k in narrow:
-        assert wide[k] == pytest.approx(narrow[k], abs=1e-9)
+        assert wide[k] == pytest.approx(narrow[k], abs=1e-9) and narrow[k] == pytest.approx(want.loc[k], abs=1e-9)
+
+
+def test_untimed_rows_rank_last_in_both_directions(spark):
+    import pandas as pd
+    rng = random.Random(3)
+    data = [(k, rng.choice([None, None, 1, 2, 3, 5, 8]), u, rng.random(), rng.randint(0, 1)) for u, k in
+            enumerate(rng.choice([0, 0, 0, 1, 2, 3, 4]) for _ in range(120))]
+    df = spark.createDataFrame(data, "k long, t long, u long, v double, y int")
+    pdf = df.toPandas()
+    r = O.with_order_ranks(df, "k", "t", ["u"])
+    out = {x["k"]: x for x in r.groupBy("k").agg(
+        O.newest_mean("v", 3).alias("newest"), O.head_mean("v", 3).alias("head"), O.tail_mean("v", 3).alias("tail"),
+        O.leading_streak(F.col("y") == 1).alias("streak"), O.newest_k_rate(F.col("y") == 1).alias("rate"),
+        O.first_value("v", "t", ["u"]).alias("first"), O.last_value("v", "t", ["u"]).alias("last")).collect()}
+    for k, g in pdf.groupby("k"):
+        up = g.sort_values(["t", "u"], na_position="last")
+        down = pd.concat([g[g.t.notna()].sort_values(["t", "u"], ascending=[False, True]), g[g.t.isna()].sort_values("u")])
+        streak = next((i for i, y in enumerate(down.y) if y != 1), len(down))
+        o = out[k]
+        assert o["streak"] == streak and o["first"] == up.v.iloc[0] and o["last"] == up.v.iloc[-1]
+        for name, want in (("newest", down.v[:3].mean()), ("head", up.v[:3].mean()), ("tail", up.v[-3:].mean()), ("rate", (down.y[:3] == 1).mean())):
+            assert o[name] == pytest.approx(want), (k, name)
+
+
+def test_percentiles_collapse_ties(spark):
+    """A value held by most rows is one candidate, whatever the number of its rows."""
+    df = spark.range(30_000).select((F.col("id") % 2).alias("k"), F.when(F.col("id") % 10 < 8, 5.0).otherwise(F.col("id") * 1.0).alias("v"))
+    pdf = df.toPandas()
+    got = {(r["k"], r["p_idx"]): r["value"] for r in exact_percentiles(df, "v", [0.1, 0.5, 0.9], by=["k"]).collect()}
+    for k, g in pdf.groupby("k"):
+        for i, p in enumerate((0.1, 0.5, 0.9)):
+            assert got[k, i] == pytest.approx(np.percentile(g.v, 100 * p))
+
+
+def test_queries_keep_full_precision(spark):
+    from ledgerlens.plans.registry import finish
+    assert finish(spark.sql("SELECT 3e-7D AS x, 1.5e300D AS y")).first()[:] == (3e-7, 1.5e300)
+
+
+def test_vocabulary_with_a_common_prefix(spark):
+    from ledgerlens.operators import prep as P
+    vals = [f"common-prefix-{i:05d}" for i in range(1500)] + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "c string").repartition(5)
+    got = {r["value"]: r["code"] for r in P.fit_labels([df], "c").collect()}
+    assert got == {v: i for i, v in enumerate(sorted(v or "missing" for v in vals))}
+    other = spark.createDataFrame([("common-prefix-00003",), ("unseen",), (None,)], "c string")
+    assert {r["c"]: r["c_code"] for r in P.apply_labels(other, P.fit_labels([df], "c"), "c").collect()} == {
+        "common-prefix-00003": 3, "unseen": None, None: 1500}
+
+
+def test_fold_models_score_each_row_once(spark):
+    from ledgerlens.operators import model as M
+    rng = random.Random(1)
+    data = [(i, i % 3, int(rng.random() < 0.4)) for i in range(300)]
+    df = spark.createDataFrame([(i, f, y, y + rng.gauss(0, 0.4), rng.random()) for i, f, y in data], "id long, fold int, y int, a double, b double")
+    f = M.fit_folds(df, ["a", "b"], "y", "fold", 3, "gbt", early_stopping=True, maxIter=5, maxDepth=2)
+    oof = f.oof(["id"])
+    assert sorted(r["id"] for r in oof.collect()) == list(range(300))
+    assert E.roc_auc(oof, "y", "score").first()["auc"] > 0.8
+    mean = {r["id"]: r["score"] for r in f.test_average(df.limit(20), ["id"]).collect()}
+    each = [{r["id"]: r["score"] for r in M.positive_score(m.transform(f.frame)).select("id", "score").collect()} for m in f.models]
+    assert all(v == pytest.approx(np.mean([e[i] for e in each])) for i, v in mean.items())
