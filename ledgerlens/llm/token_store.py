@@ -31,6 +31,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,39 +41,77 @@ from ledgerlens.llm.common import shared_path
 FINGERPRINT_BITS = 32
 
 
-def encode_pieces(tok, pieces: list[str], chunk: int = 256) -> list[np.ndarray]:
-    """Ids of each piece (no white space inside).  Pieces are encoded many at a
-    time, joined by spaces; the character offsets of the ids tell them apart."""
-    joined = [" ".join(pieces[i:i + chunk]) for i in range(0, len(pieces), chunk)]
-    out = []
-    for i, e in enumerate(tok.encode_batch(joined, add_special_tokens=False)):
-        ids = np.array(e.ids, np.uint32)
-        at = np.array([o[0] for o in e.offsets], np.int64)
-        ends = np.cumsum([len(p) + 1 for p in pieces[i * chunk:(i + 1) * chunk]])
-        out.extend(np.split(ids, np.searchsorted(at, ends)[:-1]))
+def encode_pieces(tok, pieces: list[str], ends: np.ndarray | None = None, kind: str = "<u4", chunk: int = 256) -> list[bytes]:
+    """Ids of each piece (no white space inside) as raw integers.  Pieces are
+    encoded many at a time, joined by spaces.  Where every piece is one run of
+    letters, the ids that end a word tell the pieces apart (``ends``, by id);
+    otherwise, or if their number differs, the character offsets do."""
+    out: list[bytes] = []
+    width = np.dtype(kind).itemsize
+    parts = [pieces[i:i + chunk] for i in range(0, len(pieces), chunk)]
+    encode = tok.encode_batch if ends is None else tok.encode_batch_fast
+    for part, e in zip(parts, encode([" ".join(p) for p in parts], add_special_tokens=False)):
+        ids = np.array(e.ids, kind)
+        cut = np.flatnonzero(ends[ids]) + 1 if ends is not None else ()
+        if len(cut) != len(part):
+            e = tok.encode(" ".join(part), add_special_tokens=False) if ends is not None else e
+            at = np.array([o[0] for o in e.offsets], np.int64)
+            cut = np.searchsorted(at, np.cumsum([len(p) + 1 for p in part]))
+        raw, first = ids.tobytes(), 0
+        for c in (cut * width).tolist():
+            out.append(raw[first:c])
+            first = c
     return out
 
 
+def word_ends(tok) -> np.ndarray | None:
+    """Which ids end a word, if the vocabulary marks them."""
+    vocab = tok.get_vocab(with_added_tokens=False)
+    out = np.zeros(tok.get_vocab_size() + 1, bool)
+    for t, i in vocab.items():
+        out[i] = t.endswith("</w>")
+    return out if out.any() else None
+
+
+def one_run_of_letters(piece: str) -> bool:
+    """Lowering keeps it a run of letters, so it is one word to the tokenizer."""
+    return piece.isalpha() and piece.lower().isalpha()
+
+
 def load_tokenizer(name: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     return Tokenizer.from_file(_tokenizer_file(name))
 
 
-class WordEncoder:
-    """Ids of a text as raw bytes.  Pieces are cached up to a bound, as is the
-    stem before sentence marks: marks after a letter or digit are tokens of
-    their own."""
+MARKS = ".,;:!?"
 
-    MARKS = ".,;:!?"
 
-    def __init__(self, tokenizer: str, max_pieces: int = 400_000):
+def stem_and_marks(piece: str) -> tuple[str, str]:
+    """A piece in two whose ids follow one another: sentence marks after a
+    letter or digit are tokens of their own, unless lowering that letter makes
+    a combining mark of it."""
+    stem = piece.rstrip(MARKS)
+    if not stem or len(stem) == len(piece):
+        return piece, ""
+    low = stem[-1].lower()
+    return (stem, piece[len(stem):]) if len(low) == 1 and low.isalnum() and stem[-1].isalnum() else (piece, "")
+
+
+class WordEncoder:
+    """Ids of texts.  A batch of texts is lowered (ASCII, as the tokenizer
+    does), split at spaces and line ends and reduced to its different pieces by
+    Arrow; their stems are encoded once and cached in two generations of a
+    bounded size, so that what is in use survives."""
+
+    def __init__(self, tokenizer: str, max_stems: int = 300_000):
         self.tok = load_tokenizer(tokenizer)
+        self.ends = word_ends(self.tok)
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.max_pieces = max_pieces
-        self.cache: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.max_stems = max_stems
+        self.cache: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
     @classmethod
     def of_worker(cls, tokenizer: str) -> "WordEncoder":
@@ -80,51 +120,45 @@ class WordEncoder:
             _ENCODERS[tokenizer] = cls(tokenizer)
         return _ENCODERS[tokenizer]
 
-    @classmethod
-    def _split(cls, piece: str) -> tuple[str, str]:
-        stem = piece.rstrip(cls.MARKS)
-        if len(stem) == len(piece) or not stem:
-            return _folded(piece), ""
-        low = stem[-1].lower()
-        if len(low) == 1 and low.isalnum() and stem[-1].isalnum():
-            return _folded(stem), piece[len(stem):]
-        return piece, ""
-
-    def _learn(self, pieces: list[str]):
-        parts = [self._split(p) for p in pieces]
-        if len(self.stems) > self.max_pieces:
-            self.stems.clear()
-        new = [x for x in dict.fromkeys(y for z in parts for y in z) if x and x not in self.stems]
-        for x, ids in zip(new, encode_pieces(self.tok, new)):
-            self.stems[x] = ids.astype(self.kind).tobytes()
-        self.stems[""] = b""
-        for p, (x, y) in zip(pieces, parts):
-            self.cache[p] = self.stems[x] + self.stems[y]
-
-    def encode_all(self, texts) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        out = []
-        for i in range(0, len(split), 200):
-            group = split[i:i + 200]
-            new = set().union(*group).difference(self.cache)
-            if new:
-                if len(self.cache) > self.max_pieces:
-                    self.cache.clear()
-                    new = set().union(*group)
-                self._learn(sorted(new))
-            out.extend(b"".join(map(self.cache.__getitem__, g)) for g in group)
-        return out
+    def _learn(self, stems: set[str]):
+        seen = stems & self.old.keys()
+        self.cache.update((p, self.old[p]) for p in seen)
+        words, others = [], []
+        for p in stems - seen:
+            (words if one_run_of_letters(p) else others).append(p)
+        for group, ends in ((words, self.ends), (others, None)):
+            for i in range(0, len(group), 20_000):
+                part = group[i:i + 20_000]
+                self.cache.update(zip(part, encode_pieces(self.tok, part, ends, self.kind)))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and where each text's ids begin (and the end)."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        special = pc.match_substring(texts, "<|")       # a special token's name in capitals must stay as it is
+        low = pc.if_else(special, texts, pc.ascii_lower(texts))
+        lists = pc.split_pattern(pc.replace_substring(low, "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        pieces = words.dictionary.to_pylist()
+        parts = [stem_and_marks(p) for p in pieces]
+        if len(self.cache) > self.max_stems:
+            self.old, self.cache = self.cache, {"": b""}
+        new = ({x for x, _ in parts} | {y for _, y in parts if y}).difference(self.cache)
+        if new:
+            self._learn(new)
+        cache = self.cache
+        raw = [cache[x] + cache[y] if y else cache[x] for x, y in parts]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // self.width
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        ids = pa.LargeListArray.from_arrays(at, pa.array(np.frombuffer(b"".join(raw), self.kind)))
+        which = words.indices
+        out = ids.take(which).flatten().to_numpy(zero_copy_only=False)
+        upto = np.concatenate([[0], np.cumsum(sizes[which.to_numpy(zero_copy_only=False)])])
+        return out, upto[lists.offsets.to_numpy()]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def _folded(piece: str) -> str:
-    """The tokenizer lowers; plain words may be lowered before (a special
-    token's name in capitals must stay as it is)."""
-    return piece.lower() if piece.isascii() and piece.isalnum() else piece
-
-
 def _tokenizer_file(name: str) -> str:
     if os.path.sep in name:
         return name
@@ -135,7 +169,7 @@ def _tokenizer_file(name: str) -> str:
 PAYLOAD = ("shard int, block int, width int, lens array<int>, n_tokens long, keys array<string>, payload binary")
 
 
-def _blocks(tokenizer: str, end_id: int, block_ids: int):
+def _blocks(tokenizer: str, end_id: int, block_ids: int, batch_bytes: int = 24 << 20):
     def run(batches):
         enc = WordEncoder.of_worker(tokenizer)
         end = np.array([end_id], enc.kind).tobytes()
@@ -143,22 +177,30 @@ def _blocks(tokenizer: str, end_id: int, block_ids: int):
 
         def row():
             lens = [len(p) // enc.width for p in parts]
-            return pd.DataFrame({"shard": [shard], "block": [block], "width": [enc.width], "lens": [lens],
-                                 "n_tokens": [sum(lens)], "keys": [keys], "payload": [b"".join(parts)]})
+            return pa.RecordBatch.from_pydict({"shard": [shard], "block": [block], "width": [enc.width], "lens": [lens],
+                                               "n_tokens": [sum(lens)], "keys": [keys], "payload": [b"".join(parts)]}, schema=_ARROW)
         for b in batches:
-            for s, k, raw in zip(b["shard"], b["key"], enc.encode_all(b["text"])):
-                shard, raw = int(s), raw + end
-                if parts and size + len(raw) > block_ids * enc.width:
-                    yield row()
-                    block, keys, parts, size = block + 1, [], [], 0
-                keys.append(k)
-                parts.append(raw)
-                size += len(raw)
+            step = max(1, b.num_rows * batch_bytes // max(b.nbytes, 1))
+            for i in range(0, b.num_rows, step):
+                part = b.slice(i, step)
+                ids, at = enc.encode(part.column("text"))
+                for s, k, x, y in zip(part.column("shard").to_pylist(), part.column("key").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                    shard, raw = s, ids[x:y].tobytes() + end
+                    if parts and size + len(raw) > block_ids * enc.width:
+                        yield row()
+                        block, keys, parts, size = block + 1, [], [], 0
+                    keys.append(k)
+                    parts.append(raw)
+                    size += len(raw)
         if parts:
             yield row()
     return run
 
 
+_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("width", pa.int32()), ("lens", pa.list_(pa.int32())),
+                    ("n_tokens", pa.int64()), ("keys", pa.list_(pa.string())), ("payload", pa.binary())])
+
+
 def write(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", tokenizer: str = "word_bpe_49k.json",
           end_id: int = 1, block_ids: int = 1 << 19, keys_per_segment: int = 20_000) -> str:
     """Write the store; returns ``path``."""
@@ -170,7 +212,7 @@ def write(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", tok
     ordered = (src.repartitionByRange(shards, F.col("key").asc_nulls_first(), F.xxhash64("text"))
                .sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text"), F.col("text"))
                .select(F.spark_partition_id().alias("shard"), F.col("key").cast("string").alias("key"), "text"))
-    ordered.mapInPandas(_blocks(tokenizer, end_id, block_ids), PAYLOAD).write.parquet(f"{path}/payload")
+    ordered.mapInArrow(_blocks(tokenizer, end_id, block_ids), PAYLOAD).write.parquet(f"{path}/payload")
     payload = spark.read.parquet(f"{path}/payload")
 
     sizes = payload.select("shard", "block", F.size("lens").cast("long").alias("docs"), "n_tokens")
