@@ -4,18 +4,24 @@ A document's set holds its distinct word shingles as 64-bit hashes.  Equal sets
 are one class from then on, whatever their number.  Each class has a minhash
 signature, cut into ``trees`` sorted orders of ``depth`` values.  Classes that
 agree on the first ``least_depth`` values of an order form a region of that
-tree; a pair at the threshold of similarity misses all regions with
-probability (1 - t**least_depth)**trees (0.00001 at t = 0.85).
+tree; a pair at the threshold t of similarity misses all regions with
+probability (1 - t**least_depth)**trees, and ``trees`` is chosen to make that
+less than 0.00001 (16 orders at t = 0.85, 22 at 0.8).
 
 1. Every class points at its nearest neighbour in sorted order that is common
    to its region: the region's smallest class, at the least depth in a small
    region, and in a large one at the full depth, whose smallest classes in
    turn point at the region's.  One candidate per class and depth.
 2. Candidates are confirmed on the full sets; components are labelled.
-3. Regions that still hold more than one component are compared in blocks:
+3. Regions that still hold more than one component get a second hub, the class
+   that shares most of its set with others, and its candidates are confirmed.
+4. Regions that hold more than one component even then are compared in blocks:
    every pair from different components is met once, in the first tree that
-   it shares, and those whose signatures agree well enough are confirmed on
-   the full sets.  Nothing is capped: blocks only bound what one task holds.
+   it shares, and checked there on the full sets unless it cannot reach the
+   similarity: two sets meet only in shingles that each shares with others,
+   and signatures of similar sets agree.  Only links leave the block, one for
+   each document and component.  Nothing is capped: blocks only bound what one
+   task holds.
 
 Sets are compared as 64-bit hashes of their shingles.
 
@@ -28,6 +34,7 @@ Only key and text are read.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -67,14 +74,15 @@ def shingle_set(text: str | None, shingle: int, words_hash: dict) -> np.ndarray:
 
 
 def _coefficients(values: int, seed: int = 3) -> np.ndarray:
-    return np.random.default_rng(seed).integers(1, 1 << 63, values, dtype=np.uint64) | np.uint64(1)
+    return np.random.default_rng(seed).integers(1, 1 << 32, (values, 1), dtype=np.uint32) | np.uint32(1)
 
 
 def signature(s: np.ndarray, coef: np.ndarray) -> np.ndarray:
-    """Minimum of each multiplicative hash of a set."""
-    out = np.empty(len(coef), np.uint32)
-    for j, c in enumerate(coef):
-        out[j] = ((s * c) >> np.uint64(32)).min()
+    """Minimum of each multiplicative hash of a set, over cache-sized parts."""
+    x = (s >> np.uint64(32)).astype(np.uint32)
+    out = np.full(len(coef), ~np.uint32(0))
+    for i in range(0, len(x), 2048):
+        np.minimum(out, (x[None, i:i + 2048] * coef).min(axis=1), out=out)
     return out
 
 
@@ -115,40 +123,94 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b"))
 
 
-def _cross(least_depth: int, depth: int, least_agree: float, block: int):
-    """Pairs of different components within a block pair of a region."""
-    def run(key, g):
-        tree = int(key[0])
-        left, right = g[g["side"] == 0], g[g["side"] == 1]
-        same = key[2] == key[3]
-        right = left if same else right
-        out_a, out_b = [], []
-        if len(left) and len(right):
-            sa = np.stack([np.frombuffer(x, ">u4") for x in left["sig"]])
-            sb = np.stack([np.frombuffer(x, ">u4") for x in right["sig"]])
-            la, lb = left["label"].to_numpy(), right["label"].to_numpy()
-            ia, ib = left["id"].to_numpy(), right["id"].to_numpy()
-            heads = [slice(t * depth, t * depth + least_depth) for t in range(tree)]
-            for i in range(len(sa)):
-                eq = sb == sa[i]
-                ok = (eq.mean(axis=1) >= least_agree) & (lb != la[i])
-                if same:
-                    ok &= ib > ia[i]
-                for h in heads:      # an earlier tree holds this pair already
-                    ok &= ~eq[:, h].all(axis=1)
-                for j in np.flatnonzero(ok):
-                    out_a.append(min(ia[i], ib[j]))
-                    out_b.append(max(ia[i], ib[j]))
-        return pd.DataFrame({"a": out_a, "b": out_b})
+def _may_reach(n, shared, n2, shared2, percent: int):
+    """Whether two sets can reach the similarity: they meet only in shingles
+    that each shares with some other document."""
+    most = F.least(shared, shared2)
+    return 100 * most >= percent * (n + n2 - most)
+
+
+def _shared(ids: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, n, shared): how many shingles of a set occur in another set of ``ids``."""
+    own = sets.join(ids, "id", "left_semi")
+    flat = own.select("id", F.explode("s").alias("h"))
+    often = flat.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
+    kept = flat.join(often, "h", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+    return own.select("id", F.size("s").cast("long").alias("n")).join(kept, "id", "left").fillna(0, ["shared"])
+
+
+def _mixed_regions(members: DataFrame, labels: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Members with their labels, and the regions of more than one label: the
+    largest, and in how many blocks its members and the others are cut.  The
+    largest needs no comparison within itself: only the others do, with all."""
+    mark = members.select("id", "tree", "head").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    mark = written(mark, "lsh-marked")
+    held = mark.groupBy("tree", "head", "label").count()
+    mixed = (held.groupBy("tree", "head")
+             .agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.max("count").alias("n_main"),
+                  F.sum("count").alias("all"), F.count("*").alias("labels"))
+             .filter("labels > 1")
+             .select("tree", "head", "main", F.ceil((F.col("all") - F.col("n_main")) / block).cast("int").alias("few"),
+                     F.ceil(F.col("n_main") / block).cast("int").alias("many")))
+    return mark, written(mixed, "lsh-mixed")
+
+
+def _cross(depth: int, least_depth: int, least_agree: float, percent: int):
+    """Links between different components within the block pairs of regions,
+    confirmed on the full sets; one for each document and component.  Rows come
+    sorted by block pair; one block pair at a time is held."""
+    def links(tree, rows, same):
+        left, right = [r for r in rows if r[0] == 0], [r for r in rows if r[0] == 1]
+        if same:
+            left = right = rows
+        if not left or not right:
+            return
+        sb = np.frombuffer(b"".join(r[3] for r in right), ">u4").reshape(len(right), -1)
+        lb, ib, nb, hb = (np.array([r[c] for r in right]) for c in (2, 1, 4, 5))
+        for _, i, label, sig, n, shared, own in left:
+            most = np.minimum(hb, shared)
+            ok = (lb != label) & (100 * most >= percent * (n + nb - most))
+            if same:
+                ok &= ib > i
+            at = np.flatnonzero(ok)
+            if not len(at):
+                continue
+            eq = sb[at] == np.frombuffer(sig, ">u4")
+            agree = eq.mean(axis=1)
+            ok = agree >= least_agree
+            for t in range(tree):       # an earlier tree holds this pair already
+                ok &= ~eq[:, t * depth:t * depth + least_depth].all(axis=1)
+            met = set()
+            for j in at[ok][np.argsort(-agree[ok], kind="stable")]:
+                if lb[j] not in met:
+                    both = len(np.intersect1d(own, right[j][6], assume_unique=True))
+                    if 100 * both >= percent * (n + nb[j] - both):
+                        met.add(lb[j])
+                        yield (min(i, ib[j]), max(i, ib[j]))
+
+    def run(batches):
+        last, rows = None, []
+        for b in batches:
+            out = []
+            for tree, head, i, j, *row in zip(*(b[c] for c in ("tree", "head", "i", "j", "side", "id", "label", "sig", "n", "shared", "s"))):
+                if (tree, head, i, j) != last:
+                    if rows:
+                        out.extend(links(last[0], rows, last[2] == last[3]))
+                    last, rows = (tree, head, i, j), []
+                rows.append(row)
+            yield pd.DataFrame(out, columns=["a", "b"])
+        if rows:
+            yield pd.DataFrame(list(links(last[0], rows, last[2] == last[3])), columns=["a", "b"])
     return run
 
 
-def link(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, trees: int = 16,
-         depth: int = 6, least_depth: int = 4, small_region: int = 64, block: int = 400, margin: float = 0.25) -> DataFrame:
+def link(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, trees: int | None = None,
+         depth: int = 6, least_depth: int = 4, small_region: int = 64, block: int = 400, margin: float = 0.2) -> DataFrame:
     """key, n_shingles, component_id, kept.  ``margin``: signatures that agree
     on a share of less than the similarity minus this are not confirmed (over
     five standard deviations of the estimate)."""
-    values = trees * depth
+    # as many orders as make a missed pair at the threshold rarer than one in a hundred thousand
+    trees = trees or math.ceil(math.log(1e-5) / math.log(1 - (percent / 100) ** least_depth))
     sig = written(signatures(df, key, text, shingle, trees, depth), "lsh-signatures")
     full = sig.filter("n > 0")
     classes = written(full.groupBy("digest").agg(F.min("key").alias("id"), F.first("sig").alias("sig")), "lsh-classes")
@@ -176,30 +238,36 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int =
     links = written(_confirmed(pairs, sets, percent), "lsh-links")
     labels = components(links)
 
-    # regions of more than one component: every pair across components, by blocks
-    mark = members.select("id", "tree", "head").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mark = written(mark, "lsh-marked")
-    # the largest component of a region needs no comparison within itself: only the others do, with all
-    held = mark.groupBy("tree", "head", "label").count()
-    mixed = (held.groupBy("tree", "head")
-             .agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.max("count").alias("n_main"),
-                  F.sum("count").alias("n"), F.count("*").alias("labels"))
-             .filter("labels > 1")
-             .select("tree", "head", "main", F.ceil((F.col("n") - F.col("n_main")) / block).cast("int").alias("few"),
-                     F.ceil(F.col("n_main") / block).cast("int").alias("many")))
-    mixed = written(mixed, "lsh-mixed")
+    mark, mixed = _mixed_regions(members, labels, block)
+    shared = written(_shared(mark.join(mixed, ["tree", "head"], "left_semi").select("id").distinct(), sets), "lsh-shared")
+
+    # the class that shares most of its set with others is the region's second hub
+    at = mark.join(mixed, ["tree", "head"]).join(shared, "id")
+    hubs = written(at.groupBy("tree", "head").agg(F.max_by(F.struct("id", "label", "n", "shared"), F.struct(F.col("shared") / F.col("n"), "id")).alias("hub")),
+                   "lsh-hubs")
+    j = at.join(hubs, ["tree", "head"]).filter(F.col("label") != F.col("hub.label"))
+    second = (j.filter(_may_reach(F.col("n"), F.col("shared"), F.col("hub.n"), F.col("hub.shared"), percent))
+              .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
+    more = written(_confirmed(second, sets, percent), "lsh-links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = components(links)
+        mark, mixed = _mixed_regions(members, labels, block)
+
+    # regions that still have more than one component: every pair across components, by blocks
     is_main = F.col("label") == F.col("main")
-    at = F.xxhash64("id")
-    rest = (mark.join(mixed, ["tree", "head"]).join(classes.select("id", "sig"), "id")
-            .withColumn("own", F.when(is_main, F.col("few") + F.pmod(at, F.col("many"))).otherwise(F.pmod(at, F.col("few"))).cast("int"))
+    part = F.xxhash64("id")
+    able = shared.filter(100 * F.col("shared") >= percent * F.col("n"))       # others cannot reach the similarity with any
+    rest = (mark.join(mixed, ["tree", "head"]).join(able, "id").join(classes.select("id", "sig"), "id").join(sets, "id")
+            .withColumn("own", F.when(is_main, F.col("few") + F.pmod(part, F.col("many"))).otherwise(F.pmod(part, F.col("few"))).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(is_main, F.col("few") - 1)
                                                       .otherwise(F.col("few") + F.col("many") - 1))))
             .select("tree", "head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "label", "sig",
-                    (F.col("own") > F.col("other")).cast("int").alias("side")))
+                    "n", "shared", "s", (F.col("own") > F.col("other")).cast("int").alias("side")))
     kind = df.schema[key].dataType.simpleString()
-    late = (rest.groupBy("tree", "head", "i", "j")
-            .applyInPandas(_cross(least_depth, depth, percent / 100 - margin, block), f"a {kind}, b {kind}").distinct())
-    more = written(_confirmed(late, sets, percent), "lsh-links")
+    late = (rest.repartition("tree", "head", "i", "j").sortWithinPartitions("tree", "head", "i", "j")
+            .mapInPandas(_cross(depth, least_depth, percent / 100 - margin, percent), f"a {kind}, b {kind}").distinct())
+    more = written(late, "lsh-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     named = written(classes.select("digest", "id").join(labels, "id", "left")
