@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import written
 
 PIECE = 1 << 22
+SALTS = 16
 _LOW = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15
 _NO = np.empty(0, np.int64)
@@ -348,8 +349,10 @@ def removed_spans(df: DataFrame, key: str = "doc_id", text: str = "text", length
     mixed = places.filter("NOT uniform")
     classes = written(mixed.groupBy("g", "c").agg(F.count("*").alias("k"), F.min(F.struct("row", "first", "n", "back")).alias("p")),
                       "sa-classes")
-    twice = classes.filter("k > 1").select("g", "c")
-    certain = certain.unionByName(mixed.join(twice, ["g", "c"], "left_semi").select("row", "first", "n"))
+    # a context of very many copies is spread over the salts
+    twice = classes.filter("k > 1").select("g", "c", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = mixed.withColumn("salt", F.pmod(F.xxhash64("row", "first"), F.lit(SALTS)).cast("int"))
+    certain = certain.unionByName(salted.join(twice, ["g", "c", "salt"], "left_semi").select("row", "first", "n"))
     spans = certain.select("row", F.col("first").alias("a"), (F.col("first") + F.col("n") - 1 + length).alias("z"))
 
     # one copy of each different context, with its bytes
