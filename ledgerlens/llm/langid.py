@@ -124,11 +124,11 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", rows_per_langua
         for b in batches:
             b = b[[bool(LETTER.search(t)) for t in b["t"]]]
             if len(b):
-                yield pd.DataFrame({"l": b["l"], "x": [features(t).tobytes() for t in b["t"]]})
+                yield pd.DataFrame({"l": b["l"], "x": [features(t).astype(np.float16).tobytes() for t in b["t"]]})
     got = picked.mapInPandas(run, "l string, x binary").orderBy("l", "x").toPandas()
     if got.empty:
         return Model([], np.ones((0, 1), np.int8), np.zeros((DIMS, 1), np.float32), np.zeros(1, np.float32), np.ones(1))
-    x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), DIMS)
+    x = np.frombuffer(b"".join(got["x"]), np.float16).reshape(len(got), DIMS).astype(np.float32)
     return train(x, list(got["l"]), seed=seed)
 
 
