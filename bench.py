@@ -23,11 +23,16 @@ HEADLINE = [
     "good_streak", "half_split_trend", "last_k_rate", "spending_trend", "ratio_trend", "recent_success_rate",
     "top_k_per_entity", "clip_score", "median_impute", "group_median_impute", "describe_features", "box_stats",
     "corr_matrix", "score_percentiles", "stratified_folds", "roc_auc", "auc_by_fold", "roc_points",
-    "late_under_flags", "blend_gain", "blend_grid", "blend_best", "wide_correlation", "credit_bureau_family",
+    "late_under_flags", "blend_gain", "wide_correlation", "credit_bureau_family",
     "credit_prev_family", "credit_instalment_family", "credit_pos_family", "credit_card_family", "credit_pack",
+    "blend_grid",
 ]
 
 
+#: timed once: it multiplies the distinct score tuples by 231
+ONCE = {"blend_grid"}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -43,7 +48,7 @@ def main() -> None:
     times = {}
     for n in names:
         runs = []
-        for _ in range(reps):
+        for _ in range(1 if n in ONCE else reps):
             t0 = time.perf_counter()
             catalog.QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
@@ -59,7 +64,7 @@ def main() -> None:
         con.execute(f"SET threads TO {int(cpus)}")
         dt = {}
         for n in names:
-            q = catalog.ORACLE.get(n)
+            q = catalog.ORACLE.get(n) if n not in ONCE else None
             if q is None:
                 continue
             t0 = time.perf_counter()
