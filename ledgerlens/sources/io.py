@@ -80,3 +80,32 @@ def write_params(spark: SparkSession, params: dict, path: str) -> None:
 def read_params(spark: SparkSession, path: str) -> dict:
     import json
     return json.loads(spark.read.text(path).first()["value"])
+
+
+def write_ranked(df: DataFrame, path: str, by: list, fmt: str = "csv") -> None:
+    """Ranked-result sink (importance, weight grid, trials): rows in order."""
+    write_table(df.orderBy(*by), path, fmt)
+
+
+def write_report(spark: SparkSession, rows: list[tuple[str, str, str]], path: str) -> None:
+    """Run-summary sink: (section, key, value) rows as CSV, in the order given."""
+    write_csv(summary_frame(spark, rows).coalesce(1), path)
+
+
+TRIALS = "trial int, params string, mean_auc double"
+
+
+def write_trials(spark: SparkSession, trials: list[tuple], path: str) -> None:
+    """Trial table of a search: (trial, parameters, mean AUC)."""
+    import json
+    rows = [(t, json.dumps(p, sort_keys=True), a) for t, p, a in trials]
+    write_table(spark.createDataFrame(rows, TRIALS), path)
+
+
+def read_trials(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
+    """The trial table and the parameters of its best trial (ties: the first)."""
+    import json
+    from pyspark.sql import functions as F
+    t = read_table(spark, path)
+    best = t.orderBy(F.desc("mean_auc"), "trial").first()
+    return t, json.loads(best["params"]) if best else {}

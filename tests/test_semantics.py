@@ -171,3 +171,17 @@ def test_column_split_and_width(spark):
     df = spark.createDataFrame([(1, "x", 2.0)], "SK_ID_CURR long, c string, v double")
     assert column_split(df) == (["SK_ID_CURR", "v"], ["c"])
     assert width_report(df, df.withColumn("w", F.lit(1))) == {"original": 2, "final": 3, "new": 1}
+
+
+def test_result_sinks_and_trial_read_back(spark, tmp_path):
+    from ledgerlens.sources import io
+    trials = [(0, {"maxDepth": 6, "stepSize": 0.02}, 0.71), (1, {"maxDepth": 9, "stepSize": 0.01}, 0.78), (2, {"maxDepth": 7}, 0.78)]
+    io.write_trials(spark, trials, str(tmp_path / "trials"))
+    table, best = io.read_trials(spark, str(tmp_path / "trials"))
+    assert table.count() == 3 and best == {"maxDepth": 9, "stepSize": 0.01}
+    io.write_ranked(table.select("trial", "mean_auc"), str(tmp_path / "ranked"), [table["mean_auc"].desc(), "trial"])
+    got = io.read_csv(spark, str(tmp_path / "ranked"), "trial int, mean_auc double")
+    assert [r["trial"] for r in got.collect()] == [1, 2, 0]
+    rows = [("data", "rows", "100"), ("model", "auc", "0.78")]
+    io.write_report(spark, rows, str(tmp_path / "report"))
+    assert [tuple(r) for r in io.read_csv(spark, str(tmp_path / "report"), "section string, key string, value string").collect()] == rows
