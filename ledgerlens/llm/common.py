@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,22 +34,15 @@ def fold_of(doc_id: Column, n: int) -> Column:
     return (F.crc32(doc_id.cast("string")) % n).cast("int")
 
 
-def fold_py(doc_id, n: int) -> int:
-    return zlib.crc32(str(doc_id).encode()) % n
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder for this run in the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder once and read back: later stages and retries
     after a lost executor start from the files, not from the texts."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
