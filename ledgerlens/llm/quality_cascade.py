@@ -146,12 +146,15 @@ def cascade(df: DataFrame, rules: list[Rule] | None = None, text: str = "text",
     """``df`` with the name of the first rejecting rule (NULL: kept)."""
     rules = rules or default_rules()
     ordered = order_rules(rules, measured or measure(df, rules, text, sample_rows))
-    d = df.withColumn(_W, words_of(F.col(text)))
-    verdict = None
-    for r in ordered:
-        cond = r.rejects(F.col(_W), F.col(text))
-        verdict = F.when(cond, F.lit(r.name)) if verdict is None else verdict.when(cond, F.lit(r.name))
-    return d.withColumn(reason, verdict).drop(_W)
+
+    def verdict(words):
+        out = None
+        for r in ordered:
+            cond = r.rejects(words, F.col(text))
+            out = F.when(cond, F.lit(r.name)) if out is None else out.when(cond, F.lit(r.name))
+        return out
+    # the words are bound inside the expression: a filter on it, pushed down or not, splits a text once
+    return df.withColumn(reason, let(words_of(F.col(text)), verdict))
 
 
 def keep_clean(df: DataFrame, **kw) -> DataFrame:
