@@ -48,7 +48,7 @@ from ledgerlens.llm.graph import components
 class _WordHash(dict):
     def __missing__(self, w):
         import xxhash
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[w] = xxhash.xxh3_64_intdigest(w)
         return h

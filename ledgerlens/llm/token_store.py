@@ -120,6 +120,11 @@ class WordEncoder:
             _ENCODERS[tokenizer] = cls(tokenizer)
         return _ENCODERS[tokenizer]
 
+    def rest(self):
+        """Between tasks only the younger generation stays in the worker."""
+        self.old = {}
+        pa.default_memory_pool().release_unused()
+
     def _learn(self, stems: set[str]):
         seen = stems & self.old.keys()
         self.cache.update((p, self.old[p]) for p in seen)
@@ -194,6 +199,7 @@ def _blocks(tokenizer: str, end_id: int, block_ids: int, batch_bytes: int = 24 <
                     size += len(raw)
         if parts:
             yield row()
+        enc.rest()
     return run
 
 
