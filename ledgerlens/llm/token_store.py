@@ -174,7 +174,7 @@ def _tokenizer_file(name: str) -> str:
 PAYLOAD = ("shard int, block int, width int, lens array<int>, n_tokens long, keys array<string>, payload binary")
 
 
-def _blocks(tokenizer: str, end_id: int, block_ids: int, batch_bytes: int = 24 << 20):
+def _blocks(tokenizer: str, end_id: int, block_ids: int, batch_bytes: int = 8 << 20):
     def run(batches):
         enc = WordEncoder.of_worker(tokenizer)
         end = np.array([end_id], enc.kind).tobytes()
