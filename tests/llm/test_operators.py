@@ -224,6 +224,41 @@ def test_causal_lm_scores(spark, corpus):
     assert model.class_size.sum() >= n_all
 
 
+def test_causal_lm_is_fitted_on_every_document(spark):
+    """Input ids, classes and training windows follow the corpus, not the sample that training starts from."""
+    lexicon = [prose(40, 1, ("ka", "lo", "mi")).split(" "), prose(40, 2, ("schu", "ber", "en")).split(" ")]
+    r = random.Random(8)
+    rows = [(i, " ".join(r.choice(lexicon[i % 2]) for _ in range(300)), "en", "a") for i in range(80)]
+    small = dict(head_words=40, own_words=4, clusters=6, fit_documents=1, steps=2)
+    model, _ = causal_lm.fit(frame(spark, rows), **small)
+    half, _ = causal_lm.fit(frame(spark, rows[:40]), **small)
+    first = causal_lm.FirstSubword(model.tokenizer)
+    c = Counter(w for _, t, _, _ in rows for w in t.split(" "))
+    subs = Counter()
+    for s, w in zip(first.of(list(c)), c):
+        subs[int(s)] += c[w]
+    assert all((model.in_of_sub[s] != causal_lm.OTHER) == (n > 1) for s, n in subs.items())
+    # neighbours of a brute-force count
+    seqs = [first.of(t.split(" ")) for _, t, _, _ in rows[:5]]
+    row = np.full(first.size, -1, np.int64)
+    row[list(subs)] = np.arange(len(subs))
+    want = np.zeros((len(subs), len(subs)), np.int64)
+    for s in seqs:
+        for i in range(len(s)):
+            for j in range(max(0, i - 3), min(len(s), i + 4)):
+                want[row[s[i]], row[s[j]]] += i != j
+    df = spark.createDataFrame([(s.astype("u2").tobytes(),) for s in seqs], "s binary").repartition(3)
+    assert (causal_lm.near_counts(df, "u2", row, row, len(subs), len(subs), 3) == want).all()
+    # windows: two of eight of the 13 windows of each document
+    assert model.trained_windows > 80 * 2 and model.trained_windows == pytest.approx(2 * half.trained_windows, rel=0.1)
+
+
+def test_causal_lm_windows_of_a_share_are_disjoint():
+    ids, y = np.arange(50) + 3, np.arange(50)
+    parts = [causal_lm.windows(ids, y, 4, 8, i, 3) for i in range(3)]
+    assert sorted(np.concatenate([t[ok > 0] for _, t, ok in parts]).tolist()) == y.tolist()
+
+
 def test_causal_lm_empty(spark, corpus):
     docs = frame(spark, corpus)
     model, counts = causal_lm.fit(docs.limit(0), steps=2)
