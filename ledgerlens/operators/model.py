@@ -90,22 +90,50 @@ class FoldModels:
                 for f, v in zip(self.features, m.featureImportances.toArray())]
 
 
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Number of rounds up to the least loss, and whether ``patience`` rounds
+    without a gain follow it; what comes after those is not looked at."""
+    best = 0
+    for i, v in enumerate(losses):
+        if v < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_stopped(estimator: GBTClassifier, train: DataFrame, held: DataFrame, patience: int):
+    """Boosting that ends when the loss on ``held`` has not fallen for ``patience``
+    rounds, with the trees up to the least loss.  MLlib's own rule has no
+    patience and cannot go on with a model, so the rounds are doubled until the
+    end is seen; the first trees of a longer run are those of a shorter one."""
+    most = estimator.getMaxIter()
+    rounds = min(most, patience + 1)
+    while True:
+        model = estimator.copy({estimator.maxIter: rounds}).fit(train)
+        best, ended = best_round(model.evaluateEachIteration(held), patience)
+        if ended or rounds >= most:
+            break
+        rounds = min(most, 2 * rounds)
+    return model if best == rounds else estimator.copy({estimator.maxIter: best}).fit(train)
+
+
 def fit_folds(df: DataFrame, features: Sequence[str], label: str, fold_col: str, k: int, kind: str,
-              balanced: bool = True, early_stopping: bool = False, **params) -> FoldModels:
+              balanced: bool = True, early_stopping: bool = False, patience: int = 100, **params) -> FoldModels:
     """Fit one model per fold.  The assembled frame is written to the shared
     folder once, so no fit recomputes weights, folds or features.  With
     ``early_stopping`` (gbt) the left-out fold is the validation set that ends
-    the boosting."""
+    the boosting after ``patience`` rounds without gain."""
     d = with_class_weight(df, label, "_w") if balanced else df
     d = cut_lineage(assemble(d, features))
     models = []
     for i in range(k):
+        est = make_estimator(kind, label, "_w" if balanced else None, **params)
+        train = d.filter(F.col(fold_col) != i)
         if early_stopping and kind == "gbt":
-            est = make_estimator(kind, label, "_w" if balanced else None, validationIndicatorCol="_held", **params)
-            models.append(est.fit(d.withColumn("_held", F.col(fold_col) == i)))
+            models.append(fit_stopped(est, train, d.filter(F.col(fold_col) == i), patience))
         else:
-            est = make_estimator(kind, label, "_w" if balanced else None, **params)
-            models.append(est.fit(d.filter(F.col(fold_col) != i)))
+            models.append(est.fit(train))
     return FoldModels(models, d, list(features), label, fold_col)
 
 

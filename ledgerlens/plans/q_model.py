@@ -11,8 +11,8 @@ from ledgerlens.plans.registry import finish, query
 from ledgerlens.sources import tables as T
 
 FEATS = ["s1", "s2", "s3"]
-#: rounds of boosting in the catalogue's runs; the operators' defaults are those of a full run
-ROUNDS = {"maxIter": 10, "maxDepth": 5, "stepSize": 0.1}
+#: boosting ends on the left-out fold, as in the reference; rounds, depth and step are the operators' defaults
+STOP = {"early_stopping": True}
 
 
 def _train(spark, d, k: int):
@@ -32,14 +32,14 @@ def forest_fit(spark, d):
 
 @query("oof_scores")
 def oof_scores(spark, d):
-    return finish(M.oof_predict(_train(spark, d, 5), FEATS, "y", "fold", 5, "gbt", T.SCORED_KEYS, **ROUNDS))
+    return finish(M.oof_predict(_train(spark, d, 5), FEATS, "y", "fold", 5, "gbt", T.SCORED_KEYS, **STOP))
 
 
 @query("gbt_importance")
 def gbt_importance(spark, d):
     """Gain importance per fold (3 folds) summarised per feature, sorted desc."""
     imps: list = []
-    M.oof_predict(_train(spark, d, 3), FEATS, "y", "fold", 3, "gbt", T.SCORED_KEYS, importances=imps, **ROUNDS)
+    M.oof_predict(_train(spark, d, 3), FEATS, "y", "fold", 3, "gbt", T.SCORED_KEYS, importances=imps, **STOP)
     t = spark.createDataFrame(imps, "fold int, feature string, importance double")
     return finish(t.groupBy("feature").agg(
         F.avg("importance").alias("importance_mean"), F.stddev_samp("importance").alias("importance_std"),
@@ -47,17 +47,14 @@ def gbt_importance(spark, d):
         .orderBy(F.desc("importance_mean")))
 
 
-_SPACE = {"maxDepth": ("int", 3, 6), "stepSize": ("log", 0.05, 0.3),
-          "subsamplingRate": ("float", 0.6, 0.95), "minInstancesPerNode": ("int", 30, 150)}
-
-
 @query("random_search")
 def random_search(spark, d):
-    rows = M.random_search(_train(spark, d, 3), FEATS, "y", "fold", 3, T.SCORED_KEYS, _SPACE, n_trials=3,
-                           kind="gbt", seed=42, maxIter=ROUNDS["maxIter"])
-    t = spark.createDataFrame([(i, p["maxDepth"], p["stepSize"], p["subsamplingRate"], p["minInstancesPerNode"], a)
-                               for i, p, a in rows],
-                              "trial int, max_depth int, step_size double, subsampling double, min_leaf int, mean_auc double")
+    """100 trials over the whole search space, each fold's boosting ended after 50 rounds without gain."""
+    rows = M.random_search(_train(spark, d, 3), FEATS, "y", "fold", 3, T.SCORED_KEYS, patience=50, maxIter=2000, **STOP)
+    t = spark.createDataFrame([(i, p["maxDepth"], p["stepSize"], p["subsamplingRate"], float(p["featureSubsetStrategy"]),
+                                p["minInstancesPerNode"], a) for i, p, a in rows],
+                              "trial int, max_depth int, step_size double, subsampling double, feature_share double, "
+                              "min_leaf int, mean_auc double")
     # the trial table has n_trials rows (bounded), so an ordered window over it is fine
     return finish(t.withColumn("best_so_far", F.max("mean_auc").over(
         Window.orderBy("trial").rowsBetween(Window.unboundedPreceding, 0))))
@@ -68,7 +65,7 @@ def test_average(spark, d):
     """Fold models with early stopping on their left-out fold; mean score on the held-out rows."""
     s = E.stratified_holdout(T.scored_with_id(spark, d), "rid", "y", 0.2, 42)
     train = E.stratified_folds(s.filter("is_valid = 0").drop("is_valid"), "rid", "y", 3, 42)
-    f = M.fit_folds(train, FEATS, "y", "fold", 3, "gbt", early_stopping=True, **ROUNDS)
+    f = M.fit_folds(train, FEATS, "y", "fold", 3, "gbt", **STOP)
     return finish(f.test_average(s.filter("is_valid = 1"), [*T.SCORED_KEYS, "y"]))
 
 
@@ -76,5 +73,5 @@ def test_average(spark, d):
 def selected_retrain(spark, d):
     """Importance filter, correlation filter, retrained fold models; scores carry the chosen features."""
     s = _train(spark, d, 3).withColumn("s1_copy", F.col("s1") * 2 + 1).withColumn("flat", F.lit(0.0))
-    f, chosen = M.select_and_retrain(s, [*FEATS, "s1_copy", "flat"], "y", "fold", 3, "gbt", **ROUNDS)
+    f, chosen = M.select_and_retrain(s, [*FEATS, "s1_copy", "flat"], "y", "fold", 3, "gbt", **STOP)
     return finish(f.oof(T.SCORED_KEYS).withColumn("features", F.lit(",".join(chosen))))

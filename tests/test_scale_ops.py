@@ -198,3 +198,45 @@ def test_fold_models_score_each_row_once(spark):
     mean = {r["id"]: r["score"] for r in f.test_average(df.limit(20), ["id"]).collect()}
     each = [{r["id"]: r["score"] for r in M.positive_score(m.transform(f.frame)).select("id", "score").collect()} for m in f.models]
     assert all(v == pytest.approx(np.mean([e[i] for e in each])) for i, v in mean.items())
+
+
+def test_boosting_ends_by_patience(spark):
+    """The least validation loss of the rounds that patience allows, with every tree up to it."""
+    from ledgerlens.operators import model as M
+    assert M.best_round([5, 4, 4.5, 4.4, 3, 3.5], 3) == (5, False)
+    assert M.best_round([5, 4, 4.5, 4.4, 3, 3.5], 2) == (2, True)
+    assert M.best_round([1, 2, 3, 0], 2) == (1, True)
+    rng = random.Random(4)
+    data = [(i, i % 2, int(rng.random() < 0.5)) for i in range(300)]
+    df = spark.createDataFrame([(i, f, y, y + rng.gauss(0, 0.5), rng.random()) for i, f, y in data], "id long, fold int, y int, a double, b double")
+    small = dict(maxIter=7, maxDepth=2, stepSize=0.05)
+    full = M.fit_folds(df, ["a", "b"], "y", "fold", 2, "gbt", **small)
+    f = M.fit_folds(df, ["a", "b"], "y", "fold", 2, "gbt", early_stopping=True, patience=2, **small)
+    for i in range(2):
+        losses = full.models[i].evaluateEachIteration(full.frame.filter(F.col("fold") == i))
+        assert f.models[i].getNumTrees == M.best_round(losses, 2)[0] > 2
+
+
+@pytest.mark.parametrize("name", ["oof_scores", "gbt_importance", "test_average", "selected_retrain", "random_search"])
+def test_model_queries_use_the_surveyed_settings(spark, name, monkeypatch):
+    from conftest import SF0001
+    from ledgerlens.operators import model as M
+    from ledgerlens.plans import catalog
+
+    class Seen(Exception):
+        pass
+
+    def stopped(est, train, held, patience):
+        raise Seen(est.getMaxIter(), est.getMaxDepth(), est.getStepSize(), patience)
+    monkeypatch.setattr(M, "fit_stopped", stopped)
+    if name == "random_search":
+        drawn = []
+        draw = M.sample_params
+        monkeypatch.setattr(M, "sample_params", lambda space, n, seed: drawn.extend(draw(space, n, seed)) or drawn)
+    with pytest.raises(Seen) as e:
+        catalog.QUERIES[name](spark, SF0001)
+    if name == "random_search":
+        assert len(drawn) == 100 and all(p.keys() == M.SEARCH_SPACE.keys() and 6 <= p["maxDepth"] <= 15 and 0.01 <= p["stepSize"] <= 0.05 for p in drawn)
+        assert e.value.args == (2000, drawn[0]["maxDepth"], drawn[0]["stepSize"], 50)
+    else:
+        assert e.value.args == (1000, 7, 0.02, 100)
