@@ -240,3 +240,20 @@ def test_model_queries_use_the_surveyed_settings(spark, name, monkeypatch):
         assert e.value.args == (2000, drawn[0]["maxDepth"], drawn[0]["stepSize"], 50)
     else:
         assert e.value.args == (1000, 7, 0.02, 100)
+
+
+def test_every_pair_of_the_wide_correlation(spark):
+    from conftest import SF0001
+    from ledgerlens.operators.profile import corr_pairs
+    from ledgerlens.plans import q_eval
+    df = q_eval.wide_columns(spark, SF0001)
+    got = {(r["a"], r["b"]): r["r"] for r in corr_pairs(df, df.columns).collect()}
+    pdf = df.toPandas().astype(float)
+    want = pdf.corr()
+    assert len(got) == 80 * 79 // 2
+    for (a, b), r in got.items():
+        both = pdf[[a, b]].dropna()
+        if both[a].nunique() < 2 or both[b].nunique() < 2:
+            assert r is None, (a, b)
+        else:
+            assert r == pytest.approx(want.loc[a, b], abs=1e-9), (a, b)
