@@ -23,7 +23,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -108,17 +108,24 @@ def train(x: np.ndarray, y: list[str], steps: int = 150, l2: float = 1e-5, seed:
     return Model(langs, code, w, b, bit_weight / bit_weight.mean())
 
 
-def fit(rows: DataFrame, text: str = "text", lang: str = "lang", rows_per_language: int = 600, seed: int = 5) -> Model:
-    """Fit on about ``rows_per_language`` seeded rows of each label; the rest of
-    the labelled rows only count."""
-    d = rows.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l")).filter("t IS NOT NULL AND l IS NOT NULL")
-    counts = {r["l"]: r["count"] for r in d.groupBy("l").count().collect()}
+def fit(rows: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows_per_language: int = 600, seed: int = 5) -> Model:
+    """Fit on at most ``rows_per_language`` rows of each label, first by a seeded
+    hash of key and text, and at least one; the rest of the labelled rows only
+    count.  Copies of a text with keys of their own are rows like others."""
+    d = (rows.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l"),
+                     F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit(seed)), F.lit(1 << 40)).alias("h"))
+         .filter("t IS NOT NULL AND l IS NOT NULL"))
+    found = d.groupBy("l").agg(F.count("*").alias("n"), F.min("h").alias("h")).collect()
+    counts, least = {r["l"]: r["n"] for r in found}, {r["l"]: r["h"] for r in found}
     if not counts:
         return Model([], np.ones((0, 1), np.int8), np.zeros((DIMS, 1), np.float32), np.zeros(1, np.float32), np.ones(1))
-    share = F.lit(0.0)
+    most = F.lit(0).cast("long")
     for k in sorted(counts):
-        share = F.when(F.col("l") == k, F.lit(min(1.0, rows_per_language / counts[k]))).otherwise(share)
-    picked = d.filter(F.pmod(F.xxhash64(F.col("t"), F.lit(seed)), F.lit(1 << 20)) < share * (1 << 20))
+        share = min(1.0, max(1.2 * rows_per_language, rows_per_language + 50) / counts[k])
+        most = F.when(F.col("l") == k, F.lit(max(least[k], int((1 << 40) * share)))).otherwise(most)
+    order = Window.partitionBy("l").orderBy("h", "t")
+    picked = (d.filter(F.col("h") <= most).withColumn("i", F.row_number().over(order))
+              .filter(F.col("i") <= rows_per_language).select("t", "l"))
 
     def run(batches):
         for b in batches:

@@ -331,6 +331,23 @@ def test_langid(spark):
     assert all(0 <= r["score"] <= 1 for r in out.values())
 
 
+def test_samples_hold_their_bound_with_copies(spark, monkeypatch):
+    """Copies of one text are neither taken whole nor left out whole."""
+    copy = "the and with tion"
+    rows = [(i, copy, "aa", "s") for i in range(300)] + [(1000 + i, prose(12, i, ("der", "und", "ß")), "bb", "s") for i in range(30)]
+    rows += [(5000, "que los", "cc", "s")] * 200                # one key and text
+    fitted = []
+    train = langid.train
+    monkeypatch.setattr(langid, "train", lambda x, y, **kw: fitted.append(Counter(y)) or train(x, y, **kw))
+    langid.fit(frame(spark, rows), rows_per_language=20)
+    assert fitted == [{"aa": 20, "bb": 20, "cc": 20}]
+    windows = []
+    step = causal_lm.Attention.train
+    monkeypatch.setattr(causal_lm.Attention, "train", lambda net, x, *a: windows.append(len(x)) or step(net, x, *a))
+    causal_lm.fit(frame(spark, rows[:300]), fit_documents=20, steps=1, own_words=4, clusters=4)
+    assert windows == [20]
+
+
 def test_langid_codes_and_few_labels(spark, corpus):
     for k in (2, 3, 4, 6, 9, 20):
         code = langid.codewords(k)
