@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -151,9 +152,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 w = tokens(t)
                 hit = [(i, s) for i, s in enumerate(map(shared.value.get, w)) if s is not None]
                 seg = maximal_segments([h[0] for h in hit], [h[1] for h in hit])
-                out.append((y, len(w), len(hit), sum(h[1] for h in hit), sorted((s for _, _, s in seg), reverse=True)))
-            yield pd.DataFrame(out, columns=["y", "n", "hits", "sum", "segments"])
-    s = rows.mapInPandas(background, "y int, n long, hits long, sum double, segments array<double>").toPandas()
+                c = Counter(h[1] for h in hit) if y == 0 else {}
+                out.append((y, len(w), list(c), list(c.values()), sorted((s for _, _, s in seg), reverse=True)))
+            yield pd.DataFrame(out, columns=["y", "n", "scores", "counts", "segments"])
+    s = rows.mapInPandas(background, "y int, n long, scores array<double>, counts array<long>, segments array<double>").toPandas()
     clean = s[s["y"] == 0]
     lam, k = calibrate(clean, np.array(list(terms.values())))
     m = Model(terms, lam, k, 1.0, 0.0, max_expected)
@@ -165,13 +167,19 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 
 def calibrate(clean: pd.DataFrame, scores: np.ndarray) -> tuple[float, float]:
-    """lambda of the background's score distribution, K of its best segments."""
-    n, hits = max(int(clean["n"].sum()), 1), int(clean["hits"].sum())
-    rate = (hits + 0.5) / (n + 1.0)
-    mean = float(clean["sum"].sum()) / hits if hits else float(scores.mean())
-
-    def excess(lam):    # background: a hit of the clean documents' mean score, else one step down
-        return rate * math.exp(min(lam * mean, 700)) + (1 - rate) * math.exp(lam * STEP_DOWN) - 1
+    """lambda of the background's score distribution, K of its best segments.
+    ``scores`` are the terms' scores; half an occurrence, shared by them, is added."""
+    n = max(int(clean["n"].sum()), 1)
+    seen: Counter = Counter()
+    for s, c in zip(clean["scores"], clean["counts"]):
+        seen.update(dict(zip(s, c)))
+    for s in scores:
+        seen[s] += 0.5 / len(scores)
+    value = np.array(list(seen))
+    share = np.array([seen[v] for v in seen], float) / (n + 1.0)
+
+    def excess(lam):    # background: a hit of each score as often as clean documents have it, else one step down
+        return float(share @ np.exp(np.minimum(lam * value, 700))) + (1 - float(share.sum())) * math.exp(lam * STEP_DOWN) - 1
     lo, hi = 1e-6, 1e-3
     while excess(hi) < 0 and hi < 64:
         hi *= 2

@@ -153,6 +153,15 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in out.values())
 
 
+def test_toxicity_lambda_solves_the_whole_distribution():
+    clean = pd.DataFrame({"y": 0, "n": [5000, 4999], "hits": [30, 3], "sum": [42.0, 8.0], "scores": [[1.0, 7.0], [1.0, 6.0]],
+                          "counts": [[28, 2], [2, 1]], "segments": [[1.0, 7.0], [6.0]]})
+    lam, k = toxicity.calibrate(clean, np.array([1.0, 6.0, 7.0, 2.0]))
+    hits = {1.0: 30.125, 6.0: 1.125, 7.0: 2.125, 2.0: 0.125}
+    p = {s: c / 10_000 for s, c in hits.items()} | {toxicity.STEP_DOWN: 1 - sum(hits.values()) / 10_000}
+    assert lam > 0 and sum(v * np.exp(lam * s) for s, v in p.items()) == pytest.approx(1, abs=1e-6)
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = toxic_corpus(spark, 12)
     m = toxicity.fit(docs, labels.limit(0))
