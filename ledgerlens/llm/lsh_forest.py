@@ -2,14 +2,15 @@
 
 A document's set holds its distinct word shingles as 64-bit hashes.  Equal sets
 are one class from then on, whatever their number.  Each class has a minhash
-signature, cut into ``trees`` sorted orders of ``depth`` values.  Classes that
-agree on the first ``least_depth`` values of an order form a region of that
+signature, cut into ``trees`` groups of ``depth`` values.  Classes that
+agree on the first ``least_depth`` values of a group form a region of that
 tree; a pair at the threshold t of similarity misses all regions with
 probability (1 - t**least_depth)**trees, and ``trees`` is chosen to make that
-less than 0.00001 (16 orders at t = 0.85, 22 at 0.8).
+less than 0.00001 (16 trees at t = 0.85, 22 at 0.8).  These fixed prefix regions
+replace a forest's sorted orders, longest-common-prefix neighbours and adaptive
+depth.
 
-1. Every class points at its nearest neighbour in sorted order that is common
-   to its region: the region's smallest class, at the least depth in a small
+1. Every class points at a class of its region: the region's smallest class, at the least depth in a small
    region, and in a large one at the full depth, whose smallest classes in
    turn point at the region's.  One candidate per class and depth.
 2. Candidates are confirmed on the full sets; components are labelled.
