@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import causal_lm, decontaminate, langid, lsh_forest, mixture, quality_cascade, suffix_dedup, token_store, toxicity, warc_store
+from ledgerlens.llm import (causal_lm, decontaminate, divergence, langid, lsh_forest, merkle, mixture, packing, quality_cascade, suffix_dedup,
+                            token_store, toxicity, warc_store)
 from ledgerlens.llm.common import fold_of, read
 from ledgerlens.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -180,3 +181,102 @@ def op7_lsh_forest(spark, sf_dir):
 @query("op6_suffix_dedup")
 def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup.removed_spans(read(spark, sf_dir, "documents"))
+
+
+def _field_sql(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+
+
+# the lowest bit of crc32(decimal doc_id), bit by bit: DuckDB has no crc32
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT)),
+             lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+OP11_SQL = f"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, source, sha256({" || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+         CASE WHEN {_CRC_SQL} % 2 = 0
+              THEN sha256({" || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", "replace(text, chr(10), '')"))}) END AS bad
+  FROM documents),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM (SELECT DISTINCT source FROM f)),
+d AS (
+  SELECT doc_id, s.s, leaf, bad, row_number() OVER (PARTITION BY s.s ORDER BY doc_id, leaf) - 1 AS i, count(*) OVER (PARTITION BY s.s) AS n
+  FROM f JOIN s ON f.source IS NOT DISTINCT FROM s.source),
+up AS (
+  SELECT 0 AS l, s, i, n, leaf AS h FROM d
+  UNION ALL
+  SELECT any_value(l) + 1, s, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY s, i // 3),
+sub AS (SELECT s, h AS subroot FROM up WHERE n = 1),
+top AS (
+  SELECT 1000 AS l, s AS i, count(*) OVER () AS n, subroot AS h FROM sub
+  UNION ALL
+  SELECT any_value(l) + 1, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY i // 3),
+nodes AS (SELECT l, s, i, n, h FROM up UNION ALL SELECT l, -1, i, n, h FROM top),
+sib AS (
+  SELECT l, s, i, n, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b
+  FROM nodes WINDOW w AS (PARTITION BY l, s, i // 3 ORDER BY i)),
+walk AS (
+  SELECT doc_id, leaf, s AS src, s, 0 AS l, i, coalesce(bad, leaf) AS h, '' AS proof, false AS done FROM d
+  UNION ALL
+  SELECT doc_id, leaf, src, CASE WHEN sib.n = 1 THEN -1 ELSE w.s END, CASE WHEN sib.n = 1 THEN 1000 ELSE w.l + 1 END,
+         CASE WHEN sib.n = 1 THEN w.src ELSE w.i // 3 END, CASE WHEN sib.n = 1 THEN w.h ELSE sha256(a || w.h || b) END,
+         CASE WHEN sib.n = 1 THEN proof ELSE proof || a || b END, sib.n = 1 AND w.s = -1
+  FROM walk w JOIN sib ON sib.l = w.l AND sib.s = w.s AND sib.i = w.i WHERE NOT done)
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, w.h AS folded_root, w.h = r.h AS verified
+FROM walk w JOIN sub ON sub.s = w.src, (SELECT h FROM top WHERE n = 1) r WHERE done
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11_merkle_manifest(spark, sf_dir):
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    stripped = merkle.leaf_hash([F.translate("text", "\n", "") if c == "text" else F.col(c) for c in fields])
+    tampered = F.when(fold_of(F.col("doc_id"), 2) == 0, stripped)
+    m = merkle.manifest(read(spark, sf_dir, "documents"), fields, carry={"tampered": tampered})
+    m = m.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return m.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_hash(F.col("proof")).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(x.c, 0) AS c
+  FROM g JOIN kept k USING (lang) LEFT JOIN (SELECT lang, source, term, count(*) AS c FROM t GROUP BY ALL) x
+       ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+n AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER w + count(*) OVER w)::HUGEINT AS p FROM c WINDOW w AS (PARTITION BY lang, source)),
+l AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (total + 1)) // (sum(total) OVER w + count(*) OVER w)::HUGEINT AS q
+  FROM kept WINDOW w AS (PARTITION BY lang)),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS v
+  FROM n a JOIN n b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.v, 0) AS v
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (
+  SELECT n.lang, source, 'term' AS part, n.term AS item, ((p - q) * (p - q)) // q AS v
+  FROM n JOIN l ON l.lang = n.lang AND l.term = n.term WHERE c > 0 AND p > q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY v DESC, item COLLATE C) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, v::BIGINT AS value, rank::INT AS rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query("op12_source_divergence", OP12_SQL)
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+@query("op13_packing")
+def op13_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"))
