@@ -1,6 +1,7 @@
 """Model fitting with MLlib: out-of-fold predictions, class weights, fold
-importance, seeded random search. Training is distributed by MLlib
-(tree aggregation per iteration); predictions stay DataFrames keyed by id.
+importance; feature selection and seeded draws of parameters. Training is
+distributed by MLlib (tree aggregation per iteration); predictions stay
+DataFrames keyed by id. Leaf-wise boosting is in ``boosting.py``.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.evaluate import roc_auc, with_class_weight
+from ledgerlens.operators.evaluate import with_class_weight
 from ledgerlens.operators.selection import correlated_columns, percentile_filter
 from ledgerlens.session import cut_lineage
 
@@ -147,28 +148,19 @@ def oof_predict(df: DataFrame, features: Sequence[str], label: str, fold_col: st
     return f.oof(keep)
 
 
-def select_and_retrain(df: DataFrame, features: Sequence[str], label: str, fold_col: str, k: int, kind: str,
-                       q: float = 0.25, threshold: float = 0.95, **params) -> tuple[FoldModels, list[str]]:
-    """Fold importances, the percentile filter, the correlation filter in
-    importance order, then new fold models on what is left.  Only lists of
+def select_features(df: DataFrame, importances: Sequence[tuple[int, str, float]], q: float = 0.25, threshold: float = 0.95) -> list[str]:
+    """The percentile filter on the mean of fold importances (fold, feature,
+    importance), then the correlation filter in importance order.  Only lists of
     feature names and their importances pass through the driver."""
-    spark = df.sparkSession
-    first = fit_folds(df, features, label, fold_col, k, kind, **params)
-    t = spark.createDataFrame(first.importances(), "fold int, feature string, importance double")
+    t = df.sparkSession.createDataFrame(list(importances), "fold int, feature string, importance double")
     mean = t.groupBy("feature").agg(F.avg("importance").alias("importance"))
     kept = [r["feature"] for r in percentile_filter(mean, "importance", q).orderBy(F.desc("importance"), "feature").collect()]
     dropped = {r["feature"] for r in correlated_columns(df, kept, threshold).collect()} if len(kept) > 1 else set()
-    chosen = [f for f in kept if f not in dropped]
-    return fit_folds(df, chosen, label, fold_col, k, kind, **params), chosen
-
-
-#: search space of a full run (fixed values of SURVEY 2.16)
-SEARCH_SPACE = {"maxDepth": ("int", 6, 15), "stepSize": ("log", 0.01, 0.05), "subsamplingRate": ("float", 0.6, 0.95),
-                "featureSubsetStrategy": ("share", 0.6, 0.95), "minInstancesPerNode": ("int", 30, 150)}
+    return [f for f in kept if f not in dropped]
 
 
 def sample_params(space: dict, n: int, seed: int = 42) -> list[dict]:
-    """Seeded random draws; ('log', lo, hi) is log-uniform, ('int', lo, hi) integer, ('float', lo, hi) uniform, ('share', lo, hi) uniform as text."""
+    """Seeded random draws; ('log', lo, hi) is log-uniform, ('int', lo, hi) integer, ('float', lo, hi) uniform."""
     rng = random.Random(seed)
     out = []
     for _ in range(n):
@@ -178,22 +170,7 @@ def sample_params(space: dict, n: int, seed: int = 42) -> list[dict]:
                 p[name] = rng.randint(lo, hi)
             elif kind == "log":
                 p[name] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-            elif kind == "share":       # a share of the columns, as MLlib takes it: text
-                p[name] = f"{rng.uniform(lo, hi):.6f}"
             else:
                 p[name] = rng.uniform(lo, hi)
         out.append(p)
     return out
-
-
-def random_search(df: DataFrame, features: Sequence[str], label: str, fold_col: str, k: int, keep: Sequence[str],
-                  space: dict | None = None, n_trials: int = 100, seed: int = 42, kind: str = "gbt", **params) -> list[tuple]:
-    """Trials (trial, params, mean fold AUC). Each trial's AUCs come from the
-    distributed exact AUC over its out-of-fold scores; only the per-trial
-    numbers reach the driver."""
-    rows = []
-    for t, p in enumerate(sample_params(space or SEARCH_SPACE, n_trials, seed)):
-        oof = oof_predict(df, features, label, fold_col, k, kind, keep, **{**params, **p})
-        auc = roc_auc(oof, label, "score", by=[fold_col]).agg(F.avg("auc").alias("m")).first()["m"]
-        rows.append((t, p, float(auc)))
-    return rows

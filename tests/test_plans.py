@@ -22,8 +22,9 @@ def full_plan(df) -> str:
     return qe.optimizedPlan().toString() + "\n" + qe.executedPlan().toString()
 
 
-#: MLlib fits, and the matrix form of wide correlations, whose partial sums are numpy products inside the tasks
+#: MLlib and boosting fits, and the matrix form of wide correlations, whose partial sums are numpy products inside the tasks
 PYTHON_ALLOWED = {"logistic_fit", "forest_fit", "oof_scores", "gbt_importance", "random_search", "test_average", "selected_retrain",
+                  "split_gains",
                   "wide_correlation"}
 
 

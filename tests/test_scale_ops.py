@@ -220,26 +220,26 @@ def test_boosting_ends_by_patience(spark):
 @pytest.mark.parametrize("name", ["oof_scores", "gbt_importance", "test_average", "selected_retrain", "random_search"])
 def test_model_queries_use_the_surveyed_settings(spark, name, monkeypatch):
     from conftest import SF0001
-    from ledgerlens.operators import model as M
+    from ledgerlens.operators import boosting as B
     from ledgerlens.plans import catalog
 
     class Seen(Exception):
         pass
 
-    def stopped(est, train, held, patience):
-        raise Seen(est.getMaxIter(), est.getMaxDepth(), est.getStepSize(), patience)
-    monkeypatch.setattr(M, "fit_stopped", stopped)
-    if name == "random_search":
-        drawn = []
-        draw = M.sample_params
-        monkeypatch.setattr(M, "sample_params", lambda space, n, seed: drawn.extend(draw(space, n, seed)) or drawn)
+    def fit(df, features, label, key, models, fold_col=None, **kw):
+        raise Seen(models)
+    monkeypatch.setattr(B, "fit", fit)
     with pytest.raises(Seen) as e:
         catalog.QUERIES[name](spark, SF0001)
+    models = e.value.args[0]
     if name == "random_search":
-        assert len(drawn) == 100 and all(p.keys() == M.SEARCH_SPACE.keys() and 6 <= p["maxDepth"] <= 15 and 0.01 <= p["stepSize"] <= 0.05 for p in drawn)
-        assert e.value.args == (2000, drawn[0]["maxDepth"], drawn[0]["stepSize"], 50)
+        assert len(models) == 300 and {(m.rounds, m.patience) for m in models} == {(2000, 50)}
+        assert len({(m.depth, m.rate, m.row_share, m.alpha) for m in models}) == 100
+        assert all(6 <= m.depth <= 15 and 0.01 <= m.rate <= 0.05 and 20 <= m.leaves <= 80 and 30 <= m.least_rows <= 150 for m in models)
+        assert all(0.6 <= v <= 0.95 for m in models for v in (m.row_share, m.column_share))
     else:
-        assert e.value.args == (1000, 7, 0.02, 100)
+        assert {(m.rounds, m.depth, m.rate, m.patience) for m in models} == {(1000, 7, 0.02, 100)}
+        assert sorted(m.fold for m in models) == list(range(len(models)))
 
 
 def test_every_pair_of_the_wide_correlation(spark):
