@@ -1,11 +1,13 @@
 """Toxic passages by maximum-scoring segments of token log-odds.
 
-1. Token scores: log-odds of the share of toxic against clean training
-   documents that contain a token, with a Dirichlet prior proportional to the
-   token's overall share, less two standard errors.  Documents, not
-   occurrences, are counted, so one long repetitive text has no extra weight.
-   Tokens whose score is not above zero by that margin get a small negative
-   score; so random text has a negative expectation.
+1. Units are words and their first 3 to 7 bytes, which pool the endings of an
+   inflected stem; a word takes the largest score of its units.  A unit's score
+   is the log-odds of the share of toxic against clean training documents that
+   contain it, with a Dirichlet prior proportional to its overall share, less
+   two standard errors.  Documents, not occurrences, are counted, so one long
+   repetitive text has no extra weight.  Words without a score above zero by
+   that margin get a small negative one; so random text has a negative
+   expectation.
 2. A linear scan finds all maximal scoring segments of the whole text.
 3. Extreme-value calibration: under the clean background the best segment of n
    tokens exceeds s about K * n * exp(-lambda * s) times; lambda solves
@@ -14,10 +16,11 @@
    of its expected number; a segment with fewer than ``max_expected`` is
    significant.
 4. The evidence of a document's significant segments is added up; a logistic
-   curve fitted on the training documents turns it into a probability.
+   curve turns it into a probability.  Background and curve are fitted on each
+   half of the training documents with the units that the other half chose.
 
 The fit uses a bounded, seeded sample of labelled documents (``max_labelled``)
-and keeps at most ``max_terms`` tokens, which bounds what is broadcast; the
+and keeps at most ``max_terms`` units, which bounds what is broadcast; the
 scan covers every whole text without a shuffle.
 
 Defined results: NULL, empty and wordless texts have no segment and the score
@@ -79,15 +82,14 @@ class Model:
     def __init__(self, terms: dict[bytes, float], lam: float, k: float, slope: float, bias: float, max_expected: float):
         self.terms, self.lam, self.k, self.slope, self.bias, self.max_expected = terms, lam, k, slope, bias, max_expected
 
-    def passages(self, words: list[bytes]) -> list[tuple[int, int, float, float]]:
+    def passages(self, words: list[bytes], scores: Scores | None = None) -> list[tuple[int, int, float, float]]:
         """(start, end, score, evidence) of every significant segment."""
-        get = self.terms.get
-        hit = [(i, s) for i, s in enumerate(map(get, words)) if s is not None]
-        if not hit:
+        at, found = scored(words, Scores(self.terms) if scores is None else scores)
+        if not at:
             return []
         floor = -math.log(self.max_expected)
         out = []
-        for a, b, s in maximal_segments([h[0] for h in hit], [h[1] for h in hit]):
+        for a, b, s in maximal_segments(at, found):
             e = self.lam * s - math.log(self.k * len(words))
             if e > floor:
                 out.append((a, b, s, e))
@@ -99,60 +101,98 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.slope * math.log1p(evidence) + self.bias))))
 
 
+PREFIXES = (3, 4, 5, 6, 7)
+
+
+def units(word: bytes) -> list[bytes]:
+    """The units whose scores a word may take: itself and its first bytes, which
+    pool the endings of an inflected stem (a prefix is marked by a final *)."""
+    return [word, *(word[:k] + b"*" for k in PREFIXES if k < len(word))]
+
+
+class Scores(dict):
+    """Score of a word: the largest of its units, None without one.  Words are
+    remembered up to a bound."""
+
+    def __init__(self, terms: dict[bytes, float], most: int = 300_000):
+        super().__init__()
+        self.terms, self.most = terms, most
+
+    def __missing__(self, word: bytes) -> float | None:
+        if len(self) >= self.most:
+            self.clear()
+        found = [s for s in map(self.terms.get, units(word)) if s is not None]
+        out = self[word] = max(found) if found else None
+        return out
+
+
+def scored(words: list[bytes], scores: Scores) -> tuple[list[int], list[float]]:
+    """Places and scores of the words that have one."""
+    hit = [(i, s) for i, s in enumerate(map(scores.__getitem__, words)) if s is not None]
+    return [h[0] for h in hit], [h[1] for h in hit]
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         max_labelled: int = 20_000, max_terms: int = 50_000, prior: float = 20.0, max_expected: float = 0.05, least_z: float = 3.0, least_score: float = 1.0,
         seed: int = 11) -> Model:
-    """Fit on at most about ``max_labelled`` seeded labelled documents."""
+    """Fit on at most about ``max_labelled`` seeded labelled documents.  The
+    background and the logistic link are fitted on each half of them with the
+    terms that the other half chose; the model's terms come from both."""
     lab = (labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
            .filter("k IS NOT NULL AND y IN (0, 1)").groupBy("k").agg(F.max("y").alias("y")))
     n = lab.count()
     if n > max_labelled:
         lab = lab.filter(F.pmod(F.xxhash64(F.col("k"), F.lit(seed)), F.lit(1 << 20)) < int((1 << 20) * max_labelled / n))
-    # at most max_labelled rows of (id, 0/1): small by its parameter
+    lab = lab.withColumn("h", F.pmod(F.xxhash64(F.col("k"), F.lit(seed + 1)), F.lit(2)).cast("int"))
+    # at most max_labelled rows of (id, 0/1, half): small by its parameter
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(lab), "k")
 
     def count(batches):
         for b in batches:
-            c: dict[bytes, list[int]] = {}
-            sizes = [0, 0]
-            for y, t in zip(b["y"], b["t"]):
-                sizes[y] += 1
-                for w in set(tokens(t)):
-                    c.setdefault(w, [0, 0])[y] += 1
-            yield pd.DataFrame({"w": [b"\0docs", *c], "y0": [sizes[0], *(v[0] for v in c.values())],
-                                "y1": [sizes[1], *(v[1] for v in c.values())]})
-    counts = (rows.mapInPandas(count, "w binary, y0 long, y1 long")
-              .groupBy("w").agg(F.sum("y0").alias("y0"), F.sum("y1").alias("y1")))
-    counts = written(counts, "toxic-counts")
+            c: dict[bytes, list[int]] = {b"\0docs": [0, 0, 0, 0]}
+            for y, h, t in zip(b["y"], b["h"], b["t"]):
+                c[b"\0docs"][2 * h + y] += 1
+                for u in {u for w in set(tokens(t)) for u in units(w)}:
+                    c.setdefault(u, [0, 0, 0, 0])[2 * h + y] += 1
+            yield pd.DataFrame([(u, *v) for u, v in c.items()], columns=["w", "a0", "a1", "b0", "b1"])
+    sums = [F.sum(x).alias(x) for x in ("a0", "a1", "b0", "b1")]
+    counts = written(rows.mapInPandas(count, "w binary, a0 long, a1 long, b0 long, b1 long").groupBy("w").agg(*sums), "toxic-counts")
     size = counts.filter(F.col("w") == F.lit(b"\0docs")).collect()
-    n0, n1 = (size[0]["y0"], size[0]["y1"]) if size else (0, 0)
-    if not n0 or not n1:
-        return Model({}, 1.0, 1.0, 1.0, 0.0, max_expected)
-    a = F.lit(prior) * (F.col("y0") + F.col("y1")) / F.lit(float(n0 + n1))     # prior counts: the overall share
-
-    def log_odds(y, size_):
-        return F.log((y + a) / (F.lit(float(size_) + prior) - y - a))
-    delta = log_odds(F.col("y1"), n1) - log_odds(F.col("y0"), n0)
-    err = F.sqrt(1 / (F.col("y1") + a) + 1 / (F.col("y0") + a))
-    top = (counts.filter(F.col("w") != F.lit(b"\0docs")).withColumn("d", delta).withColumn("e", err)
-           .filter((F.col("d") > least_z * F.col("e")) & (F.col("d") - 2 * F.col("e") > least_score) & (F.col("y1") >= 3))
-           .select("w", (F.col("d") - 2 * F.col("e")).alias("s"), "y0", (F.col("d") / F.col("e")).alias("z"))
-           .orderBy(F.desc("z"), "w").limit(max_terms).collect())
-    terms = {bytes(r["w"]): float(r["s"]) for r in top}
+    a0, a1, b0, b1 = (size[0][x] for x in ("a0", "a1", "b0", "b1")) if size else (0, 0, 0, 0)
+
+    def select(y0, y1, n0, n1) -> dict[bytes, float]:
+        if not n0 or not n1:
+            return {}
+        a = F.lit(prior) * (y0 + y1) / F.lit(float(n0 + n1))     # prior counts: the overall share
+
+        def log_odds(y, size_):
+            return F.log((y + a) / F.greatest(F.lit(float(size_) + prior) - y - a, F.lit(1e-9)))
+        delta = log_odds(y1, n1) - log_odds(y0, n0)
+        err = F.sqrt(1 / F.greatest(y1 + a, F.lit(1e-9)) + 1 / F.greatest(y0 + a, F.lit(1e-9)))
+        top = (counts.filter((F.col("w") != F.lit(b"\0docs")) & (y1 >= 3)).withColumn("d", delta).withColumn("e", err)
+               .filter((F.col("d") > least_z * F.col("e")) & (F.col("d") - 2 * F.col("e") > least_score))
+               .select("w", (F.col("d") - 2 * F.col("e")).alias("s"), (F.col("d") / F.col("e")).alias("z"))
+               .orderBy(F.desc("z"), "w").limit(max_terms).collect())
+        return {bytes(r["w"]): float(r["s"]) for r in top}
+    first, second = (F.col("a0"), F.col("a1"), a0, a1), (F.col("b0"), F.col("b1"), b0, b1)
+    terms = select(F.col("a0") + F.col("b0"), F.col("a1") + F.col("b1"), a0 + b0, a1 + b1)
     if not terms:
         return Model({}, 1.0, 1.0, 1.0, 0.0, max_expected)
+    # the terms for a half are those of the other; too few labels for that: those of both
+    of_half = [select(*second) or terms, select(*first) or terms]
 
     # background: how often clean documents' tokens have each score; best segments of the sample
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    shared = docs.sparkSession.sparkContext.broadcast(of_half)
 
     def background(batches):
+        get = [Scores(t) for t in shared.value]
         for b in batches:
             out = []
-            for y, t in zip(b["y"], b["t"]):
+            for y, h, t in zip(b["y"], b["h"], b["t"]):
                 w = tokens(t)
-                hit = [(i, s) for i, s in enumerate(map(shared.value.get, w)) if s is not None]
-                seg = maximal_segments([h[0] for h in hit], [h[1] for h in hit])
-                c = Counter(h[1] for h in hit) if y == 0 else {}
+                at, s = scored(w, get[h])
+                seg = maximal_segments(at, s)
+                c = Counter(s) if y == 0 else {}
                 out.append((y, len(w), list(c), list(c.values()), sorted((s for _, _, s in seg), reverse=True)))
             yield pd.DataFrame(out, columns=["y", "n", "scores", "counts", "segments"])
     s = rows.mapInPandas(background, "y int, n long, scores array<double>, counts array<long>, segments array<double>").toPandas()
@@ -213,10 +253,11 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
 
     def run(batches):
         m = shared.value
+        known = Scores(m.terms)
         for b in batches:
             scores, evid, spans = [], [], []
             for t in b["t"]:
-                found = m.passages(tokens(t))
+                found = m.passages(tokens(t), known)
                 e = sum(f[3] for f in found)
                 evid.append(e)
                 scores.append(m.probability(e))

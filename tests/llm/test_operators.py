@@ -153,6 +153,27 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in out.values())
 
 
+def test_toxicity_pools_the_endings_of_a_stem(spark):
+    r = random.Random(9)
+    rows, labels = [], []
+    ends = ["", "a", "est", "ito", "ung", "os", "enter", "iqua", "zela", "orum", "ade", "ifi", "ol", "ur"]
+    for i in range(400):
+        lang, stem = (("x", "grunz"), ("y", "malv"))[i % 2]
+        w = prose(80, 5000 + i).split(" ")
+        y = (i // 2) % 4 == 0
+        for p in r.sample(range(80), 7 if y else r.choice([0, 0, 0, 1])):      # clean texts hold the stem too, but once
+            w[p] = stem + r.choice(ends) + r.choice(ends)
+        rows.append((i, " ".join(w), lang, "a"))
+        labels.append((i, 1, int(y)))
+    m = toxicity.fit(frame(spark, rows), spark.createDataFrame([x for x in labels if x[0] % 5], "doc_id long, quality int, toxic int"))
+    assert {b"grunz*", b"malv*"} <= set(m.terms)
+    got = {x["doc_id"]: x["predicted"] for x in toxicity.score(frame(spark, rows), m).collect()}
+    for lang in (0, 1):
+        held = [(i, y) for i, _, y in labels if i % 5 == 0 and i % 2 == lang]
+        assert sum(got[i] for i, y in held if y) >= 0.9 * sum(y for _, y in held)
+        assert sum(got[i] for i, y in held if not y) <= 0.05 * sum(1 - y for _, y in held)
+
+
 def test_toxicity_lambda_solves_the_whole_distribution():
     clean = pd.DataFrame({"y": 0, "n": [5000, 4999], "hits": [30, 3], "sum": [42.0, 8.0], "scores": [[1.0, 7.0], [1.0, 6.0]],
                           "counts": [[28, 2], [2, 1]], "segments": [[1.0, 7.0], [6.0]]})
