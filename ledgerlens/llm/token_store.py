@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import shared_path
+from ledgerlens.llm.common import shared_path, written
 
 FINGERPRINT_BITS = 32
 
@@ -87,15 +87,14 @@ def load_tokenizer(name: str):
 MARKS = ".,;:!?"
 
 
-def stem_and_marks(piece: str) -> tuple[str, str]:
-    """A piece in two whose ids follow one another: sentence marks after a
-    letter or digit are tokens of their own, unless lowering that letter makes
-    a combining mark of it."""
-    stem = piece.rstrip(MARKS)
-    if not stem or len(stem) == len(piece):
-        return piece, ""
-    low = stem[-1].lower()
-    return (stem, piece[len(stem):]) if len(low) == 1 and low.isalnum() and stem[-1].isalnum() else (piece, "")
+def _stems_and_marks(pieces: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Pieces (ASCII in lower case) in two, whose ids follow one another:
+    sentence marks after an ASCII letter or digit are tokens of their own.
+    Other pieces stay whole."""
+    cut = pc.match_substring_regex(pieces, f"[a-z0-9][{MARKS}]+$")
+    stems = pc.if_else(cut, pc.utf8_rtrim(pieces, MARKS), pieces)
+    marks = pc.if_else(cut, pc.replace_substring_regex(pieces, f"(?s)^.*[^{MARKS}]([{MARKS}]+)$", r"\1"), "")
+    return stems, marks
 
 
 class WordEncoder:
@@ -138,26 +137,29 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's ids begin (and the end)."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        # a copy that begins at offset 0: ascii_lower reads beside the texts of a slice
+        texts = texts.cast(pa.large_string()).take(pa.array(np.arange(len(texts), dtype=np.int64)))
+        texts = pc.fill_null(texts, "")
         special = pc.match_substring(texts, "<|")       # a special token's name in capitals must stay as it is
         low = pc.if_else(special, texts, pc.ascii_lower(texts))
         lists = pc.split_pattern(pc.replace_substring(low, "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
-        pieces = words.dictionary.to_pylist()
-        parts = [stem_and_marks(p) for p in pieces]
+        stems, marks = _stems_and_marks(words.dictionary)
+        stems, marks = stems.dictionary_encode(), marks.dictionary_encode()
+        known, ends = stems.dictionary.to_pylist(), marks.dictionary.to_pylist()
         if len(self.cache) > self.max_stems:
             self.old, self.cache = self.cache, {"": b""}
-        new = ({x for x, _ in parts} | {y for _, y in parts if y}).difference(self.cache)
+        new = set(known).union(ends).difference(self.cache)
         if new:
             self._learn(new)
-        cache = self.cache
-        raw = [cache[x] + cache[y] if y else cache[x] for x, y in parts]
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // self.width
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        ids = pa.LargeListArray.from_arrays(at, pa.array(np.frombuffer(b"".join(raw), self.kind)))
-        which = words.indices
-        out = ids.take(which).flatten().to_numpy(zero_copy_only=False)
-        upto = np.concatenate([[0], np.cumsum(sizes[which.to_numpy(zero_copy_only=False)])])
+        get = self.cache.__getitem__
+        pieces = pc.binary_join_element_wise(pa.array(map(get, known), pa.large_binary()).take(stems.indices),
+                                             pa.array(map(get, ends), pa.large_binary()).take(marks.indices),
+                                             pa.scalar(b"", pa.large_binary()))
+        raw = pieces.take(words.indices)
+        upto = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, 8 * raw.offset) // self.width
+        data = raw.buffers()[2]
+        out = np.frombuffer(data, self.kind, int(upto[-1])) if data is not None and len(data) else np.empty(0, self.kind)
         return out, upto[lists.offsets.to_numpy()]
 
 
@@ -208,7 +210,7 @@ _ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("width", pa.i
 
 
 def write(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", tokenizer: str = "word_bpe_49k.json",
-          end_id: int = 1, block_ids: int = 1 << 19, keys_per_segment: int = 20_000) -> str:
+          end_id: int = 1, block_ids: int = 1 << 19, keys_per_segment: int = 20_000, batch_bytes: int = 8 << 20) -> str:
     """Write the store; returns ``path``."""
     spark = df.sparkSession
     src = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -218,7 +220,7 @@ def write(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", tok
     ordered = (src.repartitionByRange(shards, F.col("key").asc_nulls_first(), F.xxhash64("text"))
                .sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text"), F.col("text"))
                .select(F.spark_partition_id().alias("shard"), F.col("key").cast("string").alias("key"), "text"))
-    ordered.mapInArrow(_blocks(tokenizer, end_id, block_ids), PAYLOAD).write.parquet(f"{path}/payload")
+    ordered.mapInArrow(_blocks(tokenizer, end_id, block_ids, batch_bytes), PAYLOAD).write.parquet(f"{path}/payload")
     payload = spark.read.parquet(f"{path}/payload")
 
     sizes = payload.select("shard", "block", F.size("lens").cast("long").alias("docs"), "n_tokens")
@@ -394,14 +396,36 @@ def read_payload(spark: SparkSession, path: str, ids: bool = False, blocks: Data
                     "n_tokens", "ids_crc32", *(["ids"] if ids else [])))
 
 
-def fetch(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id", ids: bool = False) -> DataFrame:
+def _blocks_of(spark: SparkSession, path: str, found: DataFrame) -> DataFrame:
+    """shard, block of every block that holds a document of ``found``: the block
+    that the index names, and for a key of several copies those after it up to
+    its last copy (counted through the block sizes, shard by shard)."""
+    at = spark.read.parquet(f"{path}/blocks").select("shard", "block", "first_doc", (F.col("first_doc") + F.col("docs")).alias("end_doc"))
+    upto = (F.col("doc") + F.col("copies")).alias("upto")
+    many = found.filter("copies > 1").select("doc", upto, F.col("shard").alias("s0"))
+    last = at.groupBy("shard").agg(F.max("end_doc").alias("shard_end"), F.min("first_doc").alias("shard_first"))
+    # shards in order; a key's copies run on from its first shard
+    shards = many.select("doc", "upto", F.explode(F.sequence(F.col("s0"), F.lit(_last_shard(at)))).alias("shard"))
+    shards = shards.join(last, "shard").filter("shard_first < upto AND shard_end > doc").select("doc", "upto", "shard")
+    more = shards.join(at, "shard").filter("first_doc < upto AND end_doc > doc").select("shard", "block")
+    return found.select("shard", "block").unionByName(more).distinct()
+
+
+def _last_shard(at: DataFrame) -> int:
+    return at.agg(F.max("shard")).first()[0] or 0
+
+
+def fetch(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id", ids: bool = False, whole: bool = False) -> DataFrame:
     """The stored documents of the asked keys: the index gives the places, the
-    payload files what stands there.  A place where the payload has no document
-    that starts as the index says is an error."""
+    payload files what stands there.  Only blocks that hold an asked key are
+    decoded.  A place where the payload has no document that starts as the index
+    says is an error."""
     found = lookup(spark, path, keys, key)
+    if not whole:
+        found = written(found, "token-places")
     places = found.select("key", F.explode(F.sequence(F.col("doc"), F.col("doc") + F.col("copies") - 1)).alias("doc"),
                           F.col("doc").alias("first"), F.col("start").alias("index_start"))
-    got = places.join(read_payload(spark, path, ids=ids), "doc", "left")
+    got = places.join(read_payload(spark, path, ids=ids, blocks=None if whole else _blocks_of(spark, path, found)), "doc", "left")
     wrong = (F.col("doc") == F.col("first")) & (F.col("start").isNull() | (F.col("start") != F.col("index_start")))
     start = F.when(wrong, F.raise_error(F.concat(F.lit("index and payload disagree at document "), F.col("doc").cast("string")))
                    .cast("long")).otherwise(F.col("start"))
@@ -413,4 +437,4 @@ def encode_documents(df: DataFrame, key: str = "doc_id", path: str | None = None
     spark = df.sparkSession
     path = write(df, path or shared_path(spark, "tokens"), key=key, **kw)
     kind = df.schema[key].dataType
-    return fetch(spark, path, df.select(key), key).select(F.col("key").cast(kind).alias(key), "start", "n_tokens", "ids_crc32")
+    return fetch(spark, path, df.select(key), key, whole=True).select(F.col("key").cast(kind).alias(key), "start", "n_tokens", "ids_crc32")

@@ -563,6 +563,39 @@ def test_token_store_matches_tokenizer(spark, corpus, tmp_path):
     assert {r["key"] for r in token_store.fetch(spark, path, some).collect()} == {"3", "17"}
 
 
+@pytest.mark.parametrize("ascii_only", [True, False])
+def test_token_store_slices_of_a_batch(spark, tmp_path, ascii_only):
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    words = ("Ka", "lo", "MI", "ne") if ascii_only else ("Ka", "ló", "mß", "日本")
+    texts = [prose(7 + i % 5, i, words) for i in range(200)] + [None, ""]
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    enc = token_store.WordEncoder("word_bpe_49k.json")
+    for arr in (pa.array(texts), pa.array(texts, pa.large_string())):
+        for off, n in ((0, 202), (1, 50), (100, 50), (150, 52)):
+            ids, at = enc.encode(arr.slice(off, n))
+            assert [ids[x:y].tolist() for x, y in zip(at[:-1], at[1:])] == want[off:off + n]
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    path = token_store.write(frame(spark, rows), str(tmp_path / "b"), block_ids=300, batch_bytes=300)
+    got = {int(r["key"]): r["ids"] for r in token_store.fetch(spark, path, frame(spark, rows), ids=True).collect()}
+    assert [got[i] for i in range(202)] == [w + [1] for w in want]
+
+
+def test_token_store_keyed_read_decodes_its_blocks_only(spark, tmp_path):
+    rows = [(i // 40 if 80 <= i < 120 else i, prose(30, i), None, None) for i in range(200)]     # key 2: 41 rows over many blocks
+    path = token_store.write(frame(spark, rows), str(tmp_path / "k"), block_ids=200, keys_per_segment=9)
+    asked = spark.createDataFrame([(2,), (150,)], "doc_id long")
+    found = token_store.lookup(spark, path, asked)
+    blocks = token_store._blocks_of(spark, path, found).collect()
+    every = spark.read.parquet(f"{path}/blocks").collect()
+    span = {r["key"]: (r["doc"], r["doc"] + r["copies"]) for r in found.collect()}
+    want = {(b["shard"], b["block"]) for b in every for lo, hi in span.values() if b["first_doc"] < hi and b["first_doc"] + b["docs"] > lo}
+    assert {tuple(b) for b in blocks} == want and len(want) < len(every)
+    assert Counter(r["key"] for r in token_store.fetch(spark, path, asked).collect()) == {"2": 41, "150": 1}
+
+
 def test_token_store_repeated_keys_and_empty(spark, corpus):
     rows = corpus[:4] + [corpus[1], (1, "other text", None, None), (None, "no key", None, None)]
     df = frame(spark, rows).withColumn("start", F.lit(1))
