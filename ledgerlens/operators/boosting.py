@@ -50,6 +50,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.joins import check_parity
 from ledgerlens.session import checkpoint_dir
 
 UNIT = 2.0 ** 20
@@ -129,6 +130,7 @@ class Boosted:
     features: list[str]
     edges: list[np.ndarray]
     models: list[Model]
+    fitted_on: DataFrame | None = None      # no rows: the columns' names and types
 
     def ledger(self) -> list[tuple[int, int | None, int, int, str, float, int]]:
         """(model, fold, round, node, feature, gain, rows) of every split in the kept rounds."""
@@ -348,13 +350,15 @@ def fit(df: DataFrame, features: Sequence[str], label: str, key: str, models: Se
     spark = df.sparkSession
     sc = spark.sparkContext
     features = list(features)
+    shape = spark.createDataFrame([], df.select(*features).schema)
     if start is None:
         edges = bin_edges(df, features, bins, accuracy)
-        out = Boosted(features, edges, [Model(p) for p in models])
+        out = Boosted(features, edges, [Model(p) for p in models], shape)
     else:
+        check_parity(start.fitted_on, df, features)
         edges = start.edges
         out = Boosted(features, edges, [replace(m, params=p, trees=list(m.trees), losses=list(m.losses), ledger=list(m.ledger), ended=False)
-                                        for m, p in zip(start.models, models)])
+                                        for m, p in zip(start.models, models)], shape)
     n_bins = max((len(e) for e in edges), default=0) + 2
     counts = (df.filter(F.col(label).isNotNull()).groupBy((F.col(fold_col).cast("int") if fold_col else F.lit(-1)).alias("f"), F.col(label).cast("int").alias("y"))
               .agg(F.count("*").alias("n")).collect())             # folds x classes rows
@@ -510,7 +514,10 @@ def _fit_dealt(sc, out: Boosted, state, mine, held, n_bins: int, most: int):
 
 
 def predict(df: DataFrame, boosted: Boosted, keep: Sequence[str], which: Sequence[int] | None = None) -> DataFrame:
-    """``keep`` and an array ``scores``: the probabilities of the models of ``which`` (all)."""
+    """``keep`` and an array ``scores``: the probabilities of the models of
+    ``which`` (all).  A frame whose features have other names or types than the
+    fitted one's is refused."""
+    check_parity(boosted.fitted_on, df, boosted.features)
     which = list(range(len(boosted.models)) if which is None else which)
     shared = df.sparkSession.sparkContext.broadcast((boosted.edges, [boosted.models[k] for k in which]))
     n = len(boosted.features)

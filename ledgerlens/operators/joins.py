@@ -59,10 +59,14 @@ def merge_features(frames: Sequence[DataFrame], key: str) -> DataFrame:
     return out
 
 
-def check_parity(a: DataFrame, b: DataFrame) -> None:
-    """Train/test schema parity by name and type (raises on mismatch)."""
-    sa = {f.name: f.dataType for f in a.schema.fields}
-    sb = {f.name: f.dataType for f in b.schema.fields}
-    if sa != sb:
+def check_parity(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None) -> None:
+    """Train/test schema parity by name and type (raises on mismatch), of
+    ``cols`` or of all columns. What is fitted on one frame and applied to
+    another passes here first: imputers, vocabularies, boosted models."""
+    def of(df):
+        return {f.name: f.dataType.simpleString() for f in df.schema.fields if cols is None or f.name in cols}
+    sa, sb = of(a), of(b)
+    missing = sorted(set(cols or ()) - set(sa) | set(cols or ()) - set(sb))
+    if sa != sb or missing:
         diff = sorted(set(sa.items()) ^ set(sb.items()), key=str)
-        raise ValueError(f"schema mismatch: {diff[:10]}")
+        raise ValueError(f"schema mismatch: {diff[:10] or missing[:10]}")

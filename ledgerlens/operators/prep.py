@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import flag
+from ledgerlens.operators.joins import check_parity
 from ledgerlens.operators.profile import exact_percentiles, unpivot
 
 
@@ -55,6 +56,7 @@ def impute_finite(df: DataFrame, fit_on: DataFrame, cols: Sequence[str]) -> Data
     """Two passes: NULLs take the median of ``fit_on``; then infinities become
     NULL and take the median of ``fit_on`` after its own first pass."""
     from ledgerlens.functions.exprs import inf_to_null
+    check_parity(fit_on, df, cols)
 
     def cleaned(d, stats):
         return apply_medians(d, stats, cols).withColumns({c: inf_to_null(c) for c in cols})
@@ -82,6 +84,7 @@ def fit_labels(frames: Sequence[DataFrame], col: str, missing: str = "missing")
     from ledgerlens.operators.prefix import prefix_before
     vals = None
     for f in frames:
+        check_parity(frames[0], f, [col])
         v = f.select(F.coalesce(F.col(col).cast("string"), F.lit(missing)).alias("value"))
         vals = v if vals is None else vals.unionByName(v)
     vocab = vals.distinct()

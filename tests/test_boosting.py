@@ -140,6 +140,21 @@ def test_single_class_and_constant_columns(spark, data):
     assert len(one.models[0].trees) == 2 and B.predict(d, one, ["id"]).filter("scores[0] > 0.99").count() == 600
 
 
+def test_changed_types_are_refused(spark, data):
+    from ledgerlens.operators import prep as P
+    other = data.withColumn("a", F.col("a").cast("string"))
+    b = B.fit(data, ["a", "b"], "y", "id", [B.Params(rounds=1)])
+    for bad in (other, data.drop("a")):
+        with pytest.raises(ValueError, match="schema mismatch"):
+            B.predict(bad, b, ["id"])
+        with pytest.raises(ValueError, match="schema mismatch"):
+            P.impute_finite(bad, data, ["a"])
+    with pytest.raises(ValueError, match="schema mismatch"):
+        P.fit_labels([data, other], "a")
+    with pytest.raises(ValueError, match="schema mismatch"):
+        B.fit(other, ["a", "b"], "y", "id", [B.Params(rounds=2)], start=b)
+
+
 def test_search_grows_all_trials_together(spark, data):
     d = data.withColumnsRenamed({"a": "s1", "b": "s2", "c": "s3", "id": "rid"})
     t = q_model.search_trials(spark, d, n_trials=4, rounds=30, patience=5).orderBy("trial").toPandas()
