@@ -1,19 +1,21 @@
 """Blending: simplex weight grid, blended scores, AUC per weight vector.
 
 The grid (all w_i = k_i/steps with Σk_i = steps) is a fixed, bounded list
-(231 points for 3 models and step 0.05), attached to every prediction row by
-``explode`` of a literal array — a generator, not a join — and every grid
-point's AUC is then the grouped exact AUC of ``evaluate.roc_auc``.
+(231 points for 3 models and step 0.05). Blends of all its points are sorted
+in numpy, block by block of score tuples, and meet as packed arrays by
+(point, range of scores); only the counts of each range go on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.evaluate import roc_auc
+from ledgerlens.functions.exprs import safe_div
 
 
 def grid_points(n_models: int = 3, steps: int = 20) -> list[tuple[int, ...]]:
@@ -36,23 +38,94 @@ def blend(df: DataFrame, scores: Sequence[str], weights: Sequence[float], out: s
     return df.withColumn(out, expr)
 
 
+CELL_ROWS, MOST_CELLS, BLOCK_ROWS = 1 << 18, 1 << 14, 1 << 16
+_PART = "point int, cell int, scores binary, pos binary, neg binary"
+
+
+def _cut_blocks(points: np.ndarray, steps: int):
+    """One block of score tuples -> per weight vector and cell, its blends and class counts."""
+    weights = points / float(steps)
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows = batch.column("rows")[i].values
+                s = [rows.field(k).to_numpy(zero_copy_only=False) for k in range(len(rows.type) - 2)]
+                pos, neg = (rows.field(len(s) + k).to_numpy(zero_copy_only=False) for k in (0, 1))
+                n, pooled = batch.column("cells")[i].as_py(), batch.column("splits")[i].values.to_numpy()
+                # n quantiles out of the MOST_CELLS that the sketch has
+                splits = np.unique(pooled[np.arange(1, n) * len(pooled) // n])
+                out = []
+                for p, w in enumerate(weights):
+                    b = w[0] * s[0]
+                    for wk, sk in zip(w[1:], s[1:]):
+                        b = b + wk * sk
+                    b, inverse = np.unique(b, return_inverse=True)
+                    bp, bn = (np.bincount(inverse, c, len(b)).astype(np.int64) for c in (pos, neg))
+                    edges = np.searchsorted(b, splits, side="left")
+                    lo = 0
+                    for cell, hi in enumerate([*edges, len(b)]):
+                        if hi > lo:
+                            out.append((p, cell, b[lo:hi].tobytes(), bp[lo:hi].tobytes(), bn[lo:hi].tobytes()))
+                        lo = hi
+                    if len(out) >= 1024 or p + 1 == len(weights):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), *[pa.binary()] * 3))],
+                            names=["point", "cell", "scores", "pos", "neg"])
+                        out = []
+    return run
+
+
+def _count_cell(t: pa.Table) -> pa.Table:
+    """Pairs inside one cell of one weight vector, with the cell's class counts."""
+    b, pos, neg = (np.concatenate([np.frombuffer(v.as_buffer(), d) for v in t.column(c)])
+                   for c, d in (("scores", np.float64), ("pos", np.int64), ("neg", np.int64)))
+    order = np.argsort(b, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(b[order]) != 0])
+    pos, neg = np.add.reduceat(pos[order], first), np.add.reduceat(neg[order], first)
+    pairs = float(np.dot(pos.astype(float), np.cumsum(neg) - neg + neg / 2.0))
+    return pa.table({"point": t.column("point")[:1], "cell": t.column("cell")[:1], "pairs": pa.array([pairs]),
+                     "n_pos": pa.array([int(pos.sum())]), "n_neg": pa.array([int(neg.sum())])})
+
+
 def blend_grid_auc(df: DataFrame, label: str, scores: Sequence[str], weight_names: Sequence[str],
                    steps: int = 20) -> DataFrame:
-    """(weights..., auc) for every grid point."""
-    # rows collapse to distinct score tuples with class counts before the grid multiplies them
+    """(weights..., auc) for every grid point, exact; one row each while there are rows with a label and scores.
+
+    Rows collapse to distinct score tuples with class counts, and the tuples to blocks. A block is
+    blended and sorted once per weight vector inside its task and leaves it as packed arrays, one per
+    (weight vector, cell). Cells are ranges between quantiles of the pooled scores (a convex blend lies
+    between its scores); their number grows with the tuples, so one cell holds about ``CELL_ROWS`` blends.
+    Pairs inside a cell are counted where its arrays meet, pairs across cells from the cells' totals.
+    Quantiles and row counts are scalar subqueries of the same plan: no job runs here, and any
+    splits give the same counts. Scores are finite; rows with a NULL label or score are left out; an AUC without
+    positives or negatives is NULL."""
     y = F.col(label).cast("long")
-    d = (df.filter(y.isNotNull()).groupBy(*scores).agg(F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg")))
-    d = d.select("_pos", "_neg", *scores, F.explode(weight_grid_column(weight_names, steps)).alias("_w"))
-    d = d.select("_pos", "_neg", *[F.col(f"_w.{n}").alias(n) for n in weight_names],
-                 *[F.col(s) for s in scores])
-    expr = None
-    for s, n in zip(scores, weight_names):
-        term = F.col(n) * F.col(s)
-        expr = term if expr is None else expr + term
-    d = d.withColumn("_blend", expr)
-    # a convex blend lies between its scores: their own quantiles cut the buckets, without running the grid
-    cut = df.select(F.explode(F.array(*[F.col(s).cast("double") for s in scores])).alias("_q"))
-    return roc_auc(d, None, "_blend", by=list(weight_names), counts=("_pos", "_neg"), split_df=cut, split_from=F.col("_q"))
+    d = df.select(y.alias("_y"), *[F.col(s).cast("double").alias(f"_s{i}") for i, s in enumerate(scores)])
+    s = [f"_s{i}" for i in range(len(scores))]
+    d = d.dropna().groupBy(*s).agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1) - F.col("_y")).alias("_neg"))
+    n = d.agg(F.count(F.lit(1))).scalar()
+    probs = [(i + 1) / (MOST_CELLS + 1) for i in range(MOST_CELLS)]
+    splits = (d.select(F.explode(F.array(*s)).alias("_q"))
+               .agg(F.percentile_approx("_q", probs, 2 * MOST_CELLS)).scalar())
+    blocks = (d.groupBy(F.pmod(F.xxhash64(*s), F.floor(n / BLOCK_ROWS) + 1).alias("_b"))
+               .agg(F.collect_list(F.struct(*s, "_pos", "_neg")).alias("rows"))
+               .select("rows", splits.alias("splits"),
+                       F.least(F.floor(n / CELL_ROWS) + 1, F.lit(MOST_CELLS)).cast("int").alias("cells")))
+    points = grid_points(len(scores), steps)
+    cells = (blocks.mapInArrow(_cut_blocks(np.array(points), steps), _PART)
+                   .groupBy("point", "cell")
+                   .applyInArrow(_count_cell, "point int, cell int, pairs double, n_pos long, n_neg long"))
+    # at most MOST_CELLS rows a weight vector
+    w = Window.partitionBy("point").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("n_neg").over(w), F.lit(0))
+    auc = (cells.withColumn("pairs", F.col("pairs") + F.col("n_pos").cast("double") * below)
+                .groupBy("point").agg(F.sum("pairs").alias("pairs"), F.sum("n_pos").cast("double").alias("p"),
+                                      F.sum("n_neg").alias("n")))
+    grid = F.get(weight_grid_column(weight_names, steps), F.col("point"))
+    return (auc.withColumn("_w", grid)
+               .select(*[F.col(f"_w.{c}").alias(c) for c in weight_names],
+                       safe_div(F.col("pairs"), F.col("p") * F.col("n")).alias("auc")))
 
 
 def best_row(df: DataFrame, metric: str, tiebreak: Sequence[str]) -> DataFrame:

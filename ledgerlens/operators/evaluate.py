@@ -7,7 +7,7 @@ Exact AUC (ties count one half):
 
 over distinct scores s. Rows are first aggregated to distinct scores (partial
 aggregation, so a score value shared by a third of all rows is cheap); the
-running count of negatives below each score uses the two-level prefix of
+running count of negatives below each score uses the prefix tree of
 ``prefix.py`` instead of a single-task global window.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import safe_div
-from ledgerlens.operators.prefix import prefix_before, quantile_bucketed
+from ledgerlens.operators.prefix import pairs_below, prefix_before, prefix_tree, quantile_bucketed
 
 
 def fold_hash(id_col: str, seed: int) -> Column:
@@ -66,19 +66,12 @@ def _score_table(df: DataFrame, label: str | None, score, by: Sequence[str], cou
               .agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1) - F.col("_y")).alias("_neg")))
 
 
-def _with_neg_pos_before(t: DataFrame, by: Sequence[str], n_buckets: int) -> DataFrame:
-    t = quantile_bucketed(t, "_s", n_buckets, out="_qb")
-    return prefix_before(t, by, [F.col("_s")], F.col("_qb"),
-                         {"_neg_before": F.col("_neg"), "_pos_before": F.col("_pos")},
-                         broadcast_totals=False).drop("_qb")
-
-
 def roc_auc(df: DataFrame, label: str | None, score, by: Sequence[str] = (), out: str = "auc",
-            n_buckets: int = 256, split_df: DataFrame | None = None, split_from: Column | None = None,
-            counts: tuple[str, str] | None = None) -> DataFrame:
+            n_buckets: int | None = None, counts: tuple[str, str] | None = None) -> DataFrame:
     """Exact ROC-AUC per group (one row per group; one row overall when ``by`` is empty).
 
-    With scores cut into quantile buckets the numerator splits into
+    The numerator is counted level by level in the prefix tree of the scores. With
+    ``n_buckets`` scores are cut into that many quantile buckets instead, and it splits into
       * within-bucket pairs: a window partitioned by (group, bucket), and
       * cross-bucket pairs: Σ_b pos(b) · neg(buckets below b), from the tiny
         (group, bucket) totals table,
@@ -89,7 +82,10 @@ def roc_auc(df: DataFrame, label: str | None, score, by: Sequence[str] = (), out
     t = _score_table(df, label, score, by, counts)
     if not by:
         t = t.withColumn("_g", F.lit(0))
-    t = quantile_bucketed(t, "_s", n_buckets, out="_qb", split_df=split_df, split_from=split_from)
+    if n_buckets is None:
+        p = pairs_below(t, keys, "_s", "_pos", "_neg")
+        return p.select(*by, safe_div(F.col("pairs"), F.col("high").cast("double") * F.col("low")).alias(out))
+    t = quantile_bucketed(t, "_s", n_buckets, out="_qb")
     w_in = Window.partitionBy(*keys, "_qb").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     within = (t.withColumn("_nb", F.coalesce(F.sum("_neg").over(w_in), F.lit(0)))
                .groupBy(*keys).agg(
@@ -103,10 +99,11 @@ def roc_auc(df: DataFrame, label: str | None, score, by: Sequence[str] = (), out
     return res.select(*by, safe_div(F.col("_num_in") + F.col("_num_x"), F.col("_P") * F.col("_N")).alias(out))
 
 
-def roc_points(df: DataFrame, label: str, score, by: Sequence[str] = (), n_buckets: int = 256) -> DataFrame:
+def roc_points(df: DataFrame, label: str, score, by: Sequence[str] = ()) -> DataFrame:
     """One ROC point per distinct score threshold s (predict positive when score >= s)."""
     by = list(by)
-    t = _with_neg_pos_before(_score_table(df, label, score, by), by, n_buckets)
+    t = prefix_tree(_score_table(df, label, score, by), by, "_s",
+                    {"_neg_before": F.col("_neg"), "_pos_before": F.col("_pos")})
     keys = by or ["_g"]
     if not by:
         t = t.withColumn("_g", F.lit(0))

@@ -1,6 +1,7 @@
 """The skew-safe operators against brute force on small fixtures with one hot key."""
 
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import ensemble as B, evaluate as E, ordered as O
+from ledgerlens.operators import prefix
 from ledgerlens.operators.prefix import running_max
 from ledgerlens.operators.profile import exact_percentiles
 
@@ -117,6 +119,89 @@ def test_running_max(spark):
     assert got == list(np.maximum.accumulate([v for _, v in vals]))
 
 
+EDGE = [0.0, -0.0, 5e-324, -5e-324, 2.0 ** -1022, 2.0 ** -1023, 1.0, 2.0, 4.0, 8.0, 1e308, 1.7976931348623157e308,
+        float("inf"), -float("inf"), 0.1, 0.3, -0.1, 1 / 3, 2.0 ** 29, 2.0 ** 29 - 2.0 ** -23, 1.0 - 2.0 ** -53, 1e-310]
+
+
+def test_order_key_is_the_ieee_layout(spark):
+    rng = random.Random(11)
+    vals = EDGE + [rng.uniform(-1, 1) * 10.0 ** rng.randint(-300, 300) for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for r in df.select("v", prefix.order_key(df, "v").alias("k")).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+        assert r["k"] == (bits if r["v"] >= 0 else -bits), r
+    nan = spark.createDataFrame([(float("nan"),)], "v double")
+    assert nan.select(prefix.order_key(nan, "v").alias("k")).first()["k"] == (2047 << 52) + 1
+
+
+@pytest.mark.parametrize("shifts", [(20, 40), (8, 16, 48), (50,)])
+def test_prefix_tree_against_brute_force(spark, shifts):
+    rng = random.Random(12)
+    vals = sorted(set([v for v in EDGE if v == v] + [rng.gauss(0, 1) for _ in range(400)] + [1e-9 * i for i in range(200)]))
+    data = [(g, v, rng.randint(0, 9), rng.randint(0, 9)) for g in ("a", "b", None) for v in vals if v != 0 or g != "b"]
+    data = [r for r in data if r[0] is not None]
+    df = spark.createDataFrame(data, "g string, v double, p long, n long")
+    tree = prefix.prefix_tree(df, ["g"], "v", {"before": F.col("n")}, shifts=shifts)
+    top = prefix.prefix_tree(df, ["g"], "v", {"before": F.col("n")}, agg="max", shifts=shifts)
+    got, most = ({(r["g"], r["v"]): r["before"] for r in t.collect()} for t in (tree, top))
+    pairs = {r["g"]: r for r in prefix.pairs_below(df, ["g"], "v", "p", "n", shifts).collect()}
+    for g in ("a", "b"):
+        rows = sorted((r for r in data if r[0] == g), key=lambda r: r[1])
+        below, num, peak = 0, 0.0, None
+        for _, v, p, n in rows:
+            assert got[g, v] == below and most[g, v] == peak
+            num, below, peak = num + p * (below + n / 2), below + n, n if peak is None else max(peak, n)
+        assert pairs[g]["pairs"] == num and pairs[g]["low"] == below
+
+
+def test_prefix_tree_cells_do_not_grow(spark):
+    """Children of one cell, at 1 and at 100 times the rows: far fewer than the rows, within the bound."""
+    for n in (2_000, 200_000):
+        df = spark.range(n).select((F.rand(7) + F.col("id") * 1e-12).alias("v"))
+        k = df.select(prefix.order_key(df, "v").alias("k"))
+        for low, high in zip((0, *prefix.SHIFTS), prefix.SHIFTS):
+            cells = k.select(F.shiftright("k", low).alias("c"), F.shiftright("k", high).alias("up")).distinct()
+            assert cells.groupBy("up").count().agg(F.max("count")).first()[0] <= min(1 << 20, max(100, n / 1000))
+    plan = prefix.prefix_tree(df, [], "v", {"b": F.lit(1)})._jdf.queryExecution().toString()
+    assert "Sample" not in plan
+
+
+def test_auc_without_buckets(spark):
+    rng = random.Random(4)
+    data = [(rng.choice([rng.gauss(0, 1), round(rng.random(), 2), 0.5]), rng.randint(0, 1), rng.choice("xyz")) for _ in range(900)]
+    df = spark.createDataFrame(data + [(None, 1, "x"), (0.5, None, "x"), (0.5, 1, "only")], "s double, y int, g string")
+    got = {r["g"]: r["auc"] for r in E.roc_auc(df, "y", "s", by=["g"]).collect()}
+    for g in "xyz":
+        assert got[g] == pytest.approx(_auc_brute(*zip(*[r[:2] for r in data if r[2] == g])), abs=1e-12)
+    assert got["only"] is None and E.roc_auc(df.limit(0), "y", "s").collect() == []
+
+
+def test_blend_grid_against_brute_force(spark, monkeypatch):
+    rng = random.Random(6)
+    data = [(round(rng.random(), 1), rng.gauss(0, 1e3), rng.choice([0.25, 0.5]), rng.randint(0, 1)) for _ in range(300)]
+    df = spark.createDataFrame(data + [(None, 1.0, 0.5, 1), (0.1, 1.0, 0.5, None)] + [(0.5, 7.0, 0.5, 1)] * 100,
+                               "a double, b double, c double, y int")
+    rows = data + [(0.5, 7.0, 0.5, 1)] * 100
+    for cell_rows, block_rows in ((1 << 18, 1 << 16), (9, 40)):     # one cell and one block; many of each
+        monkeypatch.setattr(B, "CELL_ROWS", cell_rows)
+        monkeypatch.setattr(B, "BLOCK_ROWS", block_rows)
+        got = B.blend_grid_auc(df, "y", ["a", "b", "c"], ["wa", "wb", "wc"], steps=4).collect()
+        assert len(got) == 15
+        for r in got:
+            s = [r["wa"] * a + r["wb"] * b + r["wc"] * c for a, b, c, _ in rows]
+            assert r["auc"] == pytest.approx(_auc_brute(s, [x[3] for x in rows]), abs=1e-12)
+    assert B.blend_grid_auc(df.limit(0), "y", ["a", "b", "c"], ["wa", "wb", "wc"], steps=4).collect() == []
+
+
+def test_running_max_by_the_tree(spark):
+    rng = random.Random(8)
+    vals = [(i * 3 - 700, rng.random()) for i in range(500)]
+    for t in ("long", "double"):
+        df = spark.createDataFrame(vals, "k long, v double").withColumn("k", F.col("k").cast(t))
+        got = [r["running_max"] for r in running_max(df, "k", "v").orderBy("k").collect()]
+        assert got == list(np.maximum.accumulate([v for _, v in vals]))
+
+
 def test_weight_grid_simplex():
     pts = B.grid_points(3, 20)
     assert len(pts) == 231 and all(sum(p) == 20 for p in pts) and len(set(pts)) == 231
