@@ -11,14 +11,16 @@ conditional aggregates over two row numbers per entity:
 They are computed in two levels so that one entity holding a large share of
 all rows is never sorted by one task:
 
-1. a histogram ``(entity, time) -> rows`` (partial aggregation, skew-safe)
-   gives for every time value the number of rows before / after it;
-2. a window partitioned by ``(entity, time)`` numbers the rows that share a
-   time value by the tiebreak.
+1. a histogram ``(entity, time, cell) -> rows`` (partial aggregation, skew-safe)
+   gives for every time value the number of rows before / after it; cells cut the
+   rows of one time (or without a time) by the leading bits of the first tiebreak;
+2. a window partitioned by ``(entity, time, cell)`` numbers the rows that share
+   all three by the tiebreak.
 
 ``_rn_a = before + rn_within`` and ``_rn_d = after + rn_within``; both use the
 same within-time order (tiebreak asc), matching pandas' keep-first ties.
-The only unsplittable unit left is one (entity, time value) pair.
+A numeric first tiebreak has at most 2^CELL_BITS values in a cell, so an entity with
+one time for all rows is split as well; one of another type leaves a time whole.
 
 First/last values (W2/W3) need no ranks at all: ``max_by/min_by`` over
 ``struct(time, tiebreak)`` are algebraic aggregates.
@@ -30,8 +32,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ledgerlens.functions.exprs import col, flag, safe_div, sum0
+from ledgerlens.operators.prefix import order_key
 
 N, RN_A, RN_D = "_n", "_rn_a", "_rn_d"
 
@@ -40,34 +44,47 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def with_order_ranks(df: DataFrame, key, time: str, tiebreak: Sequence[str]) -> DataFrame:
+CELL_BITS = 20
+
+
+def with_order_ranks(df: DataFrame, key, time: str, tiebreak: Sequence[str], cell_bits: int = CELL_BITS) -> DataFrame:
     """Adds ``_n``, ``_rn_a``, ``_rn_d`` (see module doc). NULL keys are dropped.
 
     ``time`` is a numeric offset; rows with a NULL time are kept and rank after
     all timed rows in both directions (pandas ``na_position='last'``, and
-    ``nlargest``, which takes them only when timed rows run out).
+    ``nlargest``, which takes them only when timed rows run out). A NULL tiebreak ranks first.
     """
     keys = _keys(key)
     base = df
     for k in keys:
         base = base.filter(F.col(k).isNotNull())
-    base = base.withColumn("_tk", F.coalesce(F.col(time).cast("double"), F.lit(float("inf"))))
-    hist = base.groupBy(*keys, "_tk").agg(F.count(F.lit(1)).alias("_tn"))
-    # one ordered spec for both sums, so the histogram is sorted once
-    w_all = Window.partitionBy(*keys).orderBy("_tk").rowsBetween(Window.unboundedPreceding,
-                                                                 Window.unboundedFollowing)
-    w_run = Window.partitionBy(*keys).orderBy("_tk").rowsBetween(Window.unboundedPreceding, -1)
+    numeric = isinstance(df.schema[tiebreak[0]].dataType, NumericType)
+    cell = (F.coalesce(F.shiftright(order_key(df, tiebreak[0]), cell_bits), F.lit(-(1 << 63)))
+            if numeric else F.lit(0).cast("long"))
+    base = (base.withColumn("_tk", F.coalesce(F.col(time).cast("double"), F.lit(float("inf"))))
+                .withColumn("_tc", cell))
+    hist = base.groupBy(*keys, "_tk", "_tc").agg(F.count(F.lit(1)).alias("_cn"))
+    # one ordered spec for all sums, so the histogram is sorted once
+    w_all = Window.partitionBy(*keys).orderBy("_tk", "_tc").rowsBetween(Window.unboundedPreceding,
+                                                                        Window.unboundedFollowing)
+    w_run = Window.partitionBy(*keys).orderBy("_tk", "_tc").rowsBetween(Window.unboundedPreceding, -1)
+    w_time = Window.partitionBy(*keys, "_tk").orderBy("_tc").rowsBetween(Window.unboundedPreceding, -1)
+    w_times = Window.partitionBy(*keys, "_tk").orderBy("_tc").rowsBetween(Window.unboundedPreceding,
+                                                                          Window.unboundedFollowing)
     untimed = F.col("_tk") == F.lit(float("inf"))
-    hist = (hist.withColumn(N, F.sum("_tn").over(w_all))
-                .withColumn("_timed", F.coalesce(F.sum(F.when(~untimed, F.col("_tn"))).over(w_all), F.lit(0)))
-                .withColumn("_before", F.coalesce(F.sum("_tn").over(w_run), F.lit(0))))
-    rows = base.join(hist, keys + ["_tk"], "inner")
-    rn = F.row_number().over(Window.partitionBy(*keys, "_tk").orderBy(*[F.col(c).asc() for c in tiebreak]))
-    return (rows.withColumn("_rnw", rn)
-                .withColumn(RN_A, F.col("_before") + F.col("_rnw"))
+    hist = (hist.withColumn(N, F.sum("_cn").over(w_all))
+                .withColumn("_timed", F.coalesce(F.sum(F.when(~untimed, F.col("_cn"))).over(w_all), F.lit(0)))
+                .withColumn("_before", F.coalesce(F.sum("_cn").over(w_run), F.lit(0)))
+                .withColumn("_inner", F.coalesce(F.sum("_cn").over(w_time), F.lit(0)))
+                .withColumn("_tn", F.sum("_cn").over(w_times)))
+    rows = base.join(hist, keys + ["_tk", "_tc"], "inner")
+    rn = F.row_number().over(Window.partitionBy(*keys, "_tk", "_tc").orderBy(*[F.col(c).asc() for c in tiebreak]))
+    before_time = F.col("_before") - F.col("_inner")
+    return (rows.withColumn("_rnw", rn + F.col("_inner"))
+                .withColumn(RN_A, before_time + F.col("_rnw"))
                 .withColumn(RN_D, F.col("_rnw") + F.when(untimed, F.col("_timed"))
-                            .otherwise(F.col("_timed") - F.col("_before") - F.col("_tn")))
-                .drop("_tn", "_before", "_rnw", "_tk", "_timed"))
+                            .otherwise(F.col("_timed") - before_time - F.col("_tn")))
+                .drop("_tn", "_cn", "_before", "_inner", "_rnw", "_tk", "_tc", "_timed"))
 
 
 def pct_rank(df: DataFrame, key, time: str, out: str = "pct_rank") -> DataFrame:

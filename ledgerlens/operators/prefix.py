@@ -94,14 +94,20 @@ def order_key(df: DataFrame, order_col: str) -> Column:
         return c.cast("long")
     x = c.cast("double")
     a = F.when((F.abs(x) < INF) & (x != 0), F.abs(x)).otherwise(F.lit(1.0))
-    guess = F.greatest(F.floor(F.log2(a)), F.lit(-1022)).cast("double")
-    low = F.pow(F.lit(2.0), guess)
-    e = F.greatest(F.when(a < low, guess - 1).when(a / low >= 2, guess + 1).otherwise(guess), F.lit(-1022.0))
-    bits = ((e + 1022).cast("long") * F.lit(1 << 52)
-            + (a / F.pow(F.lit(2.0), e) * F.lit(float(1 << 52))).cast("long"))
+    bits = _bind(a, lambda v: _bind(
+        F.greatest(F.floor(F.log2(v)), F.lit(-1022)).cast("double"), lambda g: _bind(
+            F.pow(F.lit(2.0), g), lambda low: _bind(
+                F.greatest(F.when(v < low, g - 1).when(v / low >= 2, g + 1).otherwise(g), F.lit(-1022.0)),
+                lambda e: ((e + 1022).cast("long") * F.lit(1 << 52)
+                           + (v / F.pow(F.lit(2.0), e) * F.lit(float(1 << 52))).cast("long"))))))
     top = F.lit(2047 << 52)
     return (F.when(F.isnan(x), top + 1).when(x == INF, top).when(x == -INF, -top)
-             .when(x == 0, F.lit(0)).when(x < 0, -bits).otherwise(bits))
+             .when(x == 0, F.lit(0)).otherwise(F.when(x < 0, F.lit(-1)).otherwise(F.lit(1)) * bits))
+
+
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: expressions that nest several uses grow fast."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _cell(key: str, shift: int) -> Column:

@@ -193,6 +193,25 @@ def test_blend_grid_against_brute_force(spark, monkeypatch):
     assert B.blend_grid_auc(df.limit(0), "y", ["a", "b", "c"], ["wa", "wb", "wc"], steps=4).collect() == []
 
 
+@pytest.mark.parametrize("tie", ["long", "double", "string"])
+def test_order_ranks_split_one_time(spark, tie):
+    """One entity with a single time, one with none at all, one with both; cells of four tiebreaks."""
+    rng = random.Random(9)
+    data = [("one", 5, u) for u in range(-40, 40)] + [("none", None, u) for u in range(50)]
+    data += [("mix", rng.choice([None, 1, 2]), u) for u in range(60)] + [("mix", 2, None), (None, 1, 3)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "k string, t int, u long").withColumn("u", F.col("u").cast(tie))
+    got = O.with_order_ranks(df, "k", "t", ["u"], cell_bits=50 if tie == "double" else 2).collect()
+    assert len(got) == len(data) - 1
+    for k in ("one", "none", "mix"):
+        rows = [r for r in got if r["k"] == k]
+        first = lambda r: (r["u"] is not None, r["u"])
+        up = sorted(rows, key=lambda r: (r["t"] is None, r["t"] or 0, *first(r)))
+        down = sorted(rows, key=lambda r: (r["t"] is None, -(r["t"] or 0), *first(r)))
+        assert [r["_rn_a"] for r in up] == [r["_rn_d"] for r in down] == list(range(1, len(rows) + 1))
+        assert all(r["_n"] == len(rows) for r in rows)
+
+
 def test_running_max_by_the_tree(spark):
     rng = random.Random(8)
     vals = [(i * 3 - 700, rng.random()) for i in range(500)]
