@@ -10,11 +10,13 @@ and names its item.  Positions are word numbers, mapped back to character
 offsets of the original text.
 
 The automaton is linear in the item texts.  Items are cut into blocks of a
-bounded size and each block is broadcast by itself, so a large benchmark means
-more scans, not a larger broadcast.
+bounded size.  One block at a time is read by the driver and broadcast; with
+more than one, rows and their hits are written to the shared folder after each
+block and its broadcast is given back before the next, so a large benchmark
+means more scans and writes, not a larger broadcast or more automata in a task.
 
 Defined results: NULL and empty texts have no words and no hits; items without
-words match nothing; repeated items each count; NULL item ids are skipped;
+words match nothing; items of one id count once; NULL item ids are skipped;
 without items nothing is contaminated.  Columns of the input pass through; the
 operator's own columns carry the prefix ``dc_``.
 """
@@ -30,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.llm.common import written
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")      # on texts before lowering
 _TO_SPACE = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 
@@ -110,20 +114,21 @@ SPAN = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("wo
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, block_bytes: int):
-    """Blocks of (id, text) of bounded size; the number of blocks follows the
-    measured size of the item table."""
+    """(is it the last, items) for blocks of (id, text) of bounded size, each read when it is asked
+    for; the number of blocks follows the measured size of the item table."""
     d = items.select(F.col(item_id).cast("string").alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t")).filter("i IS NOT NULL")
     total = d.agg(F.sum(F.octet_length("t") + 64).alias("s")).collect()[0]["s"] or 0
-    n = -(-total // block_bytes)
+    n = max(1, -(-total // block_bytes))
     for k in range(n):
-        yield [(r["i"], r["t"]) for r in d.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()]
+        yield k == n - 1, [(r["i"], r["t"]) for r in d.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()]
 
 
 def scan(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
          window: int = 10, block_bytes: int = 4 << 20, carry: list[str] | None = None) -> DataFrame:
     """``carry`` columns (default: all) plus dc_n_words, dc_spans (merged word
     and character intervals) and dc_items (sorted ids).  No shuffle: each block
-    of items is one pass of mapInPandas over the rows."""
+    of items is one pass of mapInPandas over the rows; all but the last pass are written
+    when this is called."""
     spark = df.sparkSession
     keep = df.columns if carry is None else carry
     names = [f"c{i}" for i in range(len(keep))]
@@ -133,10 +138,12 @@ def scan(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "it
     d = df.select(*[F.col(f"`{c}`").alias(n) for n, c in zip(names, keep)], F.col(f"`{text}`").alias("t"),
                   F.lit(0).cast("long").alias("n"), F.array().cast(SPAN).alias("spans"),
                   F.array().cast("array<string>").alias("items"))
-    blocks = list(_blocks(items, item_id, item_text, block_bytes)) or [[]]
-    for last, block in ((i == len(blocks) - 1, b) for i, b in enumerate(blocks)):
+    for last, block in _blocks(items, item_id, item_text, block_bytes):
         shared = spark.sparkContext.broadcast(block)
         d = d.mapInPandas(_scanner(shared, window, last), T.StructType(out))
+        if not last:
+            d = written(d, "decontaminate")
+            shared.destroy()
     return d.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("n").alias("dc_n_words"),
                     F.col("spans").alias("dc_spans"), F.col("items").alias("dc_items"))
 
