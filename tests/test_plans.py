@@ -6,7 +6,8 @@ import pytest
 from conftest import SF001
 from ledgerlens.plans import catalog
 
-PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow",
+            "FlatMapGroupsInArrow", "PythonUDF")
 # queries whose plans touch fact rows through windows / rank operators
 FACT_ORDERED = ["tail_head_mean_diff", "good_streak", "half_split_trend", "last_k_rate", "spending_trend",
                 "recent_success_rate", "stratified_folds", "recency_pct_rank", "top_k_per_entity", "roc_auc",
@@ -22,10 +23,11 @@ def full_plan(df) -> str:
     return qe.optimizedPlan().toString() + "\n" + qe.executedPlan().toString()
 
 
-#: MLlib and boosting fits, and the matrix form of wide correlations, whose partial sums are numpy products inside the tasks
+#: MLlib and boosting fits, and the matrix form of wide correlations, whose partial sums are numpy products inside the tasks;
+#: the weight grid, whose blends are sorted in numpy; aggregates that a user writes in Python
 PYTHON_ALLOWED = {"logistic_fit", "forest_fit", "oof_scores", "gbt_importance", "random_search", "test_average", "selected_retrain",
                   "split_gains",
-                  "wide_correlation"}
+                  "wide_correlation", "blend_grid", "blend_best", "user_aggregates"}
 
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - PYTHON_ALLOWED))
