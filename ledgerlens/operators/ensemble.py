@@ -39,6 +39,7 @@ def blend(df: DataFrame, scores: Sequence[str], weights: Sequence[float], out: s
 
 
 CELL_ROWS, MOST_CELLS, BLOCK_ROWS = 1 << 18, 1 << 14, 1 << 16
+BATCH_BYTES = 4 << 20       # of packed arrays handed over at once
 _PART = "point int, cell int, scores binary, pos binary, neg binary"
 
 
@@ -55,31 +56,36 @@ def _cut_blocks(points: np.ndarray, steps: int):
                 n, pooled = batch.column("cells")[i].as_py(), batch.column("splits")[i].values.to_numpy()
                 # n quantiles out of the MOST_CELLS that the sketch has
                 splits = np.unique(pooled[np.arange(1, n) * len(pooled) // n])
-                out = []
+                out, held = [], 0
                 for p, w in enumerate(weights):
                     b = w[0] * s[0]
                     for wk, sk in zip(w[1:], s[1:]):
                         b = b + wk * sk
                     b, inverse = np.unique(b, return_inverse=True)
                     bp, bn = (np.bincount(inverse, c, len(b)).astype(np.int64) for c in (pos, neg))
+                    bp, bn = (c.astype(np.min_scalar_type(c.max())) for c in (bp, bn))
                     edges = np.searchsorted(b, splits, side="left")
                     lo = 0
                     for cell, hi in enumerate([*edges, len(b)]):
                         if hi > lo:
                             out.append((p, cell, b[lo:hi].tobytes(), bp[lo:hi].tobytes(), bn[lo:hi].tobytes()))
                         lo = hi
-                    if len(out) >= 1024 or p + 1 == len(weights):
+                    held += b.nbytes + bp.nbytes + bn.nbytes
+                    if held >= BATCH_BYTES or p + 1 == len(weights):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), *[pa.binary()] * 3))],
                             names=["point", "cell", "scores", "pos", "neg"])
-                        out = []
+                        out, held = [], 0
     return run
 
 
 def _count_cell(t: pa.Table) -> pa.Table:
     """Pairs inside one cell of one weight vector, with the cell's class counts."""
-    b, pos, neg = (np.concatenate([np.frombuffer(v.as_buffer(), d) for v in t.column(c)])
-                   for c, d in (("scores", np.float64), ("pos", np.int64), ("neg", np.int64)))
+    parts = [np.frombuffer(v.as_buffer(), np.float64) for v in t.column("scores")]
+    b = np.concatenate(parts)
+    # counts come in the narrowest width that holds them
+    pos, neg = (np.concatenate([np.frombuffer(v.as_buffer(), f"u{len(v.as_buffer()) // len(p)}").astype(np.int64)
+                                for v, p in zip(t.column(c), parts)]) for c in ("pos", "neg"))
     order = np.argsort(b, kind="stable")
     first = np.flatnonzero(np.r_[True, np.diff(b[order]) != 0])
     pos, neg = np.add.reduceat(pos[order], first), np.add.reduceat(neg[order], first)
@@ -113,7 +119,9 @@ def blend_grid_auc(df: DataFrame, label: str, scores: Sequence[str], weight_name
                .select("rows", splits.alias("splits"),
                        F.least(F.floor(n / CELL_ROWS) + 1, F.lit(MOST_CELLS)).cast("int").alias("cells")))
     points = grid_points(len(scores), steps)
-    cells = (blocks.mapInArrow(_cut_blocks(np.array(points), steps), _PART)
+    # blocks are small beside what they become, so adaptive execution must not put them into few tasks
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = (blocks.repartition(tasks).mapInArrow(_cut_blocks(np.array(points), steps), _PART)
                    .groupBy("point", "cell")
                    .applyInArrow(_count_cell, "point int, cell int, pairs double, n_pos long, n_neg long"))
     # at most MOST_CELLS rows a weight vector
