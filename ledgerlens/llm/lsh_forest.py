@@ -2,19 +2,23 @@
 
 A document's set holds its distinct word shingles as 64-bit hashes.  Equal sets
 are one class from then on, whatever their number.  Each class has a minhash
-signature, cut into ``trees`` groups of ``depth`` values.  Classes that
-agree on the first ``least_depth`` values of a group form a region of that
-tree; a pair at the threshold t of similarity misses all regions with
-probability (1 - t**least_depth)**trees, and ``trees`` is chosen to make that
-less than 0.00001 (16 trees at t = 0.85, 22 at 0.8).  These fixed prefix regions
-replace a forest's sorted orders, longest-common-prefix neighbours and adaptive
-depth.
-
-1. Every class points at a class of its region: the region's smallest class, at the least depth in a small
-   region, and in a large one at the full depth, whose smallest classes in
-   turn point at the region's.  One candidate per class and depth.
+signature of ``trees`` groups of ``depth`` values.  Tree t is the order of all
+classes by the values that start at its group (its own and the next group's,
+around the end), sorted over the whole cluster by range partitions: id is the
+last sort column, so no value, however frequent, fills a task.
+
+1. Neighbours in an order that share at least ``least_depth`` leading values
+   are candidates, and the length of that common prefix is the depth at which
+   the order separates them: deep where classes are alike, shallow where they
+   are sparse.  Each class is first confirmed against the predecessor and the
+   successor with which it shares the longest prefix of all trees; neighbours that are still
+   in different components follow, one for each class and component.
 2. Candidates are confirmed on the full sets; components are labelled.
-3. Regions that still hold more than one component get a second hub, the class
+3. Classes that agree on the first ``least_depth`` values of a tree are a region
+   of it; a pair at the threshold t of similarity shares no region with
+   probability (1 - t**least_depth)**trees, and ``trees`` is chosen to make that
+   less than 0.00001 (16 trees at t = 0.85, 22 at 0.8).  Regions that
+   hold more than one component get a hub, the class
    that shares most of its set with others, and its candidates are confirmed.
 4. Regions that hold more than one component even then are compared in blocks:
    every pair from different components is met once, in the first tree that
@@ -28,7 +32,9 @@ Sets are compared as 64-bit hashes of their shingles.
 
 Defined results: NULL, empty and blank texts have an empty set, no links, and
 are their own component; a text of fewer words than a shingle is one shingle;
-rows with the same key are one document; an empty table gives an empty result.
+rows with the same key are one document; a row with a NULL key takes the smallest
+key of the rows with an equal set, and if all of these are NULL it has a NULL
+component and counts as kept; an empty table gives an empty result.
 Only key and text are read.
 """
 
@@ -39,7 +45,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import written
@@ -115,6 +121,70 @@ def _sets(df: DataFrame, key: str, text: str, shingle: int, ids: DataFrame) -> D
     return d.join(ids, "id", "left_semi").mapInPandas(run, f"id {kind}, s array<long>")
 
 
+def _common(least_depth: int):
+    """Neighbours (a before b) of the sorted rows of a partition with the number
+    of leading values that they share; the partition's first and last row go out
+    with its number, as the neighbours of other partitions' rows."""
+    def run(batches):
+        from pyspark import TaskContext
+        part, first, last = TaskContext.get().partitionId(), None, None
+        for b in batches:
+            if not len(b):
+                continue
+            first = b.iloc[:1] if last is None else first
+            rows = b if last is None else pd.concat([last, b])
+            path = np.frombuffer(b"".join(rows["path"]), ">u4").reshape(len(rows), -1)
+            tree, ids = rows["tree"].to_numpy(), rows["id"].to_numpy()
+            common = np.cumprod(path[1:] == path[:-1], axis=1).sum(axis=1) * (tree[1:] == tree[:-1])
+            at = common >= least_depth
+            yield pd.DataFrame({"a": ids[:-1][at], "b": ids[1:][at], "common": common[at], "part": -1, "tree": tree[1:][at], "path": b""})
+            last = b.iloc[-1:]
+        if last is not None:
+            for row in (first, last):
+                yield pd.DataFrame({"a": row["id"], "b": row["id"], "common": [0], "part": part, "tree": row["tree"], "path": row["path"]})
+    return run
+
+
+def neighbours(order: DataFrame, least_depth: int, values: int) -> DataFrame:
+    """(a, b, common): classes that follow each other in a tree's order of
+    (tree, path, id) and share at least ``least_depth`` leading values; where
+    partitions meet, their outer rows (two a partition) are compared."""
+    kind = order.schema["id"].dataType.simpleString()
+    rows = (order.repartitionByRange("tree", "path", "id").sortWithinPartitions("tree", "path", "id")
+            .mapInPandas(_common(least_depth), f"a {kind}, b {kind}, common int, part int, tree int, path binary"))
+    rows = written(rows, "lsh-neighbours")
+    w = Window.orderBy("part", "tree", "path", "a")
+    ends = (rows.filter("part >= 0").select(F.lag("a").over(w).alias("a"), F.col("a").alias("b"), F.lag("part").over(w).alias("before"),
+                                            "part", F.lag("tree").over(w).alias("tree0"), "tree", F.lag("path").over(w).alias("path0"), "path")
+            .filter("before < part and tree0 = tree"))
+    same = F.filter(F.sequence(F.lit(1), F.lit(values)), lambda k: F.substring("path", F.lit(1), 4 * k) == F.substring("path0", F.lit(1), 4 * k))
+    ends = ends.select("a", "b", F.size(same).alias("common")).filter(F.col("common") >= least_depth)
+    return rows.filter("part < 0").select("a", "b", "common").unionByName(ends)
+
+
+def _pairs(one: DataFrame, two: DataFrame) -> DataFrame:
+    both = one.select("a", "b").unionByName(two.select("a", "b"))
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _longest(near: DataFrame) -> DataFrame:
+    """Of each class, the predecessor and the successor of longest common prefix."""
+    return _pairs(near.groupBy("b").agg(F.max_by("a", F.struct("common", "a")).alias("a")),
+                  near.groupBy("a").agg(F.max_by("b", F.struct("common", "b")).alias("b")))
+
+
+def _apart(near: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
+    """Neighbours in different components: of each class one per component, of
+    longest common prefix; pairs of ``tried`` are not repeated."""
+    la, lb = (labels.select(F.col("id").alias(c), F.col("label").alias(f"l{c}")) for c in ("a", "b"))
+    j = (near.join(la, "a", "left").join(lb, "b", "left")
+         .withColumns({"la": F.coalesce("la", "a"), "lb": F.coalesce("lb", "b")}).filter("la <> lb"))
+    j = (j.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "common",
+                  F.when(F.col("a") < F.col("b"), F.col("lb")).otherwise(F.col("la")).alias("label"))
+         .join(tried, ["a", "b"], "left_anti"))
+    return j.groupBy("a", "label").agg(F.max_by("b", F.struct("common", "b")).alias("b")).select("a", "b")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the similarity."""
     one = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
@@ -206,7 +276,7 @@ def _cross(depth: int, least_depth: int, least_agree: float, percent: int):
 
 
 def link(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, trees: int | None = None,
-         depth: int = 6, least_depth: int = 4, small_region: int = 64, block: int = 400, margin: float = 0.2) -> DataFrame:
+         depth: int = 6, least_depth: int = 4, block: int = 400, margin: float = 0.2) -> DataFrame:
     """key, n_shingles, component_id, kept.  ``margin``: signatures that agree
     on a share of less than the similarity minus this are not confirmed (over
     five standard deviations of the estimate)."""
@@ -215,34 +285,28 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int =
     sig = written(signatures(df, key, text, shingle, trees, depth), "lsh-signatures")
     full = sig.filter("n > 0")
     classes = written(full.groupBy("digest").agg(F.min("key").alias("id"), F.first("sig").alias("sig")), "lsh-classes")
-    start = F.col("tree") * (4 * depth) + 1
-    order = (classes.select("id", "sig", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-             .select("id", "tree", F.substring("sig", start, F.lit(4 * least_depth)).alias("head"),
-                     F.substring("sig", start, F.lit(4 * depth)).alias("path")))
-    regions = written(order.groupBy("tree", "head").agg(F.min("id").alias("hub"), F.count("*").alias("members"))
-                      .filter("members > 1"), "lsh-regions")
-    members = written(order.join(regions, ["tree", "head"]), "lsh-members")
-    # nearest common neighbour: adaptive depth
-    deep = members.filter(F.col("members") > small_region).groupBy("tree", "path").agg(F.min("id").alias("deep"), F.min("hub").alias("hub"))
-    deep = written(deep, "lsh-deep")
-    to_deep = (members.filter(F.col("members") > small_region).select("tree", "path", "id")
-               .join(deep.select("tree", "path", "deep"), ["tree", "path"]).select("id", F.col("deep").alias("hub")))
-    pointers = (members.filter(F.col("members") <= small_region).select("id", "hub")
-                .unionByName(deep.select(F.col("deep").alias("id"), "hub")).unionByName(to_deep).filter("id <> hub"))
-    first = pointers.groupBy("id").agg(F.min("hub").alias("hub"), F.max("hub").alias("last"))
-    pairs = (first.select(F.col("hub").alias("a"), F.col("id").alias("b"))
-             .unionByName(first.select(F.col("last").alias("a"), F.col("id").alias("b")))
-             .unionByName(deep.filter("deep <> hub").select(F.col("hub").alias("a"), F.col("deep").alias("b")))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    ids = written(members.select("id").distinct(), "lsh-ids")
+    values = min(2 * depth, trees * depth)
+    order = (classes.filter("id is not null")
+             .select("id", F.concat("sig", "sig").alias("sig"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+             .select("id", "tree", F.substring("sig", F.col("tree") * (4 * depth) + 1, F.lit(4 * values)).alias("path")))
+    near = neighbours(order, least_depth, values)
+    # a region has two members or more exactly where neighbours share its prefix
+    ids = written(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct(), "lsh-ids")
     sets = written(_sets(df, key, text, shingle, ids).dropDuplicates(["id"]), "lsh-sets")
+    pairs = written(_longest(near), "lsh-pairs")
     links = written(_confirmed(pairs, sets, percent), "lsh-links")
     labels = components(links)
+    more = written(_confirmed(_apart(near, labels, pairs), sets, percent), "lsh-links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = components(links)
 
+    members = written(order.join(ids, "id", "left_semi")
+                      .select("id", "tree", F.substring("path", F.lit(1), F.lit(4 * least_depth)).alias("head")), "lsh-members")
     mark, mixed = _mixed_regions(members, labels, block)
     shared = written(_shared(mark.join(mixed, ["tree", "head"], "left_semi").select("id").distinct(), sets), "lsh-shared")
 
-    # the class that shares most of its set with others is the region's second hub
+    # the class that shares most of its set with others is the region's hub
     at = mark.join(mixed, ["tree", "head"]).join(shared, "id")
     hubs = written(at.groupBy("tree", "head").agg(F.max_by(F.struct("id", "label", "n", "shared"), F.struct(F.col("shared") / F.col("n"), "id")).alias("hub")),
                    "lsh-hubs")
@@ -280,6 +344,8 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int =
 
 
 def drop_near_duplicates(df: DataFrame, key: str = "doc_id", **kw) -> DataFrame:
-    """One document of each group stays (the smallest key), with the columns of ``df``."""
+    """One document of each group stays (the smallest key), with the columns of
+    ``df``.  Rows of one key, NULL included, stay or go together: they stay if
+    any of them is kept."""
     keep = link(df, key=key, **kw).filter("kept").select(F.col(key).alias("__lsh_key")).distinct()
     return df.join(keep, df[key].eqNullSafe(keep["__lsh_key"]), "left_semi")

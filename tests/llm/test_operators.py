@@ -483,7 +483,7 @@ def near_rows(seed, groups=6):
     return rows
 
 
-@pytest.mark.parametrize("seed,kw", [(1, {}), (2, {"small_region": 2, "block": 3}), (3, {"small_region": 1, "block": 1})])
+@pytest.mark.parametrize("seed,kw", [(1, {}), (2, {"block": 3}), (3, {"block": 1})])
 def test_lsh_forest_matches_brute_force(spark, corpus, seed, kw):
     rows = near_rows(seed) + [(1000 + i, t, lg, s) for i, t, lg, s in corpus]
     got = {r["doc_id"]: r for r in lsh_forest.link(frame(spark, rows), shingle=3, percent=85, **kw).collect()}
@@ -492,6 +492,46 @@ def test_lsh_forest_matches_brute_force(spark, corpus, seed, kw):
     assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+@pytest.mark.parametrize("parts", ["1", "7"])
+def test_lsh_neighbours_match_sorted_orders(spark, parts):
+    r = random.Random(5)
+    rows = [(i, t, b"".join(r.choice([1, 1, 1, 70000]).to_bytes(4, "big") for _ in range(6))) for i in range(300) for t in range(3)]
+    rows += [(300 + i, 0, b"\0\0\0\1" * 6) for i in range(200)]            # one path of a third of its order
+    want = []
+    for t in range(3):
+        s = sorted((p, i) for i, k, p in rows if k == t)
+        for (p, i), (q, j) in zip(s, s[1:]):
+            n = next((d for d in range(6) if p[4 * d:4 * d + 4] != q[4 * d:4 * d + 4]), 6)
+            want += [(i, j, n)] if n >= 2 else []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        order = spark.createDataFrame(rows, "id long, tree int, path binary")
+        got = [tuple(x) for x in lsh_forest.neighbours(order, 2, 6).select("a", "b", "common").collect()]
+        assert sorted(got) == sorted(want)
+        assert lsh_forest.neighbours(order.limit(0), 2, 6).count() == 0
+        near = spark.createDataFrame(want, "a long, b long, common int")
+        best = {(x["a"], x["b"]) for x in lsh_forest._longest(near).collect()}
+        want_best = set()
+        for me, other in ((0, 1), (1, 0)):
+            top = {}
+            for w in want:
+                top[w[me]] = max(top.get(w[me], (0, -1)), (w[2], w[other]))
+            want_best |= {(min(i, j), max(i, j)) for i, (_, j) in top.items()}
+        assert best == want_best
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_lsh_forest_null_keys(spark):
+    a, b = prose(60, 1), prose(60, 2)
+    df = spark.createDataFrame([(None, a), (4, a), (3, a), (None, b), (None, b), (9, None)], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in lsh_forest.link(df).collect()), key=str)
+    assert got == sorted([(None, 3, False), (4, 3, False), (3, 3, True), (None, None, True), (None, None, True), (9, 9, True)], key=str)
+
+
 def test_lsh_forest_repeated_keys_and_empty(spark, corpus):
     rows = corpus + corpus[:2]
     out = lsh_forest.link(frame(spark, rows).withColumn("n", F.lit(1)).withColumn("sig", F.lit(2)))
