@@ -10,9 +10,10 @@ from ledgerlens.functions.exprs import count_if, flag, map_values, safe_div, smo
 from ledgerlens.operators import joins, rollup as R
 from ledgerlens.operators.ordered import volatility
 from ledgerlens.plans.oracle_sql import sql
-from ledgerlens.plans.registry import finish, query
+from ledgerlens.plans.registry import ORACLE, ROUNDED, finish, query
 from ledgerlens.session import checkpoint_dir
 from ledgerlens.sources import io, tables as T
+from ledgerlens.sources.stored import store_by_key
 
 
 def _scratch(spark, name: str) -> str:
@@ -54,6 +55,18 @@ LEFT JOIN (SELECT id, count(*) AS MON_COUNT, avg(bal) AS MON_bal_mean, max(bal)
                                        "MON_bal_mean", "MON_bal_max", "MON_draw_sum"])
 
 
+# ------------------------------------------------------------------ J1 / IO2 over stored, bucketed feature tables
+@query("stored_spine_join")
+def stored_spine_join(spark, d):
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frames = [T.spine(spark, d).select("id", "seg", "income"), _hist_rollup(T.hist(spark, d)), _monthly_rollup(T.monthly(spark, d))]
+    sp, *features = [store_by_key(f, _scratch(spark, "stored"), "id", buckets) for f in frames]
+    return finish(joins.spine_join(sp, features, "id"))
+
+
+ORACLE["stored_spine_join"], ROUNDED["stored_spine_join"] = ORACLE["feature_spine_join"], ROUNDED["feature_spine_join"]
+
+
 # ------------------------------------------------------------------ IO
 @query("csv_roundtrip")
 def csv_roundtrip(spark, d):
