@@ -1,7 +1,9 @@
 """Gradient boosting of leaf-wise trees, many models at once, on histograms.
 
 Columns are cut into bins once, at quantiles (a mergeable sketch, one pass);
-NULL and NaN are a bin below all others.  The binned rows are written to the
+NULL and NaN are a bin below all others.  Rows with the same bins form a cell:
+no tree tells them apart, so a cell has one margin and counts of its rows by
+fold and label (with sampled rows, also their hashes).  Cells are written to the
 shared folder in blocks of bytes.  A level of all models' trees is one job:
 every task adds up gradient, hessian and count by (model, leaf, feature, bin)
 over its block, partial sums meet by model, and only the best split of each
@@ -30,8 +32,8 @@ Gradients, hessians and losses are rounded to multiples of 2**-20 before they
 are added, so sums do not depend on the order of tasks: results are the same
 for every partitioning.  Rows and columns are sampled by seeded hashes.
 
-Blocks have at most about ``block_rows`` rows.  Rows that fill several are
-dealt by block and model, as above.  Where one block holds all rows nothing has
+Blocks have at most about ``block_rows`` cells.  Cells that fill several are
+dealt by block and model, as above.  Where one block holds all cells nothing has
 to meet: the models are dealt over the tasks and a job does ``keep_every``
 rounds of each, by the same steps and with the same result.  The driver holds
 the trees, whose size is bounded by rounds and leaves, never rows.
@@ -47,13 +49,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.joins import check_parity
 from ledgerlens.session import checkpoint_dir
 
 UNIT = 2.0 ** 20
+MOST_MARGINS = 1 << 24     # numbers held by a task
 
 
 @dataclass(frozen=True)
@@ -88,15 +91,18 @@ class Tree:
     value: np.ndarray
 
     def place(self, x: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(x), np.int32)
-        rows = np.arange(len(x))
-        while True:
-            f = self.feature[at]
-            inner = f >= 0
-            if not inner.any():
-                return at
-            left = x[rows, np.maximum(f, 0)] <= self.cut[at]
-            at = np.where(inner, np.where(left, self.left[at], self.right[at]), at)
+        node, inner = np.arange(len(self.feature)), self.feature >= 0
+        # a leaf leads to itself
+        f, cut = np.where(inner, self.feature, 0), np.where(inner, self.cut, 255).astype(np.uint8)
+        child = np.stack([np.where(inner, self.left, node), np.where(inner, self.right, node)], 1).ravel()
+        depth = [0] * len(node)
+        for k in np.flatnonzero(inner).tolist():        # children come after their parent
+            depth[self.left[k]] = depth[self.right[k]] = depth[k] + 1
+        flat, row = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
+        at = np.zeros(len(x), np.intp)
+        for _ in range(max(depth)):
+            at = child.take(2 * at + (flat.take(row + f.take(at)) > cut.take(at)))
+        return at
 
 
 def best_round(losses: Sequence[float]) -> int:
@@ -163,24 +169,135 @@ def binned(values: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _blocks(df: DataFrame, features, label, fold_col, key, edges, n_blocks: int) -> DataFrame:
-    """One row of bytes per block, written: bins, labels, folds, hashes of the key."""
-    cols = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
+def _bins(df: DataFrame, features: Sequence[str], edges: Sequence[np.ndarray], keep: Sequence[Column]) -> DataFrame:
+    """``keep`` and ``x``: the bin numbers of a row, one byte a feature."""
+    d = df.select(*keep, *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(features)])
+    names, width = d.columns[:len(keep)], len(features)
+
+    def run(batches):
+        for b in batches:
+            x = _bins_of(b, len(names), edges)
+            offsets = pa.py_buffer(np.arange(0, width * len(x) + 1, width, dtype=np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(names))], pa.Array.from_buffers(pa.binary(), len(x), [None, offsets, pa.py_buffer(x.tobytes())])],
+                                             names=[*names, "x"])
+    schema = ", ".join(f"`{c}` {d.schema[c].dataType.simpleString()}" for c in names)
+    return d.mapInArrow(run, f"{schema}, x binary" if names else "x binary")
+
+
+def _bins_of(batch: pa.RecordBatch, first: int, edges: Sequence[np.ndarray]) -> np.ndarray:
+    return binned(np.column_stack([batch.column(first + i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(edges))]), edges)
+
+
+def _bytes_of(t: pa.Table, width: int) -> np.ndarray:
+    """The rows of the column ``x``, as an array of bytes."""
+    parts = []
+    for c in t.column("x").chunks:
+        offsets = np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1]
+        parts.append(np.frombuffer(c.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if len(c) else np.zeros(0, np.uint8))
+    return np.concatenate(parts).reshape(-1, width)
+
+
+def cell_counts(df: DataFrame, boosted: "Boosted", by: Sequence[str]) -> DataFrame:
+    """(x, ``by``, n): rows that no model tells apart, counted."""
+    return _bins(df, boosted.features, boosted.edges, [F.col(c) for c in by]).groupBy("x", *by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows of bytes, in order, and the number of each row among them."""
+    flat = np.ascontiguousarray(values).view(f"V{values.shape[1]}").ravel()
+    order = np.argsort(flat, kind="stable")
+    new = np.r_[True, flat[order][1:] != flat[order][:-1]]
+    at = np.empty(len(flat), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return values[order[new]], at
+
+
+def _blocks(df: DataFrame, features, label, fold_col, key, edges, kinds: list[tuple], sampled: bool, block_cells: int,
+            block_rows: int) -> tuple[DataFrame, int, int]:
+    """One row of bytes per block, written: the bins of its cells and the rows of each kind (fold, label) in
+    them, for sampled models also the rows' hashes and places. With the numbers of blocks and cells."""
+    spark = df.sparkSession
     fold = F.col(fold_col).cast("int") if fold_col else F.lit(-1)
-    d = df.filter(F.col(label).isNotNull()).select(F.xxhash64(F.col(key)).alias("h"), F.col(label).cast("int").alias("y"), fold.alias("fold"), *cols)
-    d = d.repartition(n_blocks, "h").sortWithinPartitions("h", "y", *[f"x{i}" for i in range(len(cols))])
+    y = F.col(label).cast("int")
+    kind = F.coalesce(*[F.when(y.eqNullSafe(F.lit(v)) & fold.eqNullSafe(F.lit(f)), F.lit(i)) for i, (f, v) in enumerate(kinds)], F.lit(-1))
+    hashes = [F.xxhash64(F.col(key)).alias("h")] if sampled else []
+    path = f"{checkpoint_dir(spark).rstrip('/')}/boosting-{np.random.default_rng().integers(1 << 62):x}"
+    d = _bins(df.filter(F.col(label).isNotNull()), features, edges, [kind.alias("kind"), *hashes])
+    if sampled:
+        d.write.parquet(f"{path}/rows")
+        d = spark.read.parquet(f"{path}/rows")
+    d.groupBy("x", "kind").agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/cells")
+    cells = spark.read.parquet(f"{path}/cells")
+    by_cell = cells.groupBy("x").agg(F.sum("n").alias("n"))
+    found = by_cell.agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("n")).first()
+    n_cells, total = found["cells"], found["n"] or 0
+    n_blocks = max(1, -(-n_cells // block_cells), -(-total // block_rows) if sampled else 1)
+    if sampled:     # a cell of very many rows is dealt out in pieces; there are few such cells
+        hot = by_cell.filter(F.col("n") > block_rows).select("x", F.ceil(F.col("n") / block_rows).alias("pieces"))
+        d = d.join(F.broadcast(hot), "x", "left").withColumn("piece", F.pmod("h", F.coalesce("pieces", F.lit(1))))
+        d = d.select("x", "kind", "h", "piece").repartition(n_blocks, "x", "piece")
+    else:
+        d = cells.repartition(n_blocks, "x")
+    width, n_kinds = len(features), len(kinds)
 
     def run(batches):
         parts = [b for b in batches if b.num_rows]
         if parts:
-            t = pa.Table.from_batches(parts).to_pandas()
-            x = binned(t[[f"x{i}" for i in range(len(edges))]].to_numpy(float), edges)
-            yield pa.RecordBatch.from_pydict({"n": [len(t)], "x": [x.tobytes()], "y": [t["y"].to_numpy(np.uint8).tobytes()],
-                                              "fold": [t["fold"].to_numpy(np.int32).tobytes()], "h": [t["h"].to_numpy(np.int64).tobytes()]},
-                                             schema=pa.schema([("n", pa.int64()), *[(c, pa.binary()) for c in ("x", "y", "fold", "h")]]))
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/boosting-{np.random.default_rng().integers(1 << 62):x}"
-    d.mapInArrow(run, "n long, x binary, y binary, fold binary, h binary").write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+            t = pa.Table.from_batches(parts)
+            x, at = _numbered(_bytes_of(t, width))
+            place = at * n_kinds + t.column("kind").to_numpy()
+            n = np.bincount(place, None if sampled else t.column("n").to_numpy(), len(x) * n_kinds).astype(np.int64)
+            out = {"x": [x.tobytes()], "n": [n.tobytes()], "place": [b""], "h": [b""]}
+            if sampled:
+                order = np.argsort(place, kind="stable")
+                out |= {"place": [place[order].astype(np.int32).tobytes()], "h": [t.column("h").to_numpy()[order].tobytes()]}
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.binary()) for c in ("x", "n", "place", "h")]))
+    d.mapInArrow(run, "x binary, n binary, place binary, h binary").write.parquet(f"{path}/blocks")
+    return spark.read.parquet(f"{path}/blocks"), n_blocks, n_cells
+
+
+class _Block:
+    """Cells of one block: bins, rows by kind, places and hashes of single rows."""
+
+    def __init__(self, r, width: int, kinds: list[tuple]):
+        self.x = np.frombuffer(r["x"], np.uint8).reshape(-1, width)
+        self.n = np.frombuffer(r["n"], np.int64).reshape(-1, len(kinds))
+        self.place, self.h, self.kinds = np.frombuffer(r["place"], np.int32), np.frombuffer(r["h"], np.int64), kinds
+
+    def _by_label(self, n: np.ndarray, use) -> dict[int, np.ndarray]:
+        out = {}
+        for i, (f, v) in enumerate(self.kinds):
+            if use(f):
+                v = int(v) & 255
+                out[v] = out[v] + n[:, i] if v in out else n[:, i]
+        return {v: c.astype(float) for v, c in out.items()}
+
+    def held(self, p: Params) -> dict[int, np.ndarray]:
+        """Rows of the left-out fold by label, for each cell."""
+        return self._by_label(self.n, lambda f: f == p.fold)
+
+    def train(self, p: Params, model_round: int, drawn: dict) -> dict[int, np.ndarray]:
+        """Rows a tree is grown on by label, for each cell; ``drawn`` keeps the last draw."""
+        n = self.n
+        if p.row_share < 1:
+            seed = _draw(p, model_round)
+            if drawn.get("seed") != seed:
+                drawn.clear()
+                drawn.update(seed=seed, n=self._sampled(seed[0], p.row_share))
+            n = drawn["n"]
+        return self._by_label(n, lambda f: p.fold is None or f != p.fold)
+
+    def _sampled(self, seed: int, share: float, step: int = 1 << 16) -> np.ndarray:
+        out = np.zeros(self.n.size, np.int64)
+        for i in range(0, len(self.h), step):       # places ascend
+            use = self.place[i:i + step][_hash(self.h[i:i + step], seed) < share]
+            if len(use):
+                out[use[0]:use[-1] + 1] += np.bincount(use - use[0])
+        return out.reshape(self.n.shape)
+
+
+def _draw(p: Params, model_round: int) -> tuple[int, float]:
+    return p.seed * 1_000_003 + model_round // p.row_every, p.row_share
 
 
 def _hash(h: np.ndarray, seed: int) -> np.ndarray:
@@ -198,36 +315,35 @@ def _columns(p: Params, model_round: int, n: int) -> list[int]:
     return sorted(np.random.default_rng([p.seed, model_round]).choice(n, k, replace=False).tolist()) if k < n else list(range(n))
 
 
-def _train_rows(p: Params, model_round: int, fold: np.ndarray, h: np.ndarray) -> np.ndarray:
-    use = np.ones(len(h), bool) if p.fold is None else fold != p.fold
-    if p.row_share < 1:
-        use &= _hash(h, p.seed * 1_000_003 + model_round // p.row_every) < p.row_share
-    return np.flatnonzero(use)
-
-
-def _gradients(p: Params, margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    w = np.where(y == 1, p.positive_weight, 1.0)
+def _gradients(p: Params, margin: np.ndarray, rows: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of gradients and hessians and number of rows, by cell."""
     s = 1 / (1 + np.exp(-margin))
-    return np.rint(w * (s - y) * UNIT), np.rint(w * s * (1 - s) * UNIT)
+    g, h, n = (np.zeros(len(margin)) for _ in range(3))
+    for y, c in rows.items():
+        w = p.positive_weight if y == 1 else 1.0
+        g += np.rint(w * (s - y) * UNIT) * c
+        h += np.rint(w * s * (1 - s) * UNIT) * c
+        n += c
+    return g, h, n
 
 
-def _loss(p: Params, margin: np.ndarray, y: np.ndarray) -> float:
-    w = np.where(y == 1, p.positive_weight, 1.0)
-    return float(np.rint(w * np.logaddexp(0.0, np.where(y == 1, -margin, margin)) * UNIT).sum())
+def _loss(p: Params, margin: np.ndarray, rows: dict[int, np.ndarray]) -> float:
+    return sum((float((np.rint((p.positive_weight if y == 1 else 1.0) * np.logaddexp(0.0, -margin if y == 1 else margin) * UNIT) * c).sum())
+                for y, c in rows.items()), 0.0)
 
 
-def _histogram(x, g, h, at: np.ndarray, frontier: Sequence[int], n_nodes: int, columns: Sequence[int], n_bins: int) -> np.ndarray:
+def _histogram(x, g, h, n, at: np.ndarray, frontier: Sequence[int], n_nodes: int, columns: Sequence[int], n_bins: int) -> np.ndarray:
     """[gradient, hessian, count; leaf; column; bin] of the rows in the frontier's leaves."""
     local = np.full(n_nodes, -1)
     local[list(frontier)] = np.arange(len(frontier))
     leaf = local[at]
     rows = np.flatnonzero(leaf >= 0)
-    base, g, h = leaf[rows] * n_bins, g[rows], h[rows]
+    base, g, h, n = leaf[rows] * n_bins, g[rows], h[rows], n[rows]
     size = len(frontier) * n_bins
     out = np.zeros((3, len(frontier), len(columns), n_bins))
     for k, c in enumerate(columns):
         cell = base + x[rows, c]
-        for j, w in enumerate((g, h, None)):
+        for j, w in enumerate((g, h, n)):
             out[j, :, k, :] = np.bincount(cell, w, size).reshape(len(frontier), n_bins)
     return out
 
@@ -311,42 +427,44 @@ class _Growing:
                 for k in sorted(self.chosen())]
 
 
-def _grown(p: Params, model_round: int, x, y, fold, h, margin, n_bins: int) -> _Growing:
+def _grown(p: Params, model_round: int, block: _Block, drawn: dict, margin, n_bins: int) -> _Growing:
     """One tree from one block that holds all rows."""
-    rows = _train_rows(p, model_round, fold, h)
-    xs = x[rows]
-    g, hs = _gradients(p, margin[rows], y[rows])
-    out = _Growing(p, _columns(p, model_round, x.shape[1]))
+    g, h, n = _gradients(p, margin, block.train(p, model_round, drawn))
+    rows = np.flatnonzero(n)
+    xs, g, h, n = block.x[rows], g[rows], h[rows], n[rows]
+    out = _Growing(p, _columns(p, model_round, block.x.shape[1]))
     while out.frontier:
         t = out.tree()
-        out.split(best_splits(p, _histogram(xs, g, hs, t.place(xs), out.frontier, len(t.feature), out.columns, n_bins)))
+        out.split(best_splits(p, _histogram(xs, g, h, n, t.place(xs), out.frontier, len(t.feature), out.columns, n_bins)))
     return out
 
 
-def _rounds(p: Params, n_trees: int, losses: list[float], held: float, most: int, x, y, fold, h, margin: np.ndarray, n_bins: int):
+def _rounds(p: Params, n_trees: int, losses: list[float], held: float, most: int, block: _Block, margin: np.ndarray, n_bins: int):
     """Up to ``most`` rounds of a model on a block that holds all rows; moves
     ``margin`` on.  (trees, losses, ledger) that are new, and whether patience ended it."""
-    trees, lost, ledger = [], list(losses), []
-    out_rows = np.flatnonzero(fold == p.fold) if p.fold is not None else None
+    trees, lost, ledger, drawn = [], list(losses), [], {}
+    out_rows = block.held(p)
     while True:
         if p.fold is not None and len(lost) <= n_trees:
-            lost.append(_loss(p, margin[out_rows], y[out_rows]) / UNIT / max(held, 1e-9))
+            lost.append(_loss(p, margin, out_rows) / UNIT / max(held, 1e-9))
             if n_trees - best_round(lost) >= p.patience:
                 return trees, lost[len(losses):], ledger, True
         if n_trees >= p.rounds or len(trees) == most:
             return trees, lost[len(losses):], ledger, False
-        g = _grown(p, n_trees, x, y, fold, h, margin, n_bins)
+        g = _grown(p, n_trees, block, drawn, margin, n_bins)
         t = g.tree(final=True)
-        margin += t.value[t.place(x)]
+        margin += t.value[t.place(block.x)]
         trees.append(t)
         ledger += g.ledger(n_trees)
         n_trees += 1
 
 
 def fit(df: DataFrame, features: Sequence[str], label: str, key: str, models: Sequence[Params], fold_col: str | None = None,
-        bins: int = 64, accuracy: int = 10_000, block_rows: int = 1 << 18, keep_every: int = 25, start: Boosted | None = None) -> Boosted:
+        bins: int = 64, accuracy: int = 10_000, block_rows: int = 1 << 18, keep_every: int = 25, start: Boosted | None = None,
+        block_hashes: int = 1 << 22) -> Boosted:
     """Fit all ``models`` on ``df``; with ``start`` (fitted on the same rows)
-    its models go on instead, up to ``models[k].rounds``."""
+    its models go on instead, up to ``models[k].rounds``.  A block has about ``block_rows``
+    cells at most and, if a model samples rows, the hashes of about ``block_hashes`` rows."""
     spark = df.sparkSession
     sc = spark.sparkContext
     features = list(features)
@@ -362,61 +480,70 @@ def fit(df: DataFrame, features: Sequence[str], label: str, key: str, models: Se
     n_bins = max((len(e) for e in edges), default=0) + 2
     counts = (df.filter(F.col(label).isNotNull()).groupBy((F.col(fold_col).cast("int") if fold_col else F.lit(-1)).alias("f"), F.col(label).cast("int").alias("y"))
               .agg(F.count("*").alias("n")).collect())             # folds x classes rows
-    total = sum(r["n"] for r in counts)
     if start is None:
         for m in out.models:
             pos, neg = (sum(r["n"] for r in counts if r["y"] == c and (m.params.fold is None or r["f"] != m.params.fold)) for c in (1, 0))
             m.base = math.log(max(m.params.positive_weight * pos, 1e-9) / max(neg, 1e-9))
     held = {m.params.fold: sum(r["n"] * (m.params.positive_weight if r["y"] == 1 else 1) for r in counts if r["f"] == m.params.fold)
             for m in out.models}
-    n_blocks = max(1, -(-total // block_rows))
-    n_chunks = max(1, min(len(out.models), -(-sc.defaultParallelism // n_blocks)))
-    n_parts = n_blocks * n_chunks
+    kinds = sorted(((r["f"], r["y"]) for r in counts), key=str)
     width = len(features)
+    table, n_blocks, n_cells = _blocks(df, features, label, fold_col, key, edges, kinds, any(m.params.row_share < 1 for m in out.models),
+                                       max(1, block_rows // max(1, len(kinds) // 16)), block_hashes)
+    # margins of a task have MOST_MARGINS numbers at most
+    n_chunks = max(-(-sc.defaultParallelism // n_blocks), -(-len(out.models) * -(-n_cells // n_blocks) // MOST_MARGINS))
+    n_chunks = max(1, min(len(out.models), n_chunks))
+    n_parts = n_blocks * n_chunks
     mine = [list(range(c, len(out.models), n_chunks)) for c in range(n_chunks)]
     begin = sc.broadcast([(m.base, m.trees) for m in out.models])
+    params = [m.params for m in out.models]
 
     def first(part):
-        """Blocks of a chunk's models with the margins they begin with."""
+        """Blocks of a chunk's models with the margins they begin with and the rows drawn last."""
         for chunk, r in part:
-            x = np.frombuffer(r["x"], np.uint8).reshape(-1, width)
-            margin = np.empty((len(mine[chunk]), len(x)))
+            block = _Block(r, width, kinds)
+            margin = np.empty((len(mine[chunk]), len(block.x)))
             for j, k in enumerate(mine[chunk]):
                 base, trees = begin.value[k]
                 margin[j] = base
                 for t in trees:
-                    margin[j] += t.value[t.place(x)]
-            yield chunk, x, np.frombuffer(r["y"], np.uint8), np.frombuffer(r["fold"], np.int32), np.frombuffer(r["h"], np.int64), margin
+                    margin[j] += t.value[t.place(block.x)]
+            yield chunk, block, margin, {}
 
-    table = _blocks(df, features, label, fold_col, key, edges, n_blocks)
     state = (table.rdd.zipWithIndex().flatMap(lambda r: [(r[1] * n_chunks + c, (c, r[0])) for c in range(n_chunks)])
              .partitionBy(n_parts, lambda k: k).values().mapPartitions(first).persist(StorageLevel.MEMORY_AND_DISK))
 
-    def moved(trees):
+    def moved(trees, rounds):
         def run(part):
-            for chunk, x, y, fold, h, margin in part:
-                margin = margin.copy()
+            for chunk, block, margin, rows in part:
+                last = {}
                 for j, k in enumerate(mine[chunk]):
                     t = trees.value.get(k)
                     if t is not None:
-                        margin[j] += t.value[t.place(x)]
-                yield chunk, x, y, fold, h, margin
+                        margin[j] += t.value[t.place(block.x)]
+                    # rows are drawn once for all levels of the rounds that share them
+                    if params[k].row_share < 1 and k in rounds and rows.get(k, (None,))[0] != _draw(params[k], rounds[k]):
+                        rows[k] = _draw(params[k], rounds[k]), {v: c.astype(np.int32) for v, c in block.train(params[k], rounds[k], last).items()}
+                    elif k not in rounds:
+                        rows.pop(k, None)
+                yield chunk, block, margin, rows
         return run
 
     def level(work, with_loss):
         def run(part):
-            for chunk, x, y, fold, h, margin in part:
+            for chunk, block, margin, rows in part:
+                last = {}
                 for j, k in enumerate(mine[chunk]):
                     if k not in work.value:
                         continue
                     p, model_round, tree, frontier, columns = work.value[k]
                     if with_loss and p.fold is not None:
-                        out_rows = np.flatnonzero(fold == p.fold)
-                        yield (k, "loss"), _loss(p, margin[j, out_rows], y[out_rows])
-                    rows = _train_rows(p, model_round, fold, h)
-                    xs = x[rows]
-                    g, hs = _gradients(p, margin[j, rows], y[rows])
-                    yield (k, "hist"), _histogram(xs, g, hs, tree.place(xs), frontier, len(tree.feature), columns, n_bins)
+                        yield (k, "loss"), _loss(p, margin[j], block.held(p))
+                    known = rows[k][1] if k in rows and rows[k][0] == _draw(p, model_round) else block.train(p, model_round, last)
+                    g, h, n = _gradients(p, margin[j], known)
+                    some = np.flatnonzero(n)
+                    xs = block.x[some]
+                    yield (k, "hist"), _histogram(xs, g[some], h[some], n[some], tree.place(xs), frontier, len(tree.feature), columns, n_bins)
         return run
 
     def reduced(rdd, work):
@@ -460,7 +587,7 @@ def fit(df: DataFrame, features: Sequence[str], label: str, key: str, models: Se
         if not live and not any(out.models[k].params.fold is not None for k in growing):
             break
         shared = sc.broadcast(done)
-        nxt = state.mapPartitions(moved(shared)).persist(StorageLevel.MEMORY_AND_DISK)
+        nxt = state.mapPartitions(moved(shared, {k: len(out.models[k].trees) for k in live})).persist(StorageLevel.MEMORY_AND_DISK)
         since += 1
         if since % keep_every == 0:
             nxt.checkpoint()
@@ -472,11 +599,10 @@ def fit(df: DataFrame, features: Sequence[str], label: str, key: str, models: Se
             work = sc.broadcast({k: (out.models[k].params, 0, out.models[k].trees[-1], [], []) for k in last})
 
             def losses(part):
-                for chunk, x, y, fold, h, margin in part:
+                for chunk, block, margin, _ in part:
                     for j, k in enumerate(mine[chunk]):
                         if k in work.value:
-                            rows = np.flatnonzero(fold == work.value[k][0].fold)
-                            yield k, _loss(work.value[k][0], margin[j, rows], y[rows])
+                            yield k, _loss(work.value[k][0], margin[j], block.held(work.value[k][0]))
             for k, v in state.mapPartitions(losses).reduceByKey(lambda a, b: a + b).collect():
                 out.models[k].losses.append(v / UNIT / max(held[out.models[k].params.fold], 1e-9))
     state.unpersist()
@@ -490,13 +616,13 @@ def _fit_dealt(sc, out: Boosted, state, mine, held, n_bins: int, most: int):
         work = sc.broadcast({k: (out.models[k].params, len(out.models[k].trees), out.models[k].losses, held[out.models[k].params.fold]) for k in live})
 
         def run(part, work=work):
-            for chunk, x, y, fold, h, margin, *_ in part:
-                margin, found = margin.copy(), []
+            for chunk, block, margin, *_ in part:
+                found = []
                 for j, k in enumerate(mine[chunk]):
                     if k in work.value:
                         p, n_trees, losses, total = work.value[k]
-                        found.append((k, _rounds(p, n_trees, losses, total, most, x, y, fold, h, margin[j], n_bins)))
-                yield chunk, x, y, fold, h, margin, found
+                        found.append((k, _rounds(p, n_trees, losses, total, most, block, margin[j], n_bins)))
+                yield chunk, block, margin, found
         nxt = state.mapPartitions(run).persist(StorageLevel.MEMORY_AND_DISK)
         nxt.checkpoint()
         live = []
@@ -518,20 +644,40 @@ def predict(df: DataFrame, boosted: Boosted, keep: Sequence[str], which: Sequenc
     ``which`` (all).  A frame whose features have other names or types than the
     fitted one's is refused."""
     check_parity(boosted.fitted_on, df, boosted.features)
+    d = df.select(*keep, *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(boosted.features)])
+    return _scored(d, boosted, keep, which, lambda b, edges: _bins_of(b, len(keep), edges))
+
+
+def predict_cells(cells: DataFrame, boosted: Boosted, keep: Sequence[str], which: Sequence[int] | None = None) -> DataFrame:
+    """``predict`` for rows that hold their bins in ``x`` (``cell_counts``)."""
+    width = len(boosted.features)
+    return _scored(cells.select(*keep, "x"), boosted, keep, which, lambda b, _: _bytes_of(pa.Table.from_batches([b]), width))
+
+
+def _scored(d: DataFrame, boosted: Boosted, keep: Sequence[str], which: Sequence[int] | None, bins_of) -> DataFrame:
+    """Each task scores a cell once, as long as its scores stay small."""
     which = list(range(len(boosted.models)) if which is None else which)
-    shared = df.sparkSession.sparkContext.broadcast((boosted.edges, [boosted.models[k] for k in which]))
-    n = len(boosted.features)
+    shared = d.sparkSession.sparkContext.broadcast((boosted.edges, [boosted.models[k] for k in which]))
 
     def run(batches):
         edges, models = shared.value
+        place, known = {}, np.zeros((0, len(models)))
         for b in batches:
-            x = binned(np.column_stack([b.column(len(keep) + i).to_numpy(zero_copy_only=False).astype(float) for i in range(n)]), edges)
-            s = np.column_stack([1 / (1 + np.exp(-m.margin(x))) for m in models])
+            if not b.num_rows:
+                continue
+            x, at = _numbered(bins_of(b, edges))
+            names = [r.tobytes() for r in x]
+            new = [i for i, name in enumerate(names) if name not in place]
+            if new:
+                if len(known) * max(len(models), 1) > MOST_MARGINS // 8:
+                    place, known, new = {}, known[:0], list(range(len(x)))
+                place.update((names[i], len(known) + j) for j, i in enumerate(new))
+                known = np.concatenate([known, np.column_stack([1 / (1 + np.exp(-m.margin(x[new]))) for m in models])])
+            s = known[np.array([place[name] for name in names])[at]]
             offsets = pa.array(np.arange(0, s.size + 1, s.shape[1], dtype=np.int32))
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.ListArray.from_arrays(offsets, pa.array(s.ravel()))],
                                              names=[*keep, "scores"])
-    d = df.select(*keep, *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(boosted.features)])
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    schema = ", ".join(f"`{c}` {d.schema[c].dataType.simpleString()}" for c in keep)
     return d.mapInArrow(run, f"{schema}, scores array<double>")
 
 

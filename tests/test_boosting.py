@@ -160,3 +160,33 @@ def test_search_grows_all_trials_together(spark, data):
     t = q_model.search_trials(spark, d, n_trials=4, rounds=30, patience=5).orderBy("trial").toPandas()
     assert len(t) == 4 and (t["mean_auc"] > 0.6).all() and set(t.columns) >= {n.rstrip("_") for n in q_model.SPACE}
     assert t["rate"].between(0.01, 0.05).all() and t["leaves"].between(20, 80).all() and t["positive_weight"].between(8, 14).all()
+
+
+def test_rows_of_the_same_bins_are_one_cell(spark, data, monkeypatch):
+    """Repeated rows add no cells and no blocks; they count as often as they come."""
+    many = data.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(19)))).withColumn("id", F.col("id") * 100 + F.col("k"))
+    seen = []
+    cut = B._blocks
+    monkeypatch.setattr(B, "_blocks", lambda *a: seen.append(cut(*a)) or seen[-1])
+    p = [B.Params(fold=i, rounds=3, leaves=6, rate=0.3, least_rows=20) for i in range(3)]
+    for d in (data, many):
+        B.fit(d, ["a", "b", "c"], "y", "id", p, "fold", bins=8, block_rows=700)
+    (table, blocks, cells), (more, more_blocks, more_cells) = seen
+    assert blocks == more_blocks == 1 and cells == more_cells and table.count() == more.count() == 1
+    assert np.frombuffer(more.first()["n"], np.int64).sum() == 20 * 600
+    by_cell = B.cell_counts(many, B.Boosted(["a", "b", "c"], B.bin_edges(data, ["a", "b", "c"], 8), []), ["fold"])
+    assert by_cell.agg(F.sum("n")).first()[0] == 12_000 and by_cell.select("x").distinct().count() == cells
+
+
+def test_sampled_rows_of_a_hot_cell_are_dealt_out(spark):
+    """One cell with most rows: its hashes lie in several blocks, and the models stay the same."""
+    d = spark.range(3000).select("id", F.when(F.col("id") % 5 == 0, F.col("id") % 7).otherwise(F.lit(3)).cast("double").alias("a"),
+                                 (F.xxhash64("id") % 3 == 0).cast("int").alias("y"), (F.col("id") % 3).cast("int").alias("fold"))
+    p = [B.Params(fold=i, rounds=6, leaves=4, rate=0.3, row_share=0.6, row_every=2, seed=5) for i in range(3)]
+    one = B.fit(d, ["a"], "y", "id", p, "fold", bins=8)
+    dealt = B.fit(d, ["a"], "y", "id", p, "fold", bins=8, block_hashes=500)
+    kinds = [(f, y) for f in range(3) for y in (0, 1)]
+    blocks = B._blocks(d, ["a"], "y", "fold", "id", one.edges, kinds, True, 1 << 18, 500)[0].collect()
+    assert len(blocks) > 1 and sum(len(r["h"]) for r in blocks) == 8 * 3000 and max(len(r["h"]) for r in blocks) < 8 * 2000
+    for a, b in zip(one.models, dealt.models):
+        assert a.losses == b.losses and a.ledger == b.ledger
