@@ -106,9 +106,14 @@ def search_trials(spark, df, n_trials: int = 100, folds: int = 3, rounds: int =
     drawn = M.sample_params(space or SPACE, n_trials, seed)
     models = [B.Params(fold=i, rounds=rounds, patience=patience, seed=seed + t, **p) for t, p in enumerate(drawn) for i in range(folds)]
     b = B.fit(df, FEATS, "y", "rid", models, "fold")
-    # of a row's scores only those of the models that left its fold out: one per trial
-    scores = B.predict(df, b, ["y", "fold"]).select("y", "fold", F.posexplode("scores").alias("k", "score")).filter(F.col("k") % folds == F.col("fold"))
-    auc = (E.roc_auc(scores.withColumn("trial", F.expr(f"k div {folds}").cast("int")), "y", "score", by=["trial", "fold"])
+    # rows of the same bins have the same scores, so they are scored once and counted
+    cells = (B.cell_counts(df.filter(F.col("y").isNotNull()), b, ["fold", "y"]).groupBy("x", "fold")
+             .agg(F.sum(F.col("n") * F.col("y")).alias("pos"), F.sum(F.col("n") * (F.lit(1) - F.col("y"))).alias("neg"))
+             .repartition(4 * spark.sparkContext.defaultParallelism, "x"))
+    # of a cell's scores only those of the models that left its fold out: one per trial
+    scores = (B.predict_cells(cells, b, ["fold", "pos", "neg"]).select("fold", "pos", "neg", F.posexplode("scores").alias("k", "score"))
+              .filter(F.col("k") % folds == F.col("fold")))
+    auc = (E.roc_auc(scores.withColumn("trial", F.expr(f"k div {folds}").cast("int")), None, "score", by=["trial", "fold"], counts=("pos", "neg"))
            .groupBy("trial").agg(F.avg("auc").alias("mean_auc")))
     names = list(drawn[0])
     rows = [(t, *[float(p[n]) for n in names], sum(b.models[folds * t + i].best for i in range(folds)) / folds) for t, p in enumerate(drawn)]
