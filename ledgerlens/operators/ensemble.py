@@ -8,7 +8,9 @@ in numpy, block by block of score tuples, and meet as packed arrays by
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import safe_div
+from ledgerlens.session import checkpoint_dir
 
 
 def grid_points(n_models: int = 3, steps: int = 20) -> list[tuple[int, ...]]:
@@ -40,10 +43,11 @@ def blend(df: DataFrame, scores: Sequence[str], weights: Sequence[float], out: s
 
 CELL_ROWS, MOST_CELLS, BLOCK_ROWS = 1 << 18, 1 << 14, 1 << 16
 BATCH_BYTES = 4 << 20       # of packed arrays handed over at once
+BLEND_BYTES = 1 << 30       # of blends that lie on disk at once, as long as those of one weight vector are fewer
 _PART = "point int, cell int, scores binary, pos binary, neg binary"
 
 
-def _cut_blocks(points: np.ndarray, steps: int):
+def _cut_blocks(points: np.ndarray, steps: int, first: int = 0):
     """One block of score tuples -> per weight vector and cell, its blends and class counts."""
     weights = points / float(steps)
 
@@ -68,7 +72,7 @@ def _cut_blocks(points: np.ndarray, steps: int):
                     lo = 0
                     for cell, hi in enumerate([*edges, len(b)]):
                         if hi > lo:
-                            out.append((p, cell, b[lo:hi].tobytes(), bp[lo:hi].tobytes(), bn[lo:hi].tobytes()))
+                            out.append((first + p, cell, b[lo:hi].tobytes(), bp[lo:hi].tobytes(), bn[lo:hi].tobytes()))
                         lo = hi
                     held += b.nbytes + bp.nbytes + bn.nbytes
                     if held >= BATCH_BYTES or p + 1 == len(weights):
@@ -103,39 +107,70 @@ def blend_grid_auc(df: DataFrame, label: str, scores: Sequence[str], weight_name
     (weight vector, cell). Cells are ranges between quantiles of the pooled scores (a convex blend lies
     between its scores); their number grows with the tuples, so one cell holds about ``CELL_ROWS`` blends.
     Pairs inside a cell are counted where its arrays meet, pairs across cells from the cells' totals.
-    Quantiles and row counts are scalar subqueries of the same plan: no job runs here, and any
-    splits give the same counts. Scores are finite; rows with a NULL label or score are left out; an AUC without
+    Any splits give the same counts. Blocks are written once; weight vectors go over them in groups whose
+    blends take about ``BLEND_BYTES`` (at least one vector a group), and the files of a group leave the disk
+    before the next group's, so disk grows with the tuples, not with tuples times weight vectors. Of a group only one row per weight vector comes
+    back. Scores are finite; rows with a NULL label or score are left out; an AUC without
     positives or negatives is NULL."""
+    spark = df.sparkSession
     y = F.col(label).cast("long")
     d = df.select(y.alias("_y"), *[F.col(s).cast("double").alias(f"_s{i}") for i, s in enumerate(scores)])
     s = [f"_s{i}" for i in range(len(scores))]
-    d = d.dropna().groupBy(*s).agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1) - F.col("_y")).alias("_neg"))
-    n = d.agg(F.count(F.lit(1))).scalar()
-    probs = [(i + 1) / (MOST_CELLS + 1) for i in range(MOST_CELLS)]
-    splits = (d.select(F.explode(F.array(*s)).alias("_q"))
-               .agg(F.percentile_approx("_q", probs, 2 * MOST_CELLS)).scalar())
-    blocks = (d.groupBy(F.pmod(F.xxhash64(*s), F.floor(n / BLOCK_ROWS) + 1).alias("_b"))
-               .agg(F.collect_list(F.struct(*s, "_pos", "_neg")).alias("rows"))
-               .select("rows", splits.alias("splits"),
-                       F.least(F.floor(n / CELL_ROWS) + 1, F.lit(MOST_CELLS)).cast("int").alias("cells")))
-    points = grid_points(len(scores), steps)
-    # blocks are small beside what they become, so adaptive execution must not put them into few tasks
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = (blocks.repartition(tasks).mapInArrow(_cut_blocks(np.array(points), steps), _PART)
-                   .groupBy("point", "cell")
-                   .applyInArrow(_count_cell, "point int, cell int, pairs double, n_pos long, n_neg long"))
-    # at most MOST_CELLS rows a weight vector
-    w = Window.partitionBy("point").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("n_neg").over(w), F.lit(0))
-    auc = (cells.withColumn("pairs", F.col("pairs") + F.col("n_pos").cast("double") * below)
-                .groupBy("point").agg(F.sum("pairs").alias("pairs"), F.sum("n_pos").cast("double").alias("p"),
-                                      F.sum("n_neg").alias("n")))
+    with _files_leave(spark):
+        # positives and negatives are counted once per tuple; everything below reads the written tuples
+        d = _written(d.dropna().groupBy(*s).agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1) - F.col("_y")).alias("_neg")), "blend-tuples")
+        probs = [(i + 1) / (MOST_CELLS + 1) for i in range(MOST_CELLS)]
+        splits = (d.select(F.explode(F.array(*s)).alias("_q"))
+                   .agg(F.percentile_approx("_q", probs, 2 * MOST_CELLS)).scalar())
+        n = d.count()
+        # blocks are small beside what they become, so adaptive execution must not put them into few tasks
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        blocks = _written(d.groupBy(F.pmod(F.xxhash64(*s), F.lit(n // BLOCK_ROWS + 1)).alias("_b"))
+                           .agg(F.collect_list(F.struct(*s, "_pos", "_neg")).alias("rows"))
+                           .select("rows", splits.alias("splits"), F.lit(min(n // CELL_ROWS + 1, MOST_CELLS)).cast("int").alias("cells"))
+                           .repartition(tasks), "blend-blocks")
+        points = grid_points(len(scores), steps)
+        # 10 bytes a blend: its value and counts of one byte
+        size = max(1, BLEND_BYTES // (10 * max(n, 1)))
+        found = []
+        for i in range(0, len(points), size):
+            cells = (blocks.repartition(tasks).mapInArrow(_cut_blocks(np.array(points[i:i + size]), steps, i), _PART)
+                           .groupBy("point", "cell")
+                           .applyInArrow(_count_cell, "point int, cell int, pairs double, n_pos long, n_neg long"))
+            # at most MOST_CELLS rows a weight vector
+            w = Window.partitionBy("point").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+            below = F.coalesce(F.sum("n_neg").over(w), F.lit(0))
+            found += (cells.withColumn("pairs", F.col("pairs") + F.col("n_pos").cast("double") * below)
+                           .groupBy("point").agg(F.sum("pairs").alias("pairs"), F.sum("n_pos").cast("double").alias("p"),
+                                                 F.sum("n_neg").alias("n")).collect())
+    auc = spark.createDataFrame(found, "point int, pairs double, p double, n long")      # a row per weight vector
     grid = F.get(weight_grid_column(weight_names, steps), F.col("point"))
     return (auc.withColumn("_w", grid)
                .select(*[F.col(f"_w.{c}").alias(c) for c in weight_names],
                        safe_div(F.col("pairs"), F.col("p") * F.col("n")).alias("auc")))
 
 
+@contextmanager
+def _files_leave(spark):
+    """Inside, the shuffle files of a finished query are removed."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def best_row(df: DataFrame, metric: str, tiebreak: Sequence[str]) -> DataFrame:
     """Arg-max row (ties broken by ``tiebreak`` descending) via a distributed top-1."""
     return df.orderBy(F.desc(metric), *[F.desc(c) for c in tiebreak]).limit(1)
