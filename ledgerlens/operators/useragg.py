@@ -2,7 +2,7 @@
 
 Where the built-in aggregates can't say it, a callback over an entity's whole history
 (``groupBy().applyInPandas``) brings all rows of a hot entity into one task. Here each task
-folds the rows it has into one small state per entity, before the shuffle; only pickled states
+sorts the rows it has by entity and folds them into one small state each, before the shuffle; only pickled states
 move, and the states of an entity are merged and finished where they meet. An entity with a
 third of all rows is read by all tasks and arrives as one state from each.
 
@@ -21,12 +21,13 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MOST_STATES = 50_000        # entities held by a task before their states leave it
+MOST_STATES = 50_000        # states that leave a task at once
 
 
 @dataclass(frozen=True)
@@ -53,36 +54,65 @@ def aggregate(df: DataFrame, key: str | Sequence[str], aggs: Mapping[str, UserAg
     key_fields = [T.StructField(o, d.schema[o].dataType) for o in own]
     plan = [(a, [column[c] for c in a.inputs]) for a in aggs.values()]
 
+    def runs(b):
+        """(key, first row, row after the last) of neighbouring rows with one key."""
+        keys_of = [b[o].to_numpy() for o in own]
+        new = np.ones(len(b), bool)
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys_of], axis=0)
+        at = np.flatnonzero(new)
+        return zip(zip(*[k[at].tolist() if k.dtype == object else b[o].iloc[at].tolist() for k, o in zip(keys_of, own)]), at.tolist(), [*at[1:].tolist(), len(b)])
+
     def partial(batches):
-        states: dict = {}
+        done, now, s = [], None, None
 
         def leave():
-            rows = [(*k, pickle.dumps(s)) for k, s in states.items()]
-            states.clear()
-            return pd.DataFrame(rows, columns=[*own, "state"])
+            rows = pd.DataFrame(done, columns=[*own, "state"])
+            done.clear()
+            return rows
 
         for b in batches:
-            arrays = {v: b[v].to_numpy() for v in column.values()}
-            for k, at in b.groupby(own, sort=False).indices.items():
-                k = k if isinstance(k, tuple) else (k,)
-                s = states.get(k) or [a.init() for a, _ in plan]
-                states[k] = [a.update(x, *[arrays[v][at] for v in vs]) for x, (a, vs) in zip(s, plan)]
-            if len(states) > most_states:
-                yield leave()
-        if states:
+            arrays = [[b[v].to_numpy() for v in vs] for _, vs in plan]
+            for k, i, j in runs(b):
+                if k != now:
+                    if now is not None:
+                        done.append((*now, pickle.dumps(s)))
+                        if len(done) > most_states:
+                            yield leave()
+                    now, s = k, [a.init() for a, _ in plan]
+                s = [a.update(x, *[v[i:j] for v in vs]) for x, (a, _), vs in zip(s, plan, arrays)]
+        if now is not None:
+            done.append((*now, pickle.dumps(s)))
             yield leave()
 
-    def meet(k, states):
-        total = None
-        for raw in states["state"]:
-            s = pickle.loads(raw)
-            total = s if total is None else [a.merge(x, y) for x, y, (a, _) in zip(total, s, plan)]
-        return pd.DataFrame({**{o: [v] for o, v in zip(own, k)},
-                             **{f"o{i}": [a.finish(x)] for i, ((a, _), x) in enumerate(zip(plan, total))}})
+    def meet(batches):
+        now, total = None, None
+
+        def finished(done):
+            return pd.DataFrame([(*k, *[a.finish(x) for x, (a, _) in zip(s, plan)]) for k, s in done],
+                                columns=[*own, *[f"o{i}" for i in range(len(plan))]], dtype=object)
+
+        for b in batches:
+            done = []
+            states = b["state"].to_numpy()
+            for k, i, j in runs(b):
+                for raw in states[i:j]:
+                    s = pickle.loads(raw)
+                    if k != now:
+                        if now is not None:
+                            done.append((now, total))
+                        now, total = k, s
+                    else:
+                        total = [a.merge(x, y) for x, y, (a, _) in zip(total, s, plan)]
+            if done:
+                yield finished(done)
+        if now is not None:
+            yield finished([(now, total)])
 
     out = T.StructType(key_fields + [T.StructField(f"o{i}", T._parse_datatype_string(a.type)) for i, (a, _) in enumerate(plan)])
     part = T.StructType(key_fields + [T.StructField("state", T.BinaryType())])
-    res = d.mapInPandas(partial, part).groupBy(*own).applyInPandas(meet, out)
+    # rows, then states of an entity lie next to each other, so each is folded in one stream, not in a call of its own
+    states = d.sortWithinPartitions(*own).mapInPandas(partial, part)
+    res = states.repartition(*own).sortWithinPartitions(*own).mapInPandas(meet, out)
     return res.select(*[F.col(o).alias(c) for c, o in zip(keys, own)],
                       *[F.col(f"o{i}").alias(n) for i, n in enumerate(aggs)])
 

@@ -52,3 +52,12 @@ def test_empty_and_clashing_names(spark):
     assert U.aggregate(df, "k", AGGS).collect() == []
     with pytest.raises(ValueError):
         U.aggregate(df, "k", {"k": AGGS["gap"]})
+
+
+def test_entities_share_a_stream(spark):
+    """No call per entity: states meet in sorted streams, and finished values keep their type beside NULLs."""
+    big = U.UserAggregate(("u",), lambda: 0, lambda s, u: s + int(u.max()), lambda a, b: max(a, b), lambda s: s if s > 5 else None, "long")
+    df = spark.range(0, 3000, 1, 3).select((F.col("id") % 1000).alias("k"), F.when(F.col("id") % 1000 < 5, F.lit(1)).otherwise(F.lit((1 << 60) + 1)).alias("u"))
+    got = U.aggregate(df, "k", {"s": big})
+    assert "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r["k"]: r["s"] for r in got.collect()} == {k: None if k < 5 else (1 << 60) + 1 for k in range(1000)}
