@@ -193,6 +193,19 @@ def test_blend_grid_against_brute_force(spark, monkeypatch):
     assert B.blend_grid_auc(df.limit(0), "y", ["a", "b", "c"], ["wa", "wb", "wc"], steps=4).collect() == []
 
 
+def test_blend_grid_goes_over_its_weight_vectors_in_groups(spark, monkeypatch):
+    """Blends beyond BLEND_BYTES never lie on disk together; any grouping gives the same AUCs."""
+    df = spark.range(400).select((F.xxhash64("id") % 97 / 97).alias("a"), (F.xxhash64("id", F.lit(1)) % 89 / 89).alias("b"),
+                                 (F.col("id") % 3 == 0).cast("int").alias("y"))
+    rows, seen = [], []
+    cut = B._cut_blocks
+    monkeypatch.setattr(B, "_cut_blocks", lambda p, *a: seen.append(len(p)) or cut(p, *a))
+    for most in (1 << 30, 10 * 400 * 2):
+        monkeypatch.setattr(B, "BLEND_BYTES", most)
+        rows.append(sorted(B.blend_grid_auc(df, "y", ["a", "b"], ["wa", "wb"], steps=6).collect()))
+    assert rows[0] == rows[1] and len(rows[0]) == 7 and seen == [7, 2, 2, 2, 1]
+
+
 @pytest.mark.parametrize("tie", ["long", "double", "string"])
 def test_order_ranks_split_one_time(spark, tie):
     """One entity with a single time, one with none at all, one with both; cells of four tiebreaks."""
