@@ -18,11 +18,11 @@ Counts of the ``head_words`` most frequent words are broadcast (that number
 bounds their size); every other word of a document is joined with the table
 of counts, wherever it lies.  Which subwords are inputs, their classes and the
 neighbours that decide those come from all training documents, as Spark
-aggregates.  The attention model starts from a seeded sample of documents
-(``fit_documents``); then ``rounds`` passes over all training documents follow,
-in which every task trains its own copy on one of ``every`` windows of each
-document and the copies are averaged.  So the windows and steps it is fitted on
-grow in proportion to the corpus (rounds / every of all windows).
+aggregates.  The attention model is trained on every window of every training
+document, in ``rounds`` passes that each take their share of a document's
+windows: every task trains its own copy and the copies are averaged.  A corpus
+of fewer than ``steps`` batches is gone over several times by one task.  A caller may let
+the first pass begin from a model of ``fit_documents`` seeded documents.
 
 Defined results: NULL, empty and blank texts are the end token alone; without
 training rows counts are zero and every class is equally likely; repeated rows
@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -47,6 +48,7 @@ from ledgerlens.llm.token_store import load_tokenizer
 
 END = ""                # the end token among words: no word is empty
 PAD, BOS, OTHER = 0, 1, 2
+LIMIT = 60.0            # of scores and logits either way: their exponentials fit float32, so no maximum is taken off first
 
 
 def split_words(texts) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -76,6 +78,7 @@ class FirstSubword:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]       # bytes that stand for themselves in the vocabulary
         char = {chr(c): c for c in plain} | {chr(256 + i): c for i, c in enumerate(c for c in range(256) if c not in set(plain))}
         self.whole, self.start = {}, {}
+        self.known: dict[str, int] = {}         # words looked up before, a bounded number
         for t, i in tok.get_vocab(with_added_tokens=False).items():
             body = t.removesuffix("</w>")
             if all(c in char for c in body):
@@ -83,10 +86,11 @@ class FirstSubword:
                 (self.whole if body != t else self.start)[raw] = i
         self.longest = max(map(len, self.start), default=1)
 
-    def of(self, words: list[str]) -> np.ndarray:
-        out = np.zeros(len(words), np.int64)
+    def of(self, words: list[str], remembered: int = 250_000) -> np.ndarray:
+        out = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         whole, start, longest = self.whole.get, self.start, self.longest
-        for j, w in enumerate(words):
+        for j in np.flatnonzero(out < 0).tolist():
+            w = words[j]
             raw = w.encode()
             i = whole(raw)
             if i is None:
@@ -95,6 +99,8 @@ class FirstSubword:
                     k -= 1
                 i = start[raw[:k]] if k else 0
             out[j] = i
+            if len(self.known) < remembered:
+                self.known[w] = i
         return out
 
 
@@ -123,69 +129,76 @@ class Attention:
         self.d, self.window = d, window
         self.mask = np.triu(np.full((window, window), -1e9, np.float32), 1)
 
-    def _attend(self, ids: np.ndarray):
-        p = self.p
-        x = p["E"][ids] + p["P"]
-        q, k, v = x @ p["Wq"], x @ p["Wk"], x @ p["Wv"]
+    def _attend(self, ids: np.ndarray, first: int):
+        """What positions ``first``.. take from those before them.  Products are of two-dimensional
+        arrays wherever the rows of all windows can be taken together."""
+        p, d = self.p, self.d
+        n, t = ids.shape
+        x = p["E"][ids]
+        x += p["P"]
+        flat = x.reshape(-1, d)
+        kv = (flat @ np.concatenate([p["Wk"], p["Wv"]], 1)).reshape(n, t, 2 * d)
+        late = np.ascontiguousarray(x[:, first:]).reshape(-1, d)
+        q = (late @ (p["Wq"] * p["Wq"].dtype.type(1 / math.sqrt(d)))).reshape(n, t - first, d)
+        k, v = kv[:, :, :d], kv[:, :, d:]
         s = q @ k.transpose(0, 2, 1)
-        s *= np.float32(1 / math.sqrt(self.d))
-        s += self.mask
-        s += np.where(ids == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-        s -= s.max(axis=2, keepdims=True)
+        np.clip(s, -LIMIT, LIMIT, out=s)
+        s += self.mask[first:]
+        pad = ids == PAD
+        if pad.any():
+            s += np.where(pad, np.float32(-1e9), np.float32(0))[:, None, :]
         np.exp(s, out=s)
-        s /= s.sum(axis=2, keepdims=True)
-        return x, q, k, v, s
+        s /= (s @ np.ones(t, s.dtype) + 1e-30)[:, :, None]       # nothing before but padding: nothing is taken
+        av = (s @ v).reshape(-1, d)
+        return flat, late, q, k, v, s, av, late + av @ p["Wo"]
+
+    def _logits(self, h: np.ndarray) -> np.ndarray:
+        z = h @ self.p["Wu"]
+        z += self.p["b"]
+        return np.clip(z, -LIMIT, LIMIT, out=z)
 
     def log_probs(self, ids: np.ndarray, targets: np.ndarray, context: int) -> np.ndarray:
         """Natural log probability of the targets of positions ``context``.."""
         p = self.p
-        x = p["E"][ids] + p["P"]
-        late = x[:, context:]
-        s = (late @ p["Wq"]) @ (x @ p["Wk"]).transpose(0, 2, 1)
-        s *= np.float32(1 / math.sqrt(self.d))
-        s += self.mask[context:]
-        s += np.where(ids == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-        s -= s.max(axis=2, keepdims=True)
-        np.exp(s, out=s)
-        s /= s.sum(axis=2, keepdims=True)
-        h = late + (s @ (x @ p["Wv"])) @ p["Wo"]
-        z = h @ p["Wu"] + p["b"]
-        z -= z.max(axis=2, keepdims=True)
-        own = np.take_along_axis(z, targets[:, :, None], 2)[:, :, 0]
-        return own - np.log(np.exp(z, out=z).sum(axis=2))
+        z = self._logits(self._attend(ids, context)[-1])
+        own = z[np.arange(len(z)), targets.ravel()]
+        return (own - np.log(np.exp(z, out=z) @ np.ones(len(p["b"]), z.dtype))).reshape(targets.shape)
 
     def gradients(self, ids: np.ndarray, targets: np.ndarray, valid: np.ndarray) -> tuple[float, dict]:
-        p, g = self.p, {}
-        x, q, k, v, a = self._attend(ids)
-        av = a @ v
-        h = x + av @ p["Wo"]
-        z = h @ p["Wu"] + p["b"]
-        z -= z.max(axis=2, keepdims=True)
-        e = np.exp(z)
-        prob = e / e.sum(axis=2, keepdims=True)
-        own = np.take_along_axis(prob, targets[:, :, None], 2)[:, :, 0]
-        n = max(float(valid.sum()), 1.0)
-        loss = float(-(np.log(own + 1e-12) * valid).sum() / n)
-        dz = prob
-        np.put_along_axis(dz, targets[:, :, None], own[:, :, None] - 1, 2)
-        dz *= (valid / np.float32(n))[:, :, None]
-
-        def flat(t):
-            return t.reshape(-1, t.shape[-1])
-        g["Wu"], g["b"] = flat(h).T @ flat(dz), flat(dz).sum(0)
-        dh = dz @ p["Wu"].T
-        g["Wo"] = flat(av).T @ flat(dh)
-        dav = dh @ p["Wo"].T
-        da = dav @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dav
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(1 / math.sqrt(self.d))
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        for name, t in (("Wq", dq), ("Wk", dk), ("Wv", dv)):
-            g[name] = flat(x).T @ flat(t)
-        dx = dh + dq @ p["Wq"].T + dk @ p["Wk"].T + dv @ p["Wv"].T
+        """Loss and gradients; positions before the first valid one are only attended to."""
+        p, g, d = self.p, {}, self.d
+        some = valid.any(axis=0)
+        first = int(some.argmax()) if some.any() else 0
+        y, ok = targets[:, first:].ravel(), valid[:, first:].ravel()
+        x, late, q, k, v, a, av, h = self._attend(ids, first)
+        z = self._logits(h)
+        np.exp(z, out=z)
+        total, at = z @ np.ones(z.shape[1], z.dtype), np.arange(len(z))
+        n = max(float(ok.sum()), 1.0)
+        loss = float(-(np.log(z[at, y] / total + 1e-12) * ok).sum() / n)
+        share = (ok / n).astype(z.dtype)
+        z *= (share / total)[:, None]
+        z[at, y] -= share                       # the gradient of the logits
+        g["Wu"], g["b"] = h.T @ z, np.ones(len(z), z.dtype) @ z
+        dh = z @ p["Wu"].T
+        g["Wo"] = av.T @ dh
+        dav = (dh @ p["Wo"].T).reshape(q.shape)
+        ds = dav @ v.transpose(0, 2, 1)
+        dkv = np.empty((len(ids), ids.shape[1], 2 * d), z.dtype)
+        dkv[:, :, d:] = a.transpose(0, 2, 1) @ dav
+        ds -= np.einsum("ij,ij->i", dav.reshape(-1, d), av).reshape(*a.shape[:2], 1)
+        ds *= a
+        dkv[:, :, :d] = ds.transpose(0, 2, 1) @ q
+        dq = (ds @ k).reshape(-1, d) * z.dtype.type(1 / math.sqrt(d))
+        flat = dkv.reshape(-1, 2 * d)
+        g["Wq"] = late.T @ dq
+        both = x.T @ flat
+        g["Wk"], g["Wv"] = both[:, :d], both[:, d:]
+        dx = (flat @ np.concatenate([p["Wk"], p["Wv"]], 1).T).reshape(*ids.shape, d)
+        dx[:, first:] += (dh + dq @ p["Wq"].T).reshape(q.shape)
         g["P"] = dx.sum(0)
-        g["E"] = np.zeros_like(p["E"])
-        np.add.at(g["E"], ids.ravel(), flat(dx))
+        at = (ids.reshape(-1, 1) * d + np.arange(d)).ravel()
+        g["E"] = np.bincount(at, dx.ravel(), p["E"].size).astype(dx.dtype).reshape(p["E"].shape)
         return loss, g
 
     def train(self, inputs: np.ndarray, targets: np.ndarray, valid: np.ndarray, steps: int, batch: int, lr: float, seed: int) -> list[float]:
@@ -210,10 +223,21 @@ class Adam:
 
     def step(self, g: dict, rate: float) -> None:
         self.t += 1
-        for k in self.p:
-            m = self.m[k] = 0.9 * self.m[k] + 0.1 * g[k]
-            v = self.v[k] = 0.99 * self.v[k] + 0.01 * g[k] ** 2
-            self.p[k] -= (rate * (m / (1 - 0.9 ** self.t)) / (np.sqrt(v / (1 - 0.99 ** self.t)) + 1e-8)).astype(np.float32)
+        up, root = rate / (1 - 0.9 ** self.t), 1 / math.sqrt(1 - 0.99 ** self.t)
+        for k, p in self.p.items():
+            m, v, x = self.m[k], self.v[k], g[k]
+            m *= 0.9
+            m += 0.1 * x
+            v *= 0.99
+            x = x * x
+            x *= 0.01
+            v += x
+            np.sqrt(v, out=x)
+            x *= root
+            x += 1e-8
+            np.divide(m, x, out=x)
+            x *= up
+            p -= x
 
 
 def windows(ids: np.ndarray, targets: np.ndarray, context: int, stride: int, first: int = 0, every: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,6 +255,17 @@ def windows(ids: np.ndarray, targets: np.ndarray, context: int, stride: int, fir
     return x[at], y.reshape(w, stride)[some], ok.reshape(w, stride)[some]
 
 
+def places(sizes: np.ndarray, context: int, stride: int, first=0, every: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of many texts of ``sizes`` tokens, as ``windows`` numbers them: the text of
+    each window and the places in it (w, context + stride); those below 0 or past the end are padding."""
+    w = -(-sizes // stride)
+    count = np.maximum(-(-(w - first) // every), 0)
+    text = np.repeat(np.arange(len(sizes)), count)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    number = number * every + np.broadcast_to(first, len(sizes))[text]
+    return text, number[:, None] * stride + np.arange(-context, stride)
+
+
 # ---- corpus statistics --------------------------------------------------------------------------------------------
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -341,12 +376,26 @@ class _Inputs:
         sub, own = np.frombuffer(s, self.kind), np.frombuffer(c, np.int16)
         return np.concatenate([[BOS], self.in_of_sub[sub]]), np.append(np.where(own >= 0, own, self.class_of_sub[sub]), 0)      # class 0: the end
 
-
-def train_round(net: Attention, seqs: DataFrame, inputs, which: int, every: int, stride: int, batch: int, lr: float) -> int:
+    def windows(self, s: list[bytes], c: list[bytes], context: int, stride: int, first: np.ndarray, every: int):
+        """``windows`` of many texts, without those that are not asked for."""
+        sub, own = np.frombuffer(b"".join([*s, bytes(8)]), self.kind), np.frombuffer(b"".join([*c, bytes(8)]), np.int16)
+        words = np.array([len(x) for x in c]) // 2
+        text, at = places(words + 1, context, stride, first, every)
+        n, begin = words[text][:, None], (np.cumsum(words) - words)[text][:, None]
+        x = np.where((at > 0) & (at <= n), self.in_of_sub[sub[np.clip(begin + at - 1, 0, len(own) - 1)]], np.where(at == 0, BOS, PAD)).astype(np.int32)
+        at = at[:, context:]
+        flat = np.minimum(begin + at, len(own) - 1)
+        y = np.where(own[flat] >= 0, own[flat], self.class_of_sub[sub[flat]])
+        return x, np.where(at < n, y, 0).astype(np.int32), (at <= n).astype(np.float32)
+
+
+def train_round(net: Attention, seqs: DataFrame, inputs, which: int, every: int, stride: int, batch: int, lr: float, passes: int = 1,
+                group_words: int = 150_000) -> int:
     """One pass over all sequences: each task trains a copy of the model on window
     ``which`` (shifted by the document) of every ``every`` windows, and the copies
     are averaged by windows, rows of E by how often the task saw the id.  Tasks
-    return one row each, and these are added in two steps.  Returns the windows."""
+    return one row each, and these are added in two steps.  With ``passes`` (few
+    windows, held by the task) each window is used so often.  Returns the windows."""
     spark = seqs.sparkSession
     context = net.window - stride
     names = sorted(net.p)
@@ -358,33 +407,36 @@ def train_round(net: Attention, seqs: DataFrame, inputs, which: int, every: int,
         mine = copy.copy(start)
         mine.p = {k: v.copy() for k, v in start.p.items()}
         adam, parts, waiting, total = Adam(mine.p), [], 0, 0
-        seen = np.zeros(len(mine.p["E"]), np.float64)
+        seen, draw = np.zeros(len(mine.p["E"]), np.float64), np.random.default_rng(which)
 
         def steps(least):
             nonlocal parts, waiting, total
             if waiting < max(least, 1):
                 return
             x, y, ok = (np.concatenate(z) for z in zip(*parts))
-            y, ok = (np.concatenate([np.zeros((len(x), context), z.dtype), z], 1) for z in (y, ok))
-            i = 0
-            while len(x) - i >= least and i < len(x):
-                j = slice(i, i + batch)
-                _, g = mine.gradients(x[j], y[j], ok[j])
-                adam.step(g, lr * min(1.0, (adam.t + 1) / 20) * len(x[j]) / batch)
+            order = np.concatenate([draw.permutation(len(x)) for _ in range(passes)])
+            use = len(order) - (len(order) % batch if least > 1 else 0)
+            for i in range(0, use, batch):
+                j = order[i:min(i + batch, use)]
+                late = (np.concatenate([np.zeros((len(j), context), z.dtype), z[j]], 1) for z in (y, ok))
+                _, g = mine.gradients(x[j], *late)
+                adam.step(g, lr * min(1.0, (adam.t + 1) / 20) * len(j) / batch)
                 seen[:] += np.bincount(x[j].ravel(), minlength=len(seen))
-                total += len(x[j])
-                i += batch
-            parts = [(x[i:], y[i:, context:], ok[i:, context:])] if i < len(x) else []
-            waiting = max(len(x) - i, 0)
+            total += len(x) - len(order[use:])
+            parts = [(x[order[use:]], y[order[use:]], ok[order[use:]])] if use < len(order) else []
+            waiting = len(order) - use
         for b in batches:
-            for h, s, c in zip(b["h"], b["s"], b["c"]):
-                ids, y = use(s, c)
-                got = windows(ids, y, context, stride, (h + which) % every, every)
-                if len(got[0]):
-                    parts.append(got)
-                    waiting += len(got[0])
-                    if waiting >= 20 * batch:
-                        steps(batch)
+            first = (b["h"].to_numpy() + which) % every
+            s, c = b["s"].tolist(), b["c"].tolist()
+            size = np.cumsum([len(x) // 2 + 1 for x in c])
+            i = 0
+            while i < len(c):       # texts of together about ``group_words``
+                j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + group_words)))
+                parts.append(use.windows(s[i:j], c[i:j], context, stride, first[i:j], every))
+                waiting += len(parts[-1][0])
+                if passes == 1 and waiting >= 20 * batch:
+                    steps(batch)
+                i = j
         steps(1)
         if total:
             moved = [((mine.p[k] - start.p[k]) * (seen[:, None] if k == "E" else total)).astype(np.float64).ravel() for k in names]
@@ -417,14 +469,13 @@ class Model:
         self.net, self.in_of_sub, self.class_of_sub, self.own_class = net, in_of_sub, class_of_sub, own_class
         self.head, self.n_total, self.v_total, self.class_size = head, n_total, v_total, class_size
         self.context, self.stride, self.tokenizer = context, stride, tokenizer
-        self.own_least = min((head.get(w, 0) for w in own_class), default=0)      # fewer occurrences: no class of its own
-        self.trained_windows = 0        # windows that the passes over all training documents used
+        self.trained_windows = 0        # windows of the training documents that it was trained on
         self.uid = uuid.uuid4().hex
 
 
 def fit(train: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = "word_bpe_49k.json", head_words: int = 250_000,
-        own_words: int = 32, clusters: int = 32, fit_documents: int = 2500, d: int = 16, context: int = 8, stride: int = 24,
-        steps: int = 400, batch: int = 96, lr: float = 0.02, rounds: int = 2, every: int = 8, seed: int = 1) -> tuple[Model, DataFrame]:
+        own_words: int = 32, clusters: int = 32, fit_documents: int = 0, d: int = 16, context: int = 8, stride: int = 24,
+        steps: int = 400, batch: int = 96, lr: float = 0.02, rounds: int = 4, seed: int = 1) -> tuple[Model, DataFrame]:
     """The model and the table of counts (word, n)."""
     spark = train.sparkSession
     counts = written(word_counts(train, text), "lm-counts")
@@ -478,23 +529,27 @@ def fit(train: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: st
     net = Attention(3 + len(frequent), n_class, d, context + stride, seed)
     net.p["b"] = np.log(share / share.sum()).astype(np.float32)
 
-    # a start from a sample: at most fit_documents rows, copies of a text with keys of their own are rows like others
+    # if asked for, a start from a sample: at most fit_documents rows, copies of a text with keys of their own are rows like others
     ends = counts.filter(F.col("word") == F.lit(END)).collect()
     docs = ends[0]["n"] if ends else 0
-    share = min(1.0, max(1.2 * fit_documents, fit_documents + 50) / max(docs, 1))
-    picked = seqs.filter(F.col("h") < math.ceil((1 << 40) * share)).orderBy("h", "s", "c").limit(fit_documents)
-    got = picked.toPandas().sort_values(["s", "c"])
-    parts = [windows(*inputs(s, c), context, stride) for s, c in zip(got["s"], got["c"])]
-    if parts:
-        x, y, ok = (np.concatenate(z) for z in zip(*parts))
-        full_y = np.concatenate([np.zeros((len(x), context), np.int32), y], 1)
-        full_ok = np.concatenate([np.zeros((len(x), context), np.float32), ok], 1)
-        net.train(x, full_y, full_ok, steps, batch, lr, seed)
-
-    # then all training documents
-    trained = 0
+    if fit_documents:
+        share = min(1.0, max(1.2 * fit_documents, fit_documents + 50) / max(docs, 1))
+        picked = seqs.filter(F.col("h") < math.ceil((1 << 40) * share)).orderBy("h", "s", "c").limit(fit_documents)
+        got = picked.toPandas().sort_values(["s", "c"])
+        parts = [windows(*inputs(s, c), context, stride) for s, c in zip(got["s"], got["c"])]
+        if parts:
+            x, y, ok = (np.concatenate(z) for z in zip(*parts))
+            full_y = np.concatenate([np.zeros((len(x), context), np.int32), y], 1)
+            full_ok = np.concatenate([np.zeros((len(x), context), np.float32), ok], 1)
+            net.train(x, full_y, full_ok, steps, batch, lr, seed)
+
+    # every window of every training document, each in one of the rounds; a copy is worth its place in the average after
+    # about ``steps`` batches, so a corpus has no more tasks than that makes
+    trained, least = 0, steps * batch * stride
+    passes = max(1, -(-least // max(n_total, 1)))
+    seqs = seqs.coalesce(max(1, n_total // least))
     for i in range(rounds if docs else 0):
-        trained += train_round(net, seqs, inputs, i, every, stride, batch, lr * (0.25 if i + 1 < rounds else 0.1))
+        trained += train_round(net, seqs, inputs, i, rounds, stride, batch, lr * max(0.5 ** i, 0.1) * (0.25 if fit_documents else 1), passes)
     model = Model(net, in_of_sub, class_of_sub, own_class, head, n_total, v_total, class_size, context, stride, tokenizer)
     model.trained_windows = trained
     return model, counts
@@ -506,18 +561,27 @@ class _Scorer:
     def __init__(self, model: Model):
         self.m, self.first = model, _first_subword(model.tokenizer)
         self.log_class = np.log10(model.class_size)
+        # columns of the head words, looked up once
+        subs = self.first.of(list(model.head))
+        self.place = {w: i for i, w in enumerate(model.head)}
+        self.ids, self.cls = model.in_of_sub[subs], model.class_of_sub[subs].astype(np.int64)
+        for w, c in model.own_class.items():
+            if w in self.place:
+                self.cls[self.place[w]] = c
+        self.lc = np.log10(np.fromiter(model.head.values(), np.int64, len(subs)) + 1.0)
 
     def columns(self, words: list[str]):
         """Input id, class, log10 of count + 1 and whether the count is known, by
         word; the first word is the end."""
-        m = self.m
-        subs = self.first.of(words)
-        ids, cls = m.in_of_sub[subs], m.class_of_sub[subs].astype(np.int64)
-        count = np.fromiter((m.head.get(w, -1) for w in words), np.int64, len(words))
-        for i in np.flatnonzero(count >= m.own_least):
-            cls[i] = m.own_class.get(words[i], cls[i])
+        m, at = self.m, np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        known = at >= 0
+        ids, cls, lc = np.zeros(len(at), m.in_of_sub.dtype), np.zeros(len(at), np.int64), np.zeros(len(at))
+        ids[known], cls[known], lc[known] = self.ids[at[known]], self.cls[at[known]], self.lc[at[known]]
+        late = np.flatnonzero(~known)
+        subs = self.first.of([words[i] for i in late.tolist()])
+        ids[late], cls[late] = m.in_of_sub[subs], m.class_of_sub[subs]
         cls[0] = m.own_class[END]
-        return ids, cls, np.where(count >= 0, np.log10(np.maximum(count, 0) + 1.0), 0.0), count >= 0
+        return ids, cls, lc, known
 
     def score(self, texts, group_words: int = 150_000) -> pd.DataFrame:
         at, sizes, words = split_words(texts)
@@ -536,7 +600,7 @@ class _Scorer:
             a = z
         return pd.concat(out, ignore_index=True)
 
-    def _group(self, at: np.ndarray, sizes: np.ndarray, words: list[str], cols, max_windows: int = 512) -> pd.DataFrame:
+    def _group(self, at: np.ndarray, sizes: np.ndarray, words: list[str], cols, max_windows: int = 128) -> pd.DataFrame:
         m, n = self.m, len(sizes)
         ids, cls, lc, known = (c[at] for c in cols)
         first = np.cumsum(sizes) - sizes
@@ -554,9 +618,12 @@ class _Scorer:
         names = [words[i] for i in which.tolist()]
         lo = np.concatenate([[0], cut, [len(names)]]).tolist()
         # class probabilities
-        parts = [windows(np.concatenate([[BOS], ids[a:a + s - 1]]), cls[a:a + s], m.context, m.stride) for a, s in zip(first, sizes)]
-        x, y, ok = (np.concatenate(p) for p in zip(*parts))
-        of = np.repeat(np.arange(n), [len(p[0]) for p in parts])
+        of, pos = places(sizes, m.context, m.stride)
+        begin, n_of = first[of][:, None], sizes[of][:, None]
+        x = np.where((pos > 0) & (pos < n_of), ids[np.clip(begin + pos - 1, 0, len(ids) - 1)], np.where(pos == 0, BOS, PAD))
+        pos = pos[:, m.context:]
+        ok = pos < n_of
+        y = cls[np.where(ok, begin + pos, 0)]
         ctx = np.zeros(n)
         for i in range(0, len(x), max_windows):
             j = slice(i, i + max_windows)

@@ -283,6 +283,14 @@ def test_causal_lm_is_fitted_on_every_document(spark):
     assert model.trained_windows > 80 * 2 and model.trained_windows == pytest.approx(2 * half.trained_windows, rel=0.1)
 
 
+def test_causal_lm_is_trained_on_every_window(spark):
+    """No start from a sample, no window left out: each is in exactly one of the rounds."""
+    rows = [(i, prose(20 + 13 * (i % 9), i), "en", "a") for i in range(60)] + [(100, None, "en", "a"), (101, "", "en", "a")]
+    model, _ = causal_lm.fit(frame(spark, rows), head_words=40, own_words=4, clusters=6, steps=1)
+    sizes = [len(WORD.findall(t or "")) + 1 for _, t, _, _ in rows]
+    assert model.trained_windows == sum(-(-n // model.stride) for n in sizes)
+
+
 def test_causal_lm_windows_of_a_share_are_disjoint():
     ids, y = np.arange(50) + 3, np.arange(50)
     parts = [causal_lm.windows(ids, y, 4, 8, i, 3) for i in range(3)]
