@@ -17,7 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.evaluate import with_class_weight
+from ledgerlens.operators import forest
+from ledgerlens.operators.evaluate import class_weights, with_class_weight
 from ledgerlens.operators.selection import correlated_columns, percentile_filter
 from ledgerlens.session import cut_lineage
 
@@ -48,12 +49,26 @@ def make_estimator(kind: str, label: str, weight: str | None = None, **params):
 
 def fit_predict(df: DataFrame, features: Sequence[str], label: str, kind: str, keep: Sequence[str],
                 balanced: bool = True, **params) -> DataFrame:
+    if kind == "forest":        # MLlib's takes every row through every tree at every level
+        return _forest_fit_predict(df, features, label, keep, balanced, **{**DEFAULTS[kind], **params})
     d = with_class_weight(df, label, "_w") if balanced else df
     d = assemble(d, features)
     model = make_estimator(kind, label, "_w" if balanced else None, **params).fit(d)
     return positive_score(model.transform(d)).select(*keep, label, "score")
 
 
+def _forest_fit_predict(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[str], balanced: bool,
+                        numTrees: int, maxDepth: int, seed: int, maxBins: int = 32) -> DataFrame:
+    """A forest on cells (``forest.py``), with MLlib's names of parameters."""
+    classes = {r[label]: r["weight"] for r in class_weights(df, label).collect() if r[label] is not None}
+    if not set(classes) <= {0, 1}:
+        raise ValueError(f"labels other than 0 and 1: {sorted(classes)}")
+    weights = tuple(float(classes.get(y, 1.0)) if balanced else 1.0 for y in (0, 1))
+    d = df.filter(F.col(label).isNotNull())
+    model = forest.fit(d, features, label, weights, numTrees, maxDepth, maxBins, seed)
+    return forest.predict(d, model, [*keep, label])
+
+
 @dataclass
 class FoldModels:
     """One model per fold, fitted on the other folds, and the frame they saw."""

@@ -1,5 +1,5 @@
-"""Catalogue part 5: training (M3, M8-M10, M12, S1). Linear models and forests
-are MLlib's; boosting is ``operators/boosting.py``. Scores of fitted models are
+"""Catalogue part 5: training (M3, M8-M10, M12, S1). Linear models are MLlib's;
+boosting is ``operators/boosting.py``, the forest ``operators/forest.py``. Scores of fitted models are
 not SQL; what SQL can say of them (the first split's gains of every fold) has an
 oracle in ``split_gains``."""
 
