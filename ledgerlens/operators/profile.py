@@ -220,33 +220,69 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], upper_only: bool = True,
 
 
 def _corr_pairs_wide(df: DataFrame, cols: list[str], upper_only: bool) -> DataFrame:
-    """Each task adds up, for all pairs at once, the products of the matrices
-    of values (NULL as 0, centred by the column's mean), their squares and the
-    masks of present values; the sums of the tasks meet by pair."""
+    """One pass: each task adds up, for all pairs at once, the products of the
+    matrices of values (NULL as 0, less what the task's first batch has on average),
+    their squares and the masks of present values; means and co-moments of the
+    tasks meet by pair, as the ones of two parts of a table make those of the whole."""
     import numpy as np
     import pandas as pd
-    d = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    means = d.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in range(len(cols))])      # one row
-    d = d.crossJoin(F.broadcast(means)).select(*[(F.col(f"v{i}") - F.col(f"m{i}")).alias(f"v{i}") for i in range(len(cols))])
+    import pyarrow as pa
     p = len(cols)
+    # More than 100 columns (spark.sql.codegen.maxFields): such a projection is generated in small methods.  One of a
+    # few dozen expressions is a single method of over 8,000 bytes, which the JVM interprets (9.3 against 0.8 s at sf0.1).
+    wide = [F.lit(None).cast("byte").alias(f"w{i}") for i in range(p, 101)]
+    d = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)], *wide)
 
     def gram(batches):
-        sums = np.zeros((4, p, p))
+        from pyspark import TaskContext
+        both, squares, shift = np.zeros((2 * p, 2 * p)), np.zeros((p, p)), None
         for b in batches:
-            x = b.to_numpy(dtype=float)
-            m = ~np.isnan(x)
-            x = np.where(m, x, 0.0)
-            m = m.astype(float)
-            sums += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+            if not b.num_rows:
+                continue
+            z = np.empty((2 * p, b.num_rows))
+            for i in range(p):
+                z[p + i] = b.column(i).to_numpy(zero_copy_only=False)
+            m, x = z[:p], z[p:]
+            m[:] = ~np.isnan(x)
+            x[m == 0] = 0.0
+            if shift is None:
+                shift = x.sum(1) / np.maximum(m.sum(1), 1)
+                shift[~np.isfinite(shift)] = 0.0
+            x -= shift[:, None]
+            x *= m
+            both += z @ z.T
+            squares += (x * x) @ m.T
+        if shift is None:
+            return
         i, j = np.triu_indices(p, 1)
-        yield pd.DataFrame({"i": i, "j": j, "n": sums[0, i, j], "sx": sums[1, i, j], "sy": sums[1, j, i],
-                            "sxx": sums[2, i, j], "syy": sums[2, j, i], "sxy": sums[3, i, j]})
-    names = ("n", "sx", "sy", "sxx", "syy", "sxy")
-    t = (d.mapInPandas(gram, "i int, j int, " + ", ".join(f"{c} double" for c in names))
-         .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names]))
-    vx, vy = (F.col(f"s{k}{k}") - F.try_divide(F.col(f"s{k}") * F.col(f"s{k}"), F.col("n")) for k in "xy")
-    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
-    r = F.when((vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy")), cov / F.sqrt(vx * vy))
+        n = both[i, j]
+        some = n > 0
+        i, j, n = i[some], j[some], n[some]
+        sx, sy, sxx, syy = both[p + i, j], both[p + j, i], squares[i, j], squares[j, i]
+        yield pa.RecordBatch.from_pandas(pd.DataFrame({
+            "i": i.astype(np.int32), "j": j.astype(np.int32), "part": np.full(len(i), TaskContext.get().partitionId() % 256, np.int32),
+            "n": n, "mx": shift[i] + sx / n, "my": shift[j] + sy / n, "sxx": sxx, "syy": syy,
+            "vx": np.maximum(sxx - sx * sx / n, 0), "vy": np.maximum(syy - sy * sy / n, 0), "c": both[p + i, p + j] - sx * sy / n}), preserve_index=False)
+    names = ("n", "mx", "my", "sxx", "syy", "vx", "vy", "c")
+    t = d.mapInArrow(gram, "i int, j int, part int, " + ", ".join(f"{c} double" for c in names))
+
+    def join(s, e):
+        n = s["n"] + e["n"]
+        dx, dy, w = e["mx"] - s["mx"], e["my"] - s["my"], s["n"] * e["n"] / n
+        new = {"n": n, "mx": s["mx"] + dx * e["n"] / n, "my": s["my"] + dy * e["n"] / n, "sxx": s["sxx"] + e["sxx"], "syy": s["syy"] + e["syy"],
+               "vx": s["vx"] + e["vx"] + dx * dx * w, "vy": s["vy"] + e["vy"] + dy * dy * w, "c": s["c"] + e["c"] + dx * dy * w}
+        return F.struct(*[v.alias(k) for k, v in new.items()])
+    nothing = F.struct(*[F.lit(0.0).alias(c) for c in names])
+    for by in (["i", "j", "part"], ["i", "j"]):         # tasks are many: first those of a part, then the parts
+        t = (t.groupBy(*by).agg(F.aggregate(F.array_sort(F.collect_list(F.struct(*names))), nothing, join).alias("s")).select(*by, "s.*"))
+    # below this is rounding: the column is constant where both are present
+    vx, vy = F.col("vx"), F.col("vy")
+    varies = ((vx > 1e-12 * F.col("sxx") + 1e-27 * F.col("n") * F.col("mx") * F.col("mx"))
+              & (vy > 1e-12 * F.col("syy") + 1e-27 * F.col("n") * F.col("my") * F.col("my")))
+    r = F.when(varies, F.col("c") / F.sqrt(vx * vy))
+    pairs = [(i, j) for i in range(p) for j in range(i + 1, p)]
+    every = d.sparkSession.createDataFrame(pairs, "i int, j int")       # pairs never present together are in the result too
+    t = every.join(t, ["i", "j"], "left")
     named = F.array(*[F.lit(c) for c in cols])
     t = t.select(F.get(named, F.col("i")).alias("a"), F.get(named, F.col("j")).alias("b"), r.alias("r"))
     return t if upper_only else t.unionByName(t.select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
