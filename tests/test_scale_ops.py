@@ -255,6 +255,27 @@ def test_wide_correlation_path_matches_pairwise(spark):
         assert wide[k] == pytest.approx(narrow[k], abs=1e-9) and narrow[k] == pytest.approx(want.loc[k], abs=1e-9)
 
 
+def test_wide_correlation_is_one_pass_and_holds_far_from_zero(spark):
+    """Tasks' co-moments meet without a pass for the means before; columns far from zero, constant ones and
+    pairs that are never present together keep their result."""
+    import numpy as np
+    import pandas as pd
+    from ledgerlens.operators.profile import corr_pairs
+    r = np.random.default_rng(4)
+    x = r.standard_normal(500)
+    pdf = pd.DataFrame({"a": 1e9 + x, "b": 3e9 - x + r.standard_normal(500), "c": 7.1, "d": np.where(np.arange(500) < 250, x, np.nan),
+                        "e": np.where(np.arange(500) >= 250, x, np.nan)})
+    df = spark.createDataFrame(pdf).select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in pdf.columns]).repartition(6)
+    out = corr_pairs(df, pdf.columns, max_aggregates=1)
+    got = {(v["a"], v["b"]): v["r"] for v in out.collect()}
+    assert len(got) == 10 and got["d", "e"] is None and all(v is None for k, v in got.items() if "c" in k)
+    want = pdf.corr()
+    for k in (("a", "b"), ("a", "d"), ("b", "e"), ("a", "e")):
+        assert got[k] == pytest.approx(want.loc[k], abs=1e-6)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and plan.count("MapInArrow") <= 2
+
+
 def test_untimed_rows_rank_last_in_both_directions(spark):
     import pandas as pd
     rng = random.Random(3)
