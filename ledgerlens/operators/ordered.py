@@ -8,8 +8,11 @@ conditional aggregates over two row numbers per entity:
 * ``_rn_d``  position in (time desc, tiebreak asc)   -- pandas ``nlargest(keep='first')``
 * ``_n``     rows of the entity
 
-They are computed in two levels so that one entity holding a large share of
-all rows is never sorted by one task:
+Rows of an entity meet in one task, which numbers them in one sort; only the
+columns that are read later travel there. So that one entity holding a large share
+of all rows is never sorted by one task, the keys of more than ``HOT_ROWS`` rows
+are found first (a count by key; at most rows / HOT_ROWS keys reach the driver),
+and the rows of these keys alone are numbered in two levels:
 
 1. a histogram ``(entity, time, cell) -> rows`` (partial aggregation, skew-safe)
    gives for every time value the number of rows before / after it; cells cut the
@@ -22,6 +25,10 @@ same within-time order (tiebreak asc), matching pandas' keep-first ties.
 A numeric first tiebreak has at most 2^CELL_BITS values in a cell, so an entity with
 one time for all rows is split as well; one of another type leaves a time whole.
 
+Wide aggregates follow: a row in an aggregation buffer is several times as large as
+the row, so partial aggregation pays only where the rows of an entity lie together.
+They do after the ranks; ``clustered`` brings them together for aggregates without ranks.
+
 First/last values (W2/W3) need no ranks at all: ``max_by/min_by`` over
 ``struct(time, tiebreak)`` are algebraic aggregates.
 """
@@ -45,25 +52,95 @@ def _keys(key) -> list[str]:
 
 
 CELL_BITS = 20
+HOT_ROWS = 1 << 20          # rows of an entity that one task may hold
+SALTS = 256
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    for k in keys:
+        df = df.filter(F.col(k).isNotNull())
+    return df
 
 
-def with_order_ranks(df: DataFrame, key, time: str, tiebreak: Sequence[str], cell_bits: int = CELL_BITS) -> DataFrame:
+def _hot_keys(base: DataFrame, keys: Sequence[str], hot_rows: int | None) -> DataFrame | None:
+    """The keys of more than ``hot_rows`` (HOT_ROWS) rows as a small frame with ``_hot``, or None."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    big = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > hot_rows)
+               .select(*keys))
+    found = big.collect()
+    if not found:
+        return None
+    return F.broadcast(base.sparkSession.createDataFrame(found, big.schema).withColumn("_hot", F.lit(True)))
+
+
+def clustered(df: DataFrame, key, hot_rows: int | None = None) -> DataFrame:
+    """The rows with the keys' rows together, for wide aggregates by key; the rows of a key
+    of more than ``hot_rows`` are spread over ``SALTS`` parts. NULL keys are dropped."""
+    keys = _keys(key)
+    base = _keyed(df, keys)
+    hot = _hot_keys(base, keys, hot_rows)
+    if hot is None:
+        return base.repartition(*keys)
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*base.columns), F.lit(SALTS))).otherwise(F.lit(0))
+    return base.join(hot, keys, "left").withColumn("_salt", salt).repartition(*keys, "_salt").select(*df.columns)
+
+
+def with_order_ranks(df: DataFrame, key, time: str, tiebreak: Sequence[str], cell_bits: int = CELL_BITS,
+                     hot_rows: int | None = None, joined_on_first: bool = False) -> DataFrame:
     """Adds ``_n``, ``_rn_a``, ``_rn_d`` (see module doc). NULL keys are dropped.
 
     ``time`` is a numeric offset; rows with a NULL time are kept and rank after
     all timed rows in both directions (pandas ``na_position='last'``, and
     ``nlargest``, which takes them only when timed rows run out). A NULL tiebreak ranks first.
+    ``joined_on_first``: the rows come out of a join on ``tiebreak[0]`` and lie together by it;
+    their position there replaces the other tiebreak columns on the way to the entity.
     """
     keys = _keys(key)
-    base = df
-    for k in keys:
-        base = base.filter(F.col(k).isNotNull())
-    numeric = isinstance(df.schema[tiebreak[0]].dataType, NumericType)
-    cell = (F.coalesce(F.shiftright(order_key(df, tiebreak[0]), cell_bits), F.lit(-(1 << 63)))
-            if numeric else F.lit(0).cast("long"))
-    base = (base.withColumn("_tk", F.coalesce(F.col(time).cast("double"), F.lit(float("inf"))))
-                .withColumn("_tc", cell))
-    hist = base.groupBy(*keys, "_tk", "_tc").agg(F.count(F.lit(1)).alias("_cn"))
+    base = _keyed(df, keys)
+    hot = _hot_keys(base, keys, hot_rows)
+    tk = F.coalesce(F.col(time).cast("double"), F.lit(float("inf")))
+    if hot is None:
+        tie = list(tiebreak)
+        if joined_on_first and len(tie) > 2:
+            w = Window.partitionBy(*keys, tie[0]).orderBy(*[F.col(c).asc() for c in tie[1:]])
+            base, tie = base.withColumn("_tp", F.row_number().over(w)), [tie[0], "_tp"]
+        rows, part = base.repartition(*keys).withColumn("_tk", tk), keys
+    else:
+        tie, part = tiebreak, [*keys, "_ct", "_cc"]
+        cell = (F.coalesce(F.shiftright(order_key(df, tie[0]), cell_bits), F.lit(-(1 << 63)))
+                if isinstance(df.schema[tie[0]].dataType, NumericType) else F.lit(0).cast("long"))
+        base = base.withColumn("_tk", tk).withColumn("_tc", cell)
+        hist = _histogram(base.join(hot.drop("_hot"), keys, "left_semi"), keys)
+        rows = (base.join(hot, keys, "left")
+                    .withColumn("_ct", F.when(F.col("_hot"), F.col("_tk")).otherwise(F.lit(0.0)))
+                    .withColumn("_cc", F.when(F.col("_hot"), F.col("_tc")).otherwise(F.lit(0)))
+                    .join(hist, part, "left"))
+    # one sort serves both orders
+    w_rows = Window.partitionBy(*part).orderBy("_tk", *[F.col(c).asc() for c in tie])
+    w_all = w_rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w_time = Window.partitionBy(*part).orderBy("_tk")
+    untimed = F.col("_tk") == F.lit(float("inf"))
+    rows = (rows.withColumn("_rn", F.row_number().over(w_rows).cast("long"))
+                .withColumn("_pn", F.count(F.lit(1)).over(w_all))
+                .withColumn("_pt", F.count(F.when(~untimed, F.lit(1))).over(w_all))
+                .withColumn("_pb", F.rank().over(w_time).cast("long") - F.lit(1))
+                .withColumn("_pu", F.count(F.lit(1)).over(w_time.rangeBetween(Window.unboundedPreceding,
+                                                                             Window.currentRow))))
+    n, timed, before, through, rn = (F.col(c) for c in ("_pn", "_pt", "_pb", "_pu", "_rn"))
+    if hot is not None:     # a row of a hot key saw the rows of its cell only
+        split = F.col("_hn").isNotNull()
+        rn = F.when(split, F.col("_hb") + F.col("_hi") + rn).otherwise(rn)
+        n, timed, before, through = (F.when(split, F.col(h)).otherwise(c) for h, c in
+                                     (("_hn", n), ("_ht", timed), ("_hb", before), ("_hu", through)))
+    rows = rows.withColumns({N: n, RN_A: rn,
+                             RN_D: rn - before + F.when(untimed, timed).otherwise(timed - through)})
+    return rows.select(*df.columns, N, RN_A, RN_D)
+
+
+def _histogram(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per (key, time, cell): rows of the key, timed ones, those before the time, in the time before
+    the cell, and up to the end of the time."""
+    hist = rows.groupBy(*keys, "_tk", "_tc").agg(F.count(F.lit(1)).alias("_cn"))
     # one ordered spec for all sums, so the histogram is sorted once
     w_all = Window.partitionBy(*keys).orderBy("_tk", "_tc").rowsBetween(Window.unboundedPreceding,
                                                                         Window.unboundedFollowing)
@@ -72,19 +149,14 @@ def with_order_ranks(df: DataFrame, key, time: str, tiebreak: Sequence[str], cel
     w_times = Window.partitionBy(*keys, "_tk").orderBy("_tc").rowsBetween(Window.unboundedPreceding,
                                                                           Window.unboundedFollowing)
     untimed = F.col("_tk") == F.lit(float("inf"))
-    hist = (hist.withColumn(N, F.sum("_cn").over(w_all))
-                .withColumn("_timed", F.coalesce(F.sum(F.when(~untimed, F.col("_cn"))).over(w_all), F.lit(0)))
+    hist = (hist.withColumn("_hn", F.sum("_cn").over(w_all))
+                .withColumn("_ht", F.coalesce(F.sum(F.when(~untimed, F.col("_cn"))).over(w_all), F.lit(0)))
                 .withColumn("_before", F.coalesce(F.sum("_cn").over(w_run), F.lit(0)))
-                .withColumn("_inner", F.coalesce(F.sum("_cn").over(w_time), F.lit(0)))
-                .withColumn("_tn", F.sum("_cn").over(w_times)))
-    rows = base.join(hist, keys + ["_tk", "_tc"], "inner")
-    rn = F.row_number().over(Window.partitionBy(*keys, "_tk", "_tc").orderBy(*[F.col(c).asc() for c in tiebreak]))
-    before_time = F.col("_before") - F.col("_inner")
-    return (rows.withColumn("_rnw", rn + F.col("_inner"))
-                .withColumn(RN_A, before_time + F.col("_rnw"))
-                .withColumn(RN_D, F.col("_rnw") + F.when(untimed, F.col("_timed"))
-                            .otherwise(F.col("_timed") - before_time - F.col("_tn")))
-                .drop("_tn", "_cn", "_before", "_inner", "_rnw", "_tk", "_tc", "_timed"))
+                .withColumn("_hi", F.coalesce(F.sum("_cn").over(w_time), F.lit(0)))
+                .withColumn("_tn", F.sum("_cn").over(w_times))
+                .withColumn("_hb", F.col("_before") - F.col("_hi"))
+                .withColumn("_hu", F.col("_hb") + F.col("_tn")))
+    return hist.select(*keys, F.col("_tk").alias("_ct"), F.col("_tc").alias("_cc"), "_hn", "_ht", "_hb", "_hi", "_hu")
 
 
 def pct_rank(df: DataFrame, key, time: str, out: str = "pct_rank") -> DataFrame:

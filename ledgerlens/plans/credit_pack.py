@@ -8,11 +8,12 @@ Design
 ------
 * One aggregation per fact table: the rollup family, its recency slices and
   its ordered trends are conditional aggregates of a single
-  ``groupBy(SK_ID_CURR)``; ordered trends read the two-level row numbers of
-  ``ordered.with_order_ranks`` (no per-entity sort of a whole history in one
-  task). bureau_balance reaches the customer through a two-hop key lookup.
-* Every feature frame leaves its groupBy hash-partitioned on the key, so the
-  spine join chain shuffles each fact table once.
+  ``groupBy(SK_ID_CURR)``; ordered trends read the row numbers of
+  ``ordered.with_order_ranks`` (the history of a very large entity is not sorted
+  by one task). bureau_balance reaches the customer through a two-hop key lookup.
+* Rows go to their customer once, with raw columns only, and are numbered and
+  aggregated there: aggregation buffers, several times as wide as a row, are not
+  exchanged. Every feature frame stays hash-partitioned on the key for the spine join.
 * Semantics of the reference are kept where they are observable: pandas sums
   of empty groups are 0, conditional counts of an absent status are missing,
   ratios divide IEEE-style (±inf until the final clean-up, which clipped
@@ -98,7 +99,7 @@ def bureau_features(bureau: DataFrame, bureau_balance: DataFrame,
     """37 rollup + 22 history features, one row per customer in bureau."""
     recent = F.col("DAYS_CREDIT") >= RECENT_CREDIT_DAYS
     old = F.col("DAYS_CREDIT") < RECENT_CREDIT_DAYS
-    b = R.rollup(bureau, KEY, [
+    b = R.rollup(O.clustered(bureau, KEY), KEY, [
         F.count("SK_ID_BUREAU").alias("BUREAU_LOAN_COUNT"),
         *_aggs({"DAYS_CREDIT": ["min", "max", "mean"], "CREDIT_DAY_OVERDUE": ["max", "mean"],
                 "AMT_CREDIT_SUM": ["sum", "mean", "max"], "AMT_CREDIT_SUM_DEBT": ["sum", "mean", "max"],
@@ -118,9 +119,10 @@ def bureau_features(bureau: DataFrame, bureau_balance: DataFrame,
     })
 
     bb = attach_key(bureau_balance, bureau.select("SK_ID_BUREAU", KEY), "SK_ID_BUREAU", KEY)
+    tb = [c for c in bb_tiebreak if c in bb.columns]
+    bb = O.with_order_ranks(bb, KEY, "MONTHS_BALANCE", tb, joined_on_first=tb[0] == "SK_ID_BUREAU")
     bb = bb.withColumns({"STATUS_NUMERIC": X.map_values("STATUS", STATUS_SEVERITY),
                          "STATUS_NUM": F.coalesce(X.map_values("STATUS", STATUS_SEVERITY), F.lit(0))})
-    bb = O.with_order_ranks(bb, KEY, "MONTHS_BALANCE", [c for c in bb_tiebreak if c in bb.columns])
     rec_m = F.col("MONTHS_BALANCE") >= RECENT_MONTHS
     old_m = F.col("MONTHS_BALANCE") < OLD_STATUS_MONTHS
     bal = R.rollup(bb, KEY, [
@@ -173,17 +175,19 @@ def prev_features(prev: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- instalments
-def inst_features(inst: DataFrame, tiebreak: Sequence[str] = ("SK_ID_PREV", "NUM_INSTALMENT_NUMBER")) -> DataFrame:
-    """23 rollup features + 20 payment-behaviour features (base: recent payers)."""
+def inst_features(inst: DataFrame, tiebreak: Sequence[str] = ("SK_ID_PREV", "NUM_INSTALMENT_NUMBER"),
+                  joined_on_first: bool = False) -> DataFrame:
+    """23 rollup features + 20 payment-behaviour features (base: recent payers).
+    ``joined_on_first``: see ``ordered.with_order_ranks``."""
     tb = [c for c in tiebreak if c in inst.columns]
-    i = inst.withColumns({
+    i = O.with_order_ranks(inst, KEY, "DAYS_INSTALMENT", tb, joined_on_first=joined_on_first)
+    i = i.withColumns({
         "PAYMENT_DIFF": F.col("AMT_PAYMENT") - F.col("AMT_INSTALMENT"),
         "PAYMENT_DELAY": F.col("DAYS_ENTRY_PAYMENT") - F.col("DAYS_INSTALMENT"),
     }).withColumns({
         "LATE_PAYMENT": X.flag(F.col("PAYMENT_DELAY") > 0),
         "UNDERPAYMENT": X.flag(F.col("PAYMENT_DIFF") < 0),
     })
-    i = O.with_order_ranks(i, KEY, "DAYS_INSTALMENT", tb)
     recent = F.col("DAYS_INSTALMENT") >= RECENT_PAYMENT_DAYS
     old = F.col("DAYS_INSTALMENT") < RECENT_PAYMENT_DAYS
     agg = R.rollup(i, KEY, [
@@ -247,8 +251,8 @@ CC_SUMS = ["AMT_DRAWINGS_CURRENT", "AMT_DRAWINGS_ATM_CURRENT", "AMT_DRAWINGS_POS
 def cc_features(cc: DataFrame, tiebreak: Sequence[str] = ("SK_ID_PREV",)) -> DataFrame:
     """34 rollup features + 27 velocity features (base: active in the last 6 months)."""
     tb = [c for c in tiebreak if c in cc.columns]
-    c = cc.withColumn("UTILIZATION", X.ieee_div(F.col("AMT_BALANCE"), F.col("AMT_CREDIT_LIMIT_ACTUAL") + F.lit(1)))
-    c = O.with_order_ranks(c, KEY, "MONTHS_BALANCE", tb)
+    c = O.with_order_ranks(cc, KEY, "MONTHS_BALANCE", tb)
+    c = c.withColumn("UTILIZATION", X.ieee_div(F.col("AMT_BALANCE"), F.col("AMT_CREDIT_LIMIT_ACTUAL") + F.lit(1)))
     recent = F.col("MONTHS_BALANCE") >= RECENT_MONTHS
     band = R.slice_pred("MONTHS_BALANCE", OLD_STATUS_MONTHS, RECENT_MONTHS)
     agg = R.rollup(c, KEY, [
@@ -389,13 +393,13 @@ def final_clean(df: DataFrame, keep: Sequence[str] = (KEY, "TARGET")) -> DataFra
 def build(app: DataFrame, bureau: DataFrame, bureau_balance: DataFrame, prev: DataFrame, pos: DataFrame,
           cc: DataFrame, inst: DataFrame, clean: bool = True,
           inst_tiebreak: Sequence[str] = ("SK_ID_PREV", "NUM_INSTALMENT_NUMBER"),
-          bb_tiebreak: Sequence[str] = ("SK_ID_BUREAU",)) -> DataFrame:
+          bb_tiebreak: Sequence[str] = ("SK_ID_BUREAU",), inst_joined_on_first: bool = False) -> DataFrame:
     """The full pack on one spine (train and test can be one spine with a split column)."""
     # each fact table: one aggregation holding both its rollup and its
     # history family, joined to the spine once (a second join of a pruned
     # copy would make Spark aggregate the fact table twice)
     families = [bureau_features(bureau, bureau_balance, bb_tiebreak), prev_features(prev),
-                inst_features(inst, inst_tiebreak), pos_features(pos), cc_features(cc)]
+                inst_features(inst, inst_tiebreak, inst_joined_on_first), pos_features(pos), cc_features(cc)]
     a = spine_join(basic_features(app), families, KEY)
     a = missing_handling(advanced_features(a), fit_on=app)
     out = score_features(cross_table_features(a))

@@ -92,7 +92,7 @@ FROM r GROUP BY id""", ["hist"], rnd=["PREV_LOAN_AMOUNT_TREND"])
 # ------------------------------------------------------------------ W4 / W5
 @query("tail_head_mean_diff")
 def tail_head_mean_diff(spark, d):
-    b = O.with_order_ranks(_bal_entity(spark, d), "id", "month", BAL_TIE)
+    b = O.with_order_ranks(_bal_entity(spark, d), "id", "month", BAL_TIE, joined_on_first=True)
     return finish(R.rollup(b, "id", [O.tail_head_diff("sev", 6, min_n=6).alias("PAYMENT_STATUS_TREND")]).fillna(0))
 
 
@@ -106,7 +106,7 @@ FROM r GROUP BY id""", ["bal", "hist"], rnd=["PAYMENT_STATUS_TREND"], ctes=_SQL_
 
 @query("good_streak")
 def good_streak(spark, d):
-    b = O.with_order_ranks(_bal_entity(spark, d), "id", "month", BAL_TIE)
+    b = O.with_order_ranks(_bal_entity(spark, d), "id", "month", BAL_TIE, joined_on_first=True)
     return finish(R.rollup(b, "id", [O.leading_streak(F.col("code").isin(*T.GOOD_CODES)).alias("CONSECUTIVE_GOOD_MONTHS")]))
 
 
@@ -120,7 +120,7 @@ FROM r GROUP BY id""", ["bal", "hist"], ctes=_SQL_BAL_ENTITY)
 # ------------------------------------------------------------------ W6 / W7 / W8
 @query("half_split_trend")
 def half_split_trend(spark, d):
-    i = O.with_order_ranks(_inst_delay(spark, d), "id", "due_day", INST_TIE)
+    i = O.with_order_ranks(_inst_delay(spark, d), "id", "due_day", INST_TIE, joined_on_first=True)
     return finish(R.rollup(i, "id", [O.half_split_diff("delay", 6).alias("PAYMENT_DELAY_TREND")]).fillna(0))
 
 
@@ -148,7 +148,7 @@ FROM inst GROUP BY id""", ["inst"], rnd=["PAYMENT_DELAY_STD", "PAID_STD"])
 
 @query("last_k_rate")
 def last_k_rate(spark, d):
-    i = O.with_order_ranks(_inst_delay(spark, d), "id", "due_day", INST_TIE)
+    i = O.with_order_ranks(_inst_delay(spark, d), "id", "due_day", INST_TIE, joined_on_first=True)
     return finish(R.rollup(i, "id", [O.last_k_mean("late", 3, 3).alias("LAST_3_PAYMENTS_LATE_RATE")]).fillna(0))
 
 

@@ -17,7 +17,7 @@ BB_TIEBREAK = ["SK_ID_BUREAU", "_tb_line", "_tb_part", "_tb_supp", "_tb_price"]
 def pack(spark, d, clean=True):
     t = CT.all_tables(spark, d)
     return CP.build(**t, clean=clean, inst_tiebreak=INST_TIEBREAK,
-                    bb_tiebreak=BB_TIEBREAK)
+                    bb_tiebreak=BB_TIEBREAK, inst_joined_on_first=True)
 
 
 @query("credit_pack")
@@ -129,7 +129,7 @@ SELECT SK_ID_CURR, {_final} FROM j""", ["hist", "bal"],
 # ------------------------------------------------------------------ instalment family + oracle
 @query("credit_instalment_family")
 def credit_instalment_family(spark, d):
-    return finish(CP.inst_features(CT.installments(spark, d), INST_TIEBREAK))
+    return finish(CP.inst_features(CT.installments(spark, d), INST_TIEBREAK, joined_on_first=True))
 
 
 _RP, _OP = "DAYS_INSTALMENT >= -365", "DAYS_INSTALMENT < -365"

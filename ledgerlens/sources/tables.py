@@ -94,20 +94,21 @@ def bal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inst(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem")
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    return j.select(
-        F.col("o_custkey").alias("id"),
+    # what the join does not need is computed before it, so that fewer and narrower columns travel
+    li = load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("u0"), F.col("l_linenumber").alias("u1"),
         F.col("l_partkey").alias("u2"), F.col("l_suppkey").alias("u3"),
         F.col("l_extendedprice").alias("u4"),
-        F.col("l_linenumber").cast("long").alias("num"),
-        (_days("o_orderdate", HIST_ANCHOR) + F.lit(DUE_OFFSET_DAYS)).cast("long").alias("due_day"),
         F.when(F.col("l_linenumber") != 7, _days("l_shipdate", HIST_ANCHOR)).cast("long").alias("entry_day"),
-        F.col("l_extendedprice").alias("due"),
         (F.col("l_extendedprice") * (F.lit(1.0) + F.col("l_tax") - F.col("l_discount"))).alias("paid"),
     )
+    o = load(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("id"),
+        (_days("o_orderdate", HIST_ANCHOR) + F.lit(DUE_OFFSET_DAYS)).cast("long").alias("due_day"),
+    )
+    j = li.join(o, F.col("u0") == F.col("o_orderkey"), "inner")
+    return j.select("id", "u0", "u1", "u2", "u3", "u4", F.col("u1").cast("long").alias("num"), "due_day", "entry_day",
+                    F.col("u4").alias("due"), "paid")
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,3 +117,28 @@ def test_card_trends(built):
             if len(g) >= 3 else 1.0
         assert out.loc[k, "CC_UTILIZATION_TREND"] == pytest.approx(ut, abs=1e-9)
         assert out.loc[k, "CC_PAYMENT_DRAWING_TREND"] == pytest.approx(r, abs=1e-9)
+
+
+FAMILIES = ["credit_bureau_family", "credit_prev_family", "credit_instalment_family", "credit_pos_family", "credit_card_family"]
+
+
+@pytest.mark.parametrize("name", FAMILIES)
+def test_rows_meet_before_they_are_aggregated(spark, name):
+    """A buffer of dozens of aggregates is several times as wide as a row: only rows, or one buffer
+    per entity, may be exchanged, never a buffer for every few rows."""
+    from ledgerlens.plans import catalog
+    p = catalog.QUERIES[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString().split("\n")
+    below = [p[i + 1] for i, line in enumerate(p[:-1]) if "Exchange hashpartitioning" in line]
+    assert below and not [line[:200] for line in below if line.count("partial_") + line.count("merge_") > 3]
+
+
+def test_families_of_hot_customers(spark, monkeypatch):
+    """Customers whose rows are too many for one task get the same features."""
+    from ledgerlens.operators import ordered as O
+    from ledgerlens.plans import catalog
+    for name in FAMILIES:
+        out = []
+        for most in (1 << 20, 12):
+            monkeypatch.setattr(O, "HOT_ROWS", most)
+            out.append(catalog.QUERIES[name](spark, SF0001).toPandas().sort_values("SK_ID_CURR").reset_index(drop=True))
+        pd.testing.assert_frame_equal(*out, rtol=1e-9, atol=1e-9)

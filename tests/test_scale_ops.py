@@ -395,3 +395,33 @@ def test_every_pair_of_the_wide_correlation(spark):
             assert r is None, (a, b)
         else:
             assert r == pytest.approx(want.loc[a, b], abs=1e-9), (a, b)
+
+
+@pytest.mark.parametrize("hot_rows,joined", [(None, False), (None, True), (8, False), (8, True), (0, False)])
+def test_order_ranks_of_hot_and_other_keys(spark, hot_rows, joined):
+    """Keys of more rows than one task may hold are numbered by cells, the others in one sort; ranks are the same."""
+    rng = random.Random(12)
+    data = [(k, rng.choice("ab"), rng.choice([None, 1, 1, 2, 3, 5]), rng.choice([None, *range(6)]), u)
+            for u, k in enumerate(rng.choice([0, 0, 0, 1, 2, 3, 4, None]) for _ in range(300))]
+    df = spark.createDataFrame(data, "k long, j string, t long, p long, u long").repartition(5)
+    got = O.with_order_ranks(df, ["k", "j"], "t", ["p", "u"], cell_bits=1, hot_rows=hot_rows, joined_on_first=joined).collect()
+    want = {}
+    for key in {d[:2] for d in data if d[0] is not None}:
+        rows = sorted((d for d in data if d[:2] == key), key=lambda d: (d[3] is not None, d[3], d[4]) if d[3] is not None else (False, 0, d[4]))
+        up = sorted(rows, key=lambda d: (d[2] is None, d[2] or 0))
+        down = sorted(rows, key=lambda d: (d[2] is None, -(d[2] or 0)))
+        want |= {d[4]: (up.index(d) + 1, down.index(d) + 1, len(rows)) for d in rows}
+    assert {r["u"]: (r["_rn_a"], r["_rn_d"], r["_n"]) for r in got} == want and len(got) == len(want)
+
+
+def test_clustered_keeps_all_rows_and_spreads_hot_keys(spark, hot):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")       # parts stay as dealt
+    try:
+        for most in (None, 100):
+            c, at = O.clustered(hot, "k", most), {}
+            assert sorted(map(str, c.collect())) == sorted(map(str, hot.collect()))
+            for r in c.select("k", F.spark_partition_id().alias("p")).distinct().collect():
+                at.setdefault(r["k"], []).append(r["p"])
+            assert (len(at[0]) > 1) == (most == 100) and all(len(p) == 1 for k, p in at.items() if k)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
