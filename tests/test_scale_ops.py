@@ -206,6 +206,50 @@ def test_blend_grid_goes_over_its_weight_vectors_in_groups(spark, monkeypatch):
     assert rows[0] == rows[1] and len(rows[0]) == 7 and seen == [7, 2, 2, 2, 1]
 
 
+def _pairs_brute(neg, pos):
+    return float(sum((n < p) + (n == p) / 2 for n in neg for p in pos))
+
+
+@pytest.mark.parametrize("low,high", [(0.0, 1.0), (-1.0, 1.0), (-5e300, 5e300), (3.0, 900.0), (-7.0, -6.0), (-1e-310, 1e-310)])
+def test_pairs_of_blends_by_their_bits(low, high):
+    rng = np.random.default_rng(3)
+    neg, pos = (np.r_[rng.uniform(low / 2, high / 2, n) * 2, rng.choice([low, -0.0, 0.0, high], 40)] for n in (90, 60))
+    pos[:20] = neg[:20]
+    got = B._pairs(neg, pos)
+    if high - low < 1e300:
+        assert got == _pairs_brute(neg, pos)
+    b, p = np.r_[neg, pos], np.r_[np.zeros(len(neg), np.int64), np.ones(len(pos), np.int64)]
+    assert got in (None, B._weighted_pairs(b, p, 1 - p)) and B._weighted_pairs(b, p, 1 - p) == _pairs_brute(neg, pos)
+
+
+@pytest.mark.parametrize("repeats", [False, True])
+def test_tuples_of_near_weight_vectors_travel_together(monkeypatch, repeats):
+    """Under three bytes a blend go to the cells, where a blend alone has eight; every tuple is counted once a vector."""
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    s = np.stack([rng.random(6000), rng.integers(0, 11, 6000) / 10, rng.integers(1, 51, 6000) / 50])
+    pos = rng.integers(0, 2, 6000) * (rng.integers(1, 300, 6000) if repeats else 1)
+    neg = np.where(pos == 0, 1, rng.integers(0, 4, 6000) if repeats else 0)
+    rows = pa.RecordBatch.from_arrays([pa.array(v) for v in (*s, pos, neg)], names=["a", "b", "c", "pos", "neg"])
+    monkeypatch.setattr(B, "BLOCK_ROWS", 1500)
+    monkeypatch.setattr(B, "CELL_ROWS", 2500)
+    blocks = list(B._pack(3)([rows]))
+    sizes = [sum(v for b in blocks for v in b.column("rows").to_pylist()), sum(len(v) for b in blocks for v in b.column("scores").to_pylist())]
+    probes = np.concatenate([np.frombuffer(v, np.float64).reshape(-1, 3) for b in blocks for v in b.column("probe").to_pylist()]).T
+    points = np.array(B.grid_points(3, 20))
+    tiles, splits = B._lay(points / 20, probes, sizes[0], sizes[1] / sizes[0], 1)
+    assert sorted(k for t in tiles for k in t) == list(range(231)) and splits.shape[1] > 0
+    parts = list(B._cut_blocks(points, 20, tiles, splits)(blocks))
+    assert sum(len(v) for b in parts for v in b.column("scores").to_pylist()) < 3 * 231 * sizes[0]
+    found = pa.Table.from_batches(list(B._count_cells(points, range(231), 20, tiles, splits)(parts))).to_pandas()
+    for k in (0, 17, 100, 230):
+        mine = found[found.point == k].sort_values("cell")
+        assert (mine.n_pos.sum(), mine.n_neg.sum()) == (pos.sum(), neg.sum())
+        pairs = mine.pairs.sum() + (mine.n_pos * (mine.n_neg.cumsum() - mine.n_neg)).sum()
+        w = points[k] / 20.0
+        assert pairs == B._weighted_pairs(w[0] * s[0] + w[1] * s[1] + w[2] * s[2], pos, neg)
+
+
 @pytest.mark.parametrize("tie", ["long", "double", "string"])
 def test_order_ranks_split_one_time(spark, tie):
     """One entity with a single time, one with none at all, one with both; cells of four tiebreaks."""
