@@ -220,7 +220,7 @@ def _blocks(df: DataFrame, features, label, fold_col, key, edges, kinds: list[tu
     fold = F.col(fold_col).cast("int") if fold_col else F.lit(-1)
     y = F.col(label).cast("int")
     kind = F.coalesce(*[F.when(y.eqNullSafe(F.lit(v)) & fold.eqNullSafe(F.lit(f)), F.lit(i)) for i, (f, v) in enumerate(kinds)], F.lit(-1))
-    hashes = [F.xxhash64(F.col(key)).alias("h")] if sampled else []
+    hashes = [(key if isinstance(key, Column) else F.xxhash64(F.col(key))).alias("h")] if sampled else []
     path = f"{checkpoint_dir(spark).rstrip('/')}/boosting-{np.random.default_rng().integers(1 << 62):x}"
     d = _bins(df.filter(F.col(label).isNotNull()), features, edges, [kind.alias("kind"), *hashes])
     if sampled:
@@ -257,13 +257,16 @@ def _blocks(df: DataFrame, features, label, fold_col, key, edges, kinds: list[tu
 
 
 class _Block:
-    """Cells of one block: bins, rows by kind, places and hashes of single rows."""
+    """Cells of one block: bins, rows by kind, places and hashes of single rows (none: rows are drawn by cell)."""
 
     def __init__(self, r, width: int, kinds: list[tuple]):
         self.x = np.frombuffer(r["x"], np.uint8).reshape(-1, width)
         self.n = np.frombuffer(r["n"], np.int64).reshape(-1, len(kinds))
         self.place, self.h, self.kinds = np.frombuffer(r["place"], np.int32), np.frombuffer(r["h"], np.int64), kinds
 
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
     def _by_label(self, n: np.ndarray, use) -> dict[int, np.ndarray]:
         out = {}
         for i, (f, v) in enumerate(self.kinds):
@@ -277,14 +280,16 @@ class _Block:
         return self._by_label(self.n, lambda f: f == p.fold)
 
     def train(self, p: Params, model_round: int, drawn: dict) -> dict[int, np.ndarray]:
-        """Rows a tree is grown on by label, for each cell; ``drawn`` keeps the last draw."""
+        """Rows a tree is grown on by label, for each cell; ``drawn`` keeps the draws that a trial's models share."""
         n = self.n
         if p.row_share < 1:
-            seed = _draw(p, model_round)
-            if drawn.get("seed") != seed:
+            draw = _draw(p, model_round)
+            if drawn.get("of") != (p.seed, p.row_share):
                 drawn.clear()
-                drawn.update(seed=seed, n=self._sampled(seed[0], p.row_share))
-            n = drawn["n"]
+                drawn["of"] = p.seed, p.row_share
+            if draw not in drawn:
+                drawn[draw] = (self._sampled if len(self.h) else self._sampled_by_cell)(*draw).astype(np.int32 if n.max(initial=0) < 1 << 31 else np.int64)
+            n = drawn[draw]
         return self._by_label(n, lambda f: p.fold is None or f != p.fold)
 
     def _sampled(self, seed: int, share: float, step: int = 1 << 16) -> np.ndarray:
@@ -295,6 +300,89 @@ class _Block:
                 out[use[0]:use[-1] + 1] += np.bincount(use - use[0])
         return out.reshape(self.n.shape)
 
+    def _sampled_by_cell(self, seed: int, share: float) -> np.ndarray:
+        """How many of a cell's rows of a kind come into a draw that takes each with probability ``share``: binomial,
+        from a number that depends on cell, kind and seed alone. A count is drawn by its last 8 bits and, above, by 4."""
+        if not hasattr(self, "_digits"):
+            h = np.zeros(len(self.x), np.uint64)
+            with np.errstate(over="ignore"):
+                for c in range(self.x.shape[1]):
+                    h = (h ^ (self.x[:, c].astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+                    h ^= h >> np.uint64(29)
+                h = (h[:, None] + np.arange(self.n.shape[1], dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)).ravel()
+            n, self._digits, self._tables = self.n.ravel(), [], {}
+            for shift, bits in [(0, 8), *[(s, 4) for s in range(8, 63, 4)]]:
+                digit = n >> shift & (1 << bits) - 1
+                use = np.flatnonzero(digit)
+                if len(use):
+                    levels, rank = np.unique(digit[use], return_inverse=True)
+                    with np.errstate(over="ignore"):
+                        self._digits.append((use, (h[use] ^ np.uint64(shift * 0xA24BAED4963EE407 & (1 << 64) - 1)).view(np.int64), levels << shift, rank))
+        if share not in self._tables:
+            self._tables = {share: [_binomial_table(levels, share) for _, _, levels, _ in self._digits]}
+        out = np.zeros(self.n.size, np.int64)
+        for (use, h, levels, rank), (cdf, start, least) in zip(self._digits, self._tables[share]):
+            k = np.searchsorted(cdf, rank + _hash(h, seed), side="right") - start[rank] + least[rank]
+            out[use] += np.minimum(k, levels[rank])
+        return out.reshape(self.n.shape)
+
+    def grid(self) -> "_Grid | None":
+        """The cells as places of a grid of all bins, if most of it is filled."""
+        if not hasattr(self, "_grid"):
+            shape = tuple(int(v) + 1 for v in self.x.max(axis=0)) if len(self.x) else ()
+            self._grid = _Grid(self.x, shape) if shape and math.prod(shape) <= 4 * len(self.x) + 4096 else None
+        return self._grid
+
+
+def _binomial_table(levels: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distribution functions of the binomials of ``levels`` rows, the i-th raised by i, one after the other; where each
+    begins, and its least value. What lies beyond 10 deviations is left out."""
+    parts, start, least, at = [], [], [], 0
+    for i, n in enumerate(levels.tolist()):
+        wide = 10 * math.sqrt(n * share * (1 - share)) + 10
+        k = np.arange(max(0, math.floor(n * share - wide)), min(n, math.ceil(n * share + wide)) + 1)
+        log = np.r_[0.0, np.cumsum(np.log((n - k[:-1]) / (k[1:])) + math.log(share / (1 - share)))] if share > 0 else np.r_[0.0, np.full(len(k) - 1, -np.inf)]
+        cdf = np.cumsum(np.exp(log - log.max()))
+        parts.append(i + np.minimum(cdf / cdf[-1], 1.0))
+        start.append(at)
+        least.append(int(k[0]))
+        at += len(k)
+    return np.concatenate(parts), np.array(start), np.array(least)
+
+
+class _Grid:
+    """Sums over boxes of bins: a table of sums below each corner answers any box with a few lookups. Sums are of
+    integers, so they are those of a pass over the cells."""
+
+    def __init__(self, x: np.ndarray, shape: tuple[int, ...]):
+        self.shape, self.corners = shape, tuple(d + 1 for d in shape)
+        self.place = np.ravel_multi_index(x.T.astype(np.intp), shape)
+        self.corner = np.ravel_multi_index(x.T.astype(np.intp) + 1, self.corners)
+        self.strides = [math.prod(self.corners[c + 1:]) for c in range(len(shape))]
+
+    def table(self, *values: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(values), math.prod(self.corners)))
+        for row, v in zip(out, values):
+            row[self.corner] = v
+        for c in range(len(self.shape)):
+            np.cumsum(out.reshape(len(values), *self.corners), axis=c + 1, out=out.reshape(len(values), *self.corners))
+        return np.ascontiguousarray(out.T)
+
+    def histogram(self, table: np.ndarray, lo: np.ndarray, hi: np.ndarray, columns: Sequence[int], n_bins: int) -> np.ndarray:
+        """``_histogram`` of boxes (box, feature), from the table."""
+        out = np.empty((table.shape[1], len(lo), len(columns), n_bins))
+        edges = np.arange(n_bins + 1)
+        for j, c in enumerate(columns):
+            along = np.clip(edges, lo[:, c, None], hi[:, c, None]) * self.strides[c]
+            below = np.zeros((len(lo), n_bins + 1, table.shape[1]))
+            others = [d for d in range(len(self.shape)) if d != c]
+            for pick in range(1 << len(others)):
+                ends = [(hi if pick >> i & 1 else lo)[:, d] * self.strides[d] for i, d in enumerate(others)]
+                part = table.take(along + sum(ends, np.zeros(len(lo), np.intp))[:, None], axis=0)
+                below += part if (len(others) - pick.bit_count()) % 2 == 0 else -part
+            out[:, :, j, :] = np.diff(below, axis=1).transpose(2, 0, 1)
+        return out
+
 
 def _draw(p: Params, model_round: int) -> tuple[int, float]:
     return p.seed * 1_000_003 + model_round // p.row_every, p.row_share
@@ -328,7 +416,9 @@ def _gradients(p: Params, margin: np.ndarray, rows: dict[int, np.ndarray]) -> tu
 
 
 def _loss(p: Params, margin: np.ndarray, rows: dict[int, np.ndarray]) -> float:
-    return sum((float((np.rint((p.positive_weight if y == 1 else 1.0) * np.logaddexp(0.0, -margin if y == 1 else margin) * UNIT) * c).sum())
+    some = np.flatnonzero(sum(rows.values())) if rows else []
+    margin = margin[some]
+    return sum((float((np.rint((p.positive_weight if y == 1 else 1.0) * np.logaddexp(0.0, -margin if y == 1 else margin) * UNIT) * c[some]).sum())
                 for y, c in rows.items()), 0.0)
 
 
@@ -427,22 +517,46 @@ class _Growing:
                 for k in sorted(self.chosen())]
 
 
-def _grown(p: Params, model_round: int, block: _Block, drawn: dict, margin, n_bins: int) -> _Growing:
-    """One tree from one block that holds all rows."""
-    g, h, n = _gradients(p, margin, block.train(p, model_round, drawn))
-    rows = np.flatnonzero(n)
-    xs, g, h, n = block.x[rows], g[rows], h[rows], n[rows]
+def _grown(p: Params, model_round: int, block: _Block, rows: dict, margin, n_bins: int) -> tuple["_Growing", Tree, np.ndarray]:
+    """One tree from one block that holds all rows, and what it adds to the cells' margins."""
+    g, h, n = _gradients(p, margin, rows)
     out = _Growing(p, _columns(p, model_round, block.x.shape[1]))
+    grid = block.grid()
+    if grid is None:
+        some = np.flatnonzero(n)
+        xs, g, h, n = block.x[some], g[some], h[some], n[some]
+        while out.frontier:
+            t = out.tree()
+            out.split(best_splits(p, _histogram(xs, g, h, n, t.place(xs), out.frontier, len(t.feature), out.columns, n_bins)))
+        t = out.tree(final=True)
+        return out, t, t.value[t.place(block.x)]
+    table = grid.table(g, h, n)
+    boxes = [([0] * len(grid.shape), list(grid.shape))]
     while out.frontier:
-        t = out.tree()
-        out.split(best_splits(p, _histogram(xs, g, h, n, t.place(xs), out.frontier, len(t.feature), out.columns, n_bins)))
-    return out
-
-
-def _rounds(p: Params, n_trees: int, losses: list[float], held: float, most: int, block: _Block, margin: np.ndarray, n_bins: int):
+        looked = out.frontier
+        lo, hi = (np.array([boxes[k][e] for k in looked], np.intp) for e in (0, 1))
+        out.split(best_splits(p, grid.histogram(table, lo, hi, out.columns, n_bins)))
+        for k in looked:        # kids are numbered in this order
+            node = out.nodes[k]
+            if node["kids"]:
+                f, cut, (lo, hi) = out.columns[node["column"]], node["cut"] + 1, boxes[k]
+                cut = min(max(cut, lo[f]), hi[f])
+                boxes += [(lo, [*hi[:f], cut, *hi[f + 1:]]), ([*lo[:f], cut, *lo[f + 1:]], hi)]
+    t = out.tree(final=True)
+    value, todo = np.zeros(grid.shape), [0]
+    while todo:
+        k = todo.pop()
+        if t.feature[k] >= 0:
+            todo += [t.left[k], t.right[k]]
+        else:
+            value[tuple(slice(a, b) for a, b in zip(*boxes[k]))] = t.value[k]
+    return out, t, value.ravel().take(grid.place)
+
+
+def _rounds(p: Params, n_trees: int, losses: list[float], held: float, most: int, block: _Block, margin: np.ndarray, n_bins: int, drawn: dict):
     """Up to ``most`` rounds of a model on a block that holds all rows; moves
     ``margin`` on.  (trees, losses, ledger) that are new, and whether patience ended it."""
-    trees, lost, ledger, drawn = [], list(losses), [], {}
+    trees, lost, ledger, known = [], list(losses), [], None
     out_rows = block.held(p)
     while True:
         if p.fold is not None and len(lost) <= n_trees:
@@ -451,20 +565,23 @@ def _rounds(p: Params, n_trees: int, losses: list[float], held: float, most: int
                 return trees, lost[len(losses):], ledger, True
         if n_trees >= p.rounds or len(trees) == most:
             return trees, lost[len(losses):], ledger, False
-        g = _grown(p, n_trees, block, drawn, margin, n_bins)
-        t = g.tree(final=True)
-        margin += t.value[t.place(block.x)]
+        if known is None or p.row_share < 1 and n_trees % p.row_every == 0:
+            known = block.train(p, n_trees, drawn)
+        g, t, added = _grown(p, n_trees, block, known, margin, n_bins)
+        margin += added
         trees.append(t)
         ledger += g.ledger(n_trees)
         n_trees += 1
 
 
-def fit(df: DataFrame, features: Sequence[str], label: str, key: str, models: Sequence[Params], fold_col: str | None = None,
+def fit(df: DataFrame, features: Sequence[str], label: str, key: str | Column, models: Sequence[Params], fold_col: str | None = None,
         bins: int = 64, accuracy: int = 10_000, block_rows: int = 1 << 18, keep_every: int = 25, start: Boosted | None = None,
-        block_hashes: int = 1 << 22) -> Boosted:
+        block_hashes: int = 1 << 22, most_hashes: int = 1 << 22) -> Boosted:
     """Fit all ``models`` on ``df``; with ``start`` (fitted on the same rows)
     its models go on instead, up to ``models[k].rounds``.  A block has about ``block_rows``
-    cells at most and, if a model samples rows, the hashes of about ``block_hashes`` rows."""
+    cells at most and, if a model samples rows, the hashes of about ``block_hashes`` rows. Beyond ``most_hashes`` rows a
+    sample is drawn by cell, as the number of its rows that come into it, not row by row: the same distribution, at a
+    cost that does not grow with the rows. ``key`` is a column's name, or the column of a row's hash."""
     spark = df.sparkSession
     sc = spark.sparkContext
     features = list(features)
@@ -488,13 +605,19 @@ def fit(df: DataFrame, features: Sequence[str], label: str, key: str, models: Se
             for m in out.models}
     kinds = sorted(((r["f"], r["y"]) for r in counts), key=str)
     width = len(features)
-    table, n_blocks, n_cells = _blocks(df, features, label, fold_col, key, edges, kinds, any(m.params.row_share < 1 for m in out.models),
+    table, n_blocks, n_cells = _blocks(df, features, label, fold_col, key, edges, kinds,
+                                       any(m.params.row_share < 1 for m in out.models) and sum(r["n"] for r in counts) <= most_hashes,
                                        max(1, block_rows // max(1, len(kinds) // 16)), block_hashes)
     # margins of a task have MOST_MARGINS numbers at most
     n_chunks = max(-(-sc.defaultParallelism // n_blocks), -(-len(out.models) * -(-n_cells // n_blocks) // MOST_MARGINS))
     n_chunks = max(1, min(len(out.models), n_chunks))
     n_parts = n_blocks * n_chunks
-    mine = [list(range(c, len(out.models), n_chunks)) for c in range(n_chunks)]
+    # models that draw the same rows go to one task, if there are enough such groups
+    by_draw = {}
+    for k, m in enumerate(out.models):
+        by_draw.setdefault((m.params.seed, m.params.row_share), []).append(k)
+    dealt = list(by_draw.values()) if len(by_draw) >= 2 * n_chunks else [[k] for k in range(len(out.models))]
+    mine = [[k for group in dealt[c::n_chunks] for k in group] for c in range(n_chunks)]
     begin = sc.broadcast([(m.base, m.trees) for m in out.models])
     params = [m.params for m in out.models]
 
@@ -617,11 +740,11 @@ def _fit_dealt(sc, out: Boosted, state, mine, held, n_bins: int, most: int):
 
         def run(part, work=work):
             for chunk, block, margin, *_ in part:
-                found = []
+                found, drawn = [], {}
                 for j, k in enumerate(mine[chunk]):
                     if k in work.value:
                         p, n_trees, losses, total = work.value[k]
-                        found.append((k, _rounds(p, n_trees, losses, total, most, block, margin[j], n_bins)))
+                        found.append((k, _rounds(p, n_trees, losses, total, most, block, margin[j], n_bins, drawn)))
                 yield chunk, block, margin, found
         nxt = state.mapPartitions(run).persist(StorageLevel.MEMORY_AND_DISK)
         nxt.checkpoint()

@@ -8,7 +8,6 @@ each point; only the counts of each range go on.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import safe_div
-from ledgerlens.session import checkpoint_dir
+from ledgerlens.session import written
 
 
 def grid_points(n_models: int = 3, steps: int = 20) -> list[tuple[int, ...]]:
@@ -423,7 +422,7 @@ def blend_grid_auc(df: DataFrame, label: str, scores: Sequence[str], weight_name
         if 3 * seen["tuples"] < 2 * seen["rows"]:
             tuples = tuples.groupBy(*s).agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
         # blocks are small beside what they become, so adaptive execution must not put them into few tasks
-        blocks = _written(tuples.mapInArrow(_pack(len(s)), "label int, rows long, total long, scores binary, n binary, probe binary")
+        blocks = written(tuples.mapInArrow(_pack(len(s)), "label int, rows long, total long, scores binary, n binary, probe binary")
                           .repartition(tasks), "blend-blocks")
         size = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.sum("rows").alias("rows"), F.sum(F.length("scores")).alias("bytes"), F.sum(F.when(F.col("label") == 1, F.col("total"))).alias("p"),
                           F.sum(F.when(F.col("label") == 0, F.col("total"))).alias("n")).first()
@@ -481,12 +480,6 @@ def _files_leave(spark, settings: dict | None = None):
                 spark.conf.set(key, value)
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def best_row(df: DataFrame, metric: str, tiebreak: Sequence[str]) -> DataFrame:
     """Arg-max row (ties broken by ``tiebreak`` descending) via a distributed top-1."""
     return df.orderBy(F.desc(metric), *[F.desc(c) for c in tiebreak]).limit(1)

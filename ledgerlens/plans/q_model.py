@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import boosting as B, evaluate as E, model as M
 from ledgerlens.plans.oracle_sql import sql
 from ledgerlens.plans.registry import finish, query
-from ledgerlens.session import cut_lineage
+from ledgerlens.session import cut_lineage, written
 from ledgerlens.sources import tables as T
 
 FEATS = ["s1", "s2", "s3"]
@@ -105,7 +105,7 @@ def search_trials(spark, df, n_trials: int = 100, folds: int = 3, rounds: int =
     their out-of-fold scores."""
     drawn = M.sample_params(space or SPACE, n_trials, seed)
     models = [B.Params(fold=i, rounds=rounds, patience=patience, seed=seed + t, **p) for t, p in enumerate(drawn) for i in range(folds)]
-    b = B.fit(df, FEATS, "y", "rid", models, "fold")
+    b = B.fit(df, FEATS, "y", F.col("rid_hash") if "rid_hash" in df.columns else "rid", models, "fold")
     # rows of the same bins have the same scores, so they are scored once and counted
     cells = (B.cell_counts(df.filter(F.col("y").isNotNull()), b, ["fold", "y"]).groupBy("x", "fold")
              .agg(F.sum(F.col("n") * F.col("y")).alias("pos"), F.sum(F.col("n") * (F.lit(1) - F.col("y"))).alias("neg"))
@@ -123,7 +123,8 @@ def search_trials(spark, df, n_trials: int = 100, folds: int = 3, rounds: int =
 @query("random_search")
 def random_search(spark, d):
     """100 trials over the whole search space, each fold's boosting ended after 50 rounds without gain."""
-    t = search_trials(spark, _train(spark, d, 3))
+    s = E.stratified_folds(T.scored_with_id(spark, d).select("rid", "y", *FEATS), "rid", "y", 3, 42)
+    t = search_trials(spark, written(s.select(F.xxhash64("rid").alias("rid_hash"), "y", "fold", *FEATS), "search-rows"))
     # the trial table has n_trials rows (bounded), so an ordered window over it is fine
     return finish(t.withColumn("best_so_far", F.max("mean_auc").over(
         Window.orderBy("trial").rowsBetween(Window.unboundedPreceding, 0))))

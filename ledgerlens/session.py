@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -77,6 +78,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def written(df, name: str):
+    """``df`` as Parquet files in the shared folder, read back; columns of few values take little room."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

@@ -190,3 +190,46 @@ def test_sampled_rows_of_a_hot_cell_are_dealt_out(spark):
     assert len(blocks) > 1 and sum(len(r["h"]) for r in blocks) == 8 * 3000 and max(len(r["h"]) for r in blocks) < 8 * 2000
     for a, b in zip(one.models, dealt.models):
         assert a.losses == b.losses and a.ledger == b.ledger
+
+
+def test_samples_beyond_the_hashes_are_drawn_by_cell(spark, data):
+    """No hash of a row is kept, and models do not depend on the blocks."""
+    p = [B.Params(fold=i, rounds=4, leaves=5, depth=3, rate=0.3, least_rows=10, row_share=0.7, row_every=2, seed=7) for i in range(3)]
+    one = B.fit(data, ["a", "b", "c"], "y", "id", p, "fold", bins=8, most_hashes=599)
+    many = B.fit(data, ["a", "b", "c"], "y", "id", p, "fold", bins=8, most_hashes=599, block_rows=150)
+    by_row = B.fit(data, ["a", "b", "c"], "y", F.xxhash64("id"), p, "fold", bins=8)
+    for a, b, c, q in zip(one.models, many.models, by_row.models, p):
+        assert a.losses == b.losses and a.ledger == b.ledger and len(a.trees) == 4
+        assert 0.55 * 400 < a.ledger[0][4] < 0.85 * 400 and a.losses != c.losses
+        assert c.losses == B.fit(data, ["a", "b", "c"], "y", "id", [q], "fold", bins=8).models[0].losses
+
+
+def test_draws_by_cell_are_binomial():
+    n = np.array([0, 1, 7, 255, 256, 4097, 10 ** 6], np.int64)
+    x = np.array([[i, j] for i in range(40) for j in range(len(n))], np.uint8)
+    row = {"x": x.tobytes(), "n": np.stack([np.tile(n, 40), np.tile(n[::-1], 40)], 1).tobytes(), "place": b"", "h": b""}
+    block = B._Block(row, 2, [(0, 0), (0, 1)])
+    for share in (0.6, 0.95):
+        drawn = np.stack([block._sampled_by_cell(seed, share) for seed in range(60)]).reshape(60, 40, len(n), 2)
+        both = np.concatenate([drawn[..., 0], drawn[..., ::-1, 1]], axis=1).reshape(-1, len(n))
+        sd = np.sqrt(n * share * (1 - share))
+        assert (both <= n).all() and (np.abs(both.mean(0) - n * share) <= 4.5 * sd / np.sqrt(len(both))).all()
+        assert both.std(0)[1:] == pytest.approx(sd[1:], rel=0.06)
+    part = B._Block(row | {"x": x[14:].tobytes(), "n": block.n[14:].tobytes()}, 2, block.kinds)
+    assert (part._sampled_by_cell(3, 0.7) == block._sampled_by_cell(3, 0.7)[14:]).all()
+
+
+def test_sums_over_boxes_are_those_of_the_cells():
+    r = np.random.default_rng(2)
+    x = r.integers(0, [9, 4, 6], (150, 3)).astype(np.uint8)
+    x = np.unique(x, axis=0)
+    g, h, n = r.integers(-9, 9, (3, len(x))).astype(float)
+    block = B._Block({"x": x.tobytes(), "n": np.ones(len(x), np.int64).tobytes(), "place": b"", "h": b""}, 3, [(0, 0)])
+    grid = block.grid()
+    lo, hi = np.array([[0, 0, 0], [2, 1, 3], [4, 0, 0]]), np.array([grid.shape, [5, 3, 6], [4, 4, 6]])
+    got = grid.histogram(grid.table(g, h, n), lo, hi, [0, 2], 10)
+    for k in range(3):
+        use = ((x >= lo[k]) & (x < hi[k])).all(axis=1)
+        for j, c in enumerate([0, 2]):
+            for i, v in enumerate((g, h, n)):
+                assert (got[i, k, j] == np.bincount(x[use, c], v[use], 10)).all()
